@@ -37,3 +37,45 @@ def bucket_width(df: DataFrame, col: str, n_buckets: int = 4096) -> int:
     if row is None or row.lo is None:
         return 1
     return max(1, (int(row.hi) - int(row.lo)) // n_buckets + 1)
+
+
+def forward_fill(df: DataFrame, partition: list[str], order: str, value: str, out: str,
+                 width: int = 1 << 16) -> DataFrame:
+    """``last(value, ignorenulls)`` over rows up to the current one, ordered by
+    the integer column ``order`` inside ``partition`` -- computed in two
+    levels so that a huge partition is cut into buckets of ``width`` order
+    positions: a window inside each bucket, plus the last value of all earlier
+    buckets (a table with one row per bucket)."""
+    b = df.withColumn("_fb", F.floor(F.col(order) / F.lit(width)))
+    w_in = Window.partitionBy(*partition, "_fb").orderBy(order)\
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    b = b.withColumn("_local", F.last(F.col(value), ignorenulls=True).over(w_in))
+    tail = (b.filter(F.col(value).isNotNull())
+            .groupBy(*partition, "_fb")
+            .agg(F.max_by(F.col(value), F.col(order)).alias("_tail")))
+    # one row per bucket (with its own last value, if any); the carry into a
+    # bucket is the last value of the buckets before it
+    per_bucket = b.select(*partition, "_fb").distinct().join(tail, [*partition, "_fb"], "left")
+    w_prev = Window.partitionBy(*partition).orderBy("_fb").rowsBetween(Window.unboundedPreceding, -1)
+    carry_all = per_bucket.select(*partition, "_fb",
+                                  F.last("_tail", ignorenulls=True).over(w_prev).alias("_carry"))
+    return (b.join(carry_all, [*partition, "_fb"], "left")
+            .withColumn(out, F.coalesce(F.col("_local"), F.col("_carry")))
+            .drop("_fb", "_local", "_carry"))
+
+
+def sorted_positions(df: DataFrame, order: list[Column], out: str = "position") -> DataFrame:
+    """1-based position of every row in a total order, without a one-task
+    window: a range-partitioned sort, ids that increase within the sort
+    (partition index in the high bits), frozen by a reliable checkpoint so
+    that both uses below see the same ids, then per-partition counts (one row
+    per partition, a bounded table) turned into offsets."""
+    ided = df.sort(*order).withColumn("_mid", F.monotonically_increasing_id()).checkpoint(eager=True)
+    part = F.shiftright(F.col("_mid"), 33)
+    counts = ided.groupBy(part.alias("_p")).agg(F.count(F.lit(1)).alias("_n"))
+    offs = counts.select("_p", F.coalesce(F.sum("_n").over(
+        Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+    local = F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))
+    return (ided.withColumn("_p", part).join(F.broadcast(offs), "_p")
+            .withColumn(out, (F.col("_off") + local + 1).cast("bigint"))
+            .drop("_p", "_off", "_mid"))
