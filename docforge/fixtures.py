@@ -190,9 +190,12 @@ def duckdb_with(body: str, *views: str) -> str:
         return body
     ctes = ",\n".join(
         f"{n} AS ({_render(_template(n, 'duckdb'), 'duckdb', lambda k: k)})" for n in names)
-    if body.lstrip().upper().startswith("WITH "):
+    head = body.lstrip()
+    if head.upper().startswith("WITH RECURSIVE "):
+        return f"WITH RECURSIVE {ctes},\n{head[15:]}"
+    if head.upper().startswith("WITH "):
         # merge the body's own CTE list into ours
-        return f"WITH {ctes},\n{body.lstrip()[5:]}"
+        return f"WITH {ctes},\n{head[5:]}"
     return f"WITH {ctes}\n{body}"
 
 
