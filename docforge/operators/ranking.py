@@ -79,3 +79,24 @@ def sorted_positions(df: DataFrame, order: list[Column], out: str = "position")
     return (ided.withColumn("_p", part).join(F.broadcast(offs), "_p")
             .withColumn(out, (F.col("_off") + local + 1).cast("bigint"))
             .drop("_p", "_off", "_mid"))
+
+
+def running_sum(df: DataFrame, partition: list[str], order: str, values: list[str],
+                width: int, prefix: str = "cum_") -> DataFrame:
+    """Inclusive running sums of ``values`` ordered by the (unique within the
+    partition) integer column ``order``, in two levels: a window inside each
+    bucket of ``width`` order units, plus the totals of all earlier buckets
+    (one row per bucket)."""
+    b = df.withColumn("_rb", F.floor(F.col(order) / F.lit(width)))
+    w_in = Window.partitionBy(*partition, "_rb").orderBy(order)\
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    for v in values:
+        b = b.withColumn("_l_" + v, F.sum(v).over(w_in))
+    tot = b.groupBy(*partition, "_rb").agg(*[F.sum(v).alias("_t_" + v) for v in values])
+    w_prev = Window.partitionBy(*partition).orderBy("_rb").rowsBetween(Window.unboundedPreceding, -1)
+    tot = tot.select(*partition, "_rb", *[F.coalesce(F.sum("_t_" + v).over(w_prev), F.lit(0)).alias("_o_" + v)
+                                          for v in values])
+    out = b.join(tot, [*partition, "_rb"])
+    for v in values:
+        out = out.withColumn(prefix + v, F.col("_l_" + v) + F.col("_o_" + v)).drop("_l_" + v, "_o_" + v)
+    return out.drop("_rb")
