@@ -20,19 +20,19 @@ _ORDER = {
 }
 
 
-def members_sql(strategy: str = "newest", chunk: int = 8192) -> str:
+def members_sql(strategy: str = "newest", chunk: int = 8192, src: str = "manifest") -> str:
     o = _ORDER[strategy]
     return f"""
-name_g AS (SELECT size, name, count(*) AS n FROM manifest GROUP BY size, name),
+name_g AS (SELECT size, name, count(*) AS n FROM {src} GROUP BY size, name),
 size_g AS (SELECT size, sum(n) AS size_n FROM name_g GROUP BY size),
 fmem AS (
   SELECT 'filename' AS stage, 'f:' || CAST(m.size AS VARCHAR) || ':' || m.name AS group_key,
          m.size, m.path, m.ord, m.mtime_us,
          CASE WHEN row_number() OVER (PARTITION BY m.size, m.name ORDER BY {o}) = 1
               THEN 'keep' ELSE 'delete' END AS role
-  FROM manifest m JOIN name_g g ON m.size = g.size AND m.name = g.name WHERE g.n > 1),
+  FROM {src} m JOIN name_g g ON m.size = g.size AND m.name = g.name WHERE g.n > 1),
 cand AS (
-  SELECT m.* FROM manifest m JOIN name_g g ON m.size = g.size AND m.name = g.name
+  SELECT m.* FROM {src} m JOIN name_g g ON m.size = g.size AND m.name = g.name
   JOIN size_g s ON m.size = s.size WHERE g.n = 1 AND s.size_n > 1),
 pref AS (SELECT *, md5(encode(text)[1:{chunk}]) AS prefix_md5 FROM cand),
 pgrp AS (SELECT size, prefix_md5, min(ord) AS prefix_first_ord FROM pref GROUP BY size, prefix_md5 HAVING count(*) > 1),
@@ -48,8 +48,9 @@ cmem AS (
 members AS (SELECT * FROM fmem UNION ALL SELECT * FROM cmem)"""
 
 
-def _with(strategy="newest", chunk=8192, extra=""):
-    return "WITH " + members_sql(strategy, chunk).strip() + (",\n" + extra.strip() if extra else "")
+def _with(strategy="newest", chunk=8192, extra="", src="manifest", pre=""):
+    head = "WITH " + (pre.strip() + ",\n" if pre else "")
+    return head + members_sql(strategy, chunk, src).strip() + (",\n" + extra.strip() if extra else "")
 
 
 MEMBER_SELECT = "SELECT stage, group_key, size, path, ord, mtime_us, role FROM members"
