@@ -10,6 +10,7 @@ has to fit in one binary cell).
 from __future__ import annotations
 
 import hashlib
+import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,25 +32,76 @@ def _listing(spark: SparkSession, root: str, recursive: bool, glob: str | None)
     return r.load(root)
 
 
+def _list_dirs(batches):
+    """Entries of each listed directory: files with size and mtime, and
+    sub-directories to list next (symlinks are not followed)."""
+    import pandas as pd
+    for pdf in batches:
+        out = []
+        for d in pdf["path"]:
+            try:
+                with os.scandir(d) as it:
+                    for e in it:
+                        try:
+                            if e.is_dir(follow_symlinks=False):
+                                out.append((e.path, True, None, None))
+                            elif e.is_file():
+                                st = e.stat()
+                                out.append((e.path, False, st.st_size, st.st_mtime_ns // 1000))
+                        except OSError:
+                            continue   # vanished or unreadable entry: skipped, as a walk does
+            except OSError:
+                continue
+        yield pd.DataFrame(out, columns=["path", "is_dir", "size", "mtime_us"])
+
+
+def walk_files(spark: SparkSession, root: str, recursive: bool = True) -> DataFrame:
+    """All regular files under ``root`` with size and mtime, empty files
+    included (Spark's file scans skip zero-length files, so ``binaryFile``
+    cannot list them).  Breadth-first: one distributed listing job per tree
+    level; each level is checkpointed to the shared checkpoint folder."""
+    schema = "path string, is_dir boolean, size bigint, mtime_us bigint"
+    root = root[5:] if root.startswith("file:") else root
+    level = spark.createDataFrame([(os.path.abspath(root),)], "path string")
+    files = None
+    while True:
+        n = max(1, min(level.count(), spark.sparkContext.defaultParallelism * 4))
+        entries = level.repartition(n).mapInPandas(_list_dirs, schema).checkpoint(eager=True)
+        f = entries.filter(~F.col("is_dir")).select("path", "size", "mtime_us")
+        files = f if files is None else files.unionByName(f)
+        level = entries.filter(F.col("is_dir")).select("path")
+        if not recursive or level.isEmpty():
+            return files
+
+
 def scan_manifest(spark: SparkSession, root: str, recursive: bool = True, glob: str | None = None,
-                  freeze: bool = True) -> DataFrame:
+                  method: str | None = None, freeze: bool = True) -> DataFrame:
     """One row per file under ``root`` (recursion is on by default).
 
+    ``method="walk"`` (default for local or mounted paths) lists with a
+    distributed directory walk and keeps empty files; ``method="binaryFile"``
+    uses Spark's file source (object stores), which skips empty files.
     ``ord`` is the scan order: files sorted by path (range-partitioned, no
-    single-task sort) and numbered with increasing ids.  With ``freeze`` the
-    numbered listing is checkpointed to the shared checkpoint folder so every
-    later use sees the same ``ord``.
+    single-task sort) and numbered with increasing ids; with ``freeze`` the
+    numbered listing is checkpointed so every later use sees the same ``ord``.
     """
-    df = _listing(spark, root, recursive, glob).select(
-        F.col("path"), F.col("length").alias("size"),
-        F.unix_micros(F.col("modificationTime")).alias("mtime_us"))
+    if method is None:
+        method = "walk" if (root.startswith("/") or root.startswith("file:")) else "binaryFile"
+    if method == "walk":
+        df = walk_files(spark, root, recursive)
+        if glob:
+            df = df.filter(base_name(F.col("path")).rlike(_glob_regex(glob)))
+    else:
+        df = _listing(spark, root, recursive, glob).select(
+            F.col("path"), F.col("length").alias("size"),
+            F.unix_micros(F.col("modificationTime")).alias("mtime_us"))
     rel = F.regexp_replace(F.col("path"), r"^.*?" + _root_pattern(root), "")
     name = base_name(F.col("path"))
     rel_dir = parent_dir(rel)
     depth = F.when(rel_dir == "", F.lit(0)).otherwise(F.size(F.split(rel_dir, "/"))).cast("bigint")
     df = df.select(
         "path", name.alias("name"), stem(name).alias("stem"), F.lower(split_ext(name)).alias("ext"),
-        depth.alias("depth"), F.col("size").cast("bigint").alias("size"), "mtime_us")
+        depth.alias("depth"), F.col("size").cast("bigint").alias("size"), F.col("mtime_us").cast("bigint"))
     df = (df.repartitionByRange("path").sortWithinPartitions("path")
           .withColumn("ord", F.monotonically_increasing_id()))
     if freeze:
@@ -57,6 +109,39 @@ def scan_manifest(spark: SparkSession, root: str, recursive: bool = True, glob:
     return df
 
 
+def _glob_regex(glob: str) -> str:
+    """A file-name glob as an anchored Java regex (Python's translation;
+    ``\\Z`` is Java's ``\\z``)."""
+    import fnmatch
+    return "^" + fnmatch.translate(glob).replace("\\Z", "\\z")
+
+
+def _is_local(path: str) -> bool:
+    return path.startswith("/") or path.startswith("file:")
+
+
+def _strip_scheme(c):
+    return F.regexp_replace(c, "^file:", "")
+
+
+def _files_with_content(spark: SparkSession, folder: str, recursive: bool, glob: str | None) -> DataFrame:
+    """``path, size, mtime_us, content`` for matching files.  Local folders
+    are listed by the directory walk so that empty files are kept (their
+    content is empty); non-empty contents come from the ``binaryFile``
+    source, joined by path."""
+    raw = _listing(spark, folder, recursive, glob).select(
+        _strip_scheme(F.col("path")).alias("path"), "content")
+    if not _is_local(folder):
+        return _listing(spark, folder, recursive, glob).select(
+            "path", F.col("length").cast("bigint").alias("size"),
+            F.unix_micros("modificationTime").alias("mtime_us"), "content")
+    listing = walk_files(spark, folder, recursive)
+    if glob:
+        listing = listing.filter(base_name(F.col("path")).rlike(_glob_regex(glob)))
+    return (listing.join(raw, "path", "left")
+            .withColumn("content", F.coalesce(F.col("content"), F.lit(b"").cast("binary"))))
+
+
 def _root_pattern(root: str) -> str:
     import re
     r = root.rstrip("/")
@@ -69,11 +154,15 @@ def read_text_corpus(spark: SparkSession, path: str, pattern: str = "*.txt") ->
     """``(text, file_name, file_size)`` for files matching ``pattern`` in a
     folder (not recursive), or for one file.  UTF-8 with U+FFFD for bad bytes,
     newlines folded as text mode does; size in bytes."""
-    raw = _listing(spark, path, recursive=False, glob=pattern)
+    if _is_local(path) and os.path.isfile(path[5:] if path.startswith("file:") else path):
+        folder, pattern = os.path.dirname(os.path.abspath(path)), os.path.basename(path)
+    else:
+        folder = path
+    raw = _files_with_content(spark, folder, recursive=False, glob=pattern)
     return raw.select(
         TX.fold_newlines(TX.decode_utf8_replace(F.col("content"))).alias("text"),
         base_name(F.col("path")).alias("file_name"),
-        F.col("length").cast("bigint").alias("file_size"))
+        F.col("size").cast("bigint").alias("file_size"))
 
 
 def corpus_from_table(documents: DataFrame) -> DataFrame:
@@ -87,19 +176,24 @@ def corpus_from_table(documents: DataFrame) -> DataFrame:
 def read_markdown(spark: SparkSession, folder: str, fallback_latin1: bool = True) -> DataFrame:
     """Direct ``*.md`` children of a folder, decoded strictly as UTF-8 with a
     whole-file latin-1 fallback, newlines folded."""
-    raw = _listing(spark, folder, recursive=False, glob="*.md")
+    raw = _files_with_content(spark, folder, recursive=False, glob="*.md")
     dec = TX.decode_with_fallback(F.col("content")) if fallback_latin1 else TX.decode_utf8_replace(F.col("content"))
     name = base_name(F.col("path"))
     return raw.select("path", name.alias("name"), stem(name).alias("stem"),
-                      F.col("length").cast("bigint").alias("size"),
+                      F.col("size").cast("bigint").alias("size"),
                       TX.fold_newlines(dec).alias("text"))
 
 
 def list_markdown(spark: SparkSession, folder: str) -> DataFrame:
-    raw = _listing(spark, folder, recursive=False, glob="*.md").select("path", "length")
+    """Direct ``*.md`` children of a folder (metadata only)."""
+    if _is_local(folder):
+        raw = walk_files(spark, folder, recursive=False).filter(base_name(F.col("path")).rlike(_glob_regex("*.md")))
+    else:
+        raw = _listing(spark, folder, recursive=False, glob="*.md").select(
+            "path", F.col("length").alias("size"))
     name = base_name(F.col("path"))
     return raw.select("path", name.alias("name"), stem(name).alias("stem"),
-                      F.col("length").cast("bigint").alias("size"))
+                      F.col("size").cast("bigint").alias("size"))
 
 
 # ---------------------------------------------------------------------------
