@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.names import format_size, relative_link
-from .ranking import bucket_width, row_number_by_buckets
+from .ranking import row_number_by_buckets
 
 STRATEGIES = ("newest", "oldest", "first_found")
 MEMBER_COLS = ["stage", "group_key", "size", "path", "ord", "mtime_us", "role"]
@@ -110,6 +110,17 @@ def filename_dups(manifest: DataFrame, strategy: str = "newest", stats: DataFram
     return _members(manifest, groups, ["size", "name"], "filename", F.col("name"))
 
 
+def filename_dups_verified(manifest: DataFrame, strategy: str = "newest", content: str = "text") -> DataFrame:
+    """``verify_names``: equal size and name count as duplicates only when
+    the contents hash equal too (the reference groups on name alone)."""
+    h = with_content_hash(size_groups(manifest), content)
+    groups = (h.groupBy("size", "name", "md5")
+              .agg(F.count(F.lit(1)).alias("n"), _keeper(strategy).alias("keep_ord"))
+              .filter("n > 1").drop("n"))
+    return _members(h, groups, ["size", "name", "md5"], "filename",
+                    F.concat_ws(":", F.col("name"), F.col("md5")))
+
+
 def exclude_name_dups(manifest: DataFrame, stats: DataFrame | None = None) -> DataFrame:
     """Content-stage candidates: files of a shared size that are in no
     filename group (every member of a filename group leaves, keeper too)."""
@@ -179,13 +190,35 @@ def keep_policy(groups: DataFrame, strategy: str = "newest") -> DataFrame:
 # whole cascade
 # ---------------------------------------------------------------------------
 def dup_members(manifest: DataFrame, strategy: str = "newest", content: str = "text",
-                use_prefix: bool = True, chunk_size: int = 8192) -> DataFrame:
-    """Filename groups followed by content groups, long form."""
+                use_prefix: bool = True, chunk_size: int = 8192, with_order: bool = False) -> DataFrame:
+    """Filename groups followed by content groups, long form.
+
+    ``with_order`` adds the report order of each group: first scan position
+    of its size, of its prefix group (content groups; the group itself for
+    filename groups) and of the group."""
     stats = name_stats(manifest, strategy)
     names = filename_dups(manifest, strategy, stats)
     cands = exclude_name_dups(manifest, stats)
-    contents = content_dups(cands, strategy, content, use_prefix, chunk_size)
-    return names.unionByName(contents)
+    if not with_order:
+        contents = content_dups(cands, strategy, content, use_prefix, chunk_size)
+        return names.unionByName(contents)
+    size_first = stats.select("size", "size_first_ord").distinct()
+    name_first = stats.filter("n > 1").select("size", F.concat_ws(
+        ":", F.lit("f"), F.col("size").cast("string"), F.col("name")).alias("group_key"),
+        "first_ord", F.col("first_ord").alias("prefix_first_ord"))
+    names = names.join(name_first, ["size", "group_key"])
+    c = with_content_hash(prefix_candidates(cands, content, chunk_size), content)
+    groups = (c.groupBy("size", "md5")
+              .agg(F.count(F.lit(1)).alias("n"), F.min("ord").alias("first_ord"),
+                   F.min("prefix_first_ord").alias("prefix_first_ord"), _keeper(strategy).alias("keep_ord"))
+              .filter("n > 1").drop("n"))
+    contents = c.drop("prefix_first_ord").join(groups, ["size", "md5"]).select(
+        F.lit("content").alias("stage"),
+        F.concat_ws(":", F.lit("c"), F.col("size").cast("string"), F.col("md5")).alias("group_key"),
+        "size", "path", "ord", "mtime_us",
+        F.when(F.col("ord") == F.col("keep_ord"), "keep").otherwise("delete").alias("role"),
+        "first_ord", "prefix_first_ord")
+    return names.unionByName(contents).join(size_first, "size")
 
 
 all_dups = dup_members
@@ -282,32 +315,42 @@ def group_order(members: DataFrame, manifest: DataFrame, content: str = "text",
 def dup_report(members: DataFrame, manifest: DataFrame, directory: str, at: str,
                content: str = "text", chunk_size: int = 8192, strategy: str = "newest") -> DataFrame:
     """The text report as rows ``(group_no, line_no, line)``; group 0 is the
-    header.  Sorting by ``(group_no, line_no)`` gives the file."""
-    stats = dedup_stats(members, manifest).first()
-    header = [
-        f"Duplicate File Report - {at}",
-        f"Scanned directory: {directory}",
-        f"Total files scanned: {stats.total_files}",
-        None,  # total size, formatted by Spark below
-        f"Duplicate files found: {stats.duplicate_files}",
-        None,
-        "",
-    ]
+    header.  Sorting by ``(group_no, line_no)`` gives the file.
+
+    ``members`` should come from ``dup_members(..., with_order=True)``;
+    otherwise the order columns are recomputed.  Members are checkpointed
+    once (the report reads them several times), group numbers come from a
+    range-partitioned sort, and delete lines are numbered in buckets, so no
+    step runs in a single task."""
+    from .ranking import sorted_positions
+    if "size_first_ord" not in members.columns:
+        members = members.join(group_order(members, manifest, content, chunk_size)
+                               .select("stage", "group_key", "size_first_ord", "prefix_first_ord", "first_ord"),
+                               ["stage", "group_key"])
+    members = members.checkpoint(eager=True)
     spark = members.sparkSession
-    hdr = spark.createDataFrame(
-        [(0, i, h) for i, h in enumerate(header)], "group_no long, line_no long, line string")
-    hdr = hdr.withColumn("line", F.when(
-        F.col("line_no") == 3,
-        F.concat(F.lit("Total size of all files: "), format_size(F.lit(stats.total_size).cast("bigint"))))
-        .when(F.col("line_no") == 5, F.concat(F.lit("Duplicate files size: "),
-                                              format_size(F.lit(stats.duplicate_size).cast("bigint"))))
-        .otherwise(F.col("line")))
-
-    order = group_order(members, manifest, content, chunk_size)
-    width = bucket_width(order, "size_first_ord")
-    numbered = row_number_by_buckets(
-        order, [F.col("stage_no"), F.col("size_first_ord"), F.col("prefix_first_ord"), F.col("first_ord")],
-        F.col("stage_no") * F.lit(1 << 40) + F.floor(F.col("size_first_ord") / F.lit(width)),
+
+    # header: one row of totals joined to the seven header templates
+    totals = (scan_totals(manifest).select("*", F.lit(1).alias("_one"))
+              .join(members.agg(F.count(F.when(F.col("role") == "delete", 1)).alias("dfiles"),
+                                F.coalesce(F.sum(F.when(F.col("role") == "delete", F.col("size"))), F.lit(0))
+                                .cast("bigint").alias("dsize")).select("*", F.lit(1).alias("_one")), "_one"))
+    tmpl = spark.createDataFrame([(i,) for i in range(7)], "line_no long")
+    line = (F.when(F.col("line_no") == 0, F.lit(f"Duplicate File Report - {at}"))
+            .when(F.col("line_no") == 1, F.lit(f"Scanned directory: {directory}"))
+            .when(F.col("line_no") == 2, F.concat(F.lit("Total files scanned: "), F.col("total_files").cast("string")))
+            .when(F.col("line_no") == 3, F.concat(F.lit("Total size of all files: "), format_size(F.col("total_size"))))
+            .when(F.col("line_no") == 4, F.concat(F.lit("Duplicate files found: "), F.col("dfiles").cast("string")))
+            .when(F.col("line_no") == 5, F.concat(F.lit("Duplicate files size: "), format_size(F.col("dsize"))))
+            .otherwise(F.lit("")))
+    hdr = tmpl.select("*", F.lit(1).alias("_one")).join(F.broadcast(totals), "_one").select(
+        F.lit(0).cast("bigint").alias("group_no"), "line_no", line.alias("line"))
+
+    groups = members.groupBy("stage", "group_key", "size", "size_first_ord", "prefix_first_ord", "first_ord")\
+        .agg(F.count(F.lit(1)).alias("n_files"))\
+        .withColumn("stage_no", F.when(F.col("stage") == "filename", 0).otherwise(1))
+    numbered = sorted_positions(
+        groups, [F.col("stage_no"), F.col("size_first_ord"), F.col("prefix_first_ord"), F.col("first_ord")],
         out="group_no")
     title = numbered.select(
         "group_no", F.lit(0).cast("bigint").alias("line_no"),
@@ -315,11 +358,8 @@ def dup_report(members: DataFrame, manifest: DataFrame, directory: str, at: str,
                  F.col("n_files").cast("string"), F.lit(" files of size "), format_size(F.col("size")))
         .alias("line"))
     # keeper on line 1, deletes in the reference's list order, blank line last
-    m = members.join(numbered.select("stage", "group_key", "group_no", "n_files"), ["stage", "group_key"])
-    if strategy == "first_found":
-        dorder = [F.col("ord")]
-    else:
-        dorder = [F.col("mtime_us"), F.col("ord")]
+    m = members.join(numbered.select("stage", "group_key", "group_no"), ["stage", "group_key"])
+    dorder = [F.col("ord")] if strategy == "first_found" else [F.col("mtime_us"), F.col("ord")]
     # a hot group is cut into buckets of at most 2**16 scan positions
     dbucket = F.struct(*dorder[:-1], F.floor(F.col("ord") / F.lit(1 << 16)).alias("_ob"))
     dels = row_number_by_buckets(m.filter(F.col("role") == "delete"), dorder, dbucket,

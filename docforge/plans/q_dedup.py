@@ -271,4 +271,34 @@ SELECT CAST(group_no AS BIGINT) AS group_no, CAST(line_no AS BIGINT) AS line_no,
        ("manifest",))
 def q_dup_report(spark, sf):
     m = Fixtures(spark, sf)["manifest"]
-    return D.dup_report(D.dup_members(m), m, "/corpus", REPORT_AT)
+    return D.dup_report(D.dup_members(m, with_order=True), m, "/corpus", REPORT_AT)
+
+
+@query("filename_dups_verified", """
+WITH sized AS (SELECT * FROM manifest WHERE size IN (SELECT size FROM manifest GROUP BY size HAVING count(*) > 1)),
+h AS (SELECT *, md5(text) AS md5 FROM sized),
+g AS (SELECT size, name, md5 FROM h GROUP BY size, name, md5 HAVING count(*) > 1)
+SELECT 'filename' AS stage, 'f:' || CAST(h.size AS VARCHAR) || ':' || h.name || ':' || h.md5 AS group_key,
+       h.size, h.path, h.ord, h.mtime_us,
+       CASE WHEN row_number() OVER (PARTITION BY h.size, h.name, h.md5 ORDER BY mtime_us DESC, ord DESC) = 1
+            THEN 'keep' ELSE 'delete' END AS role
+FROM h JOIN g ON h.size = g.size AND h.name = g.name AND h.md5 = g.md5""", ("manifest",))
+def q_filename_dups_verified(spark, sf):
+    """Quirk option: filename groups re-checked by content hash."""
+    return D.filename_dups_verified(Fixtures(spark, sf)["manifest"]).select(*D.MEMBER_COLS)
+
+
+@query("name_helpers", f"""
+SELECT ord, {_fmt_size_sql('size')} AS size_text,
+       regexp_extract(name, '^\\.*[^.].*(\\.[^.]*)$', 1) AS ext_raw,
+       CASE WHEN length(path) > 24 THEN left(path, 10) || '...' || right(path, 10) ELSE path END AS short_path,
+       md5(path || '_' || CAST(mtime_us AS VARCHAR) || '_' || CAST(size AS VARCHAR)) AS file_id
+FROM manifest""", ("manifest",))
+def q_name_helpers(spark, sf):
+    """Column helpers: size text, extension, middle-ellipsis path, file id."""
+    from ..functions import names as N
+    m = Fixtures(spark, sf)["manifest"]
+    return m.select("ord", N.format_size(F.col("size")).alias("size_text"),
+                    N.split_ext(F.col("name")).alias("ext_raw"),
+                    N.shorten_path(F.col("path"), 24).alias("short_path"),
+                    N.file_id(F.col("path"), F.col("mtime_us"), F.col("size")).alias("file_id"))

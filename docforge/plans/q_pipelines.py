@@ -141,3 +141,14 @@ def q_publish_corpus(spark, sf):
     from ..sources.files import corpus_from_table
     corpus = corpus_from_table(Fixtures(spark, sf)["documents"])
     return PL.publish_corpus(corpus, CARD_TITLE, created=CARD_DATE)[1]
+
+
+@query("dataset_card", f"""
+SELECT CAST(count(*) AS BIGINT) AS documents, CAST(coalesce(sum(file_size), 0) AS BIGINT) AS total_bytes,
+       format('{{:.2f}}', coalesce(sum(file_size), 0) / 1048576.0) AS total_mb
+FROM corpus""", ("corpus",))
+def q_dataset_card(spark, sf):
+    from ..operators.publish import dataset_card
+    from ..sources.files import corpus_from_table
+    return dataset_card(corpus_from_table(Fixtures(spark, sf)["documents"]), CARD_TITLE, created=CARD_DATE)\
+        .select("documents", "total_bytes", "total_mb")
