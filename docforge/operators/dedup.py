@@ -25,6 +25,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+
+from ..session import reliable_checkpoint
 from ..functions.names import format_size, relative_link
 from .ranking import row_number_by_buckets
 
@@ -327,7 +329,7 @@ def dup_report(members: DataFrame, manifest: DataFrame, directory: str, at: str,
         members = members.join(group_order(members, manifest, content, chunk_size)
                                .select("stage", "group_key", "size_first_ord", "prefix_first_ord", "first_ord"),
                                ["stage", "group_key"])
-    members = members.checkpoint(eager=True)
+    members = members.transform(reliable_checkpoint)
     spark = members.sparkSession
 
     # header: one row of totals joined to the seven header templates

@@ -22,6 +22,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+
+from ..session import reliable_checkpoint
 from .ranking import forward_fill, running_sum
 
 MINUTE_US = 60_000_000
@@ -110,9 +112,99 @@ FOLD_SCHEMA = ("event_id bigint, api_key bigint, ts_us bigint, tokens_minute big
                "rpm_after bigint, minute_reset boolean, day_reset boolean")
 
 
-def quota_fold(requests: DataFrame, anchor_us: int | None = None) -> DataFrame:
+def quota_fold(requests: DataFrame, anchor_us: int | None = None, max_group_rows: int = 1_000_000) -> DataFrame:
     """Counters after every request, per key, exactly as the tracker keeps
-    them.  ``anchor_us``: tracker start (default: the key's first request)."""
+    them.  ``anchor_us``: tracker start (default: the key's first request).
+
+    Keys with at most ``max_group_rows`` requests (counted first, so the
+    bound is proven) are folded in one grouped-map call each; larger keys go
+    through ``quota_fold_distributed``, which never holds a key in one task."""
     cols = requests.select(F.col("event_id").cast("bigint"), F.col("api_key").cast("bigint"),
                            F.col("ts_us").cast("bigint"), F.col("tokens").cast("bigint"))
-    return cols.groupBy("api_key").applyInPandas(lambda pdf: fold_key(pdf, anchor_us), FOLD_SCHEMA)
+    sizes = cols.groupBy("api_key").agg(F.count(F.lit(1)).alias("_n"))
+    small_keys = sizes.filter(F.col("_n") <= max_group_rows).select("api_key")
+    big_keys = sizes.filter(F.col("_n") > max_group_rows).select("api_key")
+    small = cols.join(small_keys, "api_key", "left_semi")\
+        .groupBy("api_key").applyInPandas(lambda pdf: fold_key(pdf, anchor_us), FOLD_SCHEMA)
+    if big_keys.isEmpty():
+        return small
+    big = quota_fold_distributed(cols.join(big_keys, "api_key", "left_semi"), anchor_us)
+    return small.unionByName(big)
+
+
+# ---------------------------------------------------------------------------
+# distributed exact fold (hot keys)
+# ---------------------------------------------------------------------------
+def _reset_chain(ts_table: DataFrame, key: str, anchor: DataFrame, width: int, bucket_us: int) -> DataFrame:
+    """Distinct timestamps at which a counter of period ``width`` resets:
+    e1 = first ts > anchor + width, then e(k+1) = first ts > e(k) + width.
+
+    ``next`` links (first ts after ts + width) form a forest; the resets are
+    the path from e1.  Pointer doubling builds J_k = next^(2^k) in log2(n)
+    joins (each table checkpointed), then the path is filled from the top
+    level down: S <- S u J_k(S)."""
+    from .ranking import next_after
+    nxt = next_after(ts_table, [key], "ts", ts_table.select(key, (F.col("ts") + width).alias("at")), "at",
+                     "nxt", bucket_us)
+    j = (ts_table.join(nxt.select(key, (F.col("at") - width).alias("ts"), "nxt"), [key, "ts"], "left")
+         .select(key, "ts", F.col("nxt").alias("j")).transform(reliable_checkpoint))
+    start = next_after(ts_table, [key], "ts", anchor.select(key, (F.col("anchor") + width).alias("at")), "at",
+                       "ts", bucket_us).filter(F.col("ts").isNotNull()).select(key, "ts")
+    n_max = ts_table.groupBy(key).count().agg(F.max("count")).first()[0] or 1
+    levels = [j]
+    while (1 << (len(levels) - 1)) < n_max:
+        jk = levels[-1]
+        nxt_lvl = (jk.alias("a").join(jk.alias("b"), (F.col(f"a.{key}") == F.col(f"b.{key}"))
+                                      & (F.col("a.j") == F.col("b.ts")), "left")
+                   .select(F.col(f"a.{key}").alias(key), F.col("a.ts").alias("ts"), F.col("b.j").alias("j"))
+                   .transform(reliable_checkpoint))
+        levels.append(nxt_lvl)
+    path = start
+    for jk in reversed(levels):
+        step = path.join(jk, [key, "ts"]).filter(F.col("j").isNotNull()).select(key, F.col("j").alias("ts"))
+        path = path.unionByName(step).distinct().transform(reliable_checkpoint)
+    return path
+
+
+def quota_fold_distributed(cols: DataFrame, anchor_us: int | None = None,
+                           bucket_us: int = 3_600_000_000) -> DataFrame:
+    """``fold_key`` for any key size, with joins, aggregates and two-level
+    ordered scans only."""
+    from .ranking import forward_fill, row_number_by_buckets, running_sum
+    key = "api_key"
+    seq = row_number_by_buckets(cols, [F.col("ts_us"), F.col("event_id")],
+                                F.floor(F.col("ts_us") / F.lit(1_000_000)), partition=[key], out="seq")
+    ts_table = seq.groupBy(key, F.col("ts_us").alias("ts")).agg(F.min("seq").alias("first_seq"))\
+        .transform(reliable_checkpoint)
+    if anchor_us is None:
+        anchor = ts_table.groupBy(key).agg(F.min("ts").alias("anchor"))
+    else:
+        anchor = ts_table.select(key).distinct().withColumn("anchor", F.lit(int(anchor_us)).cast("bigint"))
+    out = seq.withColumn("_one", F.lit(1).cast("bigint"))
+    for name, width in (("minute_reset", MINUTE_US), ("day_reset", DAY_US)):
+        resets = _reset_chain(ts_table.select(key, "ts"), key, anchor, width, bucket_us)
+        marks = ts_table.join(resets, [key, "ts"]).select(key, F.col("first_seq").alias("seq"),
+                                                         F.lit(True).alias(name))
+        out = out.join(marks, [key, "seq"], "left").withColumn(name, F.coalesce(F.col(name), F.lit(False)))
+    out = running_sum(out, [key], "seq", ["tokens", "_one"], width=1 << 20)
+    # value of the running sums just before each reset, carried forward
+    for name, val, res in (("minute_reset", "tokens", "tokens_minute"), ("day_reset", "_one", "day_requests")):
+        base = f"_base_{res}"
+        out = out.withColumn(base, F.when(F.col(name), F.col(f"cum_{val}") - F.col(val)))
+        out = forward_fill(out, [key], "seq", base, base + "_f", width=1 << 20)
+        out = out.withColumn(res, (F.col(f"cum_{val}") - F.coalesce(F.col(base + "_f"), F.lit(0))).cast("bigint"))
+    # requests still inside the trailing minute: position minus those with
+    # ts <= t - 60 s (an as-of count over distinct timestamps)
+    last_seq = seq.groupBy(key, F.col("ts_us").alias("ts")).agg(F.max("seq").alias("_upto"))
+    older = (forward_fill(
+        last_seq.select(key, (F.col("ts") * 2).alias("_okey"), F.col("_upto").alias("_v"),
+                        F.lit(None).cast("bigint").alias("_at"))
+        .unionByName(ts_table.select(key, ((F.col("ts") - MINUTE_US) * 2 + 1).alias("_okey"),
+                                     F.lit(None).cast("bigint").alias("_v"), F.col("ts").alias("_at"))),
+        [key], "_okey", "_v", "_older", width=2 * bucket_us)
+        .filter(F.col("_at").isNotNull()).select(key, F.col("_at").alias("ts_us"), "_older"))
+    out = out.join(older, [key, "ts_us"], "left")
+    return out.select(
+        "event_id", key, "ts_us", "tokens_minute", "day_requests",
+        (F.col("seq") - F.coalesce(F.col("_older"), F.lit(0))).cast("bigint").alias("rpm_after"),
+        "minute_reset", "day_reset")

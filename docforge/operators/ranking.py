@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import reliable_checkpoint
+
 
 def row_number_by_buckets(df: DataFrame, order: list[Column], bucket: Column,
                           partition: list[str] | None = None, out: str = "row_no") -> DataFrame:
@@ -70,7 +72,7 @@ def sorted_positions(df: DataFrame, order: list[Column], out: str = "position")
     (partition index in the high bits), frozen by a reliable checkpoint so
     that both uses below see the same ids, then per-partition counts (one row
     per partition, a bounded table) turned into offsets."""
-    ided = df.sort(*order).withColumn("_mid", F.monotonically_increasing_id()).checkpoint(eager=True)
+    ided = df.sort(*order).withColumn("_mid", F.monotonically_increasing_id()).transform(reliable_checkpoint)
     part = F.shiftright(F.col("_mid"), 33)
     counts = ided.groupBy(part.alias("_p")).agg(F.count(F.lit(1)).alias("_n"))
     offs = counts.select("_p", F.coalesce(F.sum("_n").over(
@@ -100,3 +102,17 @@ def running_sum(df: DataFrame, partition: list[str], order: str, values: list[st
     for v in values:
         out = out.withColumn(prefix + v, F.col("_l_" + v) + F.col("_o_" + v)).drop("_l_" + v, "_o_" + v)
     return out.drop("_rb")
+
+
+def next_after(points: DataFrame, partition: list[str], ts: str, probes: DataFrame, at: str,
+               out: str, width: int) -> DataFrame:
+    """For each probe time ``at``: the smallest ``ts`` of ``points`` (same
+    partition) strictly greater than it, or null -- an as-of lookup done as
+    a two-level forward fill over the merged sequence in descending order."""
+    real = points.select(*partition, (-(F.col(ts) * 2)).alias("_okey"),
+                         F.col(ts).cast("bigint").alias("_v"), F.lit(None).cast("bigint").alias("_at"))
+    prb = probes.select(*partition, (-(F.col(at) * 2 + 1)).alias("_okey"),
+                        F.lit(None).cast("bigint").alias("_v"), F.col(at).cast("bigint").alias("_at"))
+    filled = forward_fill(real.unionByName(prb), partition, "_okey", "_v", "_next", width=2 * width)
+    return filled.filter(F.col("_at").isNotNull()).select(*partition, F.col("_at").alias(at),
+                                                           F.col("_next").alias(out)).distinct()

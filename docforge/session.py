@@ -52,12 +52,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     On a cluster the setting names a shared file system folder and is used as
     is.  Only when it is unset (local tests) do we create a private one.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not current:
         current = tempfile.mkdtemp(prefix="docforge-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", current)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(current)
+        try:
+            spark.conf.set("spark.checkpoint.dir", current)
+        except Exception:  # noqa: BLE001 - some deployments reject core confs at runtime
+            pass
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(current)
     return current
 
 
@@ -65,3 +69,10 @@ def checkpoint_path(spark: SparkSession, *parts: str) -> str:
     """A path under the shared checkpoint folder (for written stage tables)."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return "/".join([base, *parts])
+
+
+def reliable_checkpoint(df):
+    """``df.checkpoint()`` into the shared checkpoint folder (cuts lineage;
+    survives executor loss), making sure the folder is configured first."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

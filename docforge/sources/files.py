@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T_
 
 from ..functions import text as TX
+from ..session import reliable_checkpoint
 from ..functions.names import base_name, parent_dir, split_ext, stem
 
 MANIFEST_SCHEMA = ("path string, name string, stem string, ext string, depth bigint, "
@@ -66,7 +67,7 @@ def walk_files(spark: SparkSession, root: str, recursive: bool = True) -> DataFr
     files = None
     while True:
         n = max(1, min(level.count(), spark.sparkContext.defaultParallelism * 4))
-        entries = level.repartition(n).mapInPandas(_list_dirs, schema).checkpoint(eager=True)
+        entries = level.repartition(n).mapInPandas(_list_dirs, schema).transform(reliable_checkpoint)
         f = entries.filter(~F.col("is_dir")).select("path", "size", "mtime_us")
         files = f if files is None else files.unionByName(f)
         level = entries.filter(F.col("is_dir")).select("path")
@@ -105,7 +106,7 @@ def scan_manifest(spark: SparkSession, root: str, recursive: bool = True, glob:
     df = (df.repartitionByRange("path").sortWithinPartitions("path")
           .withColumn("ord", F.monotonically_increasing_id()))
     if freeze:
-        df = df.checkpoint(eager=True)
+        df = df.transform(reliable_checkpoint)
     return df
 
 
