@@ -2,32 +2,44 @@
 
 Sequential rule (per file in scan order): the first file keeps its base name;
 a later one, or one whose name already exists in the target, gets the first
-free ``base_N.ext`` with N = 1, 2, ...  Generated names never leave their
-*collision family* (stem without all trailing ``_digits``, plus extension), so
-families are independent.
-
-Two plans, chosen per family:
-
-* a family with one natural name (the common case, also the hot one: a name
-  that a third of all files share) is solved with no grouping at all: file j
-  (0-based in scan order) takes the j-th free slot of ``name, name_1,
-  name_2, ...``, where pre-existing target names block slots.  Ranks come from
-  a bucketed row number and the slot from a bucketed as-of lookup, so no task
-  holds the whole family;
-* a family with several natural names (``a.txt`` and ``a_1.txt`` interact)
-  runs the sequential rule in a grouped-map function over that family.
+free ``base_N.ext`` with N = 1, 2, ...
+
+Distributed exact plan.  Names form a tree: ``a_1.txt`` is slot 1 of
+``a.txt`` (the name the rule would generate), ``a.txt`` is slot 0 of itself.
+For a natural name n with occurrences o_0 < o_1 < ... (scan positions):
+
+* occurrences take n's slots in increasing order, skipping blocked ones;
+* slot k is blocked for ever from time b_k: an existing target name
+  (b = -inf), the first arrival of the natural name n_k, or -- for slot 0 --
+  the moment n's parent claimed the name n before n first arrived;
+* slot k is skipped iff n had not reached it by b_k.  With c_k = number of
+  occurrences before b_k and s = slots skipped so far, that is
+  ``s <= k - c_k``; walking the blocks in slot order gives the skipped set.
+  The walk runs over the blocks of one name (bounded by distinct names,
+  never by occurrences);
+* occurrence j then takes slot j + (skipped slots up to it), an as-of lookup.
+
+Parents are solved before children (levels of the name tree), since a
+parent's claims block its children's slot 0.  Occurrence ranks and the
+lookups are bucketed, so a name held by a third of all files never sits in
+one task.
 """
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.names import split_ext, stem
+from ..session import reliable_checkpoint
 from .ranking import forward_fill, row_number_by_buckets
 
 _DIGITS_TAIL = r"(_[0-9]+)+$"
+_CHILD = r"_([1-9][0-9]{0,17})$"
+_NEG = -(1 << 62)          # "blocked from the start"
+_W = 1 << 16
 
 
 def family_key(name: F.Column) -> F.Column:
@@ -35,17 +47,14 @@ def family_key(name: F.Column) -> F.Column:
     return F.concat(F.regexp_replace(stem(name), _DIGITS_TAIL, ""), F.lit("\u0000"), ext)
 
 
-def _slot_of(taken_name: F.Column, natural: F.Column) -> F.Column:
-    """Slot index of a taken name in the sequence of ``natural``: 0 for the
-    name itself, k for ``stem_k.ext`` (canonical k >= 1), else null."""
-    st, ex = stem(natural), split_ext(natural)
-    t_st, t_ex = stem(taken_name), split_ext(taken_name)
-    prefix = F.concat(st, F.lit("_"))
-    digits = F.substr(t_st, F.length(prefix) + 1)
-    canonical = digits.rlike("^[1-9][0-9]*$")
-    k = F.when((taken_name == natural), F.lit(0).cast("bigint")).when(
-        (t_ex == ex) & t_st.startswith(prefix) & canonical & (F.length(digits) <= 18), digits.cast("bigint"))
-    return k
+def parent_of(name: F.Column):
+    """(parent name, slot) when ``name`` is what the rule generates from a
+    parent, else nulls."""
+    st, ex = stem(name), split_ext(name)
+    is_child = st.rlike(_CHILD)
+    parent = F.when(is_child, F.concat(F.regexp_replace(st, _CHILD, ""), ex))
+    slot = F.when(is_child, F.regexp_extract(st, _CHILD, 1).cast("bigint"))
+    return parent, slot
 
 
 def _slot_name(natural: F.Column, slot: F.Column) -> F.Column:
@@ -53,16 +62,27 @@ def _slot_name(natural: F.Column, slot: F.Column) -> F.Column:
         F.concat(stem(natural), F.lit("_"), slot.cast("string"), split_ext(natural)))
 
 
+def _walk(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Skipped blocks of one name: in slot order, skip while s <= k - c_k."""
+    pdf = pdf.sort_values("k")
+    s, out = 0, []
+    for k, d in zip(pdf["k"].to_numpy(dtype=np.int64), pdf["d"].to_numpy(dtype=np.int64)):
+        if s <= d:
+            out.append(k)
+            s += 1
+    return pd.DataFrame({"name": pdf["name"].iloc[:len(out)].to_numpy() if len(out) else [], "k": out})
+
+
 def _sequential(pdf: pd.DataFrame) -> pd.DataFrame:
-    """The sequential rule over one family (taken rows have ord = null)."""
+    """The sequential rule over one family (taken names have no ord)."""
     import os
     taken = set(pdf.loc[pdf["is_taken"], "name"])
     files = pdf.loc[~pdf["is_taken"]].sort_values("ord", kind="stable")
     out = []
-    for o, name in zip(files["ord"], files["name"]):
-        target = name
+    for o, n in zip(files["ord"], files["name"]):
+        target = n
         if target in taken:
-            base, ext = os.path.splitext(name)
+            base, ext = os.path.splitext(n)
             k = 1
             while f"{base}_{k}{ext}" in taken:
                 k += 1
@@ -73,57 +93,119 @@ def _sequential(pdf: pd.DataFrame) -> pd.DataFrame:
 
 
 def allocate_names(files: DataFrame, taken: DataFrame | None = None, overwrite: bool = False,
-                   name: str = "name", ord_col: str = "ord") -> DataFrame:
+                   name: str = "name", ord_col: str = "ord", max_group_rows: int = 100_000) -> DataFrame:
     """``files(ord, name, ...)`` -> the same rows with ``target_name``.
-    ``taken(name)`` lists names already in the target folder."""
+    ``taken(name)`` lists names already in the target folder.
+
+    Generated names never leave their collision family (stem without all
+    trailing ``_digits``, plus extension).  Families with at most
+    ``max_group_rows`` files (counted first, so the bound is proven) run the
+    sequential rule in one grouped-map call each; larger families use the
+    distributed plan (``allocate_names_distributed``)."""
     spark = files.sparkSession
-    f = files.withColumn("_fam", family_key(F.col(name)))
     if overwrite:
         # every file goes to its own name; the last in scan order wins
-        last = f.groupBy(name).agg(F.max(ord_col).alias("_last"))
-        return (f.join(last, name).withColumn("target_name", F.col(name))
-                .withColumn("overwritten", F.col(ord_col) != F.col("_last")).drop("_fam", "_last"))
+        last = files.groupBy(name).agg(F.max(ord_col).alias("_last"))
+        return (files.join(last, name).withColumn("target_name", F.col(name))
+                .withColumn("overwritten", F.col(ord_col) != F.col("_last")).drop("_last"))
     if taken is None:
         taken = spark.createDataFrame([], "name string")
-    t = taken.select(F.col("name").alias("_tname")).distinct().withColumn("_fam", family_key(F.col("_tname")))
-
-    fams = f.groupBy("_fam").agg(F.countDistinct(name).alias("_names"), F.min(name).alias("_natural"))
-    simple = fams.filter("_names = 1").select("_fam", "_natural")
-    complex_ = fams.filter("_names > 1").select("_fam")
-
-    # ---- simple families: j-th free slot -----------------------------------
-    sf = f.join(simple, "_fam", "left_semi")
-    width = 1 << 16
-    ranked = row_number_by_buckets(sf, [F.col(ord_col)], F.floor(F.col(ord_col) / F.lit(width)),
-                                   partition=["_fam"], out="_j")
-    ranked = ranked.withColumn("_j", F.col("_j") - 1)
-    blocked = (t.join(simple, "_fam")
-               .select("_fam", _slot_of(F.col("_tname"), F.col("_natural")).alias("_b"))
-               .filter(F.col("_b").isNotNull()).distinct())
-    # free slots before the i-th blocked slot (1-based i): b_i - (i - 1)
-    blocked = row_number_by_buckets(blocked, [F.col("_b")], F.floor(F.col("_b") / F.lit(width)),
-                                    partition=["_fam"], out="_i")
-    # several blocked slots can share a free-count; keep the last of them
-    marks = (blocked.groupBy("_fam", (F.col("_b") - F.col("_i") + 1).alias("_key"))
-             .agg(F.max("_i").alias("_v")).withColumn("_row", F.lit(0)))
-    probes = ranked.select("_fam", F.col("_j").alias("_key"), F.lit(None).cast("bigint").alias("_v"),
-                           F.lit(1).alias("_row"), ord_col)
-    both = marks.withColumn(ord_col, F.lit(None).cast(probes.schema[ord_col].dataType)).unionByName(probes)
-    both = both.withColumn("_okey", F.col("_key") * 2 + F.col("_row"))
-    filled = forward_fill(both, ["_fam"], "_okey", "_v", "_i_before").filter(F.col("_row") == 1)
-    slots = filled.select(ord_col, (F.col("_key") + F.coalesce(F.col("_i_before"), F.lit(0))).alias("_slot"))
-    simple_out = (sf.join(slots, ord_col)
-                  .withColumn("target_name", _slot_name(F.col(name), F.col("_slot")))
-                  .drop("_slot", "_fam"))
-
-    # ---- families with several natural names: sequential per family ---------
-    cf = f.join(complex_, "_fam", "left_semi")
-    rows = cf.select("_fam", F.col(ord_col).cast("bigint").alias("ord"), F.col(name).alias("name"),
+    f = files.withColumn("_fam", family_key(F.col(name)))
+    t = taken.select("name").distinct().withColumn("_fam", family_key(F.col("name")))
+    sizes = f.groupBy("_fam").agg(F.count(F.lit(1)).alias("_n"))
+    small = sizes.filter(F.col("_n") <= max_group_rows).select("_fam")
+    big = sizes.filter(F.col("_n") > max_group_rows).select("_fam")
+    sf = f.join(small, "_fam", "left_semi")
+    rows = sf.select("_fam", F.col(ord_col).cast("bigint").alias("ord"), F.col(name).alias("name"),
                      F.lit(False).alias("is_taken"))
-    trows = t.join(complex_, "_fam", "left_semi").select(
-        "_fam", F.lit(None).cast("bigint").alias("ord"), F.col("_tname").alias("name"), F.lit(True).alias("is_taken"))
-    seq = rows.unionByName(trows).groupBy("_fam").applyInPandas(
-        lambda pdf: _sequential(pdf), "ord bigint, target_name string")
-    complex_out = cf.join(seq.withColumnRenamed("ord", ord_col), ord_col).drop("_fam")
-
-    return simple_out.unionByName(complex_out)
+    trows = t.join(small, "_fam", "left_semi").select("_fam", F.lit(None).cast("bigint").alias("ord"), "name",
+                                                       F.lit(True).alias("is_taken"))
+    seq = rows.unionByName(trows).groupBy("_fam").applyInPandas(_sequential, "ord bigint, target_name string")
+    out = sf.join(seq.withColumnRenamed("ord", "_o"), F.col(ord_col).cast("bigint") == F.col("_o"))\
+        .drop("_o", "_fam")
+    if big.isEmpty():
+        return out
+    bf = f.join(big, "_fam", "left_semi").drop("_fam")
+    bt = t.join(big, "_fam", "left_semi").select("name")
+    return out.unionByName(allocate_names_distributed(bf, bt, name, ord_col))
+
+
+def allocate_names_distributed(files: DataFrame, taken: DataFrame | None = None,
+                               name: str = "name", ord_col: str = "ord") -> DataFrame:
+    """The exact plan of the module docstring: no family, name or key is
+    ever held by one task."""
+    spark = files.sparkSession
+    if taken is None:
+        taken = spark.createDataFrame([], "name string")
+    occ = files.select(F.col(ord_col).cast("bigint").alias("ord"), F.col(name).alias("name"))
+    # parse every distinct name once (parent name and slot), as plain columns
+    par, slot = parent_of(F.col("name"))
+    info = reliable_checkpoint(occ.select("name").unionByName(taken.select("name")).distinct()
+                               .select("name", par.alias("parent"), slot.alias("pslot")))
+    nat = occ.groupBy("name").agg(F.min("ord").alias("tau")).join(info, "name")
+    tk = taken.select("name").distinct().join(info, "name")
+
+    # levels of the natural-name tree (parents first)
+    level = nat.join(nat.select(F.col("name").alias("parent")), "parent", "left_anti").select("name")\
+        .withColumn("level", F.lit(0))
+    levels = [level]
+    frontier = level
+    while True:
+        nxt = nat.join(frontier.select(F.col("name").alias("parent")), "parent", "left_semi").select("name")
+        if nxt.isEmpty():
+            break
+        frontier = reliable_checkpoint(nxt.withColumn("level", F.lit(len(levels))))
+        levels.append(frontier)
+
+    ranked = row_number_by_buckets(occ, [F.col("ord")], F.floor(F.col("ord") / F.lit(_W)),
+                                   partition=["name"], out="j")
+    ranked = reliable_checkpoint(ranked.withColumn("j", F.col("j") - 1))
+    sigma = spark.createDataFrame([], "name string, sigma bigint")
+    results = []
+    for lvl in levels:
+        names = lvl.select("name").join(nat.select("name", "tau"), "name").join(sigma, "name", "left")
+        occ_l = ranked.join(lvl.select("name"), "name", "left_semi")
+        # blocks: existing names, first arrivals of natural children, slot 0
+        b_taken = tk.filter(F.col("parent").isNotNull()).select(F.col("parent").alias("name"), F.col("pslot").alias("k"),
+                                                                F.lit(_NEG).alias("b"))
+        b_self = tk.select("name", F.lit(0).cast("bigint").alias("k"), F.lit(_NEG).alias("b"))
+        b_child = nat.filter(F.col("parent").isNotNull()).select(F.col("parent").alias("name"),
+                                                                 F.col("pslot").alias("k"), F.col("tau").alias("b"))
+        b_stolen = names.filter(F.col("sigma") < F.col("tau")).select("name", F.lit(0).cast("bigint").alias("k"),
+                                                                      F.lit(_NEG).alias("b"))
+        blocks = (b_taken.unionByName(b_self).unionByName(b_child).unionByName(b_stolen)
+                  .join(lvl.select("name"), "name", "left_semi")
+                  .groupBy("name", "k").agg(F.min("b").alias("b")))
+        # c_k = occurrences of the name before b_k (as-of count)
+        seqs = occ_l.select("name", (F.col("ord") * 2).alias("_okey"), (F.col("j") + 1).alias("_v"),
+                            F.lit(None).cast("bigint").alias("_k"))
+        probes = blocks.filter(F.col("b") > _NEG).select("name", (F.col("b") * 2 - 1).alias("_okey"),
+                                                         F.lit(None).cast("bigint").alias("_v"), F.col("k").alias("_k"))
+        counted = forward_fill(seqs.unionByName(probes), ["name"], "_okey", "_v", "_c", width=2 * _W)\
+            .filter(F.col("_k").isNotNull()).select("name", F.col("_k").alias("k"), F.coalesce("_c", F.lit(0)).alias("c"))
+        dk = blocks.join(counted, ["name", "k"], "left").select(
+            "name", "k", (F.col("k") - F.coalesce(F.col("c"), F.lit(0))).alias("d"))
+        skipped = dk.groupBy("name").applyInPandas(_walk, "name string, k bigint")
+        # occurrence j takes slot j + (skipped slots up to it)
+        marks = row_number_by_buckets(skipped, [F.col("k")], F.floor(F.col("k") / F.lit(_W)),
+                                      partition=["name"], out="_i")
+        marks = (marks.groupBy("name", (F.col("k") - F.col("_i") + 1).alias("_key"))
+                 .agg(F.max("_i").alias("_v")).withColumn("_row", F.lit(0)).withColumn("ord", F.lit(None).cast("bigint")))
+        probes = occ_l.select("name", F.col("j").alias("_key"), F.lit(None).cast("bigint").alias("_v"),
+                              F.lit(1).alias("_row"), "ord")
+        both = marks.unionByName(probes).withColumn("_okey", F.col("_key") * 2 + F.col("_row"))
+        filled = forward_fill(both, ["name"], "_okey", "_v", "_ib", width=2 * _W).filter(F.col("_row") == 1)
+        placed = reliable_checkpoint(
+            filled.select("ord", "name", (F.col("_key") + F.coalesce(F.col("_ib"), F.lit(0))).alias("slot")))
+        results.append(placed)
+        # what this level claimed blocks the slot 0 of its children
+        sigma = (nat.filter(F.col("parent").isNotNull())
+                 .join(placed.select(F.col("name").alias("parent"), F.col("slot").alias("pslot"),
+                                     F.col("ord").alias("sigma")), ["parent", "pslot"])
+                 .select("name", "sigma").transform(reliable_checkpoint))
+    allp = results[0]
+    for r in results[1:]:
+        allp = allp.unionByName(r)
+    targets = reliable_checkpoint(allp).select(F.col("ord").alias("_o"),
+                                               _slot_name(F.col("name"), F.col("slot")).alias("target_name"))
+    return files.join(targets, F.col(ord_col).cast("bigint") == F.col("_o")).drop("_o")

@@ -47,21 +47,18 @@ def forward_fill(df: DataFrame, partition: list[str], order: str, value: str, ou
     the integer column ``order`` inside ``partition`` -- computed in two
     levels so that a huge partition is cut into buckets of ``width`` order
     positions: a window inside each bucket, plus the last value of all earlier
-    buckets (a table with one row per bucket)."""
+    buckets (a table with one row per bucket).  The bucket window, the bucket
+    aggregate and the final join share one hash partitioning."""
     b = df.withColumn("_fb", F.floor(F.col(order) / F.lit(width)))
     w_in = Window.partitionBy(*partition, "_fb").orderBy(order)\
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     b = b.withColumn("_local", F.last(F.col(value), ignorenulls=True).over(w_in))
-    tail = (b.filter(F.col(value).isNotNull())
-            .groupBy(*partition, "_fb")
-            .agg(F.max_by(F.col(value), F.col(order)).alias("_tail")))
-    # one row per bucket (with its own last value, if any); the carry into a
-    # bucket is the last value of the buckets before it
-    per_bucket = b.select(*partition, "_fb").distinct().join(tail, [*partition, "_fb"], "left")
+    # every bucket, with its own last value (null when it has none)
+    per_bucket = b.groupBy(*partition, "_fb").agg(
+        F.max_by(F.col(value), F.when(F.col(value).isNotNull(), F.col(order))).alias("_tail"))
     w_prev = Window.partitionBy(*partition).orderBy("_fb").rowsBetween(Window.unboundedPreceding, -1)
-    carry_all = per_bucket.select(*partition, "_fb",
-                                  F.last("_tail", ignorenulls=True).over(w_prev).alias("_carry"))
-    return (b.join(carry_all, [*partition, "_fb"], "left")
+    carry = per_bucket.select(*partition, "_fb", F.last("_tail", ignorenulls=True).over(w_prev).alias("_carry"))
+    return (b.join(carry, [*partition, "_fb"], "left")
             .withColumn(out, F.coalesce(F.col("_local"), F.col("_carry")))
             .drop("_fb", "_local", "_carry"))
 
