@@ -210,13 +210,27 @@ class Fixtures:
     def table(self, name: str) -> DataFrame:
         if name not in self._cache:
             if name in BASE_TABLES:
-                self._cache[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+                path = f"{self.sf_dir}/{name}.parquet"
+                self._cache[name] = self._spread(self.spark.read.parquet(path), path)
             else:
                 self._cache[name] = self._build(name)
         return self._cache[name]
 
     __getitem__ = table
 
+    def _spread(self, df: DataFrame, path: str) -> DataFrame:
+        """The test tables are single-row-group files, which Spark reads in
+        one task however many cores there are.  Spread such a table over the
+        cores once (round-robin; columns and filters are still pruned below
+        it).  Inputs with enough row groups are left as read."""
+        try:
+            import pyarrow.parquet as pq
+            groups = pq.ParquetFile(path).metadata.num_row_groups
+        except Exception:  # noqa: BLE001 - not a local file: leave as read
+            return df
+        cores = self.spark.sparkContext.defaultParallelism
+        return df.repartition(cores) if groups < cores else df
+
     def _build(self, name: str) -> DataFrame:
         text = _template(name, "spark")
         # spark.sql formats ``{df}`` arguments: escape literal braces first.
