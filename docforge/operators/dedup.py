@@ -153,8 +153,13 @@ def prefix_candidates(candidates: DataFrame, content: str = "text", chunk_size:
     """Candidates whose ``(size, prefix md5)`` is shared by two or more.
 
     An optional prefilter: equal files have equal prefixes, so the full-hash
-    groups are the same with or without it."""
-    h = with_prefix_hash(candidates, content, chunk_size)
+    groups are the same with or without it.  Without a content column the
+    files are read on the executors (first ``chunk_size`` bytes only)."""
+    if content in candidates.columns:
+        h = with_prefix_hash(candidates, content, chunk_size)
+    else:
+        from ..sources.files import hash_files
+        h = hash_files(candidates, chunk_size, first_chunk_only=True).filter(F.col("prefix_md5").isNotNull())
     shared = h.groupBy("size", "prefix_md5").agg(F.count(F.lit(1)).alias("n"), F.min("ord").alias("prefix_first_ord"))\
         .filter("n > 1").drop("n")
     return h.join(shared, ["size", "prefix_md5"])
@@ -175,7 +180,11 @@ def content_dups(candidates: DataFrame, strategy: str = "newest", content: str =
     from ``content``.  Files that could not be hashed (null) are left out."""
     c = prefix_candidates(candidates, content, chunk_size) if use_prefix else candidates
     if "md5" not in c.columns:
-        c = with_content_hash(c, content)
+        if content in c.columns:
+            c = with_content_hash(c, content)
+        else:   # a file listing: stream the remaining files on the executors
+            from ..sources.files import hash_files
+            c = hash_files(c, chunk_size)
     groups = content_groups(c, strategy).select("size", "md5", "keep_ord")
     return _members(c, groups, ["size", "md5"], "content", F.col("md5"))
 
@@ -209,7 +218,12 @@ def dup_members(manifest: DataFrame, strategy: str = "newest", content: str = "t
         ":", F.lit("f"), F.col("size").cast("string"), F.col("name")).alias("group_key"),
         "first_ord", F.col("first_ord").alias("prefix_first_ord"))
     names = names.join(name_first, ["size", "group_key"])
-    c = with_content_hash(prefix_candidates(cands, content, chunk_size), content)
+    c = prefix_candidates(cands, content, chunk_size)
+    if content in c.columns:
+        c = with_content_hash(c, content)
+    else:
+        from ..sources.files import hash_files
+        c = hash_files(c, chunk_size)
     groups = (c.groupBy("size", "md5")
               .agg(F.count(F.lit(1)).alias("n"), F.min("ord").alias("first_ord"),
                    F.min("prefix_first_ord").alias("prefix_first_ord"), _keeper(strategy).alias("keep_ord"))

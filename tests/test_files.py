@@ -170,3 +170,45 @@ def test_newline_fold_and_strip_whitespace_set(spark):
     got = [r.s for r in df.select(T.py_strip(F.col("t")).alias("s")).collect()]
     assert got[0] == "x"
     assert df.select(T.fold_newlines(F.col("t")).alias("f")).collect()[1].f == "a\nb\nc"
+
+
+def test_dedup_pipeline_on_a_real_tree(spark, tmpdir_fresh):
+    """scan -> filters -> size/name/content stages (executor hashing) ->
+    keeper -> plan, compared with a plain-Python run of the cascade."""
+    import collections
+    from docforge.plans.pipelines import dedup_corpus
+    files = _tree(tmpdir_fresh)
+    m = S.scan_manifest(spark, tmpdir_fresh)
+    res = dedup_corpus(m, strategy="first_found")
+    members = res.members.collect()
+    groups = collections.defaultdict(set)
+    for r in members:
+        groups[(r.stage, r.group_key)].add(os.path.relpath(r.path, tmpdir_fresh))
+    # plain-Python cascade over the same files
+    by_size = collections.defaultdict(list)
+    for rel, b in sorted(files.items()):
+        by_size[len(b)].append(rel)
+    exp = set()
+    for size, rels in by_size.items():
+        if len(rels) < 2:
+            continue
+        by_name = collections.defaultdict(list)
+        for r in rels:
+            by_name[os.path.basename(r)].append(r)
+        rest = []
+        for n, rs in by_name.items():
+            if len(rs) > 1:
+                exp.add(("filename", frozenset(rs)))
+            else:
+                rest += rs
+        by_hash = collections.defaultdict(list)
+        for r in rest:
+            by_hash[hashlib.md5(files[r]).hexdigest()].append(r)
+        for rs in by_hash.values():
+            if len(rs) > 1:
+                exp.add(("content", frozenset(rs)))
+    assert {(k[0], frozenset(v)) for k, v in groups.items()} == exp
+    st = res.stats.collect()[0]
+    assert st.total_files == len(files)
+    assert st.duplicate_files == sum(len(v) - 1 for _, v in exp)
+    assert res.plan.count() == st.duplicate_files
