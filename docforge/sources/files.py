@@ -89,9 +89,7 @@ def scan_manifest(spark: SparkSession, root: str, recursive: bool = True, glob:
     if method is None:
         method = "walk" if (root.startswith("/") or root.startswith("file:")) else "binaryFile"
     if method == "walk":
-        df = walk_files(spark, root, recursive)
-        if glob:
-            df = df.filter(base_name(F.col("path")).rlike(_glob_regex(glob)))
+        df = _glob_filter(walk_files(spark, root, recursive), glob)
     else:
         df = _listing(spark, root, recursive, glob).select(
             F.col("path"), F.col("length").alias("size"),
@@ -125,22 +123,48 @@ def _strip_scheme(c):
     return F.regexp_replace(c, "^file:", "")
 
 
+def _glob_filter(df: DataFrame, glob: str | None) -> DataFrame:
+    """Match base names like Python's ``glob``: ``*``/``?`` never match a
+    leading dot."""
+    if not glob:
+        return df
+    name = base_name(F.col("path"))
+    cond = name.rlike(_glob_regex(glob))
+    if not glob.startswith("."):
+        cond = cond & ~name.startswith(".")
+    return df.filter(cond)
+
+
+def _read_batches(batches):
+    for pdf in batches:
+        data = []
+        for p in pdf["path"]:
+            try:
+                with open(_local_path(p), "rb") as f:
+                    data.append(f.read())
+            except OSError:
+                data.append(None)   # vanished or unreadable: no content
+        yield pdf.assign(content=data)
+
+
+def read_contents(listing: DataFrame) -> DataFrame:
+    """Add the bytes of each listed (local or mounted) file, read on the
+    executors: exactly the listed files, including empty ones and names that
+    Spark's own listing hides (``_x``, ``.x``)."""
+    schema = T_.StructType(listing.schema.fields + [T_.StructField("content", T_.BinaryType())])
+    return listing.mapInPandas(_read_batches, schema)
+
+
 def _files_with_content(spark: SparkSession, folder: str, recursive: bool, glob: str | None) -> DataFrame:
-    """``path, size, mtime_us, content`` for matching files.  Local folders
-    are listed by the directory walk so that empty files are kept (their
-    content is empty); non-empty contents come from the ``binaryFile``
-    source, joined by path."""
-    raw = _listing(spark, folder, recursive, glob).select(
-        _strip_scheme(F.col("path")).alias("path"), "content")
+    """``path, size, mtime_us, content`` for matching files: a directory walk
+    plus executor reads for local folders, Spark's ``binaryFile`` source
+    otherwise (which skips empty and hidden files)."""
     if not _is_local(folder):
         return _listing(spark, folder, recursive, glob).select(
             "path", F.col("length").cast("bigint").alias("size"),
             F.unix_micros("modificationTime").alias("mtime_us"), "content")
-    listing = walk_files(spark, folder, recursive)
-    if glob:
-        listing = listing.filter(base_name(F.col("path")).rlike(_glob_regex(glob)))
-    return (listing.join(raw, "path", "left")
-            .withColumn("content", F.coalesce(F.col("content"), F.lit(b"").cast("binary"))))
+    listing = _glob_filter(walk_files(spark, folder, recursive), glob)
+    return read_contents(listing).filter(F.col("content").isNotNull())
 
 
 def _root_pattern(root: str) -> str:
@@ -188,7 +212,7 @@ def read_markdown(spark: SparkSession, folder: str, fallback_latin1: bool = True
 def list_markdown(spark: SparkSession, folder: str) -> DataFrame:
     """Direct ``*.md`` children of a folder (metadata only)."""
     if _is_local(folder):
-        raw = walk_files(spark, folder, recursive=False).filter(base_name(F.col("path")).rlike(_glob_regex("*.md")))
+        raw = _glob_filter(walk_files(spark, folder, recursive=False), "*.md")
     else:
         raw = _listing(spark, folder, recursive=False, glob="*.md").select(
             "path", F.col("length").alias("size"))

@@ -212,3 +212,12 @@ def test_dedup_pipeline_on_a_real_tree(spark, tmpdir_fresh):
     assert st.total_files == len(files)
     assert st.duplicate_files == sum(len(v) - 1 for _, v in exp)
     assert res.plan.count() == st.duplicate_files
+
+
+def test_glob_rules_and_hidden_names(spark, tmpdir_fresh):
+    import glob as G
+    for n in ["a.txt", ".hidden.txt", "_under.txt", "b.TXT", "c.md"]:
+        _write(tmpdir_fresh, n, n.encode())
+    got = {r.file_name: r.text for r in S.read_text_corpus(spark, tmpdir_fresh, "*.txt").collect()}
+    exp = {os.path.basename(p): open(p).read() for p in G.glob(os.path.join(tmpdir_fresh, "*.txt"))}
+    assert got == exp and "_under.txt" in got
