@@ -137,6 +137,10 @@ FROM @documents""",
 SELECT 'f0.md' AS name UNION ALL SELECT 'f0_1.md' UNION ALL SELECT 'f1_2.txt'""",
 }
 
+# Views frozen when built, as a real listing is (``scan_manifest`` checkpoints
+# it): the duplicate cascade reads the manifest many times.
+FROZEN = {"manifest"}
+
 _REF = re.compile(r"@([a-z_]+)")
 
 
@@ -213,7 +217,11 @@ class Fixtures:
                 path = f"{self.sf_dir}/{name}.parquet"
                 self._cache[name] = self._spread(self.spark.read.parquet(path), path)
             else:
-                self._cache[name] = self._build(name)
+                df = self._build(name)
+                if name in FROZEN:
+                    from .session import reliable_checkpoint
+                    df = reliable_checkpoint(df)
+                self._cache[name] = df
         return self._cache[name]
 
     __getitem__ = table
