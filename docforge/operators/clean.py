@@ -6,7 +6,7 @@ is line-level by definition, and the summaries, which are global aggregates.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
@@ -39,21 +39,22 @@ def table_rows(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     A line is a separator when it has a pipe and ``---`` or ``-+-``; it is a
     table row when it has a pipe, is no separator, and a separator came
     earlier with no pipe-free line in between.  Island = running count of
-    pipe-free lines; ``is_row`` = a separator earlier in the island.
-    Only documents with a separator line are exploded; the others have no
-    table rows and contribute their lines with both flags false.
+    pipe-free lines (a two-level running sum); a row is in a table when the
+    last separator of its island (a two-level forward fill) exists.  Neither
+    step puts a whole document in one window partition.
     """
+    from .ranking import forward_fill, running_sum
     lines = docs.select(key, F.posexplode(F.split(F.col(text), "\n", -1)).alias("line_no", "line"))
     lines = lines.withColumn("line_no", F.col("line_no").cast("bigint"))
     has_pipe = F.instr("line", "|") > 0
-    is_sep = has_pipe & (F.instr("line", "---") > 0) | has_pipe & (F.instr("line", "-+-") > 0)
-    lines = lines.withColumn("has_pipe", has_pipe).withColumn("is_sep", is_sep)
-    w = Window.partitionBy(key).orderBy("line_no").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    lines = lines.withColumn("island", F.sum(F.when(F.col("has_pipe"), 0).otherwise(1)).over(w))
-    wi = Window.partitionBy(key, "island").orderBy("line_no").rowsBetween(Window.unboundedPreceding, -1)
-    after = F.coalesce(F.max(F.col("is_sep").cast("int")).over(wi), F.lit(0)) == 1
+    is_sep = has_pipe & ((F.instr("line", "---") > 0) | (F.instr("line", "-+-") > 0))
+    lines = (lines.withColumn("has_pipe", has_pipe).withColumn("is_sep", is_sep)
+             .withColumn("_free", F.when(F.col("has_pipe"), 0).otherwise(1).cast("bigint")))
+    lines = running_sum(lines, [key], "line_no", ["_free"], width=1 << 16).withColumnRenamed("cum__free", "island")
+    lines = lines.withColumn("_sep_at", F.when(F.col("is_sep"), F.col("line_no")))
+    lines = forward_fill(lines, [key, "island"], "line_no", "_sep_at", "_last_sep")
     return lines.select(key, "line_no", "line", "is_sep",
-                        (F.col("has_pipe") & ~F.col("is_sep") & after).alias("is_row"))
+                        (F.col("has_pipe") & ~F.col("is_sep") & F.col("_last_sep").isNotNull()).alias("is_row"))
 
 
 def list_markdown(files: DataFrame) -> DataFrame:
