@@ -121,6 +121,15 @@ def stream_quota_exact(stream: DataFrame, anchor_us: int | None = None) -> DataF
         _quota_update(anchor_us), QUOTA_OUT, QUOTA_STATE, "append", GroupStateTimeout.NoTimeout)
 
 
+def stream_quota(stream: DataFrame, anchor_us: int | None = None, exact: bool = True,
+                 delay: str = "10 minutes") -> DataFrame:
+    """Usage per key on a request stream: the tracker's exact counters
+    (``exact=True``, state per key) or watermarked sliding-window counts."""
+    if exact:
+        return stream_quota_exact(stream, anchor_us)
+    return stream_quota_windows(stream, delay=delay)
+
+
 # ---------------------------------------------------------------------------
 # running to completion (for jobs and tests)
 # ---------------------------------------------------------------------------
