@@ -76,7 +76,7 @@ def walk_files(spark: SparkSession, root: str, recursive: bool = True) -> DataFr
 
 
 def scan_manifest(spark: SparkSession, root: str, recursive: bool = True, glob: str | None = None,
-                  method: str | None = None, freeze: bool = True) -> DataFrame:
+                  method: str | None = None, freeze: bool = True, with_content: bool = False) -> DataFrame:
     """One row per file under ``root`` (recursion is on by default).
 
     ``method="walk"`` (default for local or mounted paths) lists with a
@@ -85,22 +85,25 @@ def scan_manifest(spark: SparkSession, root: str, recursive: bool = True, glob:
     ``ord`` is the scan order: files sorted by path (range-partitioned, no
     single-task sort) and numbered with increasing ids; with ``freeze`` the
     numbered listing is checkpointed so every later use sees the same ``ord``.
+    ``with_content`` (``binaryFile`` only) keeps the file bytes as ``content``
+    for roots that executors cannot open as local paths (object stores).
     """
     if method is None:
         method = "walk" if (root.startswith("/") or root.startswith("file:")) else "binaryFile"
     if method == "walk":
         df = _glob_filter(walk_files(spark, root, recursive), glob)
     else:
-        df = _listing(spark, root, recursive, glob).select(
-            F.col("path"), F.col("length").alias("size"),
-            F.unix_micros(F.col("modificationTime")).alias("mtime_us"))
+        cols = [F.col("path"), F.col("length").alias("size"),
+                F.unix_micros(F.col("modificationTime")).alias("mtime_us")]
+        df = _listing(spark, root, recursive, glob).select(*cols, *([F.col("content")] if with_content else []))
     rel = F.regexp_replace(F.col("path"), r"^.*?" + _root_pattern(root), "")
     name = base_name(F.col("path"))
     rel_dir = parent_dir(rel)
     depth = F.when(rel_dir == "", F.lit(0)).otherwise(F.size(F.split(rel_dir, "/"))).cast("bigint")
     df = df.select(
         "path", name.alias("name"), stem(name).alias("stem"), F.lower(split_ext(name)).alias("ext"),
-        depth.alias("depth"), F.col("size").cast("bigint").alias("size"), F.col("mtime_us").cast("bigint"))
+        depth.alias("depth"), F.col("size").cast("bigint").alias("size"), F.col("mtime_us").cast("bigint"),
+        *(["content"] if "content" in df.columns else []))
     df = (df.repartitionByRange("path").sortWithinPartitions("path")
           .withColumn("ord", F.monotonically_increasing_id()))
     if freeze:
@@ -252,8 +255,14 @@ def hash_files(files: DataFrame, chunk_size: int = 8192, first_chunk_only: bool
                out: str | None = None) -> DataFrame:
     """Add the md5 of each file's bytes (or of its first ``chunk_size``
     bytes).  Reads only the listed files, in bounded memory, on executors.
-    Paths must be visible to the executors (a shared file system)."""
+    Paths must be visible to the executors as local paths (a local or
+    mounted shared file system); a file that cannot be read hashes to null
+    and stays out of groups, as in a walk.  Other schemes are refused: give
+    the manifest a ``content`` column instead (``with_content=True``)."""
     out = out or ("prefix_md5" if first_chunk_only else "md5")
+    bad = files.filter(~(F.col("path").startswith("/") | F.col("path").startswith("file:"))).limit(1).collect()
+    if bad:
+        raise ValueError(f"cannot open {bad[0]['path']!r} on executors; scan with with_content=True")
     schema = T_.StructType(files.schema.fields + [T_.StructField(out, T_.StringType())])
     return files.mapInPandas(_hash_batches(chunk_size, first_chunk_only, out), schema)
 
