@@ -23,7 +23,9 @@ from ..operators.quota import DAY_US, MINUTE_US
 # ---------------------------------------------------------------------------
 def markdown_stream(spark: SparkSession, folder: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """New ``*.md`` files arriving in a folder, decoded like the batch reader."""
-    r = spark.readStream.format("binaryFile").option("pathGlobFilter", "*.md")
+    r = (spark.readStream.format("binaryFile")
+         .schema("path string, modificationTime timestamp, length bigint, content binary")
+         .option("pathGlobFilter", "*.md"))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
     raw = r.load(folder)

@@ -56,3 +56,20 @@ def test_stream_quota_exact_across_batches(spark, tmpdir_fresh):
     got = {r.event_id: tuple(r)[3:] for r in spark.read.parquet(out).collect()}
     exp = {r.event_id: tuple(r)[3:] for r in Q.quota_fold(df).collect()}
     assert got == exp
+
+
+def test_markdown_folder_incremental_runs(spark, tmpdir_fresh):
+    """Files arriving in a folder are cleaned once each across runs."""
+    src = os.path.join(tmpdir_fresh, "md")
+    os.makedirs(src)
+    for n, b in [("a.md", b"# A\n**x**"), ("b.md", b"caf\xe9 - y")]:
+        with open(os.path.join(src, n), "wb") as f:
+            f.write(b)
+    out, ck = os.path.join(tmpdir_fresh, "out"), os.path.join(tmpdir_fresh, "ck")
+    S.stream_clean(S.markdown_stream(spark, src), out, ck).awaitTermination()
+    assert spark.read.parquet(out).count() == 2
+    with open(os.path.join(src, "c.md"), "wb") as f:
+        f.write(b"> quote\n1. one")
+    S.stream_clean(S.markdown_stream(spark, src), out, ck).awaitTermination()
+    got = {os.path.basename(r.name): r.text for r in spark.read.parquet(out).collect()}
+    assert got == {"a.md": "A\nx", "b.md": "café - y", "c.md": "quote\none"}
