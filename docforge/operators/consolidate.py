@@ -79,13 +79,17 @@ def _sequential(pdf: pd.DataFrame) -> pd.DataFrame:
     taken = set(pdf.loc[pdf["is_taken"], "name"])
     files = pdf.loc[~pdf["is_taken"]].sort_values("ord", kind="stable")
     out = []
+    # names are only ever added, so the first free suffix of a base never
+    # decreases: resume each base's search where it last stopped
+    resume: dict[tuple[str, str], int] = {}
     for o, n in zip(files["ord"], files["name"]):
         target = n
         if target in taken:
             base, ext = os.path.splitext(n)
-            k = 1
+            k = resume.get((base, ext), 1)
             while f"{base}_{k}{ext}" in taken:
                 k += 1
+            resume[(base, ext)] = k
             target = f"{base}_{k}{ext}"
         taken.add(target)
         out.append((o, target))

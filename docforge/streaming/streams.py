@@ -9,6 +9,8 @@ each input row is processed once.  Sinks are files (Parquet) or
 
 from __future__ import annotations
 
+from collections import deque
+
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -90,10 +92,10 @@ def _quota_update(anchor_us):
         pdf = pd.concat(list(batches), ignore_index=True).sort_values(["ts_us", "event_id"], kind="stable")
         if state.exists:
             mr, tok, dr, dayn, recent = state.get
-            recent = list(recent)
+            recent = deque(recent)
         else:
             first = int(pdf["ts_us"].iloc[0]) if anchor_us is None else int(anchor_us)
-            mr, tok, dr, dayn, recent = first + MINUTE_US, 0, first + DAY_US, 0, []
+            mr, tok, dr, dayn, recent = first + MINUTE_US, 0, first + DAY_US, 0, deque()
         rows = []
         for ev, t, est in zip(pdf["event_id"], pdf["ts_us"], pdf["tokens"].fillna(0)):
             t, est = int(t), int(est)
@@ -105,9 +107,11 @@ def _quota_update(anchor_us):
             d_reset = t > dr
             if d_reset:
                 dayn, dr = 1, t + DAY_US
-            recent = [x for x in recent if x > t - MINUTE_US] + [t]
+            recent.append(t)   # arrivals are in time order: expire from the left
+            while recent[0] <= t - MINUTE_US:
+                recent.popleft()
             rows.append((int(ev), int(key[0]), t, tok, dayn, len(recent), m_reset, d_reset))
-        state.update((mr, tok, dr, dayn, recent))
+        state.update((mr, tok, dr, dayn, list(recent)))
         yield pd.DataFrame(rows, columns=[c.split()[0] for c in QUOTA_OUT.split(", ")])
     return fn
 
