@@ -35,6 +35,7 @@ def main(argv=None) -> int:
     d.add_argument("-c", "--chunk-size", type=int, default=8192)
     d.add_argument("--state-dir")
     d.add_argument("--run-id", default="dedup")
+    d.add_argument("--decisions", help="Parquet table (group_key, choice d|k|s, keep_path) to apply")
 
     c = sub.add_parser("clean", help="Markdown folder to plain-text corpus")
     c.add_argument("md_dir")
@@ -72,6 +73,12 @@ def main(argv=None) -> int:
     if a.job == "dedup":
         out = jobs.dedup_job(spark, a.directory, a.out, a.include, a.exclude, a.max_depth, a.keep, a.symlink,
                              a.chunk_size, time.strftime("%Y-%m-%d %H:%M:%S"), a.state_dir, a.run_id)
+        if a.decisions:
+            from .operators.dedup import apply_decisions
+            members = spark.read.parquet(a.out.rstrip("/") + "/members")
+            applied = apply_decisions(members, spark.read.parquet(a.decisions))
+            applied.write.mode("overwrite").parquet(a.out.rstrip("/") + "/decided")
+            out["decided"] = spark.read.parquet(a.out.rstrip("/") + "/decided").count()
     elif a.job == "clean":
         out = jobs.clean_job(spark, a.md_dir, a.txt_dir, a.out, a.override)
     elif a.job == "consolidate":

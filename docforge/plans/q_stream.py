@@ -10,8 +10,7 @@ from pyspark.sql import functions as F
 
 from ..session import checkpoint_path
 from ..streaming import streams as S
-from .q_quota import q_quota_fold  # noqa: F401  (same oracle text below)
-from .q_text import CLEAN_SQL  # noqa: F401
+from . import q_quota, q_text  # noqa: F401  (their oracles are reused below)
 from .registry import ORACLES, query
 
 

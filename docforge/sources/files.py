@@ -122,10 +122,6 @@ def _is_local(path: str) -> bool:
     return path.startswith("/") or path.startswith("file:")
 
 
-def _strip_scheme(c):
-    return F.regexp_replace(c, "^file:", "")
-
-
 def _glob_filter(df: DataFrame, glob: str | None) -> DataFrame:
     """Match base names like Python's ``glob``: ``*``/``?`` never match a
     leading dot."""
