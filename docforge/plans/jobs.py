@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.names import base_name, file_id, stem
 from ..operators import dedup as D
+from ..operators import intake as I
 from ..sinks.writers import write_corpus, write_dataset
 from ..sources import files as S
 from . import pipelines as PL
@@ -52,14 +53,19 @@ def clean_job(spark: SparkSession, md_dir: str, txt_dir: str | None, out: str, o
 
 def consolidate_job(spark: SparkSession, source: str, target_names: DataFrame | None, out: str,
                     state: str | None = None, overwrite: bool = False) -> dict:
+    from ..sinks.writers import read_state_latest, write_state_version
     files = S.scan_manifest(spark, source).select("ord", "path", "name", "mtime_us", "size")
-    processed = S.read_state(spark, state, "file_id string") if state else spark.createDataFrame([], "file_id string")
-    results, stats, new_state = PL.consolidate_corpus(files, processed, target_names, overwrite)
+    processed = (read_state_latest(spark, state, "file_id string") if state
+                 else spark.createDataFrame([], "file_id string"))
+    results, _, _ = PL.consolidate_corpus(files, processed, target_names, overwrite)
     results.write.mode("overwrite").parquet(_out(out, "results"))
+    written = spark.read.parquet(_out(out, "results"))
     if state:
-        # the new state goes next to the old one, then becomes current
-        new_state.write.mode("overwrite").parquet(state + ".next")
-    return stats.first().asDict()
+        # the next version is the old ids plus this run's processed ids
+        write_state_version(
+            processed.select("file_id").unionByName(
+                written.filter(F.col("status") == "processed").select("file_id")).distinct(), state)
+    return I.consolidate_stats(written).first().asDict()
 
 
 def intake_job(spark: SparkSession, inbox_dir: str, output_dir: str, error_dir: str, out: str) -> int:

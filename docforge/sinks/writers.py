@@ -77,3 +77,37 @@ def resume_stage(spark: SparkSession, base: str | None, run_id: str, stage: str,
     if stage_done(spark, base, run_id, stage):
         return spark.read.parquet(stage_path(base, run_id, stage))
     return write_state(build(), base, run_id, stage)
+
+
+# ---------------------------------------------------------------------------
+# versioned state (processed ids): each run commits a new version
+# ---------------------------------------------------------------------------
+def _versions(spark: SparkSession, base: str) -> list[int]:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(base)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return []
+    out = []
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith("v=") and name[2:].isdigit() \
+                and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+            out.append(int(name[2:]))
+    return sorted(out)
+
+
+def read_state_latest(spark: SparkSession, base: str, schema: str) -> DataFrame:
+    """The newest committed version of a state table (empty when none)."""
+    v = _versions(spark, base)
+    if not v:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(f"{base.rstrip('/')}/v={v[-1]}")
+
+
+def write_state_version(df: DataFrame, base: str) -> int:
+    """Commit ``df`` as the next version; a failed write leaves no version."""
+    spark = df.sparkSession
+    v = (_versions(spark, base) or [0])[-1] + 1
+    df.write.mode("overwrite").parquet(f"{base.rstrip('/')}/v={v}")
+    return v

@@ -53,6 +53,10 @@ def test_clean_publish_consolidate_intake_jobs(spark, tmpdir_fresh):
     rows = sorted((r.ord, r.target_name) for r in spark.read.parquet(os.path.join(tmpdir_fresh, "cons", "results")).collect())
     # scan order p/a.txt, q/a.txt, r/a_1.txt, s/b.txt with a.txt already in the target
     assert [t for _, t in rows] == ["a_1.txt", "a_2.txt", "a_1_1.txt", "b.txt"]
+    # a second run over the same tree finds every file in the state
+    st2 = jobs.consolidate_job(spark, src, taken, os.path.join(tmpdir_fresh, "cons2"),
+                               state=os.path.join(tmpdir_fresh, "state"))
+    assert st2["processed"] == 0 and st2["skipped"] == 4
 
     inbox = os.path.join(tmpdir_fresh, "inbox")
     for rel in ["x.pdf", "y.DOCX", "~$z.doc", "w.xlsx", "done.pdf"]:
