@@ -221,3 +221,16 @@ def test_glob_rules_and_hidden_names(spark, tmpdir_fresh):
     got = {r.file_name: r.text for r in S.read_text_corpus(spark, tmpdir_fresh, "*.txt").collect()}
     exp = {os.path.basename(p): open(p).read() for p in G.glob(os.path.join(tmpdir_fresh, "*.txt"))}
     assert got == exp and "_under.txt" in got
+
+
+def test_dedup_pipeline_resumes_finished_stages(spark, tmpdir_fresh):
+    from docforge.plans.pipelines import dedup_corpus
+    src = os.path.join(tmpdir_fresh, "src")
+    _tree(src)
+    m = S.scan_manifest(spark, src)
+    state = os.path.join(tmpdir_fresh, "state")
+    a = {tuple(r) for r in dedup_corpus(m, state_dir=state, run_id="r1").members.collect()}
+    for stage in ("names", "filename_groups", "content_groups"):
+        assert W.stage_done(spark, state, "r1", stage)
+    b = {tuple(r) for r in dedup_corpus(m, state_dir=state, run_id="r1").members.collect()}
+    assert a == b and len(a) > 0
