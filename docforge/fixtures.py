@@ -20,7 +20,9 @@ BASE_TABLES = ("region nation customer supplier part orders lineitem events docu
 
 MACROS = {
     "spark": {"bytes": "octet_length(text)",
-              "ts_us": "unix_micros(CAST(ts AS TIMESTAMP))",
+              # equal to unix_micros(CAST(ts AS TIMESTAMP)) under a UTC session,
+              # and independent of the session time zone (ts is timestamp_ntz)
+              "ts_us": "timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)",
               "div": "div"},
     "duckdb": {"bytes": "strlen(text)",
                "ts_us": "epoch_us(ts)",

@@ -28,7 +28,8 @@ def _stream(spark, sf, table, cols=None):
 def _requests(stream):
     return stream.select(
         "event_id", (F.col("user_id") % 3).alias("api_key"),
-        F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 250).cast("bigint").alias("ts_us"),
+        F.floor(F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)") / 250)
+        .cast("bigint").alias("ts_us"),
         F.floor(F.col("value") * 1000).cast("bigint").alias("tokens"))
 
 
