@@ -95,8 +95,8 @@ def size_groups(manifest: DataFrame) -> DataFrame:
     return manifest.join(shared, "size", "left_semi")
 
 
-def _members(files: DataFrame, groups: DataFrame, on: list[str], stage: str, key: Column) -> DataFrame:
-    m = files.join(groups, on)
+def _members(files: DataFrame, groups: DataFrame | None, on: list[str] | None, stage: str, key: Column) -> DataFrame:
+    m = files.join(groups, on) if groups is not None else files
     return m.select(
         F.lit(stage).alias("stage"),
         F.concat_ws(":", F.lit(stage[0]), F.col("size").cast("string"), key).alias("group_key"),
@@ -208,8 +208,10 @@ def dup_members(manifest: DataFrame, strategy: str = "newest", content: str = "t
     of its size, of its prefix group (content groups; the group itself for
     filename groups) and of the group."""
     stats = name_stats(manifest, strategy)
-    names = filename_dups(manifest, strategy, stats)
-    cands = exclude_name_dups(manifest, stats)
+    # one join carries each file's group counts; both stages branch from it
+    m = manifest.join(stats.select("size", "name", "n", "size_n", "keep_ord"), ["size", "name"])
+    names = _members(m.filter("n > 1"), None, None, "filename", F.col("name"))
+    cands = m.filter("n = 1 AND size_n > 1").drop("n", "size_n", "keep_ord")
     if not with_order:
         contents = content_dups(cands, strategy, content, use_prefix, chunk_size)
         return names.unionByName(contents)
