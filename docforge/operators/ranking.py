@@ -32,15 +32,6 @@ def row_number_by_buckets(df: DataFrame, order: list[Column], bucket: Column,
             .drop("_bucket", "_local", "_off"))
 
 
-def bucket_width(df: DataFrame, col: str, n_buckets: int = 4096) -> int:
-    """Width that cuts the range of an integer column into about n buckets
-    (one scalar aggregate)."""
-    row = df.agg(F.min(col).alias("lo"), F.max(col).alias("hi")).first()
-    if row is None or row.lo is None:
-        return 1
-    return max(1, (int(row.hi) - int(row.lo)) // n_buckets + 1)
-
-
 def forward_fill(df: DataFrame, partition: list[str], order: str, value: str, out: str,
                  width: int = 1 << 16) -> DataFrame:
     """``last(value, ignorenulls)`` over rows up to the current one, ordered by

@@ -66,3 +66,14 @@ def test_clean_publish_consolidate_intake_jobs(spark, tmpdir_fresh):
     errors = os.path.join(tmpdir_fresh, "errors")
     _write(errors, "old.doc", b"x")
     assert jobs.intake_job(spark, inbox, outputs, errors, os.path.join(tmpdir_fresh, "plan")) == 3
+
+
+def test_cli_runs_in_the_active_session(spark, tmpdir_fresh, capsys):
+    import json
+    from docforge.cli import main
+    txt = os.path.join(tmpdir_fresh, "txt")
+    _write(txt, "a.txt", b"hello")
+    _write(txt, "b.txt", b"")
+    assert main(["publish", txt, os.path.join(tmpdir_fresh, "ds"), "--title", "t"]) == 0
+    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert out["documents"] == 2 and out["total_bytes"] == 5
