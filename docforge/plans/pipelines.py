@@ -43,6 +43,11 @@ def dedup_corpus(manifest: DataFrame, include=(), exclude=(), max_depth: int | N
         spark, state_dir, run_id, "content_groups",
         lambda: D.content_dups(D.exclude_name_dups(m, stats_n), strategy, content, use_prefix, chunk_size))
     members = names.unionByName(contents)
+    if state_dir is None:
+        # stats and plan both read the members: freeze them once (they are
+        # only the duplicates, a small table next to the manifest)
+        from ..session import reliable_checkpoint
+        members = reliable_checkpoint(members)
     return DedupResult(members, D.dedup_stats(members, m), D.action_plan(members, symlink))
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..fixtures import Fixtures
 from ..operators import dedup as D
+from ..session import reliable_checkpoint
 from .registry import query
 
 # ---------------------------------------------------------------------------
@@ -186,7 +187,7 @@ SELECT stage, group_key, path, keep_path, 'symlink' AS action,
        ("manifest",))
 def q_action_plan(spark, sf):
     m = Fixtures(spark, sf)["manifest"]
-    return D.action_plan(D.dup_members(m), symlink=True)
+    return D.action_plan(reliable_checkpoint(D.dup_members(m)), symlink=True)
 
 
 def decisions_df(members):
@@ -221,7 +222,7 @@ SELECT stage, group_key, size, path, role2 AS role, action,
 FROM rp3""", ("manifest",))
 def q_apply_decisions(spark, sf):
     m = Fixtures(spark, sf)["manifest"]
-    members = D.dup_members(m)
+    members = reliable_checkpoint(D.dup_members(m))   # read four times below
     return D.apply_decisions(members, decisions_df(members))
 
 
