@@ -73,3 +73,18 @@ def test_markdown_folder_incremental_runs(spark, tmpdir_fresh):
     S.stream_clean(S.markdown_stream(spark, src), out, ck).awaitTermination()
     got = {os.path.basename(r.name): r.text for r in spark.read.parquet(out).collect()}
     assert got == {"a.md": "A\nx", "b.md": "café - y", "c.md": "quote\none"}
+
+
+def test_stream_dedup_within_watermark(spark, tmpdir_fresh):
+    import datetime as dt
+    base = dt.datetime(2024, 1, 1)
+    rows = [(1, "h1", base), (2, "h1", base + dt.timedelta(seconds=5)), (3, "h2", base),
+            (4, "h2", base + dt.timedelta(seconds=1)), (5, "h3", base)]
+    df = spark.createDataFrame(rows, "id long, md5 string, ts timestamp").withColumn("size", F.lit(1).cast("long"))
+    src = os.path.join(tmpdir_fresh, "in")
+    df.coalesce(1).write.parquet(src)
+    out, ck = os.path.join(tmpdir_fresh, "out"), os.path.join(tmpdir_fresh, "ck")
+    stream = S.table_stream(spark, src, df.schema)
+    S.run_available(S.stream_dedup(stream, watermark=("ts", "1 hour")), out, ck)
+    got = spark.read.parquet(out)
+    assert sorted(r.md5 for r in got.collect()) == ["h1", "h2", "h3"]
