@@ -37,7 +37,10 @@ def request_rate(requests: DataFrame, rpm: int = RPM_LIMIT, tpm: int = TPM_LIMIT
                  bucket_us: int = 3_600_000_000) -> DataFrame:
     per_ts = requests.groupBy(key, ts).agg(F.count(F.lit(1)).alias("_n"),
                                             F.coalesce(F.sum(tokens), F.lit(0)).alias("_tok"))
-    cum = running_sum(per_ts, [key], ts, ["_n", "_tok"], bucket_us)
+    # one pass over the log: the per-timestamp cumulative table (smaller than
+    # the log) is frozen once and every branch below reads it
+    cum = reliable_checkpoint(running_sum(per_ts, [key], ts, ["_n", "_tok"], bucket_us))
+    per_ts = cum.select(key, ts)
     real = cum.select(key, (F.col(ts) * 2).alias("_okey"),
                       F.struct(F.col("cum__n").alias("n"), F.col("cum__tok").alias("tok")).alias("_v"),
                       F.lit(None).cast("bigint").alias("_at"), F.lit(None).cast("string").alias("_win"))
