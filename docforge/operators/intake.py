@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions.names import split_ext, stem
+from ..session import reliable_checkpoint
 from .ranking import forward_fill
 
 SUPPORTED = (".doc", ".docx", ".pdf")
@@ -209,7 +210,8 @@ def parse_error_log(lines: DataFrame, log_id: str = "log_id", line_no: str = "li
     next one, are its message (joined by newlines, stripped)."""
     is_hdr = F.col(line).rlike(HEADER)
     x = lines.withColumn("_hdr", F.when(is_hdr, F.col(line_no)))
-    x = forward_fill(x, [log_id], line_no, "_hdr", "_owner")
+    # headers and bodies both read the owner-filled lines: freeze them once
+    x = reliable_checkpoint(forward_fill(x, [log_id], line_no, "_hdr", "_owner"))
     heads = x.filter(F.col("_hdr").isNotNull()).select(
         log_id, F.col(line_no).alias("_owner"),
         F.regexp_extract(F.col(line), HEADER, 1).alias("time"),
