@@ -14,7 +14,17 @@ from ..functions.names import split_ext, stem
 from ..session import reliable_checkpoint
 from .ranking import forward_fill
 
+# Fixed values (must equal the reference's for equal results): input
+# extensions, the quarantine's log file, the lock-file prefix, the error-log
+# header, the log noise token and the error-message phrases.
 SUPPORTED = (".doc", ".docx", ".pdf")
+ERROR_LOG_NAME = "error_log.txt"
+LOCK_PREFIX = "~$"
+HEADER = r"^## (\d\d:\d\d:\d\d) - (.*)$"
+NOISE_TOKEN = "AFC"
+RATE_LIMIT_PHRASES = ["429", "resource exhausted", "rate limit", "too many requests"]
+QUOTA_PHRASES = ["quota exceeded", "usage limit"]
+CODE_MARKER = "'code': "
 
 
 def _ends_with_any(c, suffixes) -> F.Column:
@@ -30,14 +40,14 @@ def filter_supported(files: DataFrame, name: str = "name", quarantine: bool = Fa
     low = F.lower(F.col(name))
     cond = _ends_with_any(low, SUPPORTED)
     if quarantine:
-        cond = cond & (low != "error_log.txt")
+        cond = cond & (low != ERROR_LOG_NAME)
     return files.filter(cond)
 
 
 def filter_temp_files(files: DataFrame, name: str = "name") -> DataFrame:
     """Office lock files (``~$`` prefix) are counted but neither converted nor
     failed: status ``skipped``; the rest ``pending``."""
-    return files.withColumn("status", F.when(F.lower(F.col(name)).startswith("~$"), "skipped")
+    return files.withColumn("status", F.when(F.lower(F.col(name)).startswith(LOCK_PREFIX), "skipped")
                             .otherwise("pending"))
 
 
@@ -197,10 +207,7 @@ def repair_quarantine(quarantine: DataFrame, extractions: DataFrame, name: str =
 # ---------------------------------------------------------------------------
 # logs
 # ---------------------------------------------------------------------------
-HEADER = r"^## (\d\d:\d\d:\d\d) - (.*)$"
-
-
-def filter_log_noise(lines: DataFrame, token: str = "AFC", col: str = "line") -> DataFrame:
+def filter_log_noise(lines: DataFrame, token: str = NOISE_TOKEN, col: str = "line") -> DataFrame:
     return lines.filter(~F.col(col).contains(token))
 
 
@@ -240,15 +247,18 @@ def classify_api_errors(messages: DataFrame, col: str = "message") -> DataFrame:
     """rate_limit / quota / other, and the error code (429, or the digits
     after ``'code': `` up to the next comma)."""
     m = F.lower(F.col(col))
-    # text after the first "'code': ", up to the next occurrence, up to a comma
-    rest = F.substr(m, F.instr(m, "'code': ") + F.lit(8))
-    after = F.substring_index(F.substring_index(rest, "'code': ", 1), ",", 1)
-    has_code = F.instr(m, "'code': ") > 0
+    # text after the first code marker, up to the next occurrence, up to a comma
+    rest = F.substr(m, F.instr(m, CODE_MARKER) + F.lit(len(CODE_MARKER)))
+    after = F.substring_index(F.substring_index(rest, CODE_MARKER, 1), ",", 1)
+    has_code = F.instr(m, CODE_MARKER) > 0
     digits = T.py_strip(after)
-    code = (F.when(F.instr(m, "429") > 0, F.lit(429).cast("bigint"))
+    code = (F.when(m.contains("429"), F.lit(429).cast("bigint"))
             .when(has_code & digits.rlike(r"^[0-9]+$"), digits.cast("bigint")))
-    rate = ((F.instr(m, "429") > 0) | m.contains("resource exhausted") | m.contains("rate limit")
-            | m.contains("too many requests"))
-    quota = m.contains("quota exceeded") | m.contains("usage limit")
+    rate = F.lit(False)
+    for phrase in RATE_LIMIT_PHRASES:
+        rate = rate | m.contains(phrase)
+    quota = F.lit(False)
+    for phrase in QUOTA_PHRASES:
+        quota = quota | m.contains(phrase)
     return messages.withColumn("error_class", F.when(rate, "rate_limit").when(quota, "quota").otherwise("other"))\
         .withColumn("error_code", code)

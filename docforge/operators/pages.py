@@ -14,7 +14,17 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 
-LEGACY_DOC_MAGIC = "D0CF11E0A1B11AE1"   # fixed value: OLE2 compound file signature
+# Fixed values (must equal the reference's for equal results):
+# the legacy Word signature, the docx validity members, and the archive
+# member markers tested in this order: theme, Word, Excel, PowerPoint.
+LEGACY_DOC_MAGIC = "D0CF11E0A1B11AE1"
+DOCX_CONTENT_TYPES = "[Content_Types].xml"
+CONTAINER_MARKERS = [
+    ("theme", "theme/theme"),
+    ("word", "word/document.xml"),
+    ("excel", "xl/workbook.xml"),
+    ("powerpoint", "ppt/presentation.xml"),
+]
 
 
 # ---------------------------------------------------------------------------
@@ -163,17 +173,14 @@ def classify_containers(members: DataFrame, word_first: bool = False, path: str
     """Office Open XML kind of an archive from its member names, in this
     order: theme, Word, Excel, PowerPoint, unknown (``word_first`` tests Word
     before theme -- Word files normally contain a theme part)."""
-    g = members.groupBy(path).agg(
-        F.max(F.col(member).contains("theme/theme")).alias("_theme"),
-        F.max(F.col(member).contains("word/document.xml")).alias("_word"),
-        F.max(F.col(member).contains("xl/workbook.xml")).alias("_xl"),
-        F.max(F.col(member).contains("ppt/presentation.xml")).alias("_ppt"))
-    tests = [("_theme", "theme"), ("_word", "word"), ("_xl", "excel"), ("_ppt", "powerpoint")]
+    g = members.groupBy(path).agg(*[F.max(F.col(member).contains(marker)).alias("_" + label)
+                                    for label, marker in CONTAINER_MARKERS])
+    labels = [label for label, _ in CONTAINER_MARKERS]
     if word_first:
-        tests = [tests[1], tests[0], *tests[2:]]
-    kind = F.when(F.col(tests[0][0]), tests[0][1])
-    for c, label in tests[1:]:
-        kind = kind.when(F.col(c), label)
+        labels = [labels[1], labels[0], *labels[2:]]
+    kind = F.when(F.col("_" + labels[0]), labels[0])
+    for label in labels[1:]:
+        kind = kind.when(F.col("_" + label), label)
     return g.select(path, kind.otherwise("unknown").alias("kind"))
 
 
@@ -181,8 +188,8 @@ def valid_docx(members: DataFrame, path: str = "path", member: str = "member") -
     """Valid when the member list has ``[Content_Types].xml`` exactly and a
     member containing ``word/document.xml``."""
     g = members.groupBy(path).agg(
-        F.max(F.col(member) == "[Content_Types].xml").alias("_ct"),
-        F.max(F.col(member).contains("word/document.xml")).alias("_doc"))
+        F.max(F.col(member) == DOCX_CONTENT_TYPES).alias("_ct"),
+        F.max(F.col(member).contains(dict(CONTAINER_MARKERS)["word"])).alias("_doc"))
     return g.select(path, (F.col("_ct") & F.col("_doc")).alias("valid"))
 
 
