@@ -129,11 +129,19 @@ def clean_markdown(c: Column, rules=None) -> Column:
 # ---------------------------------------------------------------------------
 # normalize_markdown: per-line normalisation of converter output.
 # ---------------------------------------------------------------------------
+# Fixed values of the normaliser: fence markers removed (in this order),
+# the heading marker and the list markers whose indentation is kept.
+FENCE_MARKERS = ["```markdown", "```"]
+HEADING_MARKER = "#"
+LIST_MARKERS = ["-", "*", "1."]
+
+
 def _normalize_line(line: Column) -> Column:
     s = py_strip(line)
-    defenced = py_strip(F.replace(F.replace(line, F.lit("```markdown"), F.lit("")),
-                                  F.lit("```"), F.lit("")))
-    line = F.when(s.startswith("```"), defenced).otherwise(line)
+    defenced = line
+    for marker in FENCE_MARKERS:
+        defenced = F.replace(defenced, F.lit(marker), F.lit(""))
+    line = F.when(s.startswith(FENCE_MARKERS[-1]), py_strip(defenced)).otherwise(line)
     s = py_strip(line)
     heading = F.when(F.instr(s, " ") > 0,
                      F.concat(F.substring_index(s, " ", 1), F.lit(" "),
@@ -142,9 +150,12 @@ def _normalize_line(line: Column) -> Column:
     indent = F.length(line) - F.length(py_lstrip(line))
     listed = F.concat(F.repeat(F.lit(" "), indent), s)
     piped = F.array_join(F.transform(F.split(line, r"\|", -1), py_strip), "|")
+    is_list = F.lit(False)
+    for marker in LIST_MARKERS:
+        is_list = is_list | s.startswith(marker)
     return (F.when(s == "", F.lit(""))
-            .when(s.startswith("#"), heading)
-            .when(s.startswith("-") | s.startswith("*") | s.startswith("1."), listed)
+            .when(s.startswith(HEADING_MARKER), heading)
+            .when(is_list, listed)
             .when(F.instr(line, "|") > 0, piped)
             .otherwise(s))
 
