@@ -123,6 +123,16 @@ def filename_dups_verified(manifest: DataFrame, strategy: str = "newest", conten
                     F.concat_ws(":", F.col("name"), F.col("md5")))
 
 
+def filename_members(counted: DataFrame) -> DataFrame:
+    """Filename-group members from a manifest joined to its name counts."""
+    return _members(counted.filter("n > 1"), None, None, "filename", F.col("name"))
+
+
+def content_candidates(counted: DataFrame) -> DataFrame:
+    """Content-stage candidates from a manifest joined to its name counts."""
+    return counted.filter("n = 1 AND size_n > 1").drop("n", "size_n", "keep_ord")
+
+
 def exclude_name_dups(manifest: DataFrame, stats: DataFrame | None = None) -> DataFrame:
     """Content-stage candidates: files of a shared size that are in no
     filename group (every member of a filename group leaves, keeper too)."""
@@ -210,8 +220,8 @@ def dup_members(manifest: DataFrame, strategy: str = "newest", content: str = "t
     stats = name_stats(manifest, strategy)
     # one join carries each file's group counts; both stages branch from it
     m = manifest.join(stats.select("size", "name", "n", "size_n", "keep_ord"), ["size", "name"])
-    names = _members(m.filter("n > 1"), None, None, "filename", F.col("name"))
-    cands = m.filter("n = 1 AND size_n > 1").drop("n", "size_n", "keep_ord")
+    names = filename_members(m)
+    cands = content_candidates(m)
     if not with_order:
         contents = content_dups(cands, strategy, content, use_prefix, chunk_size)
         return names.unionByName(contents)

@@ -38,10 +38,14 @@ def dedup_corpus(manifest: DataFrame, include=(), exclude=(), max_depth: int | N
     spark = manifest.sparkSession
     m = D.filter_depth(D.filter_extensions(manifest, include, exclude), max_depth)
     stats_n = resume_stage(spark, state_dir, run_id, "names", lambda: D.name_stats(m, strategy))
-    names = resume_stage(spark, state_dir, run_id, "filename_groups", lambda: D.filename_dups(m, strategy, stats_n))
+    # one join carries each file's group counts to both stages
+    counted = m.join(stats_n.select("size", "name", "n", "size_n", "keep_ord"), ["size", "name"])
+    names = resume_stage(
+        spark, state_dir, run_id, "filename_groups",
+        lambda: D.filename_members(counted))
     contents = resume_stage(
         spark, state_dir, run_id, "content_groups",
-        lambda: D.content_dups(D.exclude_name_dups(m, stats_n), strategy, content, use_prefix, chunk_size))
+        lambda: D.content_dups(D.content_candidates(counted), strategy, content, use_prefix, chunk_size))
     members = names.unionByName(contents)
     if state_dir is None:
         # stats and plan both read the members: freeze them once (they are
