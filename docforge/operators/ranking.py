@@ -1,13 +1,21 @@
-"""Distributed ranking helpers.
-
-``row_number()`` over a window with no PARTITION BY (or over one huge
-partition) runs in a single task.  ``row_number_by_buckets`` instead cuts the
-order into buckets given by a bucket expression that is monotone in the order
-(if a sorts before b inside a partition then bucket(a) <= bucket(b)), numbers
-rows inside each (partition, bucket) with a window, and adds the number of
-rows in earlier buckets of the same partition.  The caller bounds the rows
-per bucket (for example by folding a unique position into the bucket), so no
-task sees more than one bucket's worth of a hot partition.
+"""Ordered computations without one-task windows.
+
+A window with no PARTITION BY, or over one huge partition, runs in a single
+task.  These helpers split ordered work into bounded pieces:
+
+* ``row_number_by_buckets``: row numbers from a window inside each bucket of
+  a monotone bucket expression plus the counts of earlier buckets;
+* ``running_sum``: inclusive running sums, the same two levels;
+* ``forward_fill``: ``last(value, ignorenulls)`` up to each row, the same two
+  levels (also the as-of lookup: merge probes into the ordered sequence);
+* ``next_after``: the first later value after each probe time (a descending
+  forward fill);
+* ``sorted_positions``: 1-based positions in a total order from a
+  range-partitioned sort, ids frozen by a checkpoint, and per-partition
+  offsets (a table of one row per partition).
+
+Callers bound the rows per bucket (for example by folding a unique position
+into the bucket), so no task sees more than one bucket of a hot key.
 """
 
 from __future__ import annotations
