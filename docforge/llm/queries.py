@@ -7,13 +7,37 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embed_pivots, sharding, simhash_vptree, suffix_dedup
+from . import (
+    decontaminate,
+    embed_pivots,
+    html_mincut,
+    language_id,
+    line_templates,
+    piece_codec,
+    quality_crf,
+    sharding,
+    simhash_vptree,
+    suffix_dedup,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_line_dedup(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_templates.drop_recurring_lines(docs)
+
+
+def op2_html_extraction(spark, sf_dir):
+    return html_mincut.extract_main_text(_table(spark, sf_dir, "pages"))
+
+
+def op3_benchmark_decontamination(spark, sf_dir):
+    return decontaminate.find_contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op4_embedding_near_dedup(spark, sf_dir):
     return embed_pivots.embedding_near_duplicates(_table(spark, sf_dir, "embeddings"))
 
@@ -23,6 +47,26 @@ def op5_suffix_array_dedup(spark, sf_dir):
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op6_quality_classifier(spark, sf_dir):
+    return quality_crf.classify_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op7_sentencepiece(spark, sf_dir):
+    """Pieces of every text as count and checksum, and whether they spell it."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    back = piece_codec.decode_pieces(piece_codec.encode_sampled(docs))
+    text = F.coalesce("text", F.lit(""))
+    return back.select("doc_id", F.size("piece_ids").cast("long").alias("n_pieces"),
+                       F.octet_length(text).cast("long").alias("n_bytes"),
+                       F.xxhash64("piece_ids").alias("pieces_hash"),
+                       F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+                       (F.col("decoded") == text).alias("lossless"))
+
+
+def op8_language_id(spark, sf_dir):
+    return language_id.identify_language(_table(spark, sf_dir, "documents"))
+
+
 def op9_simhash_near_dedup(spark, sf_dir):
     return simhash_vptree.simhash_near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -33,6 +77,8 @@ def op10_sharding(spark, sf_dir):
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_embedding_near_dedup, op5_suffix_array_dedup, op9_simhash_near_dedup, op10_sharding)
+    f.__name__: f for f in (op1_line_dedup, op2_html_extraction,
+                        op3_benchmark_decontamination, op4_embedding_near_dedup, op5_suffix_array_dedup, op6_quality_classifier,
+                        op7_sentencepiece, op8_language_id, op9_simhash_near_dedup, op10_sharding)
 }
 ORACLES: dict[str, str] = {}

@@ -49,22 +49,24 @@ def fingerprint(text: bytes, words: int) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3) -> DataFrame:
-    """``id_col, fp`` (signed 64 bits) of every row.
+    """``id_col, text_hash, fp`` (both signed 64 bits) of every row.
 
     Letters A-Z are lower-cased, words are runs of characters other than blank
     and ``\\x09-\\x0D``, shingles are ``words`` words joined by one blank (fewer
     words: the whole sequence), hashed by XXH64 with seed 42; repeats count.  A
     bit is set if it is set in over half the hashes.  Null or empty texts and
     texts without words have fingerprint 0."""
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    text = F.col(text_col).cast("string")
+    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
 
     def run(batches):
         for b in slices(batches, "text", 16 << 20):
-            texts = b.column(1).cast(pa.large_binary())
+            texts = b.column(2).cast(pa.large_binary())
             fps = np.fromiter((fingerprint(t.as_py() or b"", words) for t in texts), np.uint64, len(b))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], ["id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fps.view(np.int64))],
+                                             ["id", "text_hash", "fp"])
 
-    schema = f"id {rows.schema['id'].dataType.simpleString()}, fp bigint"
+    schema = f"id {rows.schema['id'].dataType.simpleString()}, text_hash bigint, fp bigint"
     return rows.mapInArrow(run, schema).withColumnRenamed("id", id_col)
 
 
@@ -176,8 +178,8 @@ def simhash_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: s
                             words: int = 3, max_bits: int = 3) -> DataFrame:
     """One row per document: ``id_col, fingerprint`` (16 hex digits),
     ``component_id`` (smallest id reachable through links of at most
-    ``max_bits`` differing bits, itself included) and ``group_fp`` (a number
-    per component).
+    ``max_bits`` differing bits, itself included), ``group_fp`` (a number per
+    component) and ``text_hash``.
 
     Texts of equal fingerprint are one node of the search, so copies are never
     expanded.  Documents without words link to each other through fingerprint
@@ -193,4 +195,17 @@ def simhash_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: s
     lows = placed.groupBy("group_fp").agg(F.min("_low").alias("component_id"))
     member = placed.join(lows, "group_fp").select("fp", "group_fp", "component_id")
     return fps.join(member, "fp").select(
-        id_col, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "group_fp")
+        id_col, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "group_fp", "text_hash")
+
+
+def keep_one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                       words: int = 3, max_bits: int = 3) -> DataFrame:
+    """The rows of ``docs`` that stay when every group of near-duplicates keeps
+    one document: the one of smallest id (null ids last), ties broken by a hash
+    of the text.  Of repeated rows one stays."""
+    groups = simhash_near_duplicates(docs, id_col, text_col, words, max_bits)
+    order = F.struct(F.col(id_col).isNull().alias("last"), F.col(id_col).alias("id"), "text_hash")
+    kept = groups.groupBy("group_fp").agg(F.min(order).alias("k")).select("k.id", "k.text_hash")
+    keyed = docs.withColumn("_text_hash", F.xxhash64(F.col(text_col).cast("string")))
+    return (keyed.join(kept, F.col(id_col).eqNullSafe(F.col("id")) & (F.col("_text_hash") == F.col("text_hash")),
+                       "left_semi").dropDuplicates([id_col, "_text_hash"]).drop("_text_hash"))
