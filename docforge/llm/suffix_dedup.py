@@ -146,6 +146,29 @@ def multikey_order(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order, new
 
 
+def _clipped(words: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Big-endian words with the bytes from ``size`` on set to zero."""
+    used = size[:, None] - 8 * np.arange(words.shape[1])[None, :]
+    shift = (np.clip(8 - used, 0, 8) * 8).astype(np.uint64)
+    return np.where(shift >= 64, np.uint64(0), (words >> np.minimum(shift, 63)) << np.minimum(shift, 63))
+
+
+def _window_minima(raw, start, windows, low, length):
+    """Of every window of the contexts: ``(context, number in it, smallest id of
+    all contexts that hold the same bytes)``."""
+    mine = np.repeat(np.arange(len(windows)), windows)
+    nth = np.arange(len(mine)) - np.repeat(np.cumsum(windows) - windows, windows)
+    least = np.empty(len(mine), np.int64)
+    if len(mine):
+        words = _words(raw, start[mine] + nth, (length + 7) // 8)
+        if length % 8:
+            words[:, -1] &= np.uint64((1 << 64) - (1 << 8 * (8 - length % 8)))
+        order, new = multikey_order(words)
+        run_low = np.minimum.reduceat(low[mine[order]], np.flatnonzero(new))
+        least[order] = run_low[np.cumsum(new) - 1]
+    return mine, nth, least
+
+
 def _slice_docs(table: pa.Table):
     ids = table.column("id").combine_chunks()
     keys = ids.fill_null(NO_ID).to_numpy(zero_copy_only=False)
@@ -183,7 +206,7 @@ def _rows(columns: dict, schema: pa.Schema) -> pa.Table:
 SENT = pa.schema([("bucket", pa.int32()), ("slice", pa.int32()), ("one", pa.binary()), ("many", pa.binary())])
 BACK = pa.schema([("slice", pa.int32()), ("grams", pa.binary())])
 CONTEXT = pa.schema([("bucket", pa.int32()), ("slice", pa.int32()), ("n", pa.int32()), ("bytes", pa.binary()),
-                     ("windows", pa.binary()), ("low", pa.list_(pa.int64()))])
+                     ("windows", pa.binary()), ("back", pa.binary()), ("low", pa.list_(pa.int64()))])
 COVER = pa.schema([("slice", pa.int32()), ("bucket", pa.int32()), ("entry", pa.list_(pa.int32())),
                    ("first", pa.binary()), ("last", pa.binary()), ("low", pa.list_(pa.int64()))])
 
@@ -197,11 +220,7 @@ def _contexts(ids, raw, offsets, grams, splitters, length):
     lead = _words(raw, at, 2)
     size = last - first + length                     # bytes of the context, from the first window on
     span = 2 * length - GRAM                         # the most bytes a context can have
-    words = (span + 7) // 8
-    text = _words(raw, first, words)
-    used = size[:, None] - 8 * np.arange(words)[None, :]
-    shift = (np.clip(8 - used, 0, 8) * 8).astype(np.uint64)
-    text = np.where(shift >= 64, 0, (text >> np.minimum(shift, 63)) << np.minimum(shift, 63))
+    text = _clipped(_words(raw, first, (span + 7) // 8), size)
     key = np.column_stack([text, (size * 128 + (at - first)).astype(np.uint64)])
     order, new = multikey_order(key)
     entry = np.empty(len(at), np.int64)
@@ -273,17 +292,24 @@ def remove_repeated_strings(docs: DataFrame, length: int = 50, id_col: str = "do
         return _rows(out, SENT)
 
     def back(table: pa.Table) -> pa.Table:
+        numbers = table.column("slice").to_numpy()
         one, many = table.column("one").to_pylist(), table.column("many").to_pylist()
-        single = _long(one)
-        values, counts = np.unique(np.concatenate([single, _long(many), _long(many)]), return_counts=True)
-        common = values[counts > 1]
+        gram = _long([x for pair in zip(one, many, strict=True) for x in pair])
+        sizes = np.array([len(x) // 6 for pair in zip(one, many, strict=True) for x in pair])
+        several = np.repeat(np.arange(len(sizes)) % 2 == 1, sizes)
+        row = np.repeat(np.arange(len(sizes)) // 2, sizes)
+        order = np.argsort(gram, kind="stable")
+        new = np.ones(len(gram), bool)
+        new[1:] = gram[order[1:]] != gram[order[:-1]]
+        heads = np.flatnonzero(new)
+        common = (np.diff(np.append(heads, len(gram))) > 1) | np.logical_or.reduceat(several[order], heads)
+        hit = np.zeros(len(gram), bool)
+        hit[order] = common[np.cumsum(new) - 1]
         out = {"slice": [], "grams": []}
-        for number, a, b in zip(table.column("slice").to_pylist(), one, many, strict=True):
-            mine = _long([a])
-            hit = np.concatenate([mine[np.isin(mine, common)], _long([b])])
-            if len(hit):
-                out["slice"].append(number)
-                out["grams"].append(_short(hit).tobytes())
+        for part in _by_bucket(np.where(hit, row, -1)):
+            if hit[part[0]]:
+                out["slice"].append(numbers[row[part[0]]])
+                out["grams"].append(_short(gram[part]).tobytes())
         return _rows(out, BACK)
 
     def context(table: pa.Table, grams: pa.Table) -> pa.Table:
@@ -292,8 +318,8 @@ def remove_repeated_strings(docs: DataFrame, length: int = 50, id_col: str = "do
         _, keys, raw, offsets = _slice_docs(table)
         number = table.column("slice")[0].as_py()
         wanted = np.unique(_long(grams.column("grams").to_pylist()))
-        _, first, last, _, _, rep, low, bucket, size = _contexts(keys, raw, offsets, wanted, splitters, length)
-        first, last, size = first[rep], last[rep], size[rep]
+        at, first, last, _, _, rep, low, bucket, size = _contexts(keys, raw, offsets, wanted, splitters, length)
+        at, first, last, size = at[rep], first[rep], last[rep], size[rep]
         pack = zstandard.ZstdCompressor(level=3)
         out = {f.name: [] for f in CONTEXT}
         for part in _by_bucket(bucket):
@@ -304,6 +330,7 @@ def remove_repeated_strings(docs: DataFrame, length: int = 50, id_col: str = "do
             index = np.arange(ends[-1]) + np.repeat(first[part] - ends + size[part], size[part])
             out["bytes"].append(pack.compress(raw[index].tobytes()))
             out["windows"].append((last - first + 1)[part].astype(np.uint8).tobytes())
+            out["back"].append((at - first)[part].astype(np.uint8).tobytes())
             out["low"].append(low[part])
         return _rows(out, CONTEXT)
 
@@ -311,40 +338,56 @@ def remove_repeated_strings(docs: DataFrame, length: int = 50, id_col: str = "do
         unpack = zstandard.ZstdDecompressor()
         raw = np.frombuffer(b"".join(unpack.decompress(x) for x in table.column("bytes").to_pylist()), np.uint8)
         windows = np.frombuffer(b"".join(table.column("windows").to_pylist()), np.uint8).astype(np.int64)
+        back_ = np.frombuffer(b"".join(table.column("back").to_pylist()), np.uint8).astype(np.int64)
         low = table.column("low").combine_chunks().flatten().to_numpy()
         sizes = windows + length - 1
         start = np.cumsum(sizes) - sizes
-        entry = np.repeat(np.arange(len(windows)), windows)
-        nth = np.arange(len(entry)) - np.repeat(np.cumsum(windows) - windows, windows)
-        words = _words(raw, start[entry] + nth, (length + 7) // 8)
-        if length % 8:
-            words[:, -1] &= np.uint64((1 << 64) - (1 << 8 * (8 - length % 8)))
-        order, new = multikey_order(words)
-        del words
-        least = np.empty(len(entry), np.int64)
-        heads = np.flatnonzero(new)
-        run_low = np.minimum.reduceat(low[entry[order]], heads) if len(heads) else low[:0]
-        least[order] = run_low[np.cumsum(new) - 1]
-        hit = least < low[entry]
-        # runs of windows of an entry with the same smaller id
-        at = np.flatnonzero(hit)
-        fresh = np.ones(len(at), bool)
-        fresh[1:] = (np.diff(at) != 1) | (entry[at[1:]] != entry[at[:-1]]) | (least[at[1:]] != least[at[:-1]])
-        begin = at[fresh]
-        end = at[np.append(np.flatnonzero(fresh)[1:], len(at)) - 1] if len(at) else at
+        # contexts that slices have in common, with the smallest id of all
+        key = np.column_stack([_clipped(_words(raw, start, (2 * length - GRAM + 7) // 8), sizes),
+                               (sizes * 128 + back_).astype(np.uint64)])
+        order, new = multikey_order(key)
+        del key
+        form = np.empty(len(order), np.int64)
+        form[order] = np.cumsum(new) - 1
+        rep = order[new]
+        form_low = np.minimum.reduceat(low[order], np.flatnonzero(new))
+        # only anchors with several contexts need their windows compared
+        gram_order, gram_new = multikey_order(_words(raw, start[rep] + back_[rep], GRAM // 8))
+        gram = np.empty(len(rep), np.int64)
+        gram[gram_order] = np.cumsum(gram_new) - 1
+        shared = np.bincount(gram)[gram] > 1
+        alone, several = np.flatnonzero(~shared), np.flatnonzero(shared)
+        mine, nth, least = _window_minima(raw, start[rep[several]], windows[rep[several]], form_low[several], length)
+        # runs of windows of a context with the same smallest id
+        fresh = np.ones(len(mine), bool)
+        fresh[1:] = (mine[1:] != mine[:-1]) | (least[1:] != least[:-1])
+        heads = np.flatnonzero(fresh)
+        tails = np.append(heads[1:], len(mine)) - 1 if len(heads) else heads
+        run_form = np.concatenate([alone, several[mine[heads]]])
+        run_first = np.concatenate([np.zeros(len(alone), np.int64), nth[heads]])
+        run_last = np.concatenate([windows[rep[alone]] - 1, nth[tails]])
+        run_low = np.concatenate([form_low[alone], least[heads]])
+        # to every slice that has the context with a larger id
+        by_form = np.argsort(run_form, kind="stable")
+        held = np.searchsorted(run_form[by_form], np.arange(len(rep) + 1))
+        n_runs = (held[1:] - held[:-1])[form]
+        entry = np.repeat(np.arange(len(form)), n_runs)
+        run = by_form[np.repeat(held[form] - np.cumsum(n_runs) + n_runs, n_runs) + np.arange(len(entry))]
+        less = run_low[run] < low[entry]
+        entry, run = entry[less], run[less]
         counts = np.asarray(table.column("n").to_pylist())
         row = np.repeat(np.arange(len(counts)), counts)
         base = np.cumsum(counts) - counts
         out = {f.name: [] for f in COVER}
         slices_, buckets = table.column("slice").to_pylist(), table.column("bucket").to_pylist()
-        for part in _by_bucket(row[entry[begin]]):
-            r = row[entry[begin[part[0]]]]
+        for part in _by_bucket(row[entry]):
+            r = row[entry[part[0]]]
             out["slice"].append(slices_[r])
             out["bucket"].append(buckets[r])
-            out["entry"].append((entry[begin[part]] - base[r]).astype(np.int32))
-            out["first"].append(nth[begin[part]].astype(np.uint8).tobytes())
-            out["last"].append(nth[end[part]].astype(np.uint8).tobytes())
-            out["low"].append(least[begin[part]])
+            out["entry"].append((entry[part] - base[r]).astype(np.int32))
+            out["first"].append(run_first[run[part]].astype(np.uint8).tobytes())
+            out["last"].append(run_last[run[part]].astype(np.uint8).tobytes())
+            out["low"].append(run_low[run[part]])
         return _rows(out, COVER)
 
     def finish(table: pa.Table, grams: pa.Table, covers: dict) -> pa.Table:
@@ -400,7 +443,7 @@ def remove_repeated_strings(docs: DataFrame, length: int = 50, id_col: str = "do
     sent = sliced.groupBy("slice").applyInArrow(send, "bucket int, slice int, one binary, many binary")
     grams = sent.groupBy("bucket").applyInArrow(back, "slice int, grams binary")
     around = sliced.groupBy("slice").cogroup(grams.groupBy("slice")).applyInArrow(
-        context, "bucket int, slice int, n int, bytes binary, windows binary, low array<bigint>")
+        context, "bucket int, slice int, n int, bytes binary, windows binary, back binary, low array<bigint>")
     covers = around.groupBy("bucket").applyInArrow(
         cover, "slice int, bucket int, entry array<int>, first binary, last binary, low array<bigint>")
     replies = grams.select(
