@@ -18,7 +18,7 @@ def base_name(path: Column) -> Column:
 
 def parent_dir(path: Column) -> Column:
     """Directory part of a '/'-separated path ('' when there is none)."""
-    return F.regexp_extract(path, r"^(.*)/[^/]*$", 1)
+    return F.regexp_extract(path, r"(?s)^(.*)/[^/]*\z", 1)
 
 
 def split_ext(name: Column) -> Column:

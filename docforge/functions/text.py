@@ -83,8 +83,9 @@ def strip_markdown(c: Column, rules=None) -> Column:
 # ``zip_with`` interleaves the two.  All linear, no explode, no shuffle.
 # ---------------------------------------------------------------------------
 _SEP_LINE = r"(?=[^\n]*\|)[^\n]*(?:---|-\+-)[^\n]*"
-_PIPE_LINE = r"[^\n|]*\|[^\n]*"
-TABLE_REGION = r"\n" + _SEP_LINE + r"(?:\n" + _PIPE_LINE + r")*"
+# The repeat is possessive: a plain one recurses once per table line.
+_PIPE_LINE = r"[^\n|]*+\|[^\n]*+"
+TABLE_REGION = r"\n" + _SEP_LINE + r"(?:\n" + _PIPE_LINE + r")*+"
 _IS_SEP = r"\|" + r"[^\n]*(?:---|-\+-)|(?:---|-\+-)[^\n]*\|"
 
 

@@ -20,7 +20,7 @@ from .ranking import forward_fill
 SUPPORTED = (".doc", ".docx", ".pdf")
 ERROR_LOG_NAME = "error_log.txt"
 LOCK_PREFIX = "~$"
-HEADER = r"^## (\d\d:\d\d:\d\d) - (.*)$"
+HEADER = r"(?d)^## (\d\d:\d\d:\d\d) - (.*)$"
 NOISE_TOKEN = "AFC"
 RATE_LIMIT_PHRASES = ["429", "resource exhausted", "rate limit", "too many requests"]
 QUOTA_PHRASES = ["quota exceeded", "usage limit"]

@@ -115,24 +115,21 @@ FOLD_SCHEMA = ("event_id bigint, api_key bigint, ts_us bigint, tokens_minute big
                "rpm_after bigint, minute_reset boolean, day_reset boolean")
 
 
-def quota_fold(requests: DataFrame, anchor_us: int | None = None, max_group_rows: int = 1_000_000) -> DataFrame:
+NO_KEY = -(1 << 63)  # stands for a null key inside the fold
+
+
+def quota_fold(requests: DataFrame, anchor_us: int | None = None) -> DataFrame:
     """Counters after every request, per key, exactly as the tracker keeps
     them.  ``anchor_us``: tracker start (default: the key's first request).
 
-    Keys with at most ``max_group_rows`` requests (counted first, so the
-    bound is proven) are folded in one grouped-map call each; larger keys go
-    through ``quota_fold_distributed``, which never holds a key in one task."""
-    cols = requests.select(F.col("event_id").cast("bigint"), F.col("api_key").cast("bigint"),
-                           F.col("ts_us").cast("bigint"), F.col("tokens").cast("bigint"))
-    sizes = cols.groupBy("api_key").agg(F.count(F.lit(1)).alias("_n"))
-    small_keys = sizes.filter(F.col("_n") <= max_group_rows).select("api_key")
-    big_keys = sizes.filter(F.col("_n") > max_group_rows).select("api_key")
-    small = cols.join(small_keys, "api_key", "left_semi")\
-        .groupBy("api_key").applyInPandas(lambda pdf: fold_key(pdf, anchor_us), FOLD_SCHEMA)
-    if big_keys.isEmpty():
-        return small
-    big = quota_fold_distributed(cols.join(big_keys, "api_key", "left_semi"), anchor_us)
-    return small.unionByName(big)
+    One plan for every key size (``quota_fold_distributed``).  Null tokens
+    count 0; requests without a key are a key of their own."""
+    cols = requests.select(F.col("event_id").cast("bigint"),
+                           F.coalesce(F.col("api_key").cast("bigint"), F.lit(NO_KEY)).alias("api_key"),
+                           F.col("ts_us").cast("bigint"),
+                           F.coalesce(F.col("tokens").cast("bigint"), F.lit(0)).alias("tokens"))
+    out = quota_fold_distributed(cols, anchor_us)
+    return out.withColumn("api_key", F.nullif(F.col("api_key"), F.lit(NO_KEY)))
 
 
 # ---------------------------------------------------------------------------
