@@ -18,61 +18,64 @@ from pyspark.sql import functions as F
 
 from ..session import reliable_checkpoint
 
-BLANKS = r"[ \t\r\f]+"
 FIELD = "<*>"
 
 
 def tokens(line: Column) -> Column:
     """The tokens of a line; those with a digit are the variable field."""
-    words = F.filter(F.split(line, BLANKS), lambda x: x != "")
+    plain = F.when(line.rlike(r"[\t\r\f]"), F.translate(line, "\t\r\f", "   ")).otherwise(line)
+    words = F.array_remove(F.split(plain, " "), "")
     masked = F.transform(words, lambda x: F.when(x.rlike("[0-9]"), F.lit(FIELD)).otherwise(x))
     return F.when(line.rlike("[0-9]"), masked).otherwise(words)
 
 
-def _lines(docs: DataFrame, id_col: str, text_col: str, leading: int) -> DataFrame:
-    """``k1, k2`` (the document), ``id, line_no, line, n, leaf, full`` of every
-    line that is not blank; lines are cut at line feeds and numbered from 0."""
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    out = (docs.select(F.col(id_col).alias("id"), text.alias("text"))
-           .select("id", F.xxhash64("id", "text").alias("k1"), F.hash("text").alias("k2"),
-                   F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-           .withColumn("t", tokens(F.col("line"))).where(F.size("t") > 0))
-    return out.select("k1", "k2", "id", "line_no", "line", F.size("t").alias("n"),
-                      F.xxhash64(F.size("t"), F.slice("t", 1, leading)).alias("leaf"),
-                      F.xxhash64("t").alias("full"))
+def _key(id_col: str, text: Column) -> dict[str, Column]:
+    return {"k1": F.xxhash64(F.col(id_col), text), "k2": F.hash(text)}
 
 
 def recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = 3,
-                    leading: int = 2, similarity: float = 0.8) -> DataFrame:
+                    leading: int = 3, similarity: float = 0.8) -> DataFrame:
     """``k1, k2, line_no`` of the lines to drop, once per document key."""
-    lines = _lines(docs, id_col, text_col, leading)
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    keyed = docs.select(F.col(id_col).alias("id"), *[c.alias(n) for n, c in _key(id_col, text).items()],
+                        text.alias("text"))
+    lines = (keyed.select("id", "k1", "k2", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+             .withColumn("t", tokens(F.col("line"))).where(F.size("t") > 0))
+    slim = reliable_checkpoint(lines.select(
+        F.xxhash64(F.size("t"), F.slice("t", 1, leading)).alias("leaf"), F.xxhash64("t").alias("full"),
+        "id", "k1", "k2", "line_no"))
     place = F.struct(F.col("id").isNull().alias("no_id"), "id", "k1", "k2", "line_no")
-    slim = reliable_checkpoint(lines.select("leaf", "full", "n", place.alias("at")))
-    per_doc = slim.groupBy("leaf", "full", "n", "at.k1", "at.k2").agg(F.min("at").alias("first"))
-    forms = reliable_checkpoint(per_doc.groupBy("leaf", "full", "n").agg(
-        F.count("*").alias("docs"), F.min("first").alias("first")))
+    per_doc = slim.groupBy("leaf", "full", "id", "k1", "k2").agg(F.min("line_no").alias("line_no"))
+    forms = reliable_checkpoint(per_doc.groupBy("leaf", "full").agg(
+        F.count("*").alias("docs"), F.min(place).alias("first")))
     recurring = F.col("docs") >= min_docs
 
     # leaves of several forms, some of them too rare to be templates of their own
     mixed = (forms.groupBy("leaf").agg(F.count("*").alias("forms"), F.sum("docs").alias("all"),
                                        F.min("docs").alias("rarest"))
              .where((F.col("forms") > 1) & (F.col("all") >= min_docs) & (F.col("rarest") < min_docs)).select("leaf"))
-    wanted = forms.join(mixed, "leaf", "left_semi").select("leaf", "full", "docs")
-    spelled = (lines.select("full", "line").join(wanted, "full")
-               .groupBy("leaf", "full", "docs").agg(F.min("line").alias("line")))
-    places = reliable_checkpoint(
-        spelled.select("leaf", "full", "docs", F.posexplode(tokens(F.col("line"))).alias("place", "token"))
-        .where(F.col("place") >= leading)
-        .select("leaf", "full", "docs", F.xxhash64("place", "token").alias("field")))
-    constants = (places.groupBy("leaf", "field").agg(F.sum("docs").alias("all"))
+    # their tokens, read from the first document of each form
+    wanted = (forms.join(mixed, "leaf", "left_semi")
+              .groupBy("first.k1", "first.k2")
+              .agg(F.collect_list(F.struct("leaf", "full", "docs", "first.line_no")).alias("forms")))
+    spelled = (keyed.select("k1", "k2", "text").join(wanted, ["k1", "k2"])
+               .select("k1", "k2", F.split("text", "\n").alias("lines"), F.explode("forms").alias("f"))
+               .select("f.leaf", "f.full", "f.docs", tokens(F.expr("lines[f.line_no]")).alias("t")))
+    # rows of equal id and text spell the same form more than once
+    places = (
+        spelled.select("leaf", "full", "docs", F.size("t").alias("n"), F.posexplode("t").alias("place", "token"))
+        .where((F.col("place") >= leading) | (F.col("place") == 0))
+        .select("leaf", "full", "docs", "n", "place", F.xxhash64("place", "token").alias("field")).distinct())
+    constants = (places.where(F.col("place") >= leading).groupBy("leaf", "field").agg(F.sum("docs").alias("all"))
                  .where(F.col("all") >= min_docs).select("leaf", "field"))
     # how many of a rare form's later tokens are constants of the leaf
-    fixed = (places.where(~recurring).join(constants, ["leaf", "field"], "left_semi")
+    rare = places.where(~recurring)
+    fixed = (rare.where(F.col("place") >= leading).join(constants, ["leaf", "field"], "left_semi")
              .groupBy("leaf", "full").agg(F.count("*").alias("fixed")))
-    rare = wanted.where(~recurring).select("leaf", "full").join(forms, ["leaf", "full"]).join(
-        fixed, ["leaf", "full"], "left")
     same = (F.least("n", F.lit(leading)) + F.coalesce("fixed", F.lit(0))) / F.col("n")
-    followers = reliable_checkpoint(rare.where(same >= similarity).select("leaf", "full", "first"))
+    followers = (
+        rare.where(F.col("place") == 0).select("leaf", "full", "n").join(fixed, ["leaf", "full"], "left")
+        .where(same >= similarity).select("leaf", "full").join(forms, ["leaf", "full"]).select("leaf", "full", "first"))
 
     # the first line of a leaf among templates and followers stays, if it is a follower
     heads = forms.where(recurring).select("leaf", "first").unionAll(followers.select("leaf", "first"))
@@ -80,12 +83,12 @@ def recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     stays = followers.join(heads, "leaf").select(
         "leaf", "full", F.when(F.col("first") == F.col("head"), F.col("head")).alias("stay"))
     dropped = forms.where(recurring).select("leaf", "full", F.col("first").alias("stay")).unionAll(stays)
-    return (slim.join(dropped, ["leaf", "full"]).where(~F.col("at").eqNullSafe(F.col("stay")))
-            .select("at.k1", "at.k2", "at.line_no").distinct())
+    return (slim.select("leaf", "full", place.alias("at")).join(dropped, ["leaf", "full"])
+            .where(~F.col("at").eqNullSafe(F.col("stay"))).select("at.k1", "at.k2", "at.line_no").distinct())
 
 
 def drop_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = 3,
-                         leading: int = 2, similarity: float = 0.8, count_cols: tuple[str, str] | None =
+                         leading: int = 3, similarity: float = 0.8, count_cols: tuple[str, str] | None =
                          ("n_lines", "n_dropped")) -> DataFrame:
     """``docs`` without the lines whose template recurs in ``min_docs`` or more
     documents, all but the template's first occurrence (smallest id, then line
@@ -100,9 +103,9 @@ def drop_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
     gone = recurring_lines(docs, id_col, text_col, min_docs, leading, similarity)
     per_doc = gone.groupBy("k1", "k2").agg(F.sort_array(F.collect_set("line_no")).alias("_gone"))
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    keyed = docs.drop(*(count_cols or ())).withColumns(
-        {"_k1": F.xxhash64(id_col, text), "_k2": F.hash(text)})
-    joined = keyed.join(per_doc, (F.col("_k1") == F.col("k1")) & (F.col("_k2") == F.col("k2")), "left")
+    # the texts are shuffled by their key once, the other columns follow to the same place
+    texts = docs.select(*[c.alias(n) for n, c in _key(id_col, text).items()], text.alias("text"))
+    lines = texts.join(per_doc, ["k1", "k2"], "left").withColumn("_all", F.split("text", "\n"))
     # the runs of lines between dropped ones, each joined again
     runs = F.zip_with(
         F.concat(F.array(F.lit(0)), F.transform("_gone", lambda g: g + 1)),
@@ -110,9 +113,17 @@ def drop_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
         lambda a, b: F.struct(a.alias("a"), (b - a).alias("n")))
     kept = F.array_join(F.transform(F.filter(runs, lambda r: r["n"] > 0),
                                     lambda r: F.array_join(F.slice("_all", r["a"] + 1, r["n"]), "\n")), "\n")
-    out = joined.withColumn("_all", F.split(F.col(text_col).cast("string"), "\n"))
-    counts = {} if count_cols is None else {
-        count_cols[0]: F.coalesce(F.size("_all"), F.lit(0)).cast("long"),
-        count_cols[1]: F.coalesce(F.size("_gone"), F.lit(0)).cast("long")}
-    out = out.withColumns({text_col: F.when(F.col("_gone").isNull(), F.col(text_col)).otherwise(kept), **counts})
-    return out.drop("_k1", "_k2", "k1", "k2", "_gone", "_all")
+    rest = (lines.select("k1", "k2", F.when(F.col("_gone").isNull(), F.col("text")).otherwise(kept).alias("_text"),
+                         F.size("_all").cast("long").alias("_n"),
+                         F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("_dropped"))
+            .dropDuplicates(["k1", "k2"]))
+    names = [c for c in docs.columns if c not in (count_cols or ())]
+    row = F.struct(*[F.col(c) for c in names if c != text_col], F.col(text_col).isNull().alias("_null"))
+    others = docs.select(row.alias("_row"), *[c.alias(f"_{n}") for n, c in _key(id_col, text).items()])
+    out = others.join(rest, (F.col("_k1") == F.col("k1")) & (F.col("_k2") == F.col("k2")))
+    null = F.col("_row._null")
+    columns = [F.when(~null, F.col("_text")).alias(c) if c == text_col else F.col("_row")[c].alias(c) for c in names]
+    if count_cols:
+        columns += [F.when(null, F.lit(0)).otherwise(F.col("_n")).cast("long").alias(count_cols[0]),
+                    F.col("_dropped").alias(count_cols[1])]
+    return out.select(columns)
