@@ -70,9 +70,10 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
                        item_id_col: str = "item_id", item_text_col: str = "text", shingle: int = 5,
                        min_similarity: float = 0.8, radius: int = 20) -> DataFrame:
     """``id_col, item_id_col, similarity, hamming, start``: the most similar
-    window (then the first) of every document and item at or over
-    ``min_similarity``, by fingerprints at most ``radius`` bits apart; ``start``
-    counts words from 0.
+    window of every document and item at or over ``min_similarity``, by
+    fingerprints at most ``radius`` bits apart; ``start`` counts words from 0
+    (of equal windows, the first that begins at a shingle of the item or ends
+    the document).
 
     Words are lower-case runs of letters and digits.  Items of fewer than
     ``shingle`` words are one shingle; items and texts without words (null,

@@ -205,7 +205,8 @@ def keep_one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     of the text.  Of repeated rows one stays."""
     groups = simhash_near_duplicates(docs, id_col, text_col, words, max_bits)
     order = F.struct(F.col(id_col).isNull().alias("last"), F.col(id_col).alias("id"), "text_hash")
-    kept = groups.groupBy("group_fp").agg(F.min(order).alias("k")).select("k.id", "k.text_hash")
+    kept = groups.groupBy("group_fp").agg(F.min(order).alias("k")).select(
+        F.col("k.id").alias("_kept_id"), F.col("k.text_hash").alias("_kept_hash"))
     keyed = docs.withColumn("_text_hash", F.xxhash64(F.col(text_col).cast("string")))
-    return (keyed.join(kept, F.col(id_col).eqNullSafe(F.col("id")) & (F.col("_text_hash") == F.col("text_hash")),
+    return (keyed.join(kept, F.col(id_col).eqNullSafe(F.col("_kept_id")) & F.col("_text_hash").eqNullSafe(F.col("_kept_hash")),
                        "left_semi").dropDuplicates([id_col, "_text_hash"]).drop("_text_hash"))
