@@ -56,7 +56,7 @@ def decontaminate_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Adds the sampled pieces of the text, their number, and whether decoding
     them gives the text back."""
-    coded = piece_codec.decode_pieces(piece_codec.encode_sampled(docs), out_col="_decoded")
+    coded = piece_codec.encode_sampled(docs, decoded_col="_decoded")
     return coded.select(*docs.columns, "piece_ids", F.size("piece_ids").cast("long").alias("n_pieces"),
                         (F.col("_decoded") == F.coalesce("text", F.lit(""))).alias("lossless"))
 

@@ -77,15 +77,14 @@ def ngram_counts(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 def linear_svm(x: np.ndarray, y: np.ndarray, penalty: float = 1e-4, rounds: int = 150) -> np.ndarray:
     """Weights (bias last) of a squared-hinge support vector machine for labels
     -1 and 1, classes weighted alike, by accelerated gradient steps."""
-    x = np.column_stack([x, np.ones(len(x), x.dtype)])
     share = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum()))
     share = (share * y).astype(x.dtype)
-    w = np.zeros(x.shape[1], x.dtype)
+    w = np.zeros(x.shape[1] + 1, x.dtype)
     y = y.astype(x.dtype)
     ahead, step, t = w.copy(), 0.2, 1.0
     for _ in range(rounds):
-        slack = np.maximum(0, 1 - y * (x @ ahead))
-        grad = -2 * ((share * slack) @ x) + 2 * x.dtype.type(penalty) * ahead
+        pull = share * np.maximum(0, 1 - y * (x @ ahead[:-1] + ahead[-1]))
+        grad = -2 * np.append(pull @ x, pull.sum(dtype=x.dtype)) + 2 * x.dtype.type(penalty) * ahead
         nxt, t_next = ahead - x.dtype.type(step) * grad, float((1 + np.sqrt(1 + 4 * t * t)) / 2)
         ahead, w, t = nxt + x.dtype.type((t - 1) / t_next) * (nxt - w), nxt, t_next
     return w
@@ -97,9 +96,9 @@ def _pairwise(x: np.ndarray, labels: np.ndarray, classes: list[str]) -> dict[tup
     out = {}
     for a, b in combinations(classes, 2):
         own = (labels == a) | (labels == b)
-        xs, y = x[own], np.where(labels[own] == a, 1.0, -1.0)
+        xs, y = x if own.all() else x[own], np.where(labels[own] == a, 1.0, -1.0)
         w = linear_svm(xs, y)
-        margin = y * (np.column_stack([xs, np.ones(len(xs), xs.dtype)]) @ w)
+        margin = y * (xs @ w[:-1] + w[-1])
         scales = [1.0, 2.0, 4.0, 8.0]
         out[a, b] = w * min(scales, key=lambda s: np.logaddexp(0, -s * margin).mean())
     return out
@@ -160,7 +159,7 @@ def held_out(id_col: Column, parts: int, part: int) -> Column:
 
 
 def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-        most_rows: int = 2400) -> LanguageModel | None:
+        most_rows: int = 1600) -> LanguageModel | None:
     """A model from a sample of about ``most_rows`` labelled rows, shared evenly
     by the languages and chosen by a hash of id and text.  None without rows."""
     rows = labelled.where(F.col(lang_col).isNotNull() & F.coalesce(F.col(text_col), F.lit("")).rlike(r"\p{L}"))

@@ -24,11 +24,26 @@ from pyspark.sql import functions as F
 from .arrow_batches import binary_offsets, slices
 
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-SLICE_BYTES = 6 << 20
+SLICE_BYTES = 1 << 20
+_SHIFT, _SLOTS = np.uint64(48), 1 << 16  # slots of the lookup tables, by the top bits of a hash
 _P = np.uint64(0x100000001B3)
 _BASE = 0x9E3779B97F4A7C15
 
 
+def spellings(model_bytes: bytes) -> tuple[list[bytes], list[int], int]:
+    """The bytes of every piece, the ids of ordinary pieces, the id of byte 0."""
+    sp = sentencepiece.SentencePieceProcessor(model_proto=model_bytes)
+    size = sp.get_piece_size()
+    pieces, ordinary = [b""] * size, []
+    for i in range(size):
+        if sp.is_byte(i):
+            pieces[i] = bytes([int(sp.id_to_piece(i)[3:5], 16)])
+        elif not (sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i)):
+            pieces[i] = sp.id_to_piece(i).replace("▁", " ").encode()
+            ordinary.append(i)
+    return pieces, ordinary, sp.piece_to_id("<0x00>")
+
+
 class PieceModel:
     """Pieces of a SentencePiece model as bytes (the blank sign as a blank) and
     the tables by which substrings are looked up.
@@ -37,16 +52,8 @@ class PieceModel:
     among the ordinary pieces; a byte piece weighs ``byte_weight``."""
 
     def __init__(self, model_bytes: bytes, alpha: float = 1.0, byte_weight: float = 1e-6):
-        sp = sentencepiece.SentencePieceProcessor(model_proto=model_bytes)
-        size = sp.get_piece_size()
-        self.size, self.first_byte = size, sp.piece_to_id("<0x00>")
-        self.pieces, ordinary = [b""] * size, []
-        for i in range(size):
-            if sp.is_byte(i):
-                self.pieces[i] = bytes([int(sp.id_to_piece(i)[3:5], 16)])
-            elif not (sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i)):
-                self.pieces[i] = sp.id_to_piece(i).replace("▁", " ").encode()
-                ordinary.append(i)
+        self.pieces, ordinary, self.first_byte = spellings(model_bytes)
+        size = len(self.pieces)
         if any(b" " in p.lstrip(b" ") for p in map(self.pieces.__getitem__, ordinary)):
             raise ValueError("a piece holds a blank after another character")
         self.weight = np.zeros(size + 1)
@@ -61,20 +68,23 @@ class PieceModel:
         for n in range(1, self.longest):             # strings of n bytes that begin a longer piece
             begins = sorted({self.pieces[i][:n] for i in ordinary if len(self.pieces[i]) > n})
             h = self.hashes(np.frombuffer(b"".join(begins), np.uint8), n)[::n]
-            self.leads_on[n] = np.zeros(1 << 18, bool)
-            self.leads_on[n][(h >> np.uint64(46)).astype(np.int64)] = True
+            self.leads_on[n] = np.zeros(_SLOTS, bool)
+            self.leads_on[n][(h >> _SHIFT).astype(np.int64)] = True
         for n, ids in sorted(by_length.items()):
             raw = np.frombuffer(b"".join(self.pieces[i] for i in ids), np.uint8)
             h = self.hashes(raw, n)[::n]
             # open slots by the top bits; pieces that meet there go to the next layer
-            layers, rest, place = [], np.arange(len(ids)), (h >> np.uint64(46)).astype(np.int64)
+            layers, rest, place = [], np.arange(len(ids)), (h >> _SHIFT).astype(np.int64)
             while len(rest):
-                layer = np.full(1 << 18, -1, np.int32)
+                layer = np.full(_SLOTS, -1, np.int32)
                 layer[place[rest]] = rest
                 layers.append(layer)
                 rest = rest[layer[place[rest]] != rest]
             self.tables[n] = (h, np.asarray(ids, np.int32), layers)
-        self.spelled = pa.array(self.pieces, pa.large_binary())
+
+    @property
+    def spelled(self) -> pa.Array:
+        return pa.array(self.pieces, pa.large_binary())
 
     @staticmethod
     def hashes(raw: np.ndarray, n: int) -> np.ndarray:
@@ -109,7 +119,7 @@ def _edges(model: PieceModel, raw: np.ndarray, offsets: np.ndarray):
     for size in range(1, model.longest + 1):
         on = left[at] >= size
         if size > 1:
-            on &= model.leads_on[size - 1][(fin >> np.uint64(46)).astype(np.int32)]  # noqa: F821
+            on &= model.leads_on[size - 1][(fin >> _SHIFT).astype(np.int32)]  # noqa: F821
         at, h = at[on], h[on]
         if not len(at):
             break
@@ -117,7 +127,7 @@ def _edges(model: PieceModel, raw: np.ndarray, offsets: np.ndarray):
         fin = PieceModel._finish(h)
         if size in model.tables:
             keys, ids, layers = model.tables[size]
-            place = (fin >> np.uint64(46)).astype(np.int32)
+            place = (fin >> _SHIFT).astype(np.int32)
             for layer in layers:
                 slot = layer[place]
                 hit = np.flatnonzero((slot >= 0) & (keys[slot] == fin))
@@ -165,13 +175,17 @@ def forward_filter(model: PieceModel, raw: np.ndarray, offsets: np.ndarray):
         new[1:] = end[1:] != end[:-1]
         heads = np.flatnonzero(new)
         part = alpha[node_start[e]] * weight[e]
-        total = np.add.reduceat(part, heads)
+        # running sums edge by edge, so that a node's shares do not depend on what else is in the slice
+        total, in_node = np.zeros(len(heads)), np.diff(np.append(heads, len(e)))
+        on, k = np.arange(len(heads)), 0
+        while len(on):
+            total[on] += part[heads[on] + k]
+            part[heads[on] + k] = total[on]
+            k += 1
+            on = on[in_node[on] > k]
         alpha[end[heads]] = total
-        run = np.cumsum(new) - 1
-        upto = np.cumsum(part)
-        before = (upto[heads] - part[heads])[run]
         with np.errstate(invalid="ignore", divide="ignore"):
-            share[e] = np.nan_to_num((upto - before) / total[run])
+            share[e] = np.nan_to_num(part / np.repeat(total, in_node))
         if t % 128 == 0:                            # keep the last nodes of long chunks in range
             live = roots[long_[sizes[long_] >= t]]
             back = live[:, None] + np.arange(max(0, t - model.longest), t + 1)
@@ -188,17 +202,35 @@ def _uniform(key: np.ndarray, position: np.ndarray) -> np.ndarray:
 
 def encode_slice(model: PieceModel, raw: np.ndarray, offsets: np.ndarray, keys: np.ndarray):
     """Sampled pieces of every text: ``(ids, offsets into ids)``.  Texts that
-    are not empty are encoded with one blank before them."""
+    are not empty are encoded with one blank before them.  A text much longer
+    than a slice is encoded part by part, cut where its lattice factorises."""
+    if len(offsets) == 2 and len(raw) > 2 * SLICE_BYTES:
+        cuts, ids = [0], []
+        while len(raw) - cuts[-1] > 2 * SLICE_BYTES:
+            part = raw[cuts[-1] + SLICE_BYTES:]
+            free = np.flatnonzero((part[1:] == 10) | (part[:-1] == 10) | ((part[1:] == 32) & (part[:-1] != 32)))
+            if not len(free):
+                break
+            cuts.append(cuts[-1] + SLICE_BYTES + int(free[0]) + 1)
+        for a, b in zip(cuts, [*cuts[1:], len(raw)], strict=True):
+            ids.append(_encode(model, raw[a:b], np.array([0, b - a]), keys, a, a == 0)[0])
+        ids = np.concatenate(ids)
+        return ids, np.array([0, len(ids)])
+    return _encode(model, raw, offsets, keys, 0, True)
+
+
+def _encode(model: PieceModel, raw: np.ndarray, offsets: np.ndarray, keys: np.ndarray, at_byte: int, blank: bool):
+    """``encode_slice`` of texts that begin at a byte of theirs, with a blank before them or not."""
     sizes = np.diff(offsets)
-    full = sizes > 0
-    padded = np.insert(raw, offsets[:-1][full], 32)
+    full = (sizes > 0) & blank
+    padded = np.insert(raw, offsets[:-1][full], 32) if blank else raw
     offsets = np.concatenate([[0], np.cumsum(sizes + full)])
     if not len(padded):
         return np.zeros(0, np.int32), np.zeros(len(offsets), np.int64)
     cut = np.zeros(len(padded), bool)
     cut[1:] = (padded[1:] == 32) & (padded[:-1] != 32)
     cut[1:] |= (padded[:-1] == 10) | (padded[1:] == 10)   # no piece holds a line feed
-    cut[offsets[:-1][full]] = True
+    cut[offsets[:-1][sizes > 0]] = True
     begin = np.flatnonzero(cut)
     bounds = np.append(begin, len(padded))
     chunks = pa.Array.from_buffers(pa.large_binary(), len(begin),
@@ -211,7 +243,7 @@ def encode_slice(model: PieceModel, raw: np.ndarray, offsets: np.ndarray, keys:
     which = which[by_chunk]
     row = np.searchsorted(offsets, begin, side="right")[by_chunk] - 1
     out = np.full(len(padded), -1, np.int32)
-    end, key, base = bounds[1:][by_chunk], keys[row], offsets[row]
+    end, key, base = bounds[1:][by_chunk], keys[row], offsets[row] - at_byte - (not blank)
     node = at[which + 1] + which
     root = at[which] + which
     while len(end):
@@ -231,9 +263,10 @@ def encode_slice(model: PieceModel, raw: np.ndarray, offsets: np.ndarray, keys:
     return out[there], seen[offsets]
 
 
-def decode_slice(model: PieceModel, ids: np.ndarray, offsets: np.ndarray) -> pa.Array:
-    """The texts of encoded rows; byte pieces are joined, the first blank goes."""
-    flat, at = binary_offsets(model.spelled.take(pa.array(ids)))
+def decode_slice(spelled: pa.Array, ids: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    """The texts of encoded rows, given the bytes of every piece; byte pieces
+    are joined, the first blank goes."""
+    flat, at = binary_offsets(spelled.take(pa.array(ids)))
     begin, stop = at[offsets[:-1]], at[offsets[1:]]
     begin = begin + (stop > begin)
     raw = flat.tobytes()
@@ -259,9 +292,11 @@ def _model(data: bytes, alpha: float) -> PieceModel:
 
 
 def encode_sampled(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", out_col: str = "piece_ids",
-                   model_path: str = DEFAULT_MODEL, alpha: float = 1.0, seed: int = 0) -> DataFrame:
+                   model_path: str = DEFAULT_MODEL, alpha: float = 1.0, seed: int = 0,
+                   decoded_col: str | None = None) -> DataFrame:
     """``docs`` with ``out_col`` (array of piece ids), a sampled segmentation of
-    the whole text seeded by ``seed`` and the row's id.
+    the whole text seeded by ``seed`` and the row's id; ``decoded_col`` names a
+    further column with the text that the pieces spell, decoded in the same task.
 
     The driver reads the model from ``model_path`` and hands it to the tasks (a
     vocabulary file, about half a megabyte).  Null or empty text: no pieces;
@@ -269,12 +304,15 @@ def encode_sampled(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     pieces.  All other columns stay; one named ``out_col`` is replaced.  An
     empty table gives an empty result."""
     data = docs.sparkSession.sparkContext.broadcast(_load(model_path))
-    rows = docs.drop(out_col).withColumn(
+    rows = docs.drop(out_col, *([decoded_col] if decoded_col else [])).withColumn(
         "_row_key", F.xxhash64(F.lit(f"{seed}/"), F.coalesce(F.col(id_col).cast("string"), F.lit("null"))))
-    schema = rows.drop("_row_key").withColumn(out_col, F.lit(None).cast("array<int>")).schema
+    made = rows.drop("_row_key").withColumn(out_col, F.lit(None).cast("array<int>"))
+    schema = (made.withColumn(decoded_col, F.lit(None).cast("string")) if decoded_col else made).schema
+    new = [out_col, decoded_col] if decoded_col else [out_col]
 
     def run(batches):
         model = _model(data.value, alpha)
+        spelled = model.spelled if decoded_col else None
         for b in slices(batches, text_col, SLICE_BYTES):
             names = b.schema.names
             raw, offsets = binary_offsets(b.column(names.index(text_col)))
@@ -282,8 +320,8 @@ def encode_sampled(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             ids, at = encode_slice(model, raw, offsets, keys)
             lists = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(ids))
             keep = [i for i, c in enumerate(names) if c != "_row_key"]
-            yield pa.RecordBatch.from_arrays([b.column(i) for i in keep] + [lists],
-                                             [names[i] for i in keep] + [out_col])
+            made = [lists, decode_slice(spelled, ids, at)] if decoded_col else [lists]
+            yield pa.RecordBatch.from_arrays([b.column(i) for i in keep] + made, [names[i] for i in keep] + new)
 
     return rows.mapInArrow(run, schema)
 
@@ -298,13 +336,13 @@ def decode_pieces(coded: DataFrame, ids_col: str = "piece_ids", out_col: str = "
     schema = rows.withColumn(out_col, F.lit(None).cast("string")).schema
 
     def run(batches):
-        model = _model(data.value, 1.0)
+        spelled = pa.array(spellings(data.value)[0], pa.large_binary())
         for b in batches:
-            for cut in range(0, len(b), 1024):
-                part = b.slice(cut, 1024)
+            for cut in range(0, len(b), 512):
+                part = b.slice(cut, 512)
                 lists = part.column(part.schema.names.index(ids_col)).fill_null([])
                 counts = lists.value_lengths().to_numpy(zero_copy_only=False)
-                text = decode_slice(model, lists.flatten().to_numpy(zero_copy_only=False),
+                text = decode_slice(spelled, lists.flatten().to_numpy(zero_copy_only=False),
                                     np.concatenate([[0], np.cumsum(counts)]))
                 yield pa.RecordBatch.from_arrays([*part.columns, text], [*part.schema.names, out_col])
 

@@ -54,7 +54,7 @@ def op6_quality_classifier(spark, sf_dir):
 def op7_sentencepiece(spark, sf_dir):
     """Pieces of every text as count and checksum, and whether they spell it."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    back = piece_codec.decode_pieces(piece_codec.encode_sampled(docs))
+    back = piece_codec.encode_sampled(docs, decoded_col="decoded")
     text = F.coalesce("text", F.lit(""))
     return back.select("doc_id", F.size("piece_ids").cast("long").alias("n_pieces"),
                        F.octet_length(text).cast("long").alias("n_bytes"),

@@ -281,6 +281,9 @@ def test_pieces_round_trip_and_repeatability(spark, docs):
     coded = piece_codec.encode_sampled(df, seed=3)
     back = piece_codec.decode_pieces(coded).collect()
     assert Counter((r.doc_id, r.decoded) for r in back) == Counter((i, t or "") for i, t in docs)
+    both = piece_codec.encode_sampled(df, seed=3, decoded_col="decoded")
+    assert answers(both.select("doc_id", "decoded", "piece_ids")) == answers(
+        piece_codec.decode_pieces(coded).select("doc_id", "decoded", "piece_ids"))
     again = piece_codec.encode_sampled(df.repartition(7), seed=3)
     assert answers(coded.select("doc_id", "text", "piece_ids")) == answers(again.select("doc_id", "text", "piece_ids"))
     other = piece_codec.encode_sampled(df, seed=4)
