@@ -87,15 +87,15 @@ FROM @documents""",
     "taken_names": """
 SELECT name FROM @outcomes WHERE ord % 50 = 0""",
     "log_lines": """
-SELECT (doc_id @div 20) % 4 AS log_id, doc_id * 3 + 0 AS line_no, '## 10:' || CAST(10 + doc_id % 50 AS STRING) || ':00 - d' || CAST(doc_id AS STRING) AS line
-FROM @documents WHERE doc_id % 20 = 0
+SELECT (doc_id @div 10) % 4 AS log_id, doc_id * 3 + 0 AS line_no, '## 10:' || CAST(10 + doc_id % 50 AS STRING) || ':00 - d' || CAST(doc_id AS STRING) AS line
+FROM @documents WHERE doc_id % 40 <> 0
 UNION ALL
-SELECT (doc_id @div 20) % 4, doc_id * 3 + 1, CASE (doc_id @div 20) % 6 WHEN 0 THEN '429 RESOURCE EXHAUSTED'
+SELECT (doc_id @div 10) % 4, doc_id * 3 + 1, CASE (doc_id @div 10) % 6 WHEN 0 THEN '429 RESOURCE EXHAUSTED'
          WHEN 1 THEN 'Quota exceeded {''code'': 403, x}' WHEN 2 THEN 'usage limit and rate limit'
          WHEN 3 THEN 'AFC is enabled' WHEN 4 THEN 'Too Many Requests' ELSE 'bad page' END
-FROM @documents WHERE doc_id % 20 = 0
+FROM @documents WHERE doc_id % 40 <> 0
 UNION ALL
-SELECT (doc_id @div 20) % 4, doc_id * 3 + 2, '' FROM @documents WHERE doc_id % 20 = 0""",
+SELECT (doc_id @div 10) % 4, doc_id * 3 + 2, '' FROM @documents WHERE doc_id % 40 <> 0""",
     "md_lines": """
 SELECT doc_id, i,
        CASE i % 10 WHEN 0 THEN '# ' || line WHEN 1 THEN '**' || line || '**'

@@ -86,11 +86,10 @@ _SEP_LINE = r"(?=[^\n]*\|)[^\n]*(?:---|-\+-)[^\n]*"
 # The repeat is possessive: a plain one recurses once per table line.
 _PIPE_LINE = r"[^\n|]*+\|[^\n]*+"
 TABLE_REGION = r"\n" + _SEP_LINE + r"(?:\n" + _PIPE_LINE + r")*+"
-_IS_SEP = r"\|" + r"[^\n]*(?:---|-\+-)|(?:---|-\+-)[^\n]*\|"
 
 
 def _is_separator(line: Column) -> Column:
-    return line.rlike(_IS_SEP)
+    return line.contains("|") & (line.contains("---") | line.contains("-+-"))
 
 
 def table_row_text(line: Column) -> Column:
@@ -115,7 +114,24 @@ def flatten_tables(c: Column) -> Column:
         F.zip_with(outside, regions, lambda o, r: F.concat(o, F.coalesce(r, F.lit("")))), "")
     flat = F.substring(joined, 2, 2147483647)
     # Only texts with a separator line can change.
-    return F.when(c.rlike(_IS_SEP), flat).otherwise(c)
+    return F.when(_is_separator(c), flat).otherwise(c)
+
+
+def table_lines(c: Column) -> Column:
+    """The lines of a text as an array of ``(line, is_sep, is_row)``."""
+    t = F.concat(F.lit("\n"), c)
+
+    def marked(part, in_region):
+        lines = F.split(part, "\n", -1)   # element 0 is the empty text before the leading newline
+        body = F.slice(lines, 2, F.greatest(F.size(lines) - 1, F.lit(0)))
+        return F.transform(body, lambda x: F.struct(
+            x.alias("line"), _is_separator(x).alias("is_sep"),
+            (F.lit(in_region) & ~_is_separator(x)).alias("is_row")))
+
+    outside = F.transform(F.split(t, TABLE_REGION, -1), lambda p: marked(p, False))
+    regions = F.transform(F.regexp_extract_all(t, F.lit(TABLE_REGION), F.lit(0)), lambda p: marked(p, True))
+    none = F.slice(F.element_at(outside, 1), 1, 0)
+    return F.flatten(F.zip_with(outside, regions, lambda o, r: F.concat(o, F.coalesce(r, none))))
 
 
 def collapse_blank_runs(c: Column) -> Column:

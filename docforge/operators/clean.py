@@ -1,7 +1,7 @@
 """Document-table operators for Markdown cleaning and text extraction.
 
-All of these are narrow projections (no shuffle) except ``table_rows``, which
-is line-level by definition, and the summaries, which are global aggregates.
+All of these are narrow projections (no shuffle) except the summaries, which
+are global aggregates, and the skip join.
 """
 
 from __future__ import annotations
@@ -38,23 +38,12 @@ def table_rows(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
 
     A line is a separator when it has a pipe and ``---`` or ``-+-``; it is a
     table row when it has a pipe, is no separator, and a separator came
-    earlier with no pipe-free line in between.  Island = running count of
-    pipe-free lines (a two-level running sum); a row is in a table when the
-    last separator of its island (a two-level forward fill) exists.  Neither
-    step puts a whole document in one window partition.
+    earlier with no pipe-free line in between.  The table regions of
+    ``flatten_tables`` hold exactly the separators and rows, so the state is an
+    expression over the document's lines and nothing is shuffled.
     """
-    from .ranking import forward_fill, running_sum
-    lines = docs.select(key, F.posexplode(F.split(F.col(text), "\n", -1)).alias("line_no", "line"))
-    lines = lines.withColumn("line_no", F.col("line_no").cast("bigint"))
-    has_pipe = F.instr("line", "|") > 0
-    is_sep = has_pipe & ((F.instr("line", "---") > 0) | (F.instr("line", "-+-") > 0))
-    lines = (lines.withColumn("has_pipe", has_pipe).withColumn("is_sep", is_sep)
-             .withColumn("_free", F.when(F.col("has_pipe"), 0).otherwise(1).cast("bigint")))
-    lines = running_sum(lines, [key], "line_no", ["_free"], width=1 << 16).withColumnRenamed("cum__free", "island")
-    lines = lines.withColumn("_sep_at", F.when(F.col("is_sep"), F.col("line_no")))
-    lines = forward_fill(lines, [key, "island"], "line_no", "_sep_at", "_last_sep")
-    return lines.select(key, "line_no", "line", "is_sep",
-                        (F.col("has_pipe") & ~F.col("is_sep") & F.col("_last_sep").isNotNull()).alias("is_row"))
+    lines = docs.select(key, F.posexplode(T.table_lines(F.col(text))).alias("line_no", "_l"))
+    return lines.select(key, F.col("line_no").cast("bigint").alias("line_no"), "_l.line", "_l.is_sep", "_l.is_row")
 
 
 def list_markdown(files: DataFrame) -> DataFrame:

@@ -14,9 +14,11 @@ For a natural name n with occurrences o_0 < o_1 < ... (scan positions):
   the moment n's parent claimed the name n before n first arrived;
 * slot k is skipped iff n had not reached it by b_k.  With c_k = number of
   occurrences before b_k and s = slots skipped so far, that is
-  ``s <= k - c_k``; walking the blocks in slot order gives the skipped set.
-  The walk runs over the blocks of one name (bounded by distinct names,
-  never by occurrences);
+  ``s <= k - c_k``.  At most k slots lie below k, so blocks with c_k = 0 (all
+  existing target names among them) are always skipped and only counted;
+  walking the others in slot order gives the rest of the skipped set.  The
+  walk holds the generated-looking names that first arrive after their own
+  parent name, never existing names or occurrences;
 * occurrence j then takes slot j + (skipped slots up to it), an as-of lookup.
 
 Parents are solved before children (levels of the name tree), since a
@@ -34,19 +36,13 @@ from pyspark.sql import functions as F
 
 from ..functions.names import split_ext, stem
 from ..session import reliable_checkpoint
-from .ranking import forward_fill, row_number_by_buckets
+from .ranking import forward_fill, row_number_by_buckets, running_sum
 
-_DIGITS_TAIL = r"(_[0-9]+)+$"
 _CHILD = r"_([1-9][0-9]{0,17})$"
 _NEG = -(1 << 62)          # "blocked from the start"
 _W = 1 << 16
 
 
-def family_key(name: F.Column) -> F.Column:
-    ext = split_ext(name)
-    return F.concat(F.regexp_replace(stem(name), _DIGITS_TAIL, ""), F.lit("\u0000"), ext)
-
-
 def parent_of(name: F.Column):
     """(parent name, slot) when ``name`` is what the rule generates from a
     parent, else nulls."""
@@ -63,82 +59,26 @@ def _slot_name(natural: F.Column, slot: F.Column) -> F.Column:
 
 
 def _walk(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Skipped blocks of one name: in slot order, skip while s <= k - c_k."""
+    """Marks the skipped blocks of one name: in slot order, skip while s <= d."""
     pdf = pdf.sort_values("k")
-    s, out = 0, []
-    for k, d in zip(pdf["k"].to_numpy(dtype=np.int64), pdf["d"].to_numpy(dtype=np.int64)):
-        if s <= d:
-            out.append(k)
-            s += 1
-    return pd.DataFrame({"name": pdf["name"].iloc[:len(out)].to_numpy() if len(out) else [], "k": out})
-
-
-def _sequential(pdf: pd.DataFrame) -> pd.DataFrame:
-    """The sequential rule over one family (taken names have no ord)."""
-    import os
-    taken = set(pdf.loc[pdf["is_taken"], "name"])
-    files = pdf.loc[~pdf["is_taken"]].sort_values("ord", kind="stable")
-    out = []
-    # names are only ever added, so the first free suffix of a base never
-    # decreases: resume each base's search where it last stopped
-    resume: dict[tuple[str, str], int] = {}
-    for o, n in zip(files["ord"], files["name"]):
-        target = n
-        if target in taken:
-            base, ext = os.path.splitext(n)
-            k = resume.get((base, ext), 1)
-            while f"{base}_{k}{ext}" in taken:
-                k += 1
-            resume[(base, ext)] = k
-            target = f"{base}_{k}{ext}"
-        taken.add(target)
-        out.append((o, target))
-    return pd.DataFrame(out, columns=["ord", "target_name"])
+    s, marks = 0, np.zeros(len(pdf), dtype=bool)
+    for i, d in enumerate(pdf["d"].to_numpy(dtype=np.int64)):
+        marks[i] = s <= d
+        s += int(marks[i])
+    return pdf[["name", "k"]].assign(skip=marks)
 
 
 def allocate_names(files: DataFrame, taken: DataFrame | None = None, overwrite: bool = False,
-                   name: str = "name", ord_col: str = "ord", max_group_rows: int = 100_000) -> DataFrame:
-    """``files(ord, name, ...)`` -> the same rows with ``target_name``.
-    ``taken(name)`` lists names already in the target folder.
-
-    Generated names never leave their collision family (stem without all
-    trailing ``_digits``, plus extension).  Families with at most
-    ``max_group_rows`` files (counted first, so the bound is proven) run the
-    sequential rule in one grouped-map call each; larger families use the
-    distributed plan (``allocate_names_distributed``)."""
+                   name: str = "name", ord_col: str = "ord") -> DataFrame:
+    """``files(ord, name, ...)`` -> the same rows with ``target_name``, by the
+    plan of the module docstring.  ``taken(name)`` lists names already in the
+    target folder."""
     spark = files.sparkSession
     if overwrite:
         # every file goes to its own name; the last in scan order wins
         last = files.groupBy(name).agg(F.max(ord_col).alias("_last"))
         return (files.join(last, name).withColumn("target_name", F.col(name))
                 .withColumn("overwritten", F.col(ord_col) != F.col("_last")).drop("_last"))
-    if taken is None:
-        taken = spark.createDataFrame([], "name string")
-    f = files.withColumn("_fam", family_key(F.col(name)))
-    t = taken.select("name").distinct().withColumn("_fam", family_key(F.col("name")))
-    sizes = f.groupBy("_fam").agg(F.count(F.lit(1)).alias("_n"))
-    small = sizes.filter(F.col("_n") <= max_group_rows).select("_fam")
-    big = sizes.filter(F.col("_n") > max_group_rows).select("_fam")
-    sf = f.join(small, "_fam", "left_semi")
-    rows = sf.select("_fam", F.col(ord_col).cast("bigint").alias("ord"), F.col(name).alias("name"),
-                     F.lit(False).alias("is_taken"))
-    trows = t.join(small, "_fam", "left_semi").select("_fam", F.lit(None).cast("bigint").alias("ord"), "name",
-                                                       F.lit(True).alias("is_taken"))
-    seq = rows.unionByName(trows).groupBy("_fam").applyInPandas(_sequential, "ord bigint, target_name string")
-    out = sf.join(seq.withColumnRenamed("ord", "_o"), F.col(ord_col).cast("bigint") == F.col("_o"))\
-        .drop("_o", "_fam")
-    if big.isEmpty():
-        return out
-    bf = f.join(big, "_fam", "left_semi").drop("_fam")
-    bt = t.join(big, "_fam", "left_semi").select("name")
-    return out.unionByName(allocate_names_distributed(bf, bt, name, ord_col))
-
-
-def allocate_names_distributed(files: DataFrame, taken: DataFrame | None = None,
-                               name: str = "name", ord_col: str = "ord") -> DataFrame:
-    """The exact plan of the module docstring: no family, name or key is
-    ever held by one task."""
-    spark = files.sparkSession
     if taken is None:
         taken = spark.createDataFrame([], "name string")
     occ = files.select(F.col(ord_col).cast("bigint").alias("ord"), F.col(name).alias("name"))
@@ -151,14 +91,14 @@ def allocate_names_distributed(files: DataFrame, taken: DataFrame | None = None,
 
     # levels of the natural-name tree (parents first)
     level = nat.join(nat.select(F.col("name").alias("parent")), "parent", "left_anti").select("name")\
-        .withColumn("level", F.lit(0))
+        .transform(reliable_checkpoint)
     levels = [level]
     frontier = level
     while True:
         nxt = nat.join(frontier.select(F.col("name").alias("parent")), "parent", "left_semi").select("name")
-        if nxt.isEmpty():
+        frontier = reliable_checkpoint(nxt)
+        if frontier.isEmpty():
             break
-        frontier = reliable_checkpoint(nxt.withColumn("level", F.lit(len(levels))))
         levels.append(frontier)
 
     ranked = row_number_by_buckets(occ, [F.col("ord")], F.floor(F.col("ord") / F.lit(_W)),
@@ -188,8 +128,13 @@ def allocate_names_distributed(files: DataFrame, taken: DataFrame | None = None,
         counted = forward_fill(seqs.unionByName(probes), ["name"], "_okey", "_v", "_c", width=2 * _W)\
             .filter(F.col("_k").isNotNull()).select("name", F.col("_k").alias("k"), F.coalesce("_c", F.lit(0)).alias("c"))
         dk = blocks.join(counted, ["name", "k"], "left").select(
-            "name", "k", (F.col("k") - F.coalesce(F.col("c"), F.lit(0))).alias("d"))
-        skipped = dk.groupBy("name").applyInPandas(_walk, "name string, k bigint")
+            "name", "k", F.coalesce(F.col("c"), F.lit(0)).alias("c"))
+        dk = running_sum(dk.withColumn("_sure", F.when(F.col("c") == 0, 1).otherwise(0).cast("bigint")),
+                         ["name"], "k", ["_sure"], width=_W)
+        walked = dk.filter(F.col("c") > 0).select("name", "k", (F.col("k") - F.col("c") - F.col("cum__sure")).alias("d"))
+        skipped = dk.filter(F.col("c") == 0).select("name", "k").unionByName(
+            walked.groupBy("name").applyInPandas(_walk, "name string, k bigint, skip boolean")
+            .filter("skip").drop("skip"))
         # occurrence j takes slot j + (skipped slots up to it)
         marks = row_number_by_buckets(skipped, [F.col("k")], F.floor(F.col("k") / F.lit(_W)),
                                       partition=["name"], out="_i")

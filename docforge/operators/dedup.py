@@ -28,7 +28,6 @@ from pyspark.sql import functions as F
 
 from ..session import reliable_checkpoint
 from ..functions.names import format_size, relative_link
-from .ranking import row_number_by_buckets
 
 STRATEGIES = ("newest", "oldest", "first_found")
 MEMBER_COLS = ["stage", "group_key", "size", "path", "ord", "mtime_us", "role"]
@@ -159,13 +158,26 @@ def with_prefix_hash(df: DataFrame, content: str = "text", chunk_size: int = 819
     return df.withColumn(out, F.md5(F.substring(_as_binary(F.col(content)), 1, chunk_size)))
 
 
+def slim_manifest(manifest: DataFrame, content: str = "text", chunk_size: int = 8192) -> DataFrame:
+    """A manifest with ``md5`` and ``prefix_md5`` in the place of its content
+    column: both are expressions of the scan, so no later step of the cascade
+    moves content.  A listing without content stays as it is (its candidates
+    are hashed by the file reader)."""
+    if content not in manifest.columns:
+        return manifest
+    return with_content_hash(with_prefix_hash(manifest, content, chunk_size), content).drop(content)
+
+
 def prefix_candidates(candidates: DataFrame, content: str = "text", chunk_size: int = 8192) -> DataFrame:
     """Candidates whose ``(size, prefix md5)`` is shared by two or more.
 
     An optional prefilter: equal files have equal prefixes, so the full-hash
     groups are the same with or without it.  Without a content column the
-    files are read on the executors (first ``chunk_size`` bytes only)."""
-    if content in candidates.columns:
+    files are read on the executors (first ``chunk_size`` bytes only).  A slim
+    manifest's ``prefix_md5`` is used as it is."""
+    if "prefix_md5" in candidates.columns:
+        h = candidates
+    elif content in candidates.columns:
         h = with_prefix_hash(candidates, content, chunk_size)
     else:
         from ..sources.files import hash_files
@@ -216,7 +228,12 @@ def dup_members(manifest: DataFrame, strategy: str = "newest", content: str = "t
 
     ``with_order`` adds the report order of each group: first scan position
     of its size, of its prefix group (content groups; the group itself for
-    filename groups) and of the group."""
+    filename groups) and of the group.
+
+    The content is hashed in one scan and left behind; the slim rows are
+    frozen once and every step reads them."""
+    if content in manifest.columns:
+        manifest = reliable_checkpoint(slim_manifest(manifest, content, chunk_size))
     stats = name_stats(manifest, strategy)
     # one join carries each file's group counts; both stages branch from it
     m = manifest.join(stats.select("size", "name", "n", "size_n", "keep_ord"), ["size", "name"])
@@ -231,9 +248,7 @@ def dup_members(manifest: DataFrame, strategy: str = "newest", content: str = "t
         "first_ord", F.col("first_ord").alias("prefix_first_ord"))
     names = names.join(name_first, ["size", "group_key"])
     c = prefix_candidates(cands, content, chunk_size)
-    if content in c.columns:
-        c = with_content_hash(c, content)
-    else:
+    if "md5" not in c.columns:
         from ..sources.files import hash_files
         c = hash_files(c, chunk_size)
     groups = (c.groupBy("size", "md5")
@@ -318,28 +333,6 @@ def apply_decisions(members: DataFrame, decisions: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------
 # report
 # ---------------------------------------------------------------------------
-def group_order(members: DataFrame, manifest: DataFrame, content: str = "text",
-                chunk_size: int = 8192) -> DataFrame:
-    """Report order of the groups: filename groups, then content groups; by
-    the first scan position of the size, then (content) of the prefix group,
-    then of the group itself."""
-    size_first = manifest.groupBy("size").agg(F.min("ord").alias("size_first_ord"))
-    g = members.groupBy("stage", "group_key", "size").agg(
-        F.count(F.lit(1)).alias("n_files"), F.min("ord").alias("first_ord"))
-    # prefix group of a content group = min ord among candidates with the same (size, prefix)
-    cands = exclude_name_dups(manifest)
-    pref = (with_prefix_hash(cands, content, chunk_size)
-            .groupBy("size", "prefix_md5").agg(F.min("ord").alias("prefix_first_ord")))
-    cmem = (members.filter(F.col("stage") == "content")
-            .join(manifest.select("path", content), "path")
-            .transform(lambda d: with_prefix_hash(d, content, chunk_size))
-            .join(pref, ["size", "prefix_md5"])
-            .groupBy("stage", "group_key").agg(F.min("prefix_first_ord").alias("prefix_first_ord")))
-    g = g.join(size_first, "size").join(cmem, ["stage", "group_key"], "left")
-    return g.withColumn("stage_no", F.when(F.col("stage") == "filename", 0).otherwise(1))\
-        .withColumn("prefix_first_ord", F.coalesce("prefix_first_ord", "first_ord"))
-
-
 def dup_report(members: DataFrame, manifest: DataFrame, directory: str, at: str,
                content: str = "text", chunk_size: int = 8192, strategy: str = "newest") -> DataFrame:
     """The text report as rows ``(group_no, line_no, line)``; group 0 is the
@@ -348,13 +341,13 @@ def dup_report(members: DataFrame, manifest: DataFrame, directory: str, at: str,
     ``members`` should come from ``dup_members(..., with_order=True)``;
     otherwise the order columns are recomputed.  Members are checkpointed
     once (the report reads them several times), group numbers come from a
-    range-partitioned sort, and delete lines are numbered in buckets, so no
+    range-partitioned sort, and so do the numbers of the delete lines: no
     step runs in a single task."""
     from .ranking import sorted_positions
     if "size_first_ord" not in members.columns:
-        members = members.join(group_order(members, manifest, content, chunk_size)
-                               .select("stage", "group_key", "size_first_ord", "prefix_first_ord", "first_ord"),
-                               ["stage", "group_key"])
+        order = dup_members(manifest, strategy, content, chunk_size=chunk_size, with_order=True).select(
+            "stage", "group_key", "size_first_ord", "prefix_first_ord", "first_ord").distinct()
+        members = members.join(order, ["stage", "group_key"])
     members = members.transform(reliable_checkpoint)
     spark = members.sparkSession
 
@@ -388,10 +381,10 @@ def dup_report(members: DataFrame, manifest: DataFrame, directory: str, at: str,
     # keeper on line 1, deletes in the reference's list order, blank line last
     m = members.join(numbered.select("stage", "group_key", "group_no"), ["stage", "group_key"])
     dorder = [F.col("ord")] if strategy == "first_found" else [F.col("mtime_us"), F.col("ord")]
-    # a hot group is cut into buckets of at most 2**16 scan positions
-    dbucket = F.struct(*dorder[:-1], F.floor(F.col("ord") / F.lit(1 << 16)).alias("_ob"))
-    dels = row_number_by_buckets(m.filter(F.col("role") == "delete"), dorder, dbucket,
-                                 partition=["group_no"], out="k")
+    # one sort numbers all deletes; a group's own numbers start at its first
+    dels = sorted_positions(m.filter(F.col("role") == "delete"), [F.col("group_no"), *dorder], out="_pos")
+    first = dels.groupBy("group_no").agg(F.min("_pos").alias("_first"))
+    dels = dels.join(first, "group_no").withColumn("k", F.col("_pos") - F.col("_first") + 1)
     keep_line = m.filter(F.col("role") == "keep").select(
         "group_no", F.lit(1).cast("bigint").alias("line_no"), F.concat(F.lit("  Keep: "), F.col("path")).alias("line"))
     del_lines = dels.select("group_no", (F.col("k") + 1).cast("bigint").alias("line_no"),

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 from ..functions.names import split_ext, stem
 from ..session import reliable_checkpoint
-from .ranking import forward_fill
+from .ranking import forward_fill, row_number_by_buckets
 
 # Fixed values (must equal the reference's for equal results): input
 # extensions, the quarantine's log file, the lock-file prefix, the error-log
@@ -70,13 +70,15 @@ def intake_select(new_files: DataFrame, quarantine: DataFrame, name: str = "name
     """New inputs if there are any, else the quarantine listing (flagged).
 
     Both branches are tagged with a priority and unioned; the one-row
-    ``min(priority)`` picks the branch, joined by value (a one-row table)."""
-    a = new_files.select(F.col(name).alias("name"), F.lit(0).alias("_prio"))
-    b = filter_supported(quarantine, name, quarantine=True).select(F.col(name).alias("name"), F.lit(1).alias("_prio"))
-    both = a.unionByName(b)
+    ``min(priority)`` picks the branch, joined by value (a one-row table).
+    Every file keeps its own columns (path, size, page count, ...), so equal
+    base names stay different files."""
+    a = new_files.withColumn("_prio", F.lit(0))
+    b = filter_supported(quarantine, name, quarantine=True).withColumn("_prio", F.lit(1))
+    both = a.unionByName(b, allowMissingColumns=True)
     chosen = both.agg(F.min("_prio").alias("_prio"))
     return (both.join(F.broadcast(chosen), "_prio")
-            .select("name", (F.col("_prio") == 1).alias("from_quarantine")))
+            .withColumn("from_quarantine", F.col("_prio") == 1).drop("_prio"))
 
 
 def checkpoint_antijoin(files: DataFrame, processed: DataFrame, key: str = "file_id") -> DataFrame:
@@ -108,7 +110,7 @@ def complexity_order(files: DataFrame, name: str = "name", ord_col: str = "ord")
     order, and per-partition counts (one row per partition) give offsets."""
     from .ranking import sorted_positions
     s = complexity_score(files, name)
-    return sorted_positions(s, [F.col("score").asc(), F.col(ord_col).asc()], out="position")
+    return sorted_positions(s, [F.col("score").asc(), F.col(ord_col).asc(), F.col(name).asc()], out="position")
 
 
 def complexity_top5(files: DataFrame, name: str = "name", ord_col: str = "ord", k: int = 5) -> DataFrame:
@@ -172,19 +174,30 @@ def output_format_summary(validated: DataFrame) -> DataFrame:
     return validated.groupBy("route").agg(F.count(F.lit(1)).alias("files"))
 
 
-def route_manifest(outcomes: DataFrame, taken: DataFrame, epoch: int, name: str = "file_name") -> DataFrame:
+def route_manifest(outcomes: DataFrame, taken: DataFrame, epoch: int, name: str = "file_name",
+                   ord_col: str = "ord") -> DataFrame:
     """Destination per outcome: ``processed/`` (move) for successes,
     ``error/`` (copy: the reference's "move" copies) for failures; a taken
-    name gets ``_<epoch>`` before its extension.  Skipped files stay."""
-    t = taken.select(F.col("name").alias("_taken")).distinct()
-    o = outcomes.filter(F.col("status") != "skipped").join(t, F.col(name) == F.col("_taken"), "left")
-    ext = split_ext(F.col(name))
-    renamed = F.concat(stem(F.col(name)), F.lit(f"_{int(epoch)}"), ext)
+    name gets ``_<epoch>`` before its extension.  Skipped files stay.
+
+    ``taken`` holds names, per ``folder`` if it has that column.  Files with
+    equal names take their turn by ``ord_col``: the first gets the name (if
+    free), the next ``_<epoch>``, the third ``_<epoch>_2`` and so on."""
+    by_folder = "folder" in taken.columns
+    t = taken.select(F.col("name").alias("_taken"), *([F.col("folder").alias("_in")] if by_folder else [])).distinct()
+    o = outcomes.filter(F.col("status") != "skipped").withColumn(
+        "folder", F.when(F.col("status") == "ok", "processed/").otherwise("error/"))
+    o = row_number_by_buckets(o, [F.col(ord_col)], F.floor(F.col(ord_col) / F.lit(1 << 16)),
+                              partition=["folder", name], out="_turn")
+    same = F.col(name) == F.col("_taken")
+    o = o.join(t, (same & (F.col("folder") == F.col("_in"))) if by_folder else same, "left")
+    nth = F.col("_turn") - F.when(F.col("_taken").isNull(), 1).otherwise(0)
+    suffix = F.concat(F.lit(f"_{int(epoch)}"), F.when(nth > 1, F.concat(F.lit("_"), nth.cast("string"))).otherwise(""))
+    renamed = F.concat(stem(F.col(name)), suffix, split_ext(F.col(name)))
     return o.select(
-        "*",
-        F.when(F.col("status") == "ok", "processed/").otherwise("error/").alias("folder"),
-        F.when(F.col("_taken").isNotNull(), renamed).otherwise(F.col(name)).alias("dest_name"),
-        F.when(F.col("status") == "ok", "move").otherwise("copy").alias("action")).drop("_taken")
+        *outcomes.columns, "folder",
+        F.when(nth > 0, renamed).otherwise(F.col(name)).alias("dest_name"),
+        F.when(F.col("status") == "ok", "move").otherwise("copy").alias("action"))
 
 
 def repair_quarantine(quarantine: DataFrame, extractions: DataFrame, name: str = "name") -> DataFrame:

@@ -85,30 +85,52 @@ def _reset_marks(ts: np.ndarray, first_reset: int, width: int) -> np.ndarray:
     return marks
 
 
-def fold_key(pdf: pd.DataFrame, anchor_us: int | None) -> pd.DataFrame:
-    pdf = pdf.sort_values(["ts_us", "event_id"], kind="stable").reset_index(drop=True)
+def fresh_carry(anchor_us: int) -> tuple:
+    """Counters before a key's first request: next minute reset, tokens, next
+    day reset, requests of the day, timestamps of the trailing minute and the
+    number of requests at each."""
+    return anchor_us + MINUTE_US, 0, anchor_us + DAY_US, 0, [], []
+
+
+def _since_reset(marks: np.ndarray, amounts: np.ndarray, carried: int) -> np.ndarray:
+    """Running sum that restarts at each mark; ``carried`` counts before the
+    first one."""
+    total = np.cumsum(amounts)
+    base = np.maximum.accumulate(np.where(marks, np.arange(len(marks)), -1))
+    return np.where(base < 0, total + carried, total - total[base] + amounts[base])
+
+
+def fold_batch(pdf: pd.DataFrame, carry: tuple) -> tuple[pd.DataFrame, tuple]:
+    """The counters after each request of one key, from the carried ones, and
+    the carry for its next requests."""
+    next_minute, tokens, next_day, requests, recent, recent_n = carry
+    pdf = pdf.sort_values(["ts_us", "event_id"], kind="stable")
     ts = pdf["ts_us"].to_numpy(dtype=np.int64)
-    tok = pdf["tokens"].fillna(0).to_numpy(dtype=np.int64)
-    anchor = int(ts[0]) if anchor_us is None else int(anchor_us)
-    m = _reset_marks(ts, anchor + MINUTE_US, MINUTE_US)
-    d = _reset_marks(ts, anchor + DAY_US, DAY_US)
-    mseg = np.cumsum(m)
-    dseg = np.cumsum(d)
-    tokens_minute = pd.Series(tok).groupby(mseg).cumsum().to_numpy()
-    day_requests = pd.Series(np.ones(len(ts), dtype=np.int64)).groupby(dseg).cumsum().to_numpy()
-    # requests kept in the trailing-minute list after recording this one
-    idx = np.arange(len(ts))
-    rpm_after = idx - np.searchsorted(ts, ts - MINUTE_US, side="right") + 1
-    return pd.DataFrame({
+    m, d = _reset_marks(ts, next_minute, MINUTE_US), _reset_marks(ts, next_day, DAY_US)
+    out = pd.DataFrame({
         "event_id": pdf["event_id"].to_numpy(dtype=np.int64),
         "api_key": pdf["api_key"].to_numpy(dtype=np.int64),
         "ts_us": ts,
-        "tokens_minute": tokens_minute.astype(np.int64),
-        "day_requests": day_requests.astype(np.int64),
-        "rpm_after": rpm_after.astype(np.int64),
+        "tokens_minute": _since_reset(m, pdf["tokens"].fillna(0).to_numpy(dtype=np.int64), tokens),
+        "day_requests": _since_reset(d, np.ones(len(ts), dtype=np.int64), requests),
         "minute_reset": m,
         "day_reset": d,
     })
+    # requests inside the trailing minute: of this batch, and carried ones
+    start = ts - MINUTE_US
+    counts = np.concatenate([[0], np.cumsum(np.asarray(recent_n, dtype=np.int64))]).astype(np.int64)
+    carried = counts[-1] - counts[np.searchsorted(np.asarray(recent, dtype=np.int64), start, side="right")]
+    out.insert(5, "rpm_after", np.arange(1, len(ts) + 1) - np.searchsorted(ts, start, side="right") + carried)
+    stamps, n = np.unique(ts, return_counts=True)
+    kept = [(int(t), int(k)) for t, k in [*zip(recent, recent_n), *zip(stamps, n)] if t > start[-1]]
+    return out, (int(ts[m][-1]) + MINUTE_US if m.any() else next_minute, int(out["tokens_minute"].iloc[-1]),
+                 int(ts[d][-1]) + DAY_US if d.any() else next_day, int(out["day_requests"].iloc[-1]),
+                 [t for t, _ in kept], [k for _, k in kept])
+
+
+def fold_key(pdf: pd.DataFrame, anchor_us: int | None) -> pd.DataFrame:
+    anchor = int(pdf["ts_us"].min()) if anchor_us is None else int(anchor_us)
+    return fold_batch(pdf, fresh_carry(anchor))[0]
 
 
 FOLD_SCHEMA = ("event_id bigint, api_key bigint, ts_us bigint, tokens_minute bigint, day_requests bigint, "

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from ..functions.names import base_name, file_id, stem
 from ..operators import dedup as D
 from ..operators import intake as I
-from ..sinks.writers import write_corpus, write_dataset
+from ..session import reliable_checkpoint
+from ..sinks.writers import check_run_options, resume_stage, write_corpus, write_dataset
 from ..sources import files as S
 from . import pipelines as PL
 
@@ -24,12 +25,18 @@ def dedup_job(spark: SparkSession, directory: str, out: str, include=(), exclude
               strategy: str = "newest", symlink: bool = False, chunk_size: int = 8192,
               report_at: str = "", state_dir: str | None = None, run_id: str = "dedup") -> dict:
     """Scan, filter, run the cascade once (members with their report order,
-    checkpointed), then write members, the action plan and the report."""
-    from ..session import reliable_checkpoint
-    manifest = S.scan_manifest(spark, directory)
-    filtered = D.filter_depth(D.filter_extensions(manifest, include, exclude), max_depth)
-    ordered = reliable_checkpoint(D.dup_members(filtered, strategy, content="content", chunk_size=chunk_size,
-                                                with_order=True))
+    checkpointed), then write members, the action plan and the report.  With
+    ``state_dir`` the listing and the members are stored under ``run_id``, and
+    a rerun reads them back; another directory or other options are refused."""
+    check_run_options(spark, state_dir, run_id, {
+        "directory": directory, "include": sorted(include or ()), "exclude": sorted(exclude or ()),
+        "max_depth": max_depth, "strategy": strategy, "chunk_size": chunk_size})
+    filtered = resume_stage(spark, state_dir, run_id, "listing", lambda: D.filter_depth(
+        D.filter_extensions(S.scan_manifest(spark, directory), include, exclude), max_depth))
+    ordered = resume_stage(spark, state_dir, run_id, "ordered_members", lambda: D.dup_members(
+        filtered, strategy, content="content", chunk_size=chunk_size, with_order=True))
+    if state_dir is None:
+        ordered = reliable_checkpoint(ordered)
     members = ordered.select(*D.MEMBER_COLS)
     members.write.mode("overwrite").parquet(_out(out, "members"))
     D.action_plan(members, symlink).write.mode("overwrite").parquet(_out(out, "plan"))
@@ -73,7 +80,8 @@ def intake_job(spark: SparkSession, inbox_dir: str, output_dir: str, error_dir:
         "path", "name", "size", "ord", F.lit(None).cast("bigint").alias("page_count"))
     outputs = S.walk_files(spark, output_dir, recursive=False).select(base_name(F.col("path")).alias("name"))\
         .filter(F.col("name").endswith(".md")).select(stem(F.col("name")).alias("stem"))
-    quarantine = S.walk_files(spark, error_dir).select(base_name(F.col("path")).alias("name"))
+    quarantine = S.scan_manifest(spark, error_dir).select(
+        "path", "name", "size", "ord", F.lit(None).cast("bigint").alias("page_count"))
     plan = PL.intake_batch(inbox, outputs, quarantine)
     plan.write.mode("overwrite").parquet(_out(out, "intake"))
     return spark.read.parquet(_out(out, "intake")).count()

@@ -19,7 +19,8 @@ from ..operators import dedup as D
 from ..operators import intake as I
 from ..operators.consolidate import allocate_names
 from ..operators.publish import dataset_card
-from ..sinks.writers import resume_stage
+from ..sinks.writers import check_run_options, resume_stage
+from ..session import reliable_checkpoint
 
 
 @dataclass
@@ -32,11 +33,20 @@ class DedupResult:
 def dedup_corpus(manifest: DataFrame, include=(), exclude=(), max_depth: int | None = None,
                  strategy: str = "newest", symlink: bool = False, content: str = "text",
                  use_prefix: bool = True, chunk_size: int = 8192,
-                 state_dir: str | None = None, run_id: str = "dedup") -> DedupResult:
+                 state_dir: str | None = None, run_id: str = "dedup", source: str = "") -> DedupResult:
     """Scan filters, size and name stages, content stage, keeper policy,
-    statistics and the action plan."""
+    statistics and the action plan.  A run with ``state_dir`` resumes its
+    finished stages; the same run id with another ``source`` or other options
+    is refused."""
     spark = manifest.sparkSession
-    m = D.filter_depth(D.filter_extensions(manifest, include, exclude), max_depth)
+    check_run_options(spark, state_dir, run_id, {
+        "source": source, "include": sorted(include or ()), "exclude": sorted(exclude or ()), "max_depth": max_depth,
+        "strategy": strategy, "content": content, "use_prefix": use_prefix, "chunk_size": chunk_size})
+    # content is hashed in the scan and left behind; every stage reads slim rows
+    m = resume_stage(spark, state_dir, run_id, "manifest", lambda: D.slim_manifest(
+        D.filter_depth(D.filter_extensions(manifest, include, exclude), max_depth), content, chunk_size))
+    if state_dir is None:
+        m = reliable_checkpoint(m)
     stats_n = resume_stage(spark, state_dir, run_id, "names", lambda: D.name_stats(m, strategy))
     # one join carries each file's group counts to both stages
     counted = m.join(stats_n.select("size", "name", "n", "size_n", "keep_ord"), ["size", "name"])
@@ -50,7 +60,6 @@ def dedup_corpus(manifest: DataFrame, include=(), exclude=(), max_depth: int | N
     if state_dir is None:
         # stats and plan both read the members: freeze them once (they are
         # only the duplicates, a small table next to the manifest)
-        from ..session import reliable_checkpoint
         members = reliable_checkpoint(members)
     return DedupResult(members, D.dedup_stats(members, m), D.action_plan(members, symlink))
 
@@ -83,8 +92,7 @@ def intake_batch(inbox: DataFrame, outputs: DataFrame, quarantine: DataFrame) ->
     """What a conversion batch will do: the chosen source (new inputs, else
     the quarantine), in complexity order, with lock files marked skipped."""
     chosen = I.intake_select(I.intake_new(inbox, outputs), quarantine)
-    files = chosen.join(inbox.select("name", "ord", "size", "page_count"), "name", "left")
-    ordered = I.complexity_order(files)
+    ordered = I.complexity_order(chosen)
     return I.filter_temp_files(ordered).select("position", "name", "from_quarantine", "pages", "score", "status")
 
 

@@ -39,7 +39,7 @@ def q_allocate_names(spark, sf):
 def q_allocate_names_distributed(spark, sf):
     """The plan used for families above the grouped-map bound, forced."""
     fx = Fixtures(spark, sf)
-    return allocate_names(fx["manifest"].select("ord", "name"), fx["existing_names"], max_group_rows=0)\
+    return allocate_names(fx["manifest"].select("ord", "name"), fx["existing_names"])\
         .select("ord", "name", "target_name")
 
 

@@ -105,14 +105,14 @@ def q_exclude_name_dups(spark, sf):
 @query("prefix_candidates", _with() + "\nSELECT ord, path, size, prefix_md5 FROM pc", ("manifest",))
 def q_prefix_candidates(spark, sf):
     m = Fixtures(spark, sf)["manifest"]
-    return D.prefix_candidates(D.exclude_name_dups(m), "text", 8192).select("ord", "path", "size", "prefix_md5")
+    return D.prefix_candidates(D.exclude_name_dups(D.slim_manifest(m)), "text", 8192).select("ord", "path", "size", "prefix_md5")
 
 
 @query("content_dups", _with() + "\nSELECT stage, group_key, size, path, ord, mtime_us, role FROM cmem",
        ("manifest",))
 def q_content_dups(spark, sf):
     m = Fixtures(spark, sf)["manifest"]
-    return D.content_dups(D.exclude_name_dups(m), "newest").select(*D.MEMBER_COLS)
+    return D.content_dups(D.exclude_name_dups(D.slim_manifest(m)), "newest").select(*D.MEMBER_COLS)
 
 
 @query("content_dups_noprefix", _with() + "\nSELECT stage, group_key, size, path, ord, mtime_us, role FROM cmem",
@@ -120,7 +120,7 @@ def q_content_dups(spark, sf):
 def q_content_dups_noprefix(spark, sf):
     """Same groups with the prefix stage switched off (it is only a filter)."""
     m = Fixtures(spark, sf)["manifest"]
-    return D.content_dups(D.exclude_name_dups(m), "newest", use_prefix=False).select(*D.MEMBER_COLS)
+    return D.content_dups(D.exclude_name_dups(D.slim_manifest(m)), "newest", use_prefix=False).select(*D.MEMBER_COLS)
 
 
 for _s in D.STRATEGIES:
@@ -271,7 +271,7 @@ lines AS (
 SELECT CAST(group_no AS BIGINT) AS group_no, CAST(line_no AS BIGINT) AS line_no, line FROM lines""",
        ("manifest",))
 def q_dup_report(spark, sf):
-    m = Fixtures(spark, sf)["manifest"]
+    m = reliable_checkpoint(D.slim_manifest(Fixtures(spark, sf)["manifest"]))
     return D.dup_report(D.dup_members(m, with_order=True), m, "/corpus", REPORT_AT)
 
 

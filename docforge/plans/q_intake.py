@@ -62,7 +62,7 @@ b AS (SELECT * FROM new UNION ALL SELECT * FROM q)
 SELECT name, prio = 1 AS from_quarantine FROM b WHERE prio = (SELECT min(prio) FROM b)""", ("inbox", "outputs"))
 def q_intake_select(spark, sf):
     fx = Fixtures(spark, sf)
-    return I.intake_select(I.intake_new(fx["inbox"], fx["outputs"]), fx["outputs"])
+    return I.intake_select(I.intake_new(fx["inbox"], fx["outputs"]), fx["outputs"]).select("name", "from_quarantine")
 
 
 @query("intake_select_quarantine", """
@@ -74,7 +74,7 @@ def q_intake_select_quarantine(spark, sf):
     replaced by its done part), so the quarantine listing is chosen."""
     fx = Fixtures(spark, sf)
     done = I.intake_done(fx["inbox"], fx["outputs"])
-    return I.intake_select(I.intake_new(done, fx["outputs"]), fx["outputs"])
+    return I.intake_select(I.intake_new(done, fx["outputs"]), fx["outputs"]).select("name", "from_quarantine")
 
 
 @query("skip_existing_text", f"""

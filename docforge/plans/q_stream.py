@@ -21,7 +21,7 @@ def _dirs(spark, name):
 
 def _stream(spark, sf, table, cols=None):
     static = spark.read.parquet(f"{sf}/{table}.parquet")
-    s = S.table_stream(spark, sf, static.schema, glob=f"{table}.parquet")
+    s = S.table_stream(spark, sf, static.schema, glob=f"{table}.parquet", max_files_per_trigger=1)
     return s.select(*cols) if cols else s
 
 

@@ -8,6 +8,7 @@ never mistaken for a finished one.
 
 from __future__ import annotations
 
+import json
 import math
 
 from pyspark.sql import DataFrame, SparkSession
@@ -69,6 +70,21 @@ def write_state(df: DataFrame, base: str, run_id: str, stage: str) -> DataFrame:
     return spark.read.parquet(p)
 
 
+def check_run_options(spark: SparkSession, base: str | None, run_id: str, options: dict) -> None:
+    """Remember what a run was started with; a rerun under the same id with
+    other inputs or options is refused, since its stored stages are not those
+    of this run."""
+    if base is None:
+        return
+    path, now = stage_path(base, run_id, "options"), json.dumps(options, sort_keys=True)
+    if stage_done(spark, base, run_id, "options"):
+        before = spark.read.text(path).first()[0]
+        if before != now:
+            raise ValueError(f"run {run_id!r} was started with {before}, not {now}: use another run id")
+        return
+    spark.createDataFrame([(now,)], "options string").coalesce(1).write.mode("overwrite").text(path)
+
+
 def resume_stage(spark: SparkSession, base: str | None, run_id: str, stage: str, build) -> DataFrame:
     """The stored result of a finished stage, or ``build()`` written as that
     stage.  Without a base folder, just ``build()``."""

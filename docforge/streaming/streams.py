@@ -9,15 +9,13 @@ each input row is processed once.  Sinks are files (Parquet) or
 
 from __future__ import annotations
 
-from collections import deque
-
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from ..functions import text as T
-from ..operators.quota import DAY_US, MINUTE_US
+from ..operators.quota import FOLD_SCHEMA, NO_KEY, fold_batch, fresh_carry
 
 
 # ---------------------------------------------------------------------------
@@ -82,49 +80,33 @@ def stream_quota_windows(stream: DataFrame, ts_us: str = "ts_us", key: str = "ap
             .select(key, F.unix_micros(F.col("window.start")).alias("window_start_us"), "requests", "tokens"))
 
 
-QUOTA_STATE = "minute_reset long, tokens long, day_reset long, day_requests long, recent array<long>"
-QUOTA_OUT = ("event_id long, api_key long, ts_us long, tokens_minute long, day_requests long, "
-             "rpm_after long, minute_reset boolean, day_reset boolean")
+QUOTA_STATE = ("next_minute long, tokens long, next_day long, day_requests long, recent array<long>, "
+               "recent_n array<long>")
 
 
 def _quota_update(anchor_us):
     def fn(key, batches, state):
-        pdf = pd.concat(list(batches), ignore_index=True).sort_values(["ts_us", "event_id"], kind="stable")
-        if state.exists:
-            mr, tok, dr, dayn, recent = state.get
-            recent = deque(recent)
-        else:
-            first = int(pdf["ts_us"].iloc[0]) if anchor_us is None else int(anchor_us)
-            mr, tok, dr, dayn, recent = first + MINUTE_US, 0, first + DAY_US, 0, deque()
-        rows = []
-        for ev, t, est in zip(pdf["event_id"], pdf["ts_us"], pdf["tokens"].fillna(0)):
-            t, est = int(t), int(est)
-            tok += est
-            m_reset = t > mr
-            if m_reset:
-                tok, mr = est, t + MINUTE_US
-            dayn += 1
-            d_reset = t > dr
-            if d_reset:
-                dayn, dr = 1, t + DAY_US
-            recent.append(t)   # arrivals are in time order: expire from the left
-            while recent[0] <= t - MINUTE_US:
-                recent.popleft()
-            rows.append((int(ev), int(key[0]), t, tok, dayn, len(recent), m_reset, d_reset))
-        state.update((mr, tok, dr, dayn, list(recent)))
-        yield pd.DataFrame(rows, columns=[c.split()[0] for c in QUOTA_OUT.split(", ")])
+        pdf = pd.concat(list(batches), ignore_index=True)
+        first = int(pdf["ts_us"].min()) if anchor_us is None else int(anchor_us)
+        out, carry = fold_batch(pdf, tuple(state.get) if state.exists else fresh_carry(first))
+        state.update(carry)
+        yield out
     return fn
 
 
 def stream_quota_exact(stream: DataFrame, anchor_us: int | None = None) -> DataFrame:
     """The tracker's exact counters on a request stream, state per key
-    (resets, token and daily counters, and the timestamps of the trailing
-    minute, which the request limit keeps small).  Requests of a key must
-    arrive in time order across micro-batches."""
-    cols = stream.select(F.col("event_id").cast("long"), F.col("api_key").cast("long"),
+    (resets, token and daily counters, and how many requests fell on each
+    timestamp of the trailing minute).  Requests of a key must arrive in time
+    order across micro-batches; the source's ``maxFilesPerTrigger`` bounds
+    what one micro-batch holds.  Null tokens count 0, and requests without a
+    key are a key of their own."""
+    cols = stream.select(F.col("event_id").cast("long"),
+                         F.coalesce(F.col("api_key").cast("long"), F.lit(NO_KEY)).alias("api_key"),
                          F.col("ts_us").cast("long"), F.col("tokens").cast("long"))
-    return cols.groupBy("api_key").applyInPandasWithState(
-        _quota_update(anchor_us), QUOTA_OUT, QUOTA_STATE, "append", GroupStateTimeout.NoTimeout)
+    out = cols.groupBy("api_key").applyInPandasWithState(
+        _quota_update(anchor_us), FOLD_SCHEMA, QUOTA_STATE, "append", GroupStateTimeout.NoTimeout)
+    return out.withColumn("api_key", F.nullif(F.col("api_key"), F.lit(NO_KEY)))
 
 
 def stream_quota(stream: DataFrame, anchor_us: int | None = None, exact: bool = True,
