@@ -3,11 +3,12 @@
 A text's family is decided first, by linear classifiers over hashed character
 n-grams; within the family, one-versus-one linear support vector machines
 separate the languages.  Everything is fitted on a bounded sample of labelled
-rows; only their n-gram counts reach the driver.
+rows in one task; only the machines' weights reach the driver.
 """
 
 from __future__ import annotations
 
+import pickle
 from itertools import combinations
 
 import numpy as np
@@ -173,16 +174,20 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
     rate = F.create_map(*[F.lit(v) for lang, n in counts.items() for v in (lang, min(1.0, each / n))])
     sample = rows.where(F.col("_draw") < rate[F.col("lang")]).select("lang", "text").limit(2 * most_rows)
 
-    def features(batches):
+    def train(batches):
+        langs, parts = [], []
         for b in slices(batches, "text"):
             for at in range(0, len(b), 512):
                 part = b.slice(at, 512)
-                x = ngram_counts(*binary_offsets(part.column(1)))
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(list(x.astype(np.float32)))], ["lang", "x"])
-
-    got = sample.mapInArrow(features, "lang string, x array<float>").toArrow()
-    x = got.column("x").combine_chunks().flatten().to_numpy().reshape(-1, BUCKETS)
-    return LanguageModel(x, got.column("lang").to_pylist())
+                langs += part.column(0).to_pylist()
+                parts.append(ngram_counts(*binary_offsets(part.column(1))).astype(np.float32))
+        if langs:
+            model = LanguageModel(np.concatenate(parts), langs)
+            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], ["model"])
+
+    # the sample is bounded, so one task fits the model; the driver gets its weights only
+    got = sample.coalesce(1).mapInArrow(train, "model binary").collect()
+    return pickle.loads(got[0]["model"]) if got else None
 
 
 def predict(docs: DataFrame, model: LanguageModel | None, text_col: str = "text",
