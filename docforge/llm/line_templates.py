@@ -1,11 +1,13 @@
 """Line de-duplication by a log-template tree.
 
 A line is parsed to a leaf of a tree of fixed depth: its token count, then its
-leading tokens, tokens with digits being variable fields.  In a leaf a token is
-a constant where enough documents have it at its place; other tokens are
-variable fields.  A line of constants is a template of its own, and a line that
-is constant but for a few fields follows a template of its leaf.  Templates
-that recur across documents are dropped, all but the first occurrence.
+leading tokens, runs of digits being variable fields.  Fields are only masked
+in lines that say something without them (``tokens``): rows of numbers are
+compared by their exact tokens.  In a leaf a token is a constant where enough
+documents have it at its place; other tokens are variable fields.  A line of
+constants is a template of its own, and a line that is constant but for a few
+fields follows a template of its leaf.  Templates that recur across documents
+are dropped, all but the first occurrence.
 
 Only hashes of lines are shuffled, except for the lines that share a leaf with
 different ones: those are compared token by token.
@@ -18,15 +20,23 @@ from pyspark.sql import functions as F
 
 from ..session import reliable_checkpoint
 
-FIELD = "<*>"
+FIELD = "0"  # stands for every run of digits, so no text of its own can look like a field
 
 
 def tokens(line: Column) -> Column:
-    """The tokens of a line; those with a digit are the variable field."""
+    """The tokens of a line, runs of digits being the variable field.
+
+    A line keeps its numbers, as one token that equals only itself, unless half
+    of its tokens hold a letter and it has two letters for every field."""
     plain = F.when(line.rlike(r"[\t\r\f]"), F.translate(line, "\t\r\f", "   ")).otherwise(line)
     words = F.array_remove(F.split(plain, " "), "")
-    masked = F.transform(words, lambda x: F.when(x.rlike("[0-9]"), F.lit(FIELD)).otherwise(x))
-    return F.when(line.rlike("[0-9]"), masked).otherwise(words)
+    hidden = F.regexp_replace(plain, "[0-9]+", FIELD)
+    masked = F.array_remove(F.split(hidden, " "), "")
+    named = F.size(F.filter(masked, lambda x: x.rlike(r"\p{L}")))
+    letters = F.length(F.regexp_replace(hidden, r"\P{L}+", ""))
+    fields = F.length(F.regexp_replace(hidden, f"[^{FIELD}]+", ""))
+    says = (2 * named >= F.size(masked)) & (letters >= 2 * fields)
+    return F.when(line.rlike("[0-9]"), F.when(says, masked).otherwise(F.array(F.array_join(words, " ")))).otherwise(words)
 
 
 def _key(id_col: str, text: Column) -> dict[str, Column]:
@@ -62,19 +72,23 @@ def recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                .select("k1", "k2", F.split("text", "\n").alias("lines"), F.explode("forms").alias("f"))
                .select("f.leaf", "f.full", "f.docs", tokens(F.expr("lines[f.line_no]")).alias("t")))
     # rows of equal id and text spell the same form more than once
+    # a field is neither alike nor different, so only the other tokens count
+    plain = F.filter("t", lambda x: ~x.contains(FIELD))
+    lead = F.size(F.filter(F.slice("t", 1, leading), lambda x: ~x.contains(FIELD)))
     places = (
-        spelled.select("leaf", "full", "docs", F.size("t").alias("n"), F.posexplode("t").alias("place", "token"))
-        .where((F.col("place") >= leading) | (F.col("place") == 0))
-        .select("leaf", "full", "docs", "n", "place", F.xxhash64("place", "token").alias("field")).distinct())
+        spelled.select("leaf", "full", "docs", F.size(plain).alias("n"), lead.alias("lead"),
+                       F.posexplode("t").alias("place", "token"))
+        .where(((F.col("place") >= leading) & ~F.col("token").contains(FIELD)) | (F.col("place") == 0))
+        .select("leaf", "full", "docs", "n", "lead", "place", F.xxhash64("place", "token").alias("field")).distinct())
     constants = (places.where(F.col("place") >= leading).groupBy("leaf", "field").agg(F.sum("docs").alias("all"))
                  .where(F.col("all") >= min_docs).select("leaf", "field"))
     # how many of a rare form's later tokens are constants of the leaf
     rare = places.where(~recurring)
     fixed = (rare.where(F.col("place") >= leading).join(constants, ["leaf", "field"], "left_semi")
              .groupBy("leaf", "full").agg(F.count("*").alias("fixed")))
-    same = (F.least("n", F.lit(leading)) + F.coalesce("fixed", F.lit(0))) / F.col("n")
+    same = (F.col("lead") + F.coalesce("fixed", F.lit(0))) / F.nullif(F.col("n"), F.lit(0))
     followers = (
-        rare.where(F.col("place") == 0).select("leaf", "full", "n").join(fixed, ["leaf", "full"], "left")
+        rare.where(F.col("place") == 0).select("leaf", "full", "n", "lead").join(fixed, ["leaf", "full"], "left")
         .where(same >= similarity).select("leaf", "full").join(forms, ["leaf", "full"]).select("leaf", "full", "first"))
 
     # the first line of a leaf among templates and followers stays, if it is a follower
