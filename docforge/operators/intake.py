@@ -182,12 +182,15 @@ def route_manifest(outcomes: DataFrame, taken: DataFrame, epoch: int, name: str
 
     ``taken`` holds names, per ``folder`` if it has that column.  Files with
     equal names take their turn by ``ord_col``: the first gets the name (if
-    free), the next ``_<epoch>``, the third ``_<epoch>_2`` and so on."""
+    free), the next ``_<epoch>``, the third ``_<epoch>_2`` and so on; outcomes
+    without ``ord_col`` come last, in the order of their other columns.  Without
+    a name there is no destination name."""
     by_folder = "folder" in taken.columns
     t = taken.select(F.col("name").alias("_taken"), *([F.col("folder").alias("_in")] if by_folder else [])).distinct()
     o = outcomes.filter(F.col("status") != "skipped").withColumn(
         "folder", F.when(F.col("status") == "ok", "processed/").otherwise("error/"))
-    o = row_number_by_buckets(o, [F.col(ord_col)], F.floor(F.col(ord_col) / F.lit(1 << 16)),
+    turn = F.struct(F.col(ord_col).isNull(), F.floor(F.col(ord_col) / F.lit(1 << 16)))
+    o = row_number_by_buckets(o, [F.col(ord_col).asc_nulls_last(), F.to_json(F.struct(*outcomes.columns))], turn,
                               partition=["folder", name], out="_turn")
     same = F.col(name) == F.col("_taken")
     o = o.join(t, (same & (F.col("folder") == F.col("_in"))) if by_folder else same, "left")

@@ -6,7 +6,9 @@ trailing day, and flags them against the limits.  It is exact and skew-safe:
 requests are pre-aggregated per (key, timestamp), cumulative counts are
 two-level running sums, and the count at ``t - window`` is an as-of lookup
 done as a two-level forward fill over the merged sequence of timestamps and
-probes.  No task ever holds a whole key.
+probes.  No task ever holds a whole key.  Requests without a key are a key of
+their own; requests without a timestamp are in no other request's window and
+see each other, the requests of their key without one (as SQL's range windows).
 
 ``quota_fold`` follows the tracker's own counters exactly: a token counter
 that resets at the first request more than 60 s after the previous reset
@@ -35,8 +37,11 @@ RPM_LIMIT, TPM_LIMIT, RPD_LIMIT = 15, 1_000_000, 1_500
 def request_rate(requests: DataFrame, rpm: int = RPM_LIMIT, tpm: int = TPM_LIMIT, rpd: int = RPD_LIMIT,
                  key: str = "api_key", ts: str = "ts_us", tokens: str = "tokens",
                  bucket_us: int = 3_600_000_000) -> DataFrame:
-    per_ts = requests.groupBy(key, ts).agg(F.count(F.lit(1)).alias("_n"),
-                                            F.coalesce(F.sum(tokens), F.lit(0)).alias("_tok"))
+    # a struct is never null and equals one with a null inside, so the joins keep null keys
+    columns, log = requests.columns, requests.withColumns({"_key": F.struct(key), "_ts": F.struct(ts)})
+    key = "_key"
+    per_ts = log.where(F.col(ts).isNotNull()).groupBy(key, ts).agg(
+        F.count(F.lit(1)).alias("_n"), F.coalesce(F.sum(tokens), F.lit(0)).alias("_tok"))
     # one pass over the log: the per-timestamp cumulative table (smaller than
     # the log) is frozen once and every branch below reads it
     cum = reliable_checkpoint(running_sum(per_ts, [key], ts, ["_n", "_tok"], bucket_us))
@@ -60,7 +65,12 @@ def request_rate(requests: DataFrame, rpm: int = RPM_LIMIT, tpm: int = TPM_LIMIT
         (F.col("cum__n") - F.coalesce(F.col("_mn"), F.lit(0))).cast("bigint").alias("req_60s"),
         (F.col("cum__tok") - F.coalesce(F.col("_mt"), F.lit(0))).cast("bigint").alias("tokens_60s"),
         (F.col("cum__n") - F.coalesce(F.col("_dn"), F.lit(0))).cast("bigint").alias("req_day"))
-    out = requests.join(stats, [key, ts])
+    undated = log.where(F.col(ts).isNull()).groupBy(key, ts).agg(
+        F.count(F.lit(1)).alias("req_60s"),
+        F.coalesce(F.sum(tokens), F.lit(0)).cast("bigint").alias("tokens_60s"),
+        F.count(F.lit(1)).alias("req_day"))
+    stats = stats.unionByName(undated).withColumn("_ts", F.struct(ts)).drop(ts)
+    out = log.join(stats, [key, "_ts"]).select(*columns, "req_60s", "tokens_60s", "req_day")
     return out.withColumns({
         "rpm_hit": F.col("req_60s") >= rpm,
         "tpm_hit": F.col("tokens_60s") >= tpm,

@@ -16,6 +16,11 @@ task.  These helpers split ordered work into bounded pieces:
 
 Callers bound the rows per bucket (for example by folding a unique position
 into the bucket), so no task sees more than one bucket of a hot key.
+
+Null partition keys are a partition of their own and null order values a bucket
+of their own (the first): the carry tables are joined on a struct of the
+partition and the bucket, which is never null and equals a struct with nulls at
+the same places.
 """
 
 from __future__ import annotations
@@ -26,18 +31,26 @@ from pyspark.sql import functions as F
 from ..session import reliable_checkpoint
 
 
+def _place(partition: list[str], bucket: Column) -> Column:
+    return F.struct(*[F.col(c).alias(f"p{i}") for i, c in enumerate(partition)], bucket.alias("b"))
+
+
+def _partition(partition: list[str]) -> list[str]:
+    return [f"_place.p{i}" for i in range(len(partition))]
+
+
 def row_number_by_buckets(df: DataFrame, order: list[Column], bucket: Column,
                           partition: list[str] | None = None, out: str = "row_no") -> DataFrame:
     part = list(partition or [])
-    b = df.withColumn("_bucket", bucket)
-    counts = b.groupBy(*part, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    w = (Window.partitionBy(*part) if part else Window).orderBy("_bucket")\
+    b = df.withColumn("_place", _place(part, bucket))
+    counts = b.groupBy("_place").agg(F.count(F.lit(1)).alias("_n"))
+    w = (Window.partitionBy(*_partition(part)) if part else Window).orderBy("_place.b")\
         .rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*part, "_bucket", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
-    local = b.withColumn("_local", F.row_number().over(Window.partitionBy(*part, "_bucket").orderBy(*order)))
-    return (local.join(offsets, [*part, "_bucket"])
+    offsets = counts.select("_place", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
+    local = b.withColumn("_local", F.row_number().over(Window.partitionBy("_place").orderBy(*order)))
+    return (local.join(offsets, "_place")
             .withColumn(out, (F.col("_off") + F.col("_local")).cast("bigint"))
-            .drop("_bucket", "_local", "_off"))
+            .drop("_place", "_local", "_off"))
 
 
 def forward_fill(df: DataFrame, partition: list[str], order: str, value: str, out: str,
@@ -48,18 +61,18 @@ def forward_fill(df: DataFrame, partition: list[str], order: str, value: str, ou
     positions: a window inside each bucket, plus the last value of all earlier
     buckets (a table with one row per bucket).  The bucket window, the bucket
     aggregate and the final join share one hash partitioning."""
-    b = df.withColumn("_fb", F.floor(F.col(order) / F.lit(width)))
-    w_in = Window.partitionBy(*partition, "_fb").orderBy(order)\
+    b = df.withColumn("_place", _place(partition, F.floor(F.col(order) / F.lit(width))))
+    w_in = Window.partitionBy("_place").orderBy(order)\
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     b = b.withColumn("_local", F.last(F.col(value), ignorenulls=True).over(w_in))
     # every bucket, with its own last value (null when it has none)
-    per_bucket = b.groupBy(*partition, "_fb").agg(
+    per_bucket = b.groupBy("_place").agg(
         F.max_by(F.col(value), F.when(F.col(value).isNotNull(), F.col(order))).alias("_tail"))
-    w_prev = Window.partitionBy(*partition).orderBy("_fb").rowsBetween(Window.unboundedPreceding, -1)
-    carry = per_bucket.select(*partition, "_fb", F.last("_tail", ignorenulls=True).over(w_prev).alias("_carry"))
-    return (b.join(carry, [*partition, "_fb"], "left")
+    w_prev = Window.partitionBy(*_partition(partition)).orderBy("_place.b").rowsBetween(Window.unboundedPreceding, -1)
+    carry = per_bucket.select("_place", F.last("_tail", ignorenulls=True).over(w_prev).alias("_carry"))
+    return (b.join(carry, "_place", "left")
             .withColumn(out, F.coalesce(F.col("_local"), F.col("_carry")))
-            .drop("_fb", "_local", "_carry"))
+            .drop("_place", "_local", "_carry"))
 
 
 def sorted_positions(df: DataFrame, order: list[Column], out: str = "position") -> DataFrame:
@@ -85,19 +98,18 @@ def running_sum(df: DataFrame, partition: list[str], order: str, values: list[st
     partition) integer column ``order``, in two levels: a window inside each
     bucket of ``width`` order units, plus the totals of all earlier buckets
     (one row per bucket)."""
-    b = df.withColumn("_rb", F.floor(F.col(order) / F.lit(width)))
-    w_in = Window.partitionBy(*partition, "_rb").orderBy(order)\
+    b = df.withColumn("_place", _place(partition, F.floor(F.col(order) / F.lit(width))))
+    w_in = Window.partitionBy("_place").orderBy(order)\
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     for v in values:
         b = b.withColumn("_l_" + v, F.sum(v).over(w_in))
-    tot = b.groupBy(*partition, "_rb").agg(*[F.sum(v).alias("_t_" + v) for v in values])
-    w_prev = Window.partitionBy(*partition).orderBy("_rb").rowsBetween(Window.unboundedPreceding, -1)
-    tot = tot.select(*partition, "_rb", *[F.coalesce(F.sum("_t_" + v).over(w_prev), F.lit(0)).alias("_o_" + v)
-                                          for v in values])
-    out = b.join(tot, [*partition, "_rb"])
+    tot = b.groupBy("_place").agg(*[F.sum(v).alias("_t_" + v) for v in values])
+    w_prev = Window.partitionBy(*_partition(partition)).orderBy("_place.b").rowsBetween(Window.unboundedPreceding, -1)
+    tot = tot.select("_place", *[F.coalesce(F.sum("_t_" + v).over(w_prev), F.lit(0)).alias("_o_" + v) for v in values])
+    out = b.join(tot, "_place")
     for v in values:
         out = out.withColumn(prefix + v, F.col("_l_" + v) + F.col("_o_" + v)).drop("_l_" + v, "_o_" + v)
-    return out.drop("_rb")
+    return out.drop("_place")
 
 
 def next_after(points: DataFrame, partition: list[str], ts: str, probes: DataFrame, at: str,

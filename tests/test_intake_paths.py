@@ -38,6 +38,16 @@ def test_every_route_has_its_own_destination(spark):
     assert anywhere[6] == "y_17.doc"
 
 
+def test_routes_keep_outcomes_without_name_or_position(spark):
+    rows = [(0, "x.pdf", "ok"), (None, "x.pdf", "ok"), (70000, "x.pdf", "ok"), (3, None, "ok"), (None, None, "failed")]
+    o = spark.createDataFrame(rows, "ord long, file_name string, status string")
+    taken = spark.createDataFrame([("y.doc", "processed/"), (None, "error/")], "name string, folder string")
+    got = {(r.ord, r.file_name): (r.folder, r.dest_name) for r in I.route_manifest(o, taken, 17).collect()}
+    assert got == {(0, "x.pdf"): ("processed/", "x.pdf"), (70000, "x.pdf"): ("processed/", "x_17.pdf"),
+                   (None, "x.pdf"): ("processed/", "x_17_2.pdf"), (3, None): ("processed/", None),
+                   (None, None): ("error/", None)}
+
+
 def test_a_run_resumes_only_as_it_was_started(spark, tmpdir_fresh):
     import os
     src, state = f"{tmpdir_fresh}/src", f"{tmpdir_fresh}/state"
