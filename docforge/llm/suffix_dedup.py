@@ -18,6 +18,9 @@ The documents are dealt into slices of a few megabytes and stay there.
    neighbours byte by byte and give every window the smallest id of its run.
    Equal leading bytes fall on one side of a splitter, so runs never straddle a
    boundary; a string shared by very many documents arrives once per slice.
+   An anchor with more than ``MOST_CONTEXTS`` contexts in the corpus (16 blanks)
+   is not one bucket's work: its windows are sent one by one, to buckets chosen
+   by a hash of their bytes, where equal windows still meet.
 5. Slices mark the covered bytes of each document.
 """
 
@@ -36,6 +39,8 @@ from .arrow_batches import binary_offsets
 GRAM = 16
 SLICE_BYTES = 2 << 20    # text of a slice, and anchors' share of a bucket
 SAMPLE_DOCS = 2000       # documents whose anchors place the splitters
+MOST_CONTEXTS = 1 << 15  # of one anchor, in a bucket
+BUSY, SPREAD = 4, 4      # contexts in a slice that are counted; buckets per slice for windows of frequent anchors
 NO_ID = np.iinfo(np.int64).max
 _TABLE = np.random.default_rng(20).integers(0, 1 << 64, 256, np.uint64)
 
@@ -193,6 +198,35 @@ def _gram_key(raw: np.ndarray, at: np.ndarray) -> np.ndarray:
     return _mix(h) & np.uint64((1 << 48) - 1)
 
 
+def _pair_key(bucket: np.ndarray, gram: np.ndarray) -> np.ndarray:
+    """Bucket and 48-bit anchor key as rows that compare as one."""
+    out = np.empty(len(gram), [("bucket", np.int64), ("gram", np.uint64)])
+    out["bucket"], out["gram"] = bucket, gram
+    return out
+
+
+def _bytes_hash(words: np.ndarray) -> np.ndarray:
+    h = np.zeros(len(words), np.uint64)
+    for k in range(words.shape[1]):
+        h = _mix((h ^ words[:, k]) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(k + 1))
+    return h
+
+
+def _context_counts(raw, at, first, last, group, length):
+    """Distinct contexts (by a 64-bit hash) of every group of anchors."""
+    size = last - first + length
+    text = _clipped(_words(raw, first, (2 * length - GRAM + 7) // 8), size)
+    h = _bytes_hash(np.column_stack([text, (size * 128 + (at - first)).astype(np.uint64)]))
+    order = np.lexsort((h, group))
+    new = np.ones(len(h), bool)
+    new[1:] = (h[order[1:]] != h[order[:-1]]) | (group[order[1:]] != group[order[:-1]])
+    return np.bincount(group[order[new]])
+
+
+def _hot_pairs(buckets: list, blobs: list) -> np.ndarray:
+    return _pair_key(np.repeat(np.asarray(buckets, np.int64), [len(x) // 6 for x in blobs]), _long(blobs))
+
+
 def _by_bucket(bucket: np.ndarray):
     order = np.argsort(bucket, kind="stable")
     cut = np.flatnonzero(np.diff(bucket[order])) + 1
@@ -203,33 +237,53 @@ def _rows(columns: dict, schema: pa.Schema) -> pa.Table:
     return pa.table({f.name: pa.array(columns[f.name], f.type) for f in schema}, schema=schema)
 
 
-SENT = pa.schema([("bucket", pa.int32()), ("slice", pa.int32()), ("one", pa.binary()), ("many", pa.binary())])
-BACK = pa.schema([("slice", pa.int32()), ("grams", pa.binary())])
+SENT = pa.schema([("bucket", pa.int32()), ("slice", pa.int32()), ("one", pa.binary()), ("many", pa.binary()),
+                  ("busy", pa.binary()), ("contexts", pa.list_(pa.int32()))])
+BACK = pa.schema([("slice", pa.int32()), ("from", pa.int32()), ("grams", pa.binary()), ("hot", pa.binary())])
 CONTEXT = pa.schema([("bucket", pa.int32()), ("slice", pa.int32()), ("n", pa.int32()), ("bytes", pa.binary()),
                      ("windows", pa.binary()), ("back", pa.binary()), ("low", pa.list_(pa.int64()))])
 COVER = pa.schema([("slice", pa.int32()), ("bucket", pa.int32()), ("entry", pa.list_(pa.int32())),
                    ("first", pa.binary()), ("last", pa.binary()), ("low", pa.list_(pa.int64()))])
 
 
-def _contexts(ids, raw, offsets, grams, splitters, length):
-    """Occurrences of the candidate anchors and their distinct contexts, in an
-    order that depends on the slice alone."""
-    at, first, last, doc = anchors(raw, offsets, length)
-    keep = np.isin(_gram_key(raw, at), grams)
-    at, first, last, doc = at[keep], first[keep], last[keep], doc[keep]
-    lead = _words(raw, at, 2)
+def _distinct(ids, raw, at, first, last, doc, span, length):
+    """The distinct contexts of anchors (``span``: the most bytes one can have):
+    the entry of every anchor, an anchor of every entry, its smallest id."""
     size = last - first + length                     # bytes of the context, from the first window on
-    span = 2 * length - GRAM                         # the most bytes a context can have
     text = _clipped(_words(raw, first, (span + 7) // 8), size)
-    key = np.column_stack([text, (size * 128 + (at - first)).astype(np.uint64)])
-    order, new = multikey_order(key)
+    order, new = multikey_order(np.column_stack([text, (size * 128 + (at - first)).astype(np.uint64)]))
     entry = np.empty(len(at), np.int64)
     entry[order] = np.cumsum(new) - 1
     rep = order[new]
     low = np.full(len(rep), NO_ID)
     np.minimum.at(low, entry, ids[doc])
-    bucket = bucket_of(lead[rep], splitters)
-    return at, first, last, doc, entry, rep, low, bucket, size
+    return entry, rep, low
+
+
+def _contexts(ids, raw, offsets, grams, hot, splitters, n_slices, length):
+    """Occurrences of the candidate anchors and their distinct contexts, in an
+    order that depends on the slice alone.  Occurrences of ``hot`` anchors (rows
+    of ``_pair_key``) are cut into their windows, each a context of its own."""
+    at, first, last, doc = anchors(raw, offsets, length)
+    gram = _gram_key(raw, at)
+    keep = np.isin(gram, grams)
+    at, first, last, doc, gram = at[keep], first[keep], last[keep], doc[keep], gram[keep]
+    bucket = bucket_of(_words(raw, at, 2), splitters)
+    cut = np.isin(_pair_key(bucket, gram), hot) if len(hot) else np.zeros(len(at), bool)
+    windows = (last - first + 1)[cut]
+    one = np.repeat(first[cut] - np.cumsum(windows) + windows, windows) + np.arange(windows.sum())
+    at2, doc2 = np.repeat(at[cut], windows), np.repeat(doc[cut], windows)
+    at, first, last, doc, bucket = at[~cut], first[~cut], last[~cut], doc[~cut], bucket[~cut]
+    entry, rep, low = _distinct(ids, raw, at, first, last, doc, 2 * length - GRAM, length)
+    bucket = bucket[rep]
+    if len(one):
+        entry2, rep2, low2 = _distinct(ids, raw, at2, one, one, doc2, length, length)
+        text = _clipped(_words(raw, one[rep2], (length + 7) // 8), np.full(len(rep2), length))
+        spread = n_slices + (_bytes_hash(text) % np.uint64(SPREAD * n_slices)).astype(np.int64)
+        entry, rep = np.concatenate([entry, entry2 + len(rep)]), np.concatenate([rep, rep2 + len(at)])
+        low, bucket = np.concatenate([low, low2]), np.concatenate([bucket, spread])
+        at, first, last, doc = (np.concatenate(x) for x in ((at, at2), (first, one), (last, one), (doc, doc2)))
+    return at, first, last, doc, entry, rep, low, bucket, last - first + length
 
 
 def remove_repeated_strings(docs: DataFrame, length: int = 50, id_col: str = "doc_id",
@@ -270,12 +324,12 @@ def remove_repeated_strings(docs: DataFrame, length: int = 50, id_col: str = "do
     def send(table: pa.Table) -> pa.Table:
         _, _, raw, offsets = _slice_docs(table)
         number = table.column("slice")[0].as_py()
-        at, _, _, doc = anchors(raw, offsets, length)
+        at, first, last, doc = anchors(raw, offsets, length)
         if not len(at):
             return SENT.empty_table()
         gram = _gram_key(raw, at)
         order = np.lexsort((doc, gram))
-        gram, doc, at = gram[order], doc[order], at[order]
+        gram, doc, at, first, last = gram[order], doc[order], at[order], first[order], last[order]
         new = np.ones(len(gram), bool)
         new[1:] = gram[1:] != gram[:-1]
         starts = np.flatnonzero(new)
@@ -283,12 +337,21 @@ def remove_repeated_strings(docs: DataFrame, length: int = 50, id_col: str = "do
         several = doc[starts] != doc[ends]
         bucket = bucket_of(_words(raw, at[starts], 2), splitters)
         short = _short(gram[starts])
+        counts = np.ones(len(starts), np.int64)
+        often = np.repeat(ends - starts + 1 >= BUSY, ends - starts + 1)
+        if often.any():
+            group = (np.cumsum(new) - 1)[often]
+            found = _context_counts(raw, at[often], first[often], last[often], group, length)
+            counts[:len(found)] = np.maximum(found, 1)
         out = {f.name: [] for f in SENT}
         for part in _by_bucket(bucket):
             out["bucket"].append(int(bucket[part[0]]))
             out["slice"].append(number)
             out["one"].append(short[part[~several[part]]].tobytes())
             out["many"].append(short[part[several[part]]].tobytes())
+            busy = part[counts[part] >= BUSY]
+            out["busy"].append(short[busy].tobytes())
+            out["contexts"].append(counts[busy])
         return _rows(out, SENT)
 
     def back(table: pa.Table) -> pa.Table:
@@ -305,9 +368,20 @@ def remove_repeated_strings(docs: DataFrame, length: int = 50, id_col: str = "do
         common = (np.diff(np.append(heads, len(gram))) > 1) | np.logical_or.reduceat(several[order], heads)
         hit = np.zeros(len(gram), bool)
         hit[order] = common[np.cumsum(new) - 1]
-        out = {"slice": [], "grams": []}
+        # contexts of every anchor: as counted, and less than BUSY in the other slices
+        busy = _long(table.column("busy").to_pylist())
+        known = np.asarray(table.column("contexts").combine_chunks().flatten()).astype(np.int64)
+        heads_gram = gram[order[heads]]
+        contexts_ = (BUSY - 1) * np.diff(np.append(heads, len(gram)))
+        np.add.at(contexts_, np.searchsorted(heads_gram, busy), known - (BUSY - 1))
+        hot = np.zeros(len(gram), bool)
+        hot[order] = (contexts_ > MOST_CONTEXTS)[np.cumsum(new) - 1]
+        own = table.column("bucket")[0].as_py()
+        out = {f.name: [] for f in BACK}
         for part in _by_bucket(np.where(hit, row, -1)):
             if hit[part[0]]:
+                out["from"].append(own)
+                out["hot"].append(_short(gram[part[hot[part]]]).tobytes())
                 out["slice"].append(numbers[row[part[0]]])
                 out["grams"].append(_short(gram[part]).tobytes())
         return _rows(out, BACK)
@@ -318,7 +392,9 @@ def remove_repeated_strings(docs: DataFrame, length: int = 50, id_col: str = "do
         _, keys, raw, offsets = _slice_docs(table)
         number = table.column("slice")[0].as_py()
         wanted = np.unique(_long(grams.column("grams").to_pylist()))
-        at, first, last, _, _, rep, low, bucket, size = _contexts(keys, raw, offsets, wanted, splitters, length)
+        hot = _hot_pairs(grams.column("from").to_pylist(), grams.column("hot").to_pylist())
+        at, first, last, _, _, rep, low, bucket, size = _contexts(
+            keys, raw, offsets, wanted, hot, splitters, n_slices, length)
         at, first, last, size = at[rep], first[rep], last[rep], size[rep]
         pack = zstandard.ZstdCompressor(level=3)
         out = {f.name: [] for f in CONTEXT}
@@ -390,10 +466,11 @@ def remove_repeated_strings(docs: DataFrame, length: int = 50, id_col: str = "do
             out["low"].append(run_low[run[part]])
         return _rows(out, COVER)
 
-    def finish(table: pa.Table, grams: pa.Table, covers: dict) -> pa.Table:
+    def finish(table: pa.Table, grams: list, hot: np.ndarray, covers: dict) -> pa.Table:
         ids, keys, raw, offsets = _slice_docs(table)
         wanted = np.unique(_long(grams))
-        _, first, last, doc, entry, rep, low, bucket, _ = _contexts(keys, raw, offsets, wanted, splitters, length)
+        _, first, last, doc, entry, rep, low, bucket, _ = _contexts(
+            keys, raw, offsets, wanted, hot, splitters, n_slices, length)
         edge = np.zeros(len(raw) + 1, np.int32)
         mine = low[entry] < keys[doc]                # a smaller id in the same slice has the whole context
         np.add.at(edge, first[mine], 1)
@@ -427,30 +504,34 @@ def remove_repeated_strings(docs: DataFrame, length: int = 50, id_col: str = "do
     def finish_slice(table: pa.Table, replies: pa.Table) -> pa.Table:
         if not len(table):
             return out_schema.empty_table()
-        grams, covers = [], {}
+        grams, origin, hot, covers = [], [], [], {}
         for r in replies.to_pylist():
             if r["grams"] is not None:
                 grams.append(r["grams"])
+                origin.append(r["from"])
+                hot.append(r["hot"])
             else:
                 covers[r["bucket"]] = (np.asarray(r["entry"], np.int64),
                                        np.frombuffer(r["first"], np.uint8).astype(np.int64),
                                        np.frombuffer(r["last"], np.uint8).astype(np.int64),
                                        np.asarray(r["low"], np.int64))
-        return finish(table, grams, covers)
+        return finish(table, grams, _hot_pairs(origin, hot), covers)
 
     out_schema = pa.schema([("id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()),
                             ("n_spans", pa.int64()), ("kept", pa.binary())])
-    sent = sliced.groupBy("slice").applyInArrow(send, "bucket int, slice int, one binary, many binary")
-    grams = sent.groupBy("bucket").applyInArrow(back, "slice int, grams binary")
+    sent = sliced.groupBy("slice").applyInArrow(
+        send, "bucket int, slice int, one binary, many binary, busy binary, contexts array<int>")
+    grams = sent.groupBy("bucket").applyInArrow(back, "slice int, from int, grams binary, hot binary")
     around = sliced.groupBy("slice").cogroup(grams.groupBy("slice")).applyInArrow(
         context, "bucket int, slice int, n int, bytes binary, windows binary, back binary, low array<bigint>")
     covers = around.groupBy("bucket").applyInArrow(
         cover, "slice int, bucket int, entry array<int>, first binary, last binary, low array<bigint>")
     replies = grams.select(
-        "slice", "grams", F.lit(None).cast("int").alias("bucket"), F.lit(None).cast("array<int>").alias("entry"),
+        "slice", "from", "grams", "hot", F.lit(None).cast("int").alias("bucket"), F.lit(None).cast("array<int>").alias("entry"),
         F.lit(None).cast("binary").alias("first"), F.lit(None).cast("binary").alias("last"),
         F.lit(None).cast("array<bigint>").alias("low"),
-    ).unionByName(covers.withColumn("grams", F.lit(None).cast("binary")))
+    ).unionByName(covers.withColumns({
+        "from": F.lit(None).cast("int"), "grams": F.lit(None).cast("binary"), "hot": F.lit(None).cast("binary")}))
     done = sliced.groupBy("slice").cogroup(replies.groupBy("slice")).applyInArrow(
         finish_slice, "id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary")
     return done.withColumnRenamed("id", id_col)

@@ -210,6 +210,35 @@ def test_suffix_dedup(spark, docs, monkeypatch):
     assert suffix_dedup.remove_repeated_strings(frame(spark, [])).count() == 0
 
 
+def test_suffix_contexts_of_a_frequent_anchor_are_spread(spark, monkeypatch):
+    rnd = random.Random(8)
+    word = lambda n: "".join(rnd.choice("abcdefgh") for _ in range(n))
+    near = [word(40) for _ in range(12)]
+    rows = [(i, "\n".join(rnd.choice([word(40), rnd.choice(near)]) + " " * 16 + rnd.choice([word(40), rnd.choice(near)])
+                          for _ in range(6))) for i in range(60)]
+    monkeypatch.setattr(suffix_dedup, "SLICE_BYTES", 4000)
+    monkeypatch.setattr(suffix_dedup, "MOST_CONTEXTS", 20, raising=False)
+    want = brute_strings(rows)
+    assert sum(r[2] > 0 for r in want) > 20
+    got = suffix_dedup.remove_repeated_strings(frame(spark, rows)).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256))
+    assert answers(got) == want
+
+    raw = np.frombuffer("".join(t for _, t in rows).encode(), np.uint8)
+    offsets = np.cumsum([0] + [len(t) for _, t in rows])
+    splitters = np.zeros((0, 2), np.uint64)
+    at = suffix_dedup.anchors(raw, offsets, 50)[0]
+    grams = np.unique(suffix_dedup._gram_key(raw, at))
+    hot = suffix_dedup._pair_key(np.zeros(len(grams), np.int64), grams)
+    at, first, last, _, _, rep, _, bucket, _ = suffix_dedup._contexts(
+        np.arange(60), raw, offsets, grams, hot, splitters, 10, 50)
+    windows = Counter(bucket.tolist())
+    assert (first == last).all() and min(windows) >= 10 and max(windows.values()) < 0.1 * len(rep)
+    by_text = {}
+    for w, b in zip(first[rep].tolist(), bucket.tolist(), strict=True):
+        assert by_text.setdefault(raw[w:w + 50].tobytes(), b) == b
+
+
 def test_multikey_order():
     rng = np.random.default_rng(2)
     words = rng.integers(0, 3, (500, 4)).astype(np.uint64)
