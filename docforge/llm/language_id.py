@@ -131,10 +131,20 @@ class LanguageModel:
         fam = np.asarray([family_of(v) for v in langs], object)
         self.top = _pairwise(x, fam, self.families)
         self.inner = {f: _pairwise(x[fam == f], labels[fam == f], members[f]) for f in self.families}
+        # how common each n-gram is in a language, and how common those of its texts are at least
+        self.common, self.floor = {}, {}
+        for lang in self.langs:
+            own = x[labels == lang]
+            used, n = own > 0, len(own)
+            self.common[lang] = used.mean(0).astype(np.float32)
+            others = (used.sum(0) - used) / max(1, n - 1)       # every text by the others of its language
+            self.floor[lang] = 0.9 * np.quantile((own * others).sum(1) / np.maximum(own.sum(1), 1e-12), 0.01)
 
     def predict(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The predicted language and its score (family share times share in the
-        family, both scaled so that an undecided vote is 1 / classes)."""
+        """The predicted language and its score: how decided the vote for the
+        family is times how decided the vote in the family is (``_decided``), and 0
+        where the text's n-grams are less common in the language than those of
+        its own texts."""
         family = _class_shares(x, self.top, self.families)
         best = family.argmax(1)
         lang, score = np.full(len(x), "", object), np.zeros(len(x))
@@ -144,14 +154,19 @@ class LanguageModel:
                 inner = _class_shares(x[own], self.inner[f], self.members[f])
                 at = inner.argmax(1)
                 lang[own] = np.asarray(self.members[f], object)[at]
-                score[own] = np.minimum(1, _of_most(family[own, i], len(self.families))
-                                        * _of_most(inner.max(1), len(self.members[f])))
+                score[own] = np.clip(_decided(family[own, i], len(self.families))
+                                     * _decided(inner.max(1), len(self.members[f])), 0, 1)
+                for name in self.members[f]:
+                    as_name = own[lang[own] == name]
+                    shared = x[as_name] @ self.common[name] / np.maximum(x[as_name].sum(1), 1e-12)
+                    score[as_name[shared < self.floor[name]]] = 0.0
         return lang, score
 
 
-def _of_most(share: np.ndarray, classes: int) -> np.ndarray:
-    """A vote share as a part of the most a class can get (2 / classes)."""
-    return share if classes < 2 else share * classes / 2
+def _decided(share: np.ndarray, classes: int) -> np.ndarray:
+    """A vote share from 0 (undecided, 1 / classes) to 1 (2 / classes, the most
+    a class can get)."""
+    return np.ones_like(share) if classes < 2 else share * classes - 1
 
 
 def held_out(id_col: Column, parts: int, part: int) -> Column:
@@ -162,7 +177,10 @@ def held_out(id_col: Column, parts: int, part: int) -> Column:
 def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
         most_rows: int = 1600) -> LanguageModel | None:
     """A model from a sample of about ``most_rows`` labelled rows, shared evenly
-    by the languages and chosen by a hash of id and text.  None without rows."""
+    by the languages and chosen by a hash of id and text.  None without rows.
+
+    Only the ``most_rows // 8`` most frequent languages are learned; rarer ones
+    are never predicted."""
     rows = labelled.where(F.col(lang_col).isNotNull() & F.coalesce(F.col(text_col), F.lit("")).rlike(r"\p{L}"))
     rows = rows.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"),
                        (F.pmod(F.xxhash64(id_col, text_col), F.lit(1 << 30)) / F.lit(float(1 << 30))).alias("_draw"))

@@ -302,6 +302,24 @@ def test_language(spark, docs):
     assert [r.lang_pred for r in alone.collect()] == ["und"] * 4
 
 
+def test_texts_of_no_learned_language_are_rejected(spark):
+    import corpus_pipeline
+
+    table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    odd = ["Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki.",
+           "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw.",
+           "Bütün insanlar hür, haysiyet ve haklar bakımından eşit doğarlar. Akıl ve vicdana sahiptirler.",
+           "すべての人間は、生まれながらにして自由であり、かつ、尊厳と権利とについて平等である。",
+           "Все люди рождаются свободными и равными в своем достоинстве и правах.",
+           "人人生而自由，在尊严和权利上一律平等。他们赋有理性和良心。", "xqz kfj wvp qqx zzk jjv bnw xkcd qwrt plmk vbzx"]
+    extra = spark.createDataFrame([(10 ** 6 + i, t, None) for i, t in enumerate(odd)], "doc_id bigint, text string, lang string")
+    got = corpus_pipeline.identify_language(spark, table.unionAll(extra), SF)
+    ids = {r.doc_id for r in got.collect()}
+    assert not [odd[i - 10 ** 6] for i in ids if i >= 10 ** 6]
+    lettered = {r.doc_id for r in table.where(F.col("text").rlike(r"\p{L}")).select("doc_id").collect()}
+    assert len(ids & lettered) > 0.995 * len(lettered)
+
+
 # --- pieces -----------------------------------------------------------------
 
 
