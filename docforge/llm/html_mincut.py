@@ -6,6 +6,10 @@ from the source (content) and to the sink (boilerplate).  Neighbouring blocks,
 and neighbours under the same parent element, are joined by smoothness edges.
 The minimum cut is the labelling of least total cost, and its source side is
 the main text.
+
+Class names count as whole names: ``sidebar`` is a sidebar, ``has-sidebar`` is
+the layout of one.  An element that holds every article of the page, or a form
+round its headings or navigation, wraps the page and is not judged by its name.
 """
 
 from __future__ import annotations
@@ -41,35 +45,53 @@ NEGATIVE_NAMES = {"ad", "ads", "adv", "advert", "advertisement", "advertising",
                   "sidebar", "sidenav", "skip", "social", "sponsor", "sponsored", "subscribe", "subscription", "tags",
                   "teaser", "toolbar", "topbar", "widget"}
 POSITIVE_NAMES = {"article", "body", "content", "entry", "main", "post", "story", "text"}
+LAYOUT_WORDS = {"has", "have", "hide", "hidden", "is", "layout", "no", "non", "not", "page", "show", "with", "without", "wrap",
+                "wrapper"}
 NEGATIVE_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "menu",
                   "menubar", "toolbar"}
 POSITIVE_ROLES = {"main", "article"}
+# names of what is made of articles of its own, so holding the articles does not make it a wrapper
+REPEATED_NAMES = {"comment", "comments", "disqus", "related", "replies", "reply", "responses", "teaser"}
 
 # The classifier: log-odds in thousandths of "content" per feature of a block.
 BIAS, IN_MAIN, IN_NAMED = -400, 6000, 1500
 IN_CHROME, IN_NEGATIVE, IN_CONTROL = -16000, -16000, -30000
+ENDS_NEGATIVE = -2000  # a name of several words that ends in a negative one, such as site-footer
 PER_WORD, MOST_WORDS, ENDS_SENTENCE, HEADING, LINKS = 90, 30, 600, 300, -4000
 ADJACENT, SAME_PARENT = 300, 400
 
 
 class _Frame:
-    __slots__ = ("name", "shown", "score", "ident")
+    __slots__ = ("name", "shown", "score", "ident", "doubt")
+
+    def __init__(self, name, shown, score, ident, doubt=None):
+        self.name, self.shown, self.score, self.ident, self.doubt = name, shown, score, ident, doubt
+
+
+class _Doubt:
+    """Negative log-odds of an element that may turn out to wrap the page."""
+
+    __slots__ = ("around", "score", "form", "mains", "parts", "lifted")
 
-    def __init__(self, name, shown, score, ident):
-        self.name, self.shown, self.score, self.ident = name, shown, score, ident
+    def __init__(self, around, score, form):
+        self.around, self.score, self.form = around, score, form
+        self.mains = self.parts = self.lifted = 0
 
 
-def _element_score(name: str, attrs: str) -> tuple[int, bool]:
-    """Log-odds that an element adds to its blocks, and whether it is shown."""
-    score, shown = 0, name not in NOT_SHOWN
+def _element_score(name: str, attrs: str) -> tuple[int, bool, int, bool]:
+    """Log-odds that an element adds to its blocks, whether it is shown, those
+    of them that a wrapper of the page does not add, and whether it is a main
+    element."""
+    score, shown, doubt, main = 0, name not in NOT_SHOWN, 0, name in MAIN
     if name in MAIN:
         score += IN_MAIN
     elif name in CHROME:
         score += IN_CHROME
     elif name in CONTROLS:
         score += IN_CONTROL
+        doubt = IN_CONTROL if name == "form" else 0
     if attrs and ("=" in attrs or "hidden" in attrs.lower()):
-        worst, best = 0, 0
+        worst, best, named = 0, 0, 0
         for m in _ATTR.finditer(attrs):
             key, value = m[1].lower(), html.unescape(m[2] or m[3] or m[4] or "").lower()
             if key == "hidden" or key == "aria-hidden" and value == "true":
@@ -80,22 +102,32 @@ def _element_score(name: str, attrs: str) -> tuple[int, bool]:
                 roles = set(value.split())
                 worst = min(worst, IN_NEGATIVE if roles & NEGATIVE_ROLES else 0)
                 best = max(best, IN_MAIN if roles & POSITIVE_ROLES else 0)
+                main = main or bool(roles & POSITIVE_ROLES)
             else:
+                whole = set(value.split())
                 words = set(re.split(r"[^a-z]+", value))
                 if name not in ("html", "body") and name not in MAIN:
-                    worst = min(worst, IN_NEGATIVE if words & NEGATIVE_NAMES else 0)
+                    if whole & NEGATIVE_NAMES:
+                        worst = min(worst, IN_NEGATIVE)
+                        named = 0 if whole & REPEATED_NAMES else IN_NEGATIVE
+                    elif not words & (POSITIVE_NAMES | LAYOUT_WORDS) and any(
+                            re.split(r"[^a-z]+", x)[-1] in NEGATIVE_NAMES for x in whole):
+                        worst = min(worst, ENDS_NEGATIVE)
+                        named = min(named, ENDS_NEGATIVE)
                 best = max(best, IN_NAMED if words & POSITIVE_NAMES else 0)
         score += worst or best
-    return score, shown
+        if named == worst and name not in CHROME:
+            doubt += named
+    return score, shown, doubt, main
 
 
 def blocks(page: str) -> list[tuple[str, int, int, int, str]]:
     """``(text, log-odds of the elements around it, parent, link characters,
     element name)`` of every text block in page order; markup, comments and
     elements that are not shown give none."""
-    out: list[tuple[str, int, int, int, str]] = []
+    out: list[tuple[str, int, int, int, str, _Doubt | None]] = []
     root = _Frame("#", True, 0, 0)
-    stack, parts, linked, links, made = [root], [], 0, 0, 0
+    stack, parts, linked, links, made, mains, doubts = [root], [], 0, 0, 0, 0, []
 
     def flush():
         nonlocal parts, linked
@@ -104,7 +136,7 @@ def blocks(page: str) -> list[tuple[str, int, int, int, str]]:
             top = stack[-1]
             if text and top.shown:
                 owner = stack[-2].ident if len(stack) > 1 else 0
-                out.append((text, top.score, owner, linked, top.name))
+                out.append((text, top.score, owner, linked, top.name, top.doubt))
             parts, linked = [], 0
 
     def text(piece):
@@ -148,7 +180,8 @@ def blocks(page: str) -> list[tuple[str, int, int, int, str]]:
                 links = 0 if closing else 1
             if closing or not attrs or name in VOID:
                 continue
-            if not _element_score(name, attrs)[1] or _element_score(name, attrs)[0] < 0:
+            score, shown, _, _ = _element_score(name, attrs)
+            if not shown or score < 0:
                 name = f"#{name}"                  # an inline box of its own, such as a hidden or advert span
             else:
                 continue
@@ -188,12 +221,29 @@ def blocks(page: str) -> list[tuple[str, int, int, int, str]]:
         elif stack[-1].name == "p":
             close(len(stack) - 1)
         flush()
-        score, shown = _element_score(name.lstrip("#"), attrs)
+        score, shown, doubt, main = _element_score(name.lstrip("#"), attrs)
         made += 1
         top = stack[-1]
-        stack.append(_Frame(name, top.shown and shown, top.score + score, made))
+        inner = top.doubt
+        if main and top.shown and shown:
+            mains += 1
+            if inner:
+                inner.mains += 1
+        if inner and (name in CHROME or name in ("h1", "h2")):
+            inner.parts += 1
+        if doubt:
+            inner = _Doubt(inner, doubt, name == "form")
+            doubts.append(inner)
+        stack.append(_Frame(name, top.shown and shown, top.score + score, made, inner))
     flush()
-    return out
+    for d in reversed(doubts):
+        if d.around:
+            d.around.mains += d.mains
+            d.around.parts += d.parts
+    for d in doubts:
+        wraps = mains > 0 and d.mains == mains or d.form and d.parts > 0
+        d.lifted = (d.around.lifted if d.around else 0) + (d.score if wraps else 0)
+    return [(t, around - (d.lifted if d else 0), owner, chars, name) for t, around, owner, chars, name, d in out]
 
 
 def _log_odds(text: str, around: int, linked: int, name: str) -> int:

@@ -117,6 +117,24 @@ def test_html_extraction(spark):
     assert html_mincut.extract_main_text(df.limit(0)).count() == 0
 
 
+def test_names_of_wrappers_do_not_veto_the_article():
+    story = "<p>The first paragraph tells the story, and it is long enough to be one.</p><p>The second one ends it here.</p>"
+    plain = "The first paragraph tells the story, and it is long enough to be one. The second one ends it here."
+    rest = "<nav><a href=x>Home</a></nav><div class='comments'><article><p>First! What a very good text.</p></article></div>"
+    for name in ("has-sidebar", "content-sidebar-wrap", "no-comments", "ad-free", "page-with-sidebar"):
+        for body in (f"<article>{story}</article>", f"<main>{story}</main>", f"<div role=main>{story}</div>", story):
+            assert html_mincut.main_text(f"<body><div class='{name}' id={name}>{body}</div></body>") == plain
+    for wrapper in ("div class=sidebar", "section id=header", "form action=x", "form class='toolbar'"):
+        end = wrapper.split()[0]
+        assert html_mincut.main_text(f"<{wrapper}><article>{story}</article></{end}>") == plain
+        assert html_mincut.main_text(f"<{wrapper}><main>{story}</main>{rest}</{end}>") == plain
+    assert html_mincut.main_text(f"<form><header>Site</header><div>{story}</div>{rest}</form>") == plain
+    aside = "<div class='sidebar'><article><p>Another story that you may like to read as well.</p></article></div>"
+    assert html_mincut.main_text(f"<article>{story}</article>{aside}{rest}") == plain
+    assert html_mincut.main_text(f"<nav><article>{story}</article></nav>") == ""
+    assert html_mincut.main_text("<div class='site-footer'><p>All rights reserved by the owners of the site.</p></div>") == ""
+
+
 def test_min_cut_is_minimal():
     rnd = random.Random(5)
     for _ in range(60):
