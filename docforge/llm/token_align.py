@@ -45,7 +45,7 @@ from .piece_codec import spellings
 
 DEFAULT_BYTE_BPE = "/opt/tokenizers/byte_bpe_50k.json"
 DEFAULT_PIECES = "/opt/tokenizers/piece_bpe_32k.model"
-SLICE_BYTES = 32 << 20
+SLICE_BYTES = 12 << 20
 #: A blank behind another character and before one that is not white space.
 _WORD = re.compile(r"(?<=[^ ]) (?=\S)")
 
