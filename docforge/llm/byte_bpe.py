@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import base64
 import re
+import struct
 from collections import Counter
 from collections.abc import Iterator
 
@@ -122,7 +123,8 @@ class Encoder:
         return [m.end() for m in self._pattern(text).finditer(text)]
 
     def _learn(self, piece: str) -> bytes:
-        ids = np.array(self._merges._encode_single_piece(piece), "<u4").tobytes()
+        ids = self._merges._encode_single_piece(piece)
+        ids = struct.pack(f"<{len(ids)}I", *ids)
         if len(piece) <= 64:
             if len(self._known) >= CACHE_PIECES:
                 self._known.clear()

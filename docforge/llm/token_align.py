@@ -30,6 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 import regex
 import sentencepiece
 import xxhash
@@ -45,7 +46,8 @@ from .piece_codec import spellings
 
 DEFAULT_BYTE_BPE = "/opt/tokenizers/byte_bpe_50k.json"
 DEFAULT_PIECES = "/opt/tokenizers/piece_bpe_32k.model"
-SLICE_BYTES = 12 << 20
+SLICE_BYTES = 8 << 20
+BLOCK_WORDS = 1 << 15      # words that are encoded and aligned at a time
 #: A blank behind another character and before one that is not white space.
 _WORD = re.compile(r"(?<=[^ ]) (?=\S)")
 
@@ -108,6 +110,7 @@ class Pair:
         self._b = sentencepiece.SentencePieceProcessor(model_proto=pieces)
         self.bytes_a = self._a.tokens
         self.bytes_b = pa.array(spellings(pieces)[0], pa.large_binary())
+        self.size_a, self.size_b = (pa.compute.binary_length(t).to_numpy() for t in (self.bytes_a, self.bytes_b))
         self.names_a, self.names_b = ([str(i) for i in range(len(t))] for t in (self.bytes_a, self.bytes_b))
 
     def encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -179,25 +182,33 @@ def _gather(ends: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 class Words:
-    """Distinct words of a slice, encoded and aligned."""
+    """Distinct words of a slice, encoded and aligned block by block: which are
+    ``good`` (both tokenizers spell them), per word ``n_a, n_b, n_groups`` and
+    the text of its ``groups``, and its ``links`` (up to ``link_ends``), each the
+    number of a pair of ids in ``pairs``."""
 
     def __init__(self, pair: Pair, words: list[str]):
+        self.groups: list[str] = []
+        blocks = [self._block(pair, words[at:at + BLOCK_WORDS]) for at in range(0, len(words), BLOCK_WORDS)]
+        none = np.zeros(0, np.int64)
+        self.good, self.n_a, self.n_b, self.n_groups, n_links, codes = (
+            np.concatenate([none.astype(bool) if k == 0 else none, *(b[k] for b in blocks)]) for k in range(6))
+        self.link_ends = np.cumsum(n_links)
+        self.pairs, self.links = np.unique(codes, return_inverse=True)
+
+    def _block(self, pair: Pair, words: list[str]) -> tuple[np.ndarray, ...]:
         ids_a, n_a, ids_b, n_b = pair.encode(words)
-        kept = self._spelled(pair, words, ids_a, n_a, ids_b, n_b)
-        self.good = kept
-        ids_a, ids_b = ids_a[np.repeat(kept, n_a)], ids_b[np.repeat(kept, n_b)]
-        self.n_a, self.n_b = np.where(kept, n_a, 0), np.where(kept, n_b, 0)
-        size_a, size_b = (pa.compute.binary_length(t).to_numpy() for t in (pair.bytes_a, pair.bytes_b))
-        upto_a, upto_b, link_a, link_b = align(np.cumsum(size_a[ids_a]).tolist(), np.cumsum(size_b[ids_b]).tolist())
-        word_a = np.cumsum(self.n_a)                  # where the tokens of a word end
-        self.groups = self._texts(pair, ids_a.tolist(), ids_b.tolist(), upto_a, upto_b, word_a)
-        upto_a = np.asarray(upto_a, np.int64)
-        group_ends = np.searchsorted(upto_a, word_a, side="right")
-        self.n_groups = np.diff(group_ends, prepend=0)
+        good = self._spelled(pair, words, ids_a, n_a, ids_b, n_b)
+        ids_a, ids_b = ids_a[np.repeat(good, n_a)], ids_b[np.repeat(good, n_b)]
+        n_a, n_b = np.where(good, n_a, 0), np.where(good, n_b, 0)
+        # all words behind each other are one pair of end arrays
+        upto_a, upto_b, link_a, link_b = align(np.cumsum(pair.size_a[ids_a]).tolist(), np.cumsum(pair.size_b[ids_b]).tolist())
+        word_a = np.cumsum(n_a)                       # where the tokens of a word end
+        self.groups += self._texts(pair, ids_a.tolist(), ids_b.tolist(), upto_a, upto_b, word_a)
         link_a, link_b = np.asarray(link_a, np.int64), np.asarray(link_b, np.int64)
-        self.link_ends = np.searchsorted(link_a, word_a, side="left")
-        codes = ids_a[link_a] * len(pair.bytes_b) + ids_b[link_b]
-        self.pairs, self.links = np.unique(codes, return_inverse=True)
+        n_groups = np.diff(np.searchsorted(np.asarray(upto_a, np.int64), word_a, side="right"), prepend=0)
+        n_links = np.diff(np.searchsorted(link_a, word_a, side="left"), prepend=0)
+        return good, n_a, n_b, n_groups, n_links, ids_a[link_a] * len(pair.bytes_b) + ids_b[link_b]
 
     @staticmethod
     def _spelled(pair, words, ids_a, n_a, ids_b, n_b) -> np.ndarray:
