@@ -40,7 +40,7 @@ DEFAULT_RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 LOOK_AHEAD = 3          # characters past its end that a match of the pattern may depend on, and one
 CHUNK_CHARS, OVERLAP_CHARS = 1 << 15, 1 << 10
-CACHE_PIECES = 1 << 18  # distinct short pieces a worker remembers; more are encoded again
+CACHE_PIECES = 1 << 17  # distinct short pieces a worker remembers; more are encoded again
 SLICE_BYTES = 1 << 20
 
 
