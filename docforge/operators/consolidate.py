@@ -9,38 +9,40 @@ Distributed exact plan.  Names form a tree: ``a_1.txt`` is slot 1 of
 For a natural name n with occurrences o_0 < o_1 < ... (scan positions):
 
 * occurrences take n's slots in increasing order, skipping blocked ones;
-* slot k is blocked for ever from time b_k: an existing target name
-  (b = -inf), the first arrival of the natural name n_k, or -- for slot 0 --
-  the moment n's parent claimed the name n before n first arrived;
-* slot k is skipped iff n had not reached it by b_k.  With c_k = number of
-  occurrences before b_k and s = slots skipped so far, that is
-  ``s <= k - c_k``.  At most k slots lie below k, so blocks with c_k = 0 (all
-  existing target names among them) are always skipped and only counted;
-  walking the others in slot order gives the rest of the skipped set.  The
-  walk holds the generated-looking names that first arrive after their own
-  parent name, never existing names or occurrences;
-* occurrence j then takes slot j + (skipped slots up to it), an as-of lookup.
-
-Parents are solved before children (levels of the name tree), since a
-parent's claims block its children's slot 0.  Occurrence ranks and the
-lookups are bucketed, so a name held by a third of all files never sits in
-one task.
+* slot k is blocked for ever from a moment on: from the start for a name that
+  exists in the target, from the first arrival of the natural name n_k, or --
+  for slot 0 -- from the start if n's parent claimed the name n first;
+* with c_k = number of occurrences before that moment and s = slots skipped so
+  far, slot k is skipped iff ``s <= k - c_k`` (n had not reached it by then).  A
+  slot of a natural child that is not skipped was claimed by n before the child
+  arrived, which blocks the child's own slot 0;
+* occurrence j then takes slot j + (skipped slots up to it).
+
+Occurrences, and the probes that count c_k, are ranked in buckets of their
+unique positions.  The walk over the blocked slots of a name is a fold in
+ranges of bounded rows: a run of blocked slots takes s to a step function of s,
+so runs are walked at the same time once their entry counts are known.  Walks go by the
+depth of a name (how many ``_N`` it ends with), parents before children; a walk
+reads blocked slots, never occurrences.  So no task holds a name.
 """
 
 from __future__ import annotations
 
-import numpy as np
+from bisect import bisect_left, bisect_right, insort
+from functools import reduce
+
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.names import split_ext, stem
 from ..session import reliable_checkpoint
-from .ranking import forward_fill, row_number_by_buckets, running_sum
+from .ranges import fold_in_ranges, in_ranges
+from .ranking import running_sum
 
 _CHILD = r"_([1-9][0-9]{0,17})$"
-_NEG = -(1 << 62)          # "blocked from the start"
-_W = 1 << 16
+_SUFFIXES = r"(?:_[1-9][0-9]{0,17})+$"
+_WIDTH = 1 << 16           # positions per bucket of the ranks
 
 
 def parent_of(name: F.Column):
@@ -53,26 +55,63 @@ def parent_of(name: F.Column):
     return parent, slot
 
 
+def _depth_of(name: F.Column) -> F.Column:
+    """How many generated suffixes a name ends with; one more than its parent's."""
+    return F.size(F.split(F.regexp_extract(stem(name), _SUFFIXES, 0), "_")) - 1
+
+
 def _slot_name(natural: F.Column, slot: F.Column) -> F.Column:
     return F.when(slot == 0, natural).otherwise(
         F.concat(stem(natural), F.lit("_"), slot.cast("string"), split_ext(natural)))
 
 
-def _walk(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Marks the skipped blocks of one name: in slot order, skip while s <= d."""
-    pdf = pdf.sort_values("k")
-    s, marks = 0, np.zeros(len(pdf), dtype=bool)
-    for i, d in enumerate(pdf["d"].to_numpy(dtype=np.int64)):
-        marks[i] = s <= d
-        s += int(marks[i])
-    return pdf[["name", "k"]].assign(skip=marks)
+# --- the walk over blocked slots ----------------------------------------------
+
+
+def walk_steps(limits: list[int]) -> list[int]:
+    """What a run of blocked slots does to the number ``s`` of skipped ones (a
+    slot with limit ``d`` is skipped iff ``s <= d``), as sorted steps: it becomes
+    ``s + len(limits)`` less the number of steps smaller than ``s``."""
+    steps: list[int] = []
+    for i, d in enumerate(limits):
+        # the largest s that the slots so far take to d or less
+        s = d - i
+        while (after := d - i + bisect_right(steps, s)) != s:
+            s = after
+        insort(steps, s)
+    return steps
+
+
+def after_walk(steps: list[int], s: int) -> int:
+    return s + len(steps) - bisect_left(steps, s)
+
+
+def _walk(rows: pd.DataFrame, s: int | None) -> pd.DataFrame:
+    """Per blocked slot, in order of name and slot: whether it is skipped and
+    how many of the name are skipped before it."""
+    skipped, before, s, last = [], [], s or 0, None
+    for name, d in zip(rows["name"].tolist(), (rows["k"] - rows["c"]).tolist(), strict=True):
+        if name != last and last is not None:
+            s = 0
+        last = name
+        before.append(s)
+        skipped.append(s <= d)
+        s += s <= d
+    return rows.assign(skipped=skipped, before=before)
+
+
+def _walked(blocks: DataFrame) -> DataFrame:
+    schema = "name string, k bigint, child string, skipped boolean, before bigint"
+    return fold_in_ranges(in_ranges(blocks, ["name"], ["k"]), "name", ["k"],
+                          lambda rows: walk_steps((rows["k"] - rows["c"]).tolist()),
+                          lambda s, steps: after_walk(steps, s or 0), _walk, schema)
 
 
 def allocate_names(files: DataFrame, taken: DataFrame | None = None, overwrite: bool = False,
                    name: str = "name", ord_col: str = "ord") -> DataFrame:
     """``files(ord, name, ...)`` -> the same rows with ``target_name``, by the
     plan of the module docstring.  ``taken(name)`` lists names already in the
-    target folder."""
+    target folder.  A file without a name gets none."""
     spark = files.sparkSession
     if overwrite:
         # every file goes to its own name; the last in scan order wins
@@ -81,80 +120,57 @@ def allocate_names(files: DataFrame, taken: DataFrame | None = None, overwrite:
                 .withColumn("overwritten", F.col(ord_col) != F.col("_last")).drop("_last"))
     if taken is None:
         taken = spark.createDataFrame([], "name string")
-    occ = files.select(F.col(ord_col).cast("bigint").alias("ord"), F.col(name).alias("name"))
-    # parse every distinct name once (parent name and slot), as plain columns
-    par, slot = parent_of(F.col("name"))
-    info = reliable_checkpoint(occ.select("name").unionByName(taken.select("name")).distinct()
-                               .select("name", par.alias("parent"), slot.alias("pslot")))
-    nat = occ.groupBy("name").agg(F.min("ord").alias("tau")).join(info, "name")
-    tk = taken.select("name").distinct().join(info, "name")
-
-    # levels of the natural-name tree (parents first)
-    level = nat.join(nat.select(F.col("name").alias("parent")), "parent", "left_anti").select("name")\
-        .transform(reliable_checkpoint)
-    levels = [level]
-    frontier = level
-    while True:
-        nxt = nat.join(frontier.select(F.col("name").alias("parent")), "parent", "left_semi").select("name")
-        frontier = reliable_checkpoint(nxt)
-        if frontier.isEmpty():
-            break
-        levels.append(frontier)
-
-    ranked = row_number_by_buckets(occ, [F.col("ord")], F.floor(F.col("ord") / F.lit(_W)),
-                                   partition=["name"], out="j")
-    ranked = reliable_checkpoint(ranked.withColumn("j", F.col("j") - 1))
-    sigma = spark.createDataFrame([], "name string, sigma bigint")
-    results = []
-    for lvl in levels:
-        names = lvl.select("name").join(nat.select("name", "tau"), "name").join(sigma, "name", "left")
-        occ_l = ranked.join(lvl.select("name"), "name", "left_semi")
-        # blocks: existing names, first arrivals of natural children, slot 0
-        b_taken = tk.filter(F.col("parent").isNotNull()).select(F.col("parent").alias("name"), F.col("pslot").alias("k"),
-                                                                F.lit(_NEG).alias("b"))
-        b_self = tk.select("name", F.lit(0).cast("bigint").alias("k"), F.lit(_NEG).alias("b"))
-        b_child = nat.filter(F.col("parent").isNotNull()).select(F.col("parent").alias("name"),
-                                                                 F.col("pslot").alias("k"), F.col("tau").alias("b"))
-        b_stolen = names.filter(F.col("sigma") < F.col("tau")).select("name", F.lit(0).cast("bigint").alias("k"),
-                                                                      F.lit(_NEG).alias("b"))
-        blocks = (b_taken.unionByName(b_self).unionByName(b_child).unionByName(b_stolen)
-                  .join(lvl.select("name"), "name", "left_semi")
-                  .groupBy("name", "k").agg(F.min("b").alias("b")))
-        # c_k = occurrences of the name before b_k (as-of count)
-        seqs = occ_l.select("name", (F.col("ord") * 2).alias("_okey"), (F.col("j") + 1).alias("_v"),
-                            F.lit(None).cast("bigint").alias("_k"))
-        probes = blocks.filter(F.col("b") > _NEG).select("name", (F.col("b") * 2 - 1).alias("_okey"),
-                                                         F.lit(None).cast("bigint").alias("_v"), F.col("k").alias("_k"))
-        counted = forward_fill(seqs.unionByName(probes), ["name"], "_okey", "_v", "_c", width=2 * _W)\
-            .filter(F.col("_k").isNotNull()).select("name", F.col("_k").alias("k"), F.coalesce("_c", F.lit(0)).alias("c"))
-        dk = blocks.join(counted, ["name", "k"], "left").select(
-            "name", "k", F.coalesce(F.col("c"), F.lit(0)).alias("c"))
-        dk = running_sum(dk.withColumn("_sure", F.when(F.col("c") == 0, 1).otherwise(0).cast("bigint")),
-                         ["name"], "k", ["_sure"], width=_W)
-        walked = dk.filter(F.col("c") > 0).select("name", "k", (F.col("k") - F.col("c") - F.col("cum__sure")).alias("d"))
-        skipped = dk.filter(F.col("c") == 0).select("name", "k").unionByName(
-            walked.groupBy("name").applyInPandas(_walk, "name string, k bigint, skip boolean")
-            .filter("skip").drop("skip"))
-        # occurrence j takes slot j + (skipped slots up to it)
-        marks = row_number_by_buckets(skipped, [F.col("k")], F.floor(F.col("k") / F.lit(_W)),
-                                      partition=["name"], out="_i")
-        marks = (marks.groupBy("name", (F.col("k") - F.col("_i") + 1).alias("_key"))
-                 .agg(F.max("_i").alias("_v")).withColumn("_row", F.lit(0)).withColumn("ord", F.lit(None).cast("bigint")))
-        probes = occ_l.select("name", F.col("j").alias("_key"), F.lit(None).cast("bigint").alias("_v"),
-                              F.lit(1).alias("_row"), "ord")
-        both = marks.unionByName(probes).withColumn("_okey", F.col("_key") * 2 + F.col("_row"))
-        filled = forward_fill(both, ["name"], "_okey", "_v", "_ib", width=2 * _W).filter(F.col("_row") == 1)
-        placed = reliable_checkpoint(
-            filled.select("ord", "name", (F.col("_key") + F.coalesce(F.col("_ib"), F.lit(0))).alias("slot")))
-        results.append(placed)
-        # what this level claimed blocks the slot 0 of its children
-        sigma = (nat.filter(F.col("parent").isNotNull())
-                 .join(placed.select(F.col("name").alias("parent"), F.col("slot").alias("pslot"),
-                                     F.col("ord").alias("sigma")), ["parent", "pslot"])
-                 .select("name", "sigma").transform(reliable_checkpoint))
-    allp = results[0]
-    for r in results[1:]:
-        allp = allp.unionByName(r)
-    targets = reliable_checkpoint(allp).select(F.col("ord").alias("_o"),
-                                               _slot_name(F.col("name"), F.col("slot")).alias("target_name"))
-    return files.join(targets, F.col(ord_col).cast("bigint") == F.col("_o")).drop("_o")
+    rows = files.schema.simpleString()
+    occ = files.select(F.col(name).alias("name"), F.col(ord_col).cast("bigint").alias("at"), F.struct("*").alias("row"))
+    # every distinct name once: its first arrival, whether it exists in the target, its parent and slot
+    parent, slot = parent_of(F.col("name"))
+    nothing = F.lit(None).cast("bigint")
+    names = occ.select("name", "at", F.lit(False).alias("taken")).unionByName(
+        taken.select("name", nothing.alias("at"), F.lit(True).alias("taken"))).where("name is not null")
+    names = names.groupBy("name").agg(F.min("at").alias("first"), F.max("taken").alias("taken"))
+    arrived = names.where("first is not null").select(F.col("name").alias("parent"), F.lit(True).alias("generated"))
+    names = reliable_checkpoint(names.select("*", parent.alias("parent"), slot.alias("slot"), _depth_of(F.col("name")).alias("depth"))
+                                .join(arrived, "parent", "left"))
+    generated = names.where("generated")
+    blocked = names.where("taken and first is not null")
+    children = generated.where("not taken")
+    levels = names.agg(
+        F.collect_set(F.when(F.col("generated"), F.col("depth") - 1)).alias("parents"),
+        F.collect_set(F.when(F.expr("taken and first is not null"), F.col("depth"))).alias("blocked"),
+        F.collect_set(F.when(F.expr("generated and not taken"), F.col("depth"))).alias("children")).first()
+
+    # the rank of every occurrence, and how many of its parent's come before a child arrives; scan
+    # positions are unique, so buckets of positions are bounded in rows
+    seq = occ.select("*", nothing.alias("slot"), F.lit(None).cast("string").alias("child"), F.lit(1).alias("one")).unionByName(
+        children.select(F.col("parent").alias("name"), F.col("first").alias("at"), F.lit(None).cast(rows).alias("row"),
+                        "slot", F.col("name").alias("child"), F.lit(0).alias("one")))
+    ranked = reliable_checkpoint(running_sum(seq.withColumn("place", F.col("at") * 2 + F.col("one")), ["name"], "place",
+                                             ["one"], _WIDTH).select("name", "row", "slot", "child", F.col("cum_one").alias("upto")))
+
+    # blocked slots and the occurrences before each is blocked; their walks by depth, parents first
+    zero, no_child = F.lit(0).cast("bigint"), F.lit(None).cast("string").alias("child")
+    blocks = (generated.where("taken").select(F.col("parent").alias("name"), F.col("slot").alias("k"), zero.alias("c"), no_child)
+              .unionByName(blocked.select("name", zero.alias("k"), zero.alias("c"), no_child))
+              .unionByName(ranked.where("slot is not null").select("name", F.col("slot").alias("k"),
+                                                                   F.col("upto").alias("c"), "child")))
+    skips, done = [], None
+    for depth in range(max([*levels.parents, *levels.blocked, *levels.children], default=-1) + 1):
+        here = [blocks.where(_depth_of(F.col("name")) == depth)] if depth in [*levels.parents, *levels.blocked] else []
+        if done is not None and depth in levels.children:
+            # a slot that was claimed before the child arrived blocks the child's own slot 0
+            here.append(done.where("not skipped and child is not null").select(
+                F.col("child").alias("name"), zero.alias("k"), zero.alias("c"), no_child))
+        done = reliable_checkpoint(_walked(reduce(DataFrame.unionByName, here))) if here else None
+        if here:
+            skips.append(done.where("skipped").select("name", (F.col("k") - F.col("before")).alias("j")))
+    placed = ranked.where("slot is null").select("name", "row", (F.col("upto") - 1).alias("j"))
+    if not skips:
+        slots = placed.withColumn("slot", F.col("j"))
+    else:
+        # occurrence j passes a skipped slot k, the i-th of its name, iff j >= k - i
+        marks = reduce(DataFrame.unionByName, skips).groupBy("name", "j").agg(F.count("*").alias("one"))
+        both = marks.select("name", F.lit(None).cast(rows).alias("row"), "j", (F.col("j") * 2).alias("place"), "one").unionByName(
+            placed.select("name", "row", "j", (F.col("j") * 2 + 1).alias("place"), F.lit(0).cast("bigint").alias("one")))
+        passed = running_sum(both, ["name"], "place", ["one"], _WIDTH)
+        slots = passed.where("row is not null").select("name", "row", (F.col("j") + F.col("cum_one")).alias("slot"))
+    return slots.select("row.*", _slot_name(F.col("name"), F.col("slot")).alias("target_name"))

@@ -3,18 +3,20 @@
 ``request_rate`` counts, for every request, the key's requests and tokens in
 the trailing 60 seconds (strictly after now - 60 s) and requests in the
 trailing day, and flags them against the limits.  It is exact and skew-safe:
-requests are pre-aggregated per (key, timestamp), cumulative counts are
-two-level running sums, and the count at ``t - window`` is an as-of lookup
-done as a two-level forward fill over the merged sequence of timestamps and
-probes.  No task ever holds a whole key.  Requests without a key are a key of
+requests are pre-aggregated per (key, timestamp) and sorted, together with a
+probe at ``t - window`` for each window, into ranges of bounded rows; running
+sums over the ranges give the counts at every timestamp and every probe, and
+their differences are the windows.  Requests without a key are a key of
 their own; requests without a timestamp are in no other request's window and
 see each other, the requests of their key without one (as SQL's range windows).
 
 ``quota_fold`` follows the tracker's own counters exactly: a token counter
 that resets at the first request more than 60 s after the previous reset
 (anchored at the tracker's start) and a daily request counter with the same
-rule over 86,400 s.  This is a fold per key (resets depend on earlier
-resets), run as a grouped-map function with vectorised reset chains.
+rule over 86,400 s.  Resets depend on all earlier resets of the key, so this is
+a fold; what a range of requests does to the pending resets and counters is a
+step function of the pending reset time it starts with, and a chain over these
+functions lets all ranges fold at the same time.
 """
 
 from __future__ import annotations
@@ -24,9 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
-from ..session import reliable_checkpoint
-from .ranking import forward_fill, running_sum
+from .ranges import fold_in_ranges, in_ranges, running_sums
 
 MINUTE_US = 60_000_000
 DAY_US = 86_400_000_000
@@ -35,42 +35,32 @@ RPM_LIMIT, TPM_LIMIT, RPD_LIMIT = 15, 1_000_000, 1_500
 
 
 def request_rate(requests: DataFrame, rpm: int = RPM_LIMIT, tpm: int = TPM_LIMIT, rpd: int = RPD_LIMIT,
-                 key: str = "api_key", ts: str = "ts_us", tokens: str = "tokens",
-                 bucket_us: int = 3_600_000_000) -> DataFrame:
-    # a struct is never null and equals one with a null inside, so the joins keep null keys
-    columns, log = requests.columns, requests.withColumns({"_key": F.struct(key), "_ts": F.struct(ts)})
-    key = "_key"
-    per_ts = log.where(F.col(ts).isNotNull()).groupBy(key, ts).agg(
+                 key: str = "api_key", ts: str = "ts_us", tokens: str = "tokens") -> DataFrame:
+    """The requests with ``req_60s, tokens_60s, req_day, rpm_hit, tpm_hit, rpd_hit``."""
+    # a struct is never null and equals one with a null inside, so the join keeps null keys and times
+    place = F.struct(F.col(key).alias("key"), F.col(ts).alias("ts"))
+    per_ts = requests.groupBy(place.alias("_place")).agg(
         F.count(F.lit(1)).alias("_n"), F.coalesce(F.sum(tokens), F.lit(0)).alias("_tok"))
-    # one pass over the log: the per-timestamp cumulative table (smaller than
-    # the log) is frozen once and every branch below reads it
-    cum = reliable_checkpoint(running_sum(per_ts, [key], ts, ["_n", "_tok"], bucket_us))
-    per_ts = cum.select(key, ts)
-    real = cum.select(key, (F.col(ts) * 2).alias("_okey"),
-                      F.struct(F.col("cum__n").alias("n"), F.col("cum__tok").alias("tok")).alias("_v"),
-                      F.lit(None).cast("bigint").alias("_at"), F.lit(None).cast("string").alias("_win"))
-    probes = []
-    for win, width in (("m", MINUTE_US), ("d", DAY_US)):
-        probes.append(per_ts.select(key, ((F.col(ts) - width) * 2 + 1).alias("_okey"),
-                                    F.lit(None).cast(real.schema["_v"].dataType).alias("_v"),
-                                    F.col(ts).alias("_at"), F.lit(win).alias("_win")))
-    seq = real.unionByName(probes[0]).unionByName(probes[1])
-    filled = forward_fill(seq, [key], "_okey", "_v", "_before", width=2 * bucket_us)
-    before = filled.filter(F.col("_win").isNotNull()).groupBy(key, F.col("_at").alias(ts)).agg(
-        F.max(F.when(F.col("_win") == "m", F.col("_before.n"))).alias("_mn"),
-        F.max(F.when(F.col("_win") == "m", F.col("_before.tok"))).alias("_mt"),
-        F.max(F.when(F.col("_win") == "d", F.col("_before.n"))).alias("_dn"))
-    stats = cum.join(before, [key, ts]).select(
-        key, ts,
-        (F.col("cum__n") - F.coalesce(F.col("_mn"), F.lit(0))).cast("bigint").alias("req_60s"),
-        (F.col("cum__tok") - F.coalesce(F.col("_mt"), F.lit(0))).cast("bigint").alias("tokens_60s"),
-        (F.col("cum__n") - F.coalesce(F.col("_dn"), F.lit(0))).cast("bigint").alias("req_day"))
-    undated = log.where(F.col(ts).isNull()).groupBy(key, ts).agg(
-        F.count(F.lit(1)).alias("req_60s"),
-        F.coalesce(F.sum(tokens), F.lit(0)).cast("bigint").alias("tokens_60s"),
-        F.count(F.lit(1)).alias("req_day"))
-    stats = stats.unionByName(undated).withColumn("_ts", F.struct(ts)).drop(ts)
-    out = log.join(stats, [key, "_ts"]).select(*columns, "req_60s", "tokens_60s", "req_day")
+    # every timestamp and its two probes; a probe comes after the requests of its time
+    entry = F.explode(F.array(*[F.struct(F.lit(w).alias("kind"), (F.col("_place.ts") - back).alias("at"))
+                                for w, back in ((0, 0), (1, MINUTE_US), (2, DAY_US))]))
+    seq = per_ts.where("_place.ts is not null").select(F.col("_place.key").alias("_key"), F.col("_place.ts").alias("_ts"),
+                                                       "_n", "_tok", entry.alias("_e"))
+    seq = seq.select("_key", "_ts", F.col("_e.at").alias("_at"), F.col("_e.kind").alias("_kind"),
+                     *[F.when(F.col("_e.kind") == 0, F.col(c)).otherwise(0).alias(c) for c in ("_n", "_tok")])
+    summed = running_sums(in_ranges(seq, ["_key"], ["_at", "_kind", "_ts"]), ["_key"], ["_at", "_kind", "_ts"],
+                          {"_cn": "_n", "_ct": "_tok"})
+
+    def since(column, kind):
+        return (F.max(F.when(F.col("_kind") == 0, F.col(column)))
+                - F.max(F.when(F.col("_kind") == kind, F.col(column)))).cast("bigint")
+
+    stats = summed.groupBy(F.struct(F.col("_key").alias("key"), F.col("_ts").alias("ts")).alias("_place")).agg(
+        since("_cn", 1).alias("req_60s"), since("_ct", 1).alias("tokens_60s"), since("_cn", 2).alias("req_day"))
+    undated = per_ts.where("_place.ts is null").select(
+        "_place", F.col("_n").alias("req_60s"), F.col("_tok").cast("bigint").alias("tokens_60s"),
+        F.col("_n").alias("req_day"))
+    out = requests.withColumn("_place", place).join(stats.unionByName(undated), "_place").drop("_place")
     return out.withColumns({
         "rpm_hit": F.col("req_60s") >= rpm,
         "tpm_hit": F.col("tokens_60s") >= tpm,
@@ -79,7 +69,7 @@ def request_rate(requests: DataFrame, rpm: int = RPM_LIMIT, tpm: int = TPM_LIMIT
 
 
 # ---------------------------------------------------------------------------
-# exact counters (fold per key)
+# exact counters (a fold per key)
 # ---------------------------------------------------------------------------
 def _reset_marks(ts: np.ndarray, first_reset: int, width: int) -> np.ndarray:
     """Boolean marks of the requests that reset a counter: the first request
@@ -131,11 +121,20 @@ def fold_batch(pdf: pd.DataFrame, carry: tuple) -> tuple[pd.DataFrame, tuple]:
     counts = np.concatenate([[0], np.cumsum(np.asarray(recent_n, dtype=np.int64))]).astype(np.int64)
     carried = counts[-1] - counts[np.searchsorted(np.asarray(recent, dtype=np.int64), start, side="right")]
     out.insert(5, "rpm_after", np.arange(1, len(ts) + 1) - np.searchsorted(ts, start, side="right") + carried)
-    stamps, n = np.unique(ts, return_counts=True)
-    kept = [(int(t), int(k)) for t, k in [*zip(recent, recent_n), *zip(stamps, n)] if t > start[-1]]
     return out, (int(ts[m][-1]) + MINUTE_US if m.any() else next_minute, int(out["tokens_minute"].iloc[-1]),
                  int(ts[d][-1]) + DAY_US if d.any() else next_day, int(out["day_requests"].iloc[-1]),
-                 [t for t, _ in kept], [k for _, k in kept])
+                 *_trailing(recent, recent_n, ts))
+
+
+def _trailing(recent, recent_n, ts: np.ndarray) -> tuple[list, list]:
+    """The distinct timestamps of the minute before the last of ``ts``, and how
+    many requests fell on each: carried ones and those of ``ts`` (sorted)."""
+    since = ts[-1] - MINUTE_US
+    stamps, n = np.unique(ts[np.searchsorted(ts, since, side="right"):], return_counts=True)
+    recent = np.asarray(recent, dtype=np.int64)
+    kept = recent > since
+    return ([*recent[kept].tolist(), *stamps.tolist()],
+            [*np.asarray(recent_n, dtype=np.int64)[kept].tolist(), *n.tolist()])
 
 
 def fold_key(pdf: pd.DataFrame, anchor_us: int | None) -> pd.DataFrame:
@@ -150,93 +149,64 @@ FOLD_SCHEMA = ("event_id bigint, api_key bigint, ts_us bigint, tokens_minute big
 NO_KEY = -(1 << 63)  # stands for a null key inside the fold
 
 
+def _reset_steps(ts: np.ndarray, amounts: np.ndarray, latest: int, width: int) -> tuple:
+    """What sorted requests do to a counter of period ``width``, as a step
+    function of the reset time ``r <= latest`` that is pending before them: with
+    ``i`` the first entry of ``above`` larger than ``r``, the pending time and
+    the counter behind them are ``reset[i]`` and ``count[i]``; without one
+    nothing is reset and ``total`` is added."""
+    at, first = np.unique(ts, return_index=True)
+    n = len(at)
+    before = np.concatenate([[0], np.cumsum(amounts)])
+    following = np.searchsorted(at, at + width, side="right")      # the reset after one at each time
+    last = np.where(following < n, following, np.arange(n))
+    while not np.array_equal(jump := last[last], last):            # the last reset, were each time one
+        last = jump
+    last = last[:int(np.searchsorted(at, latest, side="right")) + 1]
+    steps = np.flatnonzero(np.append(last[1:] != last[:-1], True))
+    last = last[steps]
+    return at[steps], at[last] + width, before[-1] - before[first[last]], int(before[-1])
+
+
+def _after_steps(steps: tuple, pending: int, counter: int) -> tuple[int, int]:
+    above, reset, count, total = steps
+    i = int(np.searchsorted(above, pending, side="right"))
+    return (int(reset[i]), int(count[i])) if i < len(above) else (pending, counter + total)
+
+
 def quota_fold(requests: DataFrame, anchor_us: int | None = None) -> DataFrame:
     """Counters after every request, per key, exactly as the tracker keeps
     them.  ``anchor_us``: tracker start (default: the key's first request).
 
-    One plan for every key size (``quota_fold_distributed``).  Null tokens
-    count 0; requests without a key are a key of their own."""
+    One plan for every key size: requests in ranges of bounded rows, see
+    ``fold_in_ranges``.  What a range hands on is its step functions (at most
+    one step per distinct timestamp within one period of its first request) and
+    the timestamps of its last minute.  Null tokens count 0; requests without a
+    key are a key of their own; requests need a timestamp."""
     cols = requests.select(F.col("event_id").cast("bigint"),
                            F.coalesce(F.col("api_key").cast("bigint"), F.lit(NO_KEY)).alias("api_key"),
                            F.col("ts_us").cast("bigint"),
                            F.coalesce(F.col("tokens").cast("bigint"), F.lit(0)).alias("tokens"))
-    out = quota_fold_distributed(cols, anchor_us)
-    return out.withColumn("api_key", F.nullif(F.col("api_key"), F.lit(NO_KEY)))
-
 
-# ---------------------------------------------------------------------------
-# distributed exact fold (hot keys)
-# ---------------------------------------------------------------------------
-def _reset_chain(ts_table: DataFrame, key: str, anchor: DataFrame, width: int, bucket_us: int) -> DataFrame:
-    """Distinct timestamps at which a counter of period ``width`` resets:
-    e1 = first ts > anchor + width, then e(k+1) = first ts > e(k) + width.
-
-    ``next`` links (first ts after ts + width) form a forest; the resets are
-    the path from e1.  Pointer doubling builds J_k = next^(2^k) in log2(n)
-    joins (each table checkpointed), then the path is filled from the top
-    level down: S <- S u J_k(S)."""
-    from .ranking import next_after
-    nxt = next_after(ts_table, [key], "ts", ts_table.select(key, (F.col("ts") + width).alias("at")), "at",
-                     "nxt", bucket_us)
-    j = (ts_table.join(nxt.select(key, (F.col("at") - width).alias("ts"), "nxt"), [key, "ts"], "left")
-         .select(key, "ts", F.col("nxt").alias("j")).transform(reliable_checkpoint))
-    start = next_after(ts_table, [key], "ts", anchor.select(key, (F.col("anchor") + width).alias("at")), "at",
-                       "ts", bucket_us).filter(F.col("ts").isNotNull()).select(key, "ts")
-    n_max = ts_table.groupBy(key).count().agg(F.max("count")).first()[0] or 1
-    levels = [j]
-    while (1 << (len(levels) - 1)) < n_max:
-        jk = levels[-1]
-        nxt_lvl = (jk.alias("a").join(jk.alias("b"), (F.col(f"a.{key}") == F.col(f"b.{key}"))
-                                      & (F.col("a.j") == F.col("b.ts")), "left")
-                   .select(F.col(f"a.{key}").alias(key), F.col("a.ts").alias("ts"), F.col("b.j").alias("j"))
-                   .transform(reliable_checkpoint))
-        levels.append(nxt_lvl)
-    path = start
-    for jk in reversed(levels):
-        step = path.join(jk, [key, "ts"]).filter(F.col("j").isNotNull()).select(key, F.col("j").alias("ts"))
-        path = path.unionByName(step).distinct().transform(reliable_checkpoint)
-    return path
-
-
-def quota_fold_distributed(cols: DataFrame, anchor_us: int | None = None,
-                           bucket_us: int = 3_600_000_000) -> DataFrame:
-    """``fold_key`` for any key size, with joins, aggregates and two-level
-    ordered scans only."""
-    from .ranking import forward_fill, row_number_by_buckets, running_sum
-    key = "api_key"
-    seq = row_number_by_buckets(cols, [F.col("ts_us"), F.col("event_id")],
-                                F.floor(F.col("ts_us") / F.lit(1_000_000)), partition=[key], out="seq")
-    ts_table = seq.groupBy(key, F.col("ts_us").alias("ts")).agg(F.min("seq").alias("first_seq"))\
-        .transform(reliable_checkpoint)
-    if anchor_us is None:
-        anchor = ts_table.groupBy(key).agg(F.min("ts").alias("anchor"))
-    else:
-        anchor = ts_table.select(key).distinct().withColumn("anchor", F.lit(int(anchor_us)).cast("bigint"))
-    out = seq.withColumn("_one", F.lit(1).cast("bigint"))
-    for name, width in (("minute_reset", MINUTE_US), ("day_reset", DAY_US)):
-        resets = _reset_chain(ts_table.select(key, "ts"), key, anchor, width, bucket_us)
-        marks = ts_table.join(resets, [key, "ts"]).select(key, F.col("first_seq").alias("seq"),
-                                                         F.lit(True).alias(name))
-        out = out.join(marks, [key, "seq"], "left").withColumn(name, F.coalesce(F.col(name), F.lit(False)))
-    out = running_sum(out, [key], "seq", ["tokens", "_one"], width=1 << 20)
-    # value of the running sums just before each reset, carried forward
-    for name, val, res in (("minute_reset", "tokens", "tokens_minute"), ("day_reset", "_one", "day_requests")):
-        base = f"_base_{res}"
-        out = out.withColumn(base, F.when(F.col(name), F.col(f"cum_{val}") - F.col(val)))
-        out = forward_fill(out, [key], "seq", base, base + "_f", width=1 << 20)
-        out = out.withColumn(res, (F.col(f"cum_{val}") - F.coalesce(F.col(base + "_f"), F.lit(0))).cast("bigint"))
-    # requests still inside the trailing minute: position minus those with
-    # ts <= t - 60 s (an as-of count over distinct timestamps)
-    last_seq = seq.groupBy(key, F.col("ts_us").alias("ts")).agg(F.max("seq").alias("_upto"))
-    older = (forward_fill(
-        last_seq.select(key, (F.col("ts") * 2).alias("_okey"), F.col("_upto").alias("_v"),
-                        F.lit(None).cast("bigint").alias("_at"))
-        .unionByName(ts_table.select(key, ((F.col("ts") - MINUTE_US) * 2 + 1).alias("_okey"),
-                                     F.lit(None).cast("bigint").alias("_v"), F.col("ts").alias("_at"))),
-        [key], "_okey", "_v", "_older", width=2 * bucket_us)
-        .filter(F.col("_at").isNotNull()).select(key, F.col("_at").alias("ts_us"), "_older"))
-    out = out.join(older, [key, "ts_us"], "left")
-    return out.select(
-        "event_id", key, "ts_us", "tokens_minute", "day_requests",
-        (F.col("seq") - F.coalesce(F.col("_older"), F.lit(0))).cast("bigint").alias("rpm_after"),
-        "minute_reset", "day_reset")
+    def summarize(rows):
+        ts, tokens = rows["ts_us"].to_numpy(np.int64), rows["tokens"].to_numpy(np.int64)
+        start = int(ts[0]) if anchor_us is None else max(int(ts[0]), int(anchor_us))
+        return (int(ts[0]), _reset_steps(ts, tokens, start + MINUTE_US, MINUTE_US),
+                _reset_steps(ts, np.ones(len(ts), np.int64), start + DAY_US, DAY_US),
+                ts[np.searchsorted(ts, ts[-1] - MINUTE_US, side="right"):])
+
+    def advance(carry, summary):
+        first, minute, day, tail = summary
+        carry = carry or fresh_carry(first if anchor_us is None else int(anchor_us))
+        return (*_after_steps(minute, *carry[:2]), *_after_steps(day, *carry[2:4]), *_trailing(*carry[4:], tail))
+
+    def fold(rows, carry):
+        out = []
+        for _, own in rows.groupby("api_key", sort=False):
+            first = int(own["ts_us"].iloc[0]) if anchor_us is None else int(anchor_us)
+            out.append(fold_batch(own, carry if carry is not None and not out else fresh_carry(first))[0])
+        return pd.concat(out, ignore_index=True)
+
+    order = ["ts_us", "event_id"]
+    out = fold_in_ranges(in_ranges(cols, ["api_key"], order), "api_key", order, summarize, advance, fold, FOLD_SCHEMA)
+    return out.withColumn("api_key", F.nullif(F.col("api_key"), F.lit(NO_KEY)))

@@ -35,14 +35,6 @@ def q_allocate_names(spark, sf):
     return allocate_names(fx["manifest"].select("ord", "name"), fx["existing_names"]).select("ord", "name", "target_name")
 
 
-@query("allocate_names_distributed")
-def q_allocate_names_distributed(spark, sf):
-    """The plan used for families above the grouped-map bound, forced."""
-    fx = Fixtures(spark, sf)
-    return allocate_names(fx["manifest"].select("ord", "name"), fx["existing_names"])\
-        .select("ord", "name", "target_name")
-
-
 @query("allocate_names_overwrite", """
 SELECT ord, name, name AS target_name, ord <> max(ord) OVER (PARTITION BY name) AS overwritten FROM manifest""",
        ("manifest",))
@@ -51,6 +43,3 @@ def q_allocate_names_overwrite(spark, sf):
     return allocate_names(fx["manifest"].select("ord", "name"), overwrite=True)\
         .select("ord", "name", "target_name", "overwritten")
 
-
-from .registry import ORACLES as _OR  # noqa: E402
-_OR["allocate_names_distributed"] = _OR["allocate_names"]

@@ -54,13 +54,3 @@ FROM f JOIN r0 ON f.event_id = r0.event_id""", ("requests",))
 def q_quota_fold(spark, sf):
     return Q.quota_fold(Fixtures(spark, sf)["requests"])
 
-
-@query("quota_fold_distributed")
-def q_quota_fold_distributed(spark, sf):
-    """The exact counters computed without a per-key group (the plan used for
-    keys above the grouped-map bound), forced for every key."""
-    return Q.quota_fold(Fixtures(spark, sf)["requests"])
-
-
-from .registry import ORACLES as _OR  # noqa: E402
-_OR["quota_fold_distributed"] = _OR["quota_fold"]
