@@ -5,14 +5,26 @@ every job writes the plan of what should happen (see README, "Not built").
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import time
+import uuid
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.names import base_name, file_id, stem
+from ..functions.names import base_name, stem
+from ..operators import clean as C
 from ..operators import dedup as D
 from ..operators import intake as I
 from ..session import reliable_checkpoint
-from ..sinks.writers import check_run_options, resume_stage, write_corpus, write_dataset
+from ..sinks.writers import (
+    check_run_options,
+    claim_version,
+    read_state,
+    resume_stage,
+    write_corpus,
+    write_dataset,
+    write_state_version,
+)
 from ..sources import files as S
 from . import pipelines as PL
 
@@ -49,20 +61,26 @@ def dedup_job(spark: SparkSession, directory: str, out: str, include=(), exclude
 
 
 def clean_job(spark: SparkSession, md_dir: str, txt_dir: str | None, out: str, override: bool = False) -> dict:
+    """Clean the Markdown files of a folder; every file is read once.  Files
+    that cannot be read count as failed."""
     md = S.read_markdown(spark, md_dir)
     existing = None
     if txt_dir:
         existing = S.walk_files(spark, txt_dir, recursive=False).select(base_name(F.col("path")).alias("name"))
-    cleaned, summary = PL.clean_corpus(md, existing, override, key="name")
-    write_corpus(cleaned.withColumn("name", F.concat(stem(F.col("name")), F.lit(".txt"))), out)
-    return summary.first().asDict()
+    todo = md if existing is None else C.skip_existing_text(md, existing, override)
+    outcomes = C.clean_outcomes(todo, key="name")
+    failed = Observation(f"failed-{uuid.uuid4().hex}")
+    outcomes = outcomes.observe(failed, F.count(F.when(F.col("status") != "ok", 1)).alias("failed_files"))
+    seen = write_corpus(outcomes.where("status = 'ok'").withColumn("name", F.concat(stem(F.col("name")), F.lit(".txt"))), out)
+    return {"successful_files": seen["documents"], **failed.get, "total_chars": seen["total_chars"]}
 
 
 def consolidate_job(spark: SparkSession, source: str, target_names: DataFrame | None, out: str,
                     state: str | None = None, overwrite: bool = False) -> dict:
-    from ..sinks.writers import read_state_latest, write_state_version
+    began = time.monotonic()
+    version = claim_version(spark, state) if state else None
     files = S.scan_manifest(spark, source).select("ord", "path", "name", "mtime_us", "size")
-    processed = (read_state_latest(spark, state, "file_id string") if state
+    processed = (read_state(spark, state, "file_id string") if state
                  else spark.createDataFrame([], "file_id string"))
     results, _, _ = PL.consolidate_corpus(files, processed, target_names, overwrite)
     results.write.mode("overwrite").parquet(_out(out, "results"))
@@ -71,8 +89,8 @@ def consolidate_job(spark: SparkSession, source: str, target_names: DataFrame |
         # the next version is the old ids plus this run's processed ids
         write_state_version(
             processed.select("file_id").unionByName(
-                written.filter(F.col("status") == "processed").select("file_id")).distinct(), state)
-    return I.consolidate_stats(written).first().asDict()
+                written.filter(F.col("status") == "processed").select("file_id")).distinct(), state, version)
+    return I.consolidate_stats(written, time.monotonic() - began).first().asDict()
 
 
 def intake_job(spark: SparkSession, inbox_dir: str, output_dir: str, error_dir: str, out: str) -> int:
@@ -89,15 +107,8 @@ def intake_job(spark: SparkSession, inbox_dir: str, output_dir: str, error_dir:
 
 def publish_job(spark: SparkSession, txt_dir: str, out: str, title: str, pattern: str = "*.txt",
                 description: str | None = None, created: str = "") -> dict:
-    corpus = S.read_text_corpus(spark, txt_dir, pattern)
-    ds, card = PL.publish_corpus(corpus, title, description, created)
-    write_dataset(ds, out, card)
-    return card.select("documents", "total_bytes", "total_mb").first().asDict()
-
-
-def file_ids(spark: SparkSession, source: str) -> DataFrame:
-    m = S.scan_manifest(spark, source)
-    return m.select("path", file_id(F.col("path"), F.col("mtime_us"), F.col("size")).alias("file_id"))
+    """Publish the text files of a folder; every file is read once."""
+    return write_dataset(S.read_text_corpus(spark, txt_dir, pattern), out, title, description, created)
 
 
-__all__ = ["dedup_job", "clean_job", "consolidate_job", "intake_job", "publish_job", "file_ids"]
+__all__ = ["dedup_job", "clean_job", "consolidate_job", "intake_job", "publish_job"]

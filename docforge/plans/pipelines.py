@@ -67,10 +67,11 @@ def dedup_corpus(manifest: DataFrame, include=(), exclude=(), max_depth: int | N
 def clean_corpus(markdown: DataFrame, existing_texts: DataFrame | None = None, override: bool = False,
                  key: str = "name") -> tuple[DataFrame, DataFrame]:
     """Skip documents whose text output exists, clean the rest; returns the
-    cleaned documents and the summary row."""
+    cleaned documents and the summary row (unreadable documents, with a null
+    text, are counted as failed)."""
     todo = markdown if existing_texts is None else C.skip_existing_text(markdown, existing_texts, override)
     outcomes = C.clean_outcomes(todo, key=key)
-    return outcomes.select(key, "text"), C.clean_summary(outcomes)
+    return outcomes.where("status = 'ok'").select(key, "text"), C.clean_summary(outcomes)
 
 
 def consolidate_corpus(files: DataFrame, processed: DataFrame, taken: DataFrame | None = None,

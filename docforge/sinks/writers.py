@@ -3,44 +3,56 @@ state for resumable runs.
 
 Every writer goes through Spark's committers (atomic job commit, ``_SUCCESS``
 marker), so a lost executor only retries tasks and a half-written stage is
-never mistaken for a finished one.
+never mistaken for a finished one.  A corpus is read and written once: adaptive
+execution sizes the files from the shuffled bytes (``REBALANCE``), and counts
+and bytes are observed on the way.
 """
 
 from __future__ import annotations
 
 import json
-import math
+import uuid
+import warnings
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.publish import card_of
+
 DATASET_SCHEMA = "text string, file_name string, file_size bigint"
 
 
-def _target_partitions(df: DataFrame, bytes_col, target_bytes: int) -> int:
-    total = df.agg(F.coalesce(F.sum(bytes_col), F.lit(0)).alias("b")).first().b
-    return max(1, math.ceil(int(total) / target_bytes))
+def _write_sized(df: DataFrame, path: str, mode: str, size, **more) -> dict:
+    """Write Parquet files of about ``spark.sql.adaptive.advisoryPartitionSizeInBytes``
+    in one pass; what was written as ``documents``, ``total_bytes`` and ``more``."""
+    seen = Observation(f"written-{uuid.uuid4().hex}")
+    df.observe(seen, F.count(F.lit(1)).alias("documents"), F.coalesce(F.sum(size), F.lit(0)).cast("bigint").alias("total_bytes"),
+               *[c.alias(n) for n, c in more.items()]).hint("rebalance").write.mode(mode).parquet(path)
+    return dict(seen.get)
 
 
-def write_corpus(docs: DataFrame, path: str, name: str = "name", text: str = "text",
-                 mode: str = "overwrite", target_file_bytes: int = 128 << 20) -> None:
-    """Cleaned text per document as Parquet ``(name, text)`` files of about
-    ``target_file_bytes`` each (never one file per document)."""
+def write_corpus(docs: DataFrame, path: str, name: str = "name", text: str = "text", mode: str = "overwrite") -> dict:
+    """Cleaned text per document as Parquet ``(name, text)``, never one file per
+    document; returns the documents, UTF-8 bytes and characters written."""
     out = docs.select(F.col(name).alias("name"), F.col(text).alias("text"))
-    n = _target_partitions(out, F.octet_length("text"), target_file_bytes)
-    out.repartition(n).write.mode(mode).parquet(path)
+    return _write_sized(out, path, mode, F.octet_length("text"),
+                        total_chars=F.coalesce(F.sum(F.length("text")), F.lit(0)).cast("bigint"))
 
 
-def write_dataset(corpus: DataFrame, path: str, card: DataFrame | None = None,
-                  target_file_bytes: int = 128 << 20, mode: str = "overwrite") -> None:
+def write_dataset(corpus: DataFrame, path: str, title: str | None = None, description: str | None = None,
+                  created: str = "1970-01-01", mode: str = "overwrite") -> dict:
     """The published dataset with its fixed schema ``(text, file_name,
-    file_size)``, plus the card as a text file under ``<path>/_card``."""
+    file_size)``; with a ``title`` also its card, built from what was written,
+    as a text file under ``<path>/_card``.  Returns documents and bytes."""
+    spark, path = corpus.sparkSession, path.rstrip("/")
     ds = corpus.select(F.col("text").cast("string"), F.col("file_name").cast("string"),
                        F.col("file_size").cast("bigint"))
-    n = _target_partitions(ds, F.col("file_size"), target_file_bytes)
-    ds.repartition(n).write.mode(mode).parquet(f"{path.rstrip('/')}/data")
-    if card is not None:
-        card.select("card").coalesce(1).write.mode(mode).text(f"{path.rstrip('/')}/_card")
+    seen = _write_sized(ds, f"{path}/data", mode, F.col("file_size"))
+    if title is not None:
+        totals = spark.createDataFrame([(seen["documents"], seen["total_bytes"])], "documents bigint, total_bytes bigint")
+        card_of(totals, title, description, created).select("card").coalesce(1).write.mode(mode).text(f"{path}/_card")
+    return seen
 
 
 # ---------------------------------------------------------------------------
@@ -98,32 +110,65 @@ def resume_stage(spark: SparkSession, base: str | None, run_id: str, stage: str,
 # ---------------------------------------------------------------------------
 # versioned state (processed ids): each run commits a new version
 # ---------------------------------------------------------------------------
-def _versions(spark: SparkSession, base: str) -> list[int]:
+def _file_system(spark: SparkSession, base: str):
     jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(base)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(p):
-        return []
-    out = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith("v=") and name[2:].isdigit() \
-                and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            out.append(int(name[2:]))
-    return sorted(out)
-
-
-def read_state_latest(spark: SparkSession, base: str, schema: str) -> DataFrame:
-    """The newest committed version of a state table (empty when none)."""
-    v = _versions(spark, base)
-    if not v:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(f"{base.rstrip('/')}/v={v[-1]}")
-
-
-def write_state_version(df: DataFrame, base: str) -> int:
-    """Commit ``df`` as the next version; a failed write leaves no version."""
-    spark = df.sparkSession
-    v = (_versions(spark, base) or [0])[-1] + 1
-    df.write.mode("overwrite").parquet(f"{base.rstrip('/')}/v={v}")
+    path = jvm.org.apache.hadoop.fs.Path(base)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jvm.org.apache.hadoop.fs.Path
+
+
+def _numbers(spark: SparkSession, base: str) -> tuple[list[int], list[int]]:
+    """The committed versions, and all that were claimed."""
+    fs, path = _file_system(spark, base)
+    committed, claimed = [], []
+    if not fs.exists(path(base)):
+        return committed, claimed
+    for st in fs.listStatus(path(base)):
+        kind, _, number = st.getPath().getName().partition("=")
+        if number.isdigit() and kind in ("v", "claim"):
+            claimed.append(int(number))
+            if kind == "v" and fs.exists(path(st.getPath(), "_SUCCESS")):
+                committed.append(int(number))
+    return sorted(committed), sorted(claimed)
+
+
+def read_state(spark: SparkSession, base: str, schema: str) -> DataFrame:
+    """The newest committed version of a state table; empty when there is none.
+
+    Versions whose files are damaged are passed over with a warning, newest
+    first, and a state without a sound version is empty; that a folder may not
+    be read is an error."""
+    committed, _ = _numbers(spark, base)
+    for v in reversed(committed):
+        path = f"{base.rstrip('/')}/v={v}"
+        try:
+            state = spark.read.schema(schema).parquet(path)
+            state.write.format("noop").mode("overwrite").save()    # every file opens
+            return state
+        except Exception as why:  # noqa: BLE001 - a damaged file surfaces as any of Spark's errors
+            if any(x in str(why) for x in ("AccessControlException", "Permission denied")):
+                raise
+            warnings.warn(f"state version {path} cannot be read, trying an older one: {type(why).__name__}", stacklevel=2)
+    return spark.createDataFrame([], schema)
+
+
+def claim_version(spark: SparkSession, base: str) -> int:
+    """Claim the next version: a marker file that only one run can create.  A
+    run that finds its number taken tries the next one."""
+    fs, path = _file_system(spark, base)
+    v = max(_numbers(spark, base)[1], default=0) + 1
+    while True:
+        try:
+            fs.create(path(f"{base.rstrip('/')}/claim={v}"), False).close()
+            return v
+        except Py4JJavaError as why:
+            if "FileAlreadyExistsException" not in str(why.java_exception):
+                raise
+            v += 1
+
+
+def write_state_version(df: DataFrame, base: str, version: int | None = None) -> int:
+    """Commit ``df`` as a version of its own (``claim_version``, or one that was
+    claimed before the run began); a failed write leaves a claim, no version."""
+    v = claim_version(df.sparkSession, base) if version is None else version
+    df.write.mode("errorifexists").parquet(f"{base.rstrip('/')}/v={v}")
     return v

@@ -147,20 +147,105 @@ def test_writers_and_stage_resume(spark, tmpdir_fresh):
     assert len(calls) == 1 and r1.count() == r2.count() == 2
     assert W.stage_done(spark, base, "run1", "names")
     assert not W.stage_done(spark, base, "run1", "other")
-    empty = S.read_state(spark, tmpdir_fresh + "/missing", "file_id string")
+    empty = W.read_state(spark, tmpdir_fresh + "/missing", "file_id string")
     assert empty.count() == 0
 
 
+def test_state_versions_are_claimed_by_one_run_each(spark, tmpdir_fresh):
+    import warnings
+    base = tmpdir_fresh + "/versions"
+    a, b = (spark.createDataFrame([(x,)], "file_id string") for x in "ab")
+    v1, v2 = W.claim_version(spark, base), W.claim_version(spark, base)   # two runs begin
+    assert W.write_state_version(b, base, v2) == 2 and W.write_state_version(a, base, v1) == 1
+    assert [r.file_id for r in W.read_state(spark, base, "file_id string").collect()] == ["b"]
+    assert W.write_state_version(a.unionByName(b), base) == 3
+    W.claim_version(spark, base)                                          # a run that never finished
+    assert W.read_state(spark, base, "file_id string").count() == 2
+    damaged = [f for f in os.listdir(base + "/v=3") if f.startswith("part-")]
+    for f in damaged:
+        for name in (f, f".{f}.crc"):
+            if os.path.exists(f"{base}/v=3/{name}"):
+                with open(f"{base}/v=3/{name}", "wb") as out:
+                    out.write(b"no parquet file")
+    with warnings.catch_warnings(record=True) as told:
+        warnings.simplefilter("always")
+        assert [r.file_id for r in W.read_state(spark, base, "file_id string").collect()] == ["b"]
+    assert any("v=3" in str(w.message) for w in told)
+
+
+def test_roots_have_one_spelling(spark, tmpdir_fresh):
+    files = _tree(tmpdir_fresh)
+    plain = {tuple(r) for r in S.scan_manifest(spark, tmpdir_fresh).drop("ord").collect()}
+    assert len(plain) == len(files)
+    for root in (f"file://{tmpdir_fresh}", f"file:{tmpdir_fresh}/", f"{tmpdir_fresh}/d1/../d2/./..//"):
+        assert {tuple(r) for r in S.scan_manifest(spark, root).drop("ord").collect()} == plain
+    depths = {r.name: r.depth for r in S.scan_manifest(spark, f"{tmpdir_fresh}/p/../d2/x/..", method="binaryFile").collect()}
+    assert depths["noext"] == 1
+    assert S.normal_root("s3://bucket/a/../b//c/") == "s3://bucket/b/c" and S.normal_root("hdfs://h:8020/") == "hdfs://h:8020"
+
+
+def test_unreadable_entries_are_rows(spark, tmpdir_fresh):
+    """Files that go between listing and reading, dangling links and missing folders."""
+    from docforge.plans import jobs
+    _write(tmpdir_fresh, "md/a.md", b"# a")
+    _write(tmpdir_fresh, "md/b.md", b"b")
+    os.symlink(tmpdir_fresh + "/nowhere", tmpdir_fresh + "/md/gone.md")
+    found = {os.path.basename(r.path): r.error for r in S.walk_files(spark, tmpdir_fresh, errors=True).collect()}
+    assert found == {"a.md": None, "b.md": None, "gone.md": "FileNotFoundError"}
+    assert S.walk_files(spark, tmpdir_fresh + "/nowhere", errors=True).first().error == "FileNotFoundError"
+    listing = S.walk_files(spark, tmpdir_fresh + "/md")
+    os.unlink(tmpdir_fresh + "/md/b.md")
+    read = {os.path.basename(r.path): (r.content, r.error) for r in S.read_contents(listing).collect()}
+    assert read == {"a.md": (bytearray(b"# a"), None), "b.md": (None, "FileNotFoundError")}
+    _write(tmpdir_fresh, "md/b.md", b"b")
+    os.mkdir(tmpdir_fresh + "/md/c.md")                                   # a folder is no file
+    stats = jobs.clean_job(spark, tmpdir_fresh + "/md", None, tmpdir_fresh + "/out")
+    assert stats == {"successful_files": 2, "failed_files": 0, "total_chars": 2}
+
+
+def test_unreadable_files_count_as_failed(spark):
+    from docforge.plans.pipelines import clean_corpus
+    md = spark.createDataFrame([("x.md", None), ("y.md", "y")], "name string, text string")
+    cleaned, summary = clean_corpus(md)
+    assert tuple(summary.first()) == (1, 1, 1) and [tuple(r) for r in cleaned.collect()] == [("y.md", "y")]
+
+
+def test_listings_leave_a_task_in_batches():
+    import tempfile
+
+    import pyarrow as pa
+    root = tempfile.mkdtemp()
+    for i in range(50_000):
+        os.mknod(f"{root}/{i}.txt")
+    sizes = [b.num_rows for b in S._list_folders([pa.record_batch({"path": [root]})])]
+    assert sum(sizes) == 50_000 and max(sizes) == S.LIST_ROWS
+
+
+def test_corpora_are_read_once(spark, tmpdir_fresh):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    df = spark.range(100).selectExpr("concat('d', id) AS name", "repeat('x', 7) AS text").mapInArrow(count, "name string, text string")
+    assert W.write_corpus(df, tmpdir_fresh + "/c") == {"documents": 100, "total_bytes": 700, "total_chars": 700}
+    assert seen.value == 100
+    got = W.write_dataset(df.selectExpr("text", "name AS file_name", "7L AS file_size"), tmpdir_fresh + "/d", "t")
+    assert got == {"documents": 100, "total_bytes": 700} and seen.value == 200
+
+
 def test_write_dataset_with_card(spark, tmpdir_fresh):
     from docforge.operators.publish import dataset_card
     corpus = spark.createDataFrame([("hello", "a.txt", 5), ("wörld", "b.txt", 6)],
                                    "text string, file_name string, file_size long")
-    card = dataset_card(corpus, "t", created="2024-01-01")
-    W.write_dataset(corpus, tmpdir_fresh + "/ds", card)
+    card = dataset_card(corpus, "t", created="2024-01-01").first()
+    assert W.write_dataset(corpus, tmpdir_fresh + "/ds", "t", created="2024-01-01") == {"documents": 2, "total_bytes": 11}
     back = spark.read.parquet(tmpdir_fresh + "/ds/data")
     assert back.schema.simpleString() == "struct<text:string,file_name:string,file_size:bigint>"
     text = "\n".join(r.value for r in spark.read.text(tmpdir_fresh + "/ds/_card").collect())
-    assert "- Documents: 2" in text and "- Total size: 0.00 MB" in text
+    assert text.rstrip() == card.card.rstrip() and "- Documents: 2" in text and "- Total size: 0.00 MB" in text
 
 
 def test_newline_fold_and_strip_whitespace_set(spark):
