@@ -56,6 +56,23 @@ def main(argv=None) -> int:
     n.add_argument("errors")
     n.add_argument("out")
 
+    e = sub.add_parser("finish", help="routes, error details and summary at the end of a conversion batch")
+    e.add_argument("outcomes", help="Parquet table (ord, name, file_name, ext, status)")
+    e.add_argument("error_log")
+    e.add_argument("processed_dir")
+    e.add_argument("error_dir")
+    e.add_argument("out")
+
+    v = sub.add_parser("validate", help="outputs that are no .txt files")
+    v.add_argument("folder")
+    v.add_argument("out")
+    v.add_argument("--action", choices=["move", "delete"], default="move")
+
+    r = sub.add_parser("repair", help="quarantined Word files against new extraction results")
+    r.add_argument("folder")
+    r.add_argument("extractions", help="Parquet table (name, text)")
+    r.add_argument("out")
+
     u = sub.add_parser("publish", help="dataset (text, file_name, file_size) and its card")
     u.add_argument("txt_dir")
     u.add_argument("out")
@@ -87,6 +104,12 @@ def main(argv=None) -> int:
         out = jobs.consolidate_job(spark, a.source, taken, a.out, a.state, a.overwrite)
     elif a.job == "intake":
         out = {"files": jobs.intake_job(spark, a.inbox, a.outputs, a.errors, a.out)}
+    elif a.job == "finish":
+        out = jobs.finish_job(spark, spark.read.parquet(a.outcomes), a.error_log, a.processed_dir, a.error_dir, a.out, int(t0))
+    elif a.job == "validate":
+        out = jobs.validate_job(spark, a.folder, a.out, a.action)
+    elif a.job == "repair":
+        out = jobs.repair_job(spark, a.folder, spark.read.parquet(a.extractions), a.out)
     else:
         out = jobs.publish_job(spark, a.txt_dir, a.out, a.title, a.pattern, a.description,
                                time.strftime("%Y-%m-%d"))

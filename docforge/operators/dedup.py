@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from ..session import reliable_checkpoint
 from ..functions.names import format_size, relative_link
+from .ranges import in_ranges, running_sums
 
 STRATEGIES = ("newest", "oldest", "first_found")
 MEMBER_COLS = ["stage", "group_key", "size", "path", "ord", "mtime_us", "role"]
@@ -306,8 +307,12 @@ def action_plan(members: DataFrame, symlink: bool = False) -> DataFrame:
 def apply_decisions(members: DataFrame, decisions: DataFrame) -> DataFrame:
     """Per-group choices: ``d`` delete, ``k`` keep all, ``s`` symlink; an
     optional ``keep_path`` replaces the keeper when it is a member.  Groups
-    without a decision stay untouched (action ``none``)."""
-    dec = decisions.select("group_key", "choice", F.col("keep_path").alias("_new_keep"))
+    without a decision stay untouched (action ``none``).  Of several decisions
+    for a group the one with the largest ``ord`` holds (without that column, the
+    last in the order of choice and path)."""
+    said = F.struct("choice", F.col("keep_path").alias("_new_keep"))
+    last = F.max_by(said, "ord") if "ord" in decisions.columns else F.max(said)
+    dec = decisions.groupBy("group_key").agg(last.alias("_d")).select("group_key", "_d.*")
     in_group = (members.join(dec.filter(F.col("_new_keep").isNotNull()), "group_key")
                 .filter(F.col("path") == F.col("_new_keep"))
                 .select("stage", "group_key", F.lit(True).alias("_replace")))
@@ -339,11 +344,9 @@ def dup_report(members: DataFrame, manifest: DataFrame, directory: str, at: str,
     header.  Sorting by ``(group_no, line_no)`` gives the file.
 
     ``members`` should come from ``dup_members(..., with_order=True)``;
-    otherwise the order columns are recomputed.  Members are checkpointed
-    once (the report reads them several times), group numbers come from a
-    range-partitioned sort, and so do the numbers of the delete lines: no
-    step runs in a single task."""
-    from .ranking import sorted_positions
+    otherwise the order columns are recomputed.  All lines but the header are
+    put in their total order once, in ranges of bounded rows; running sums of
+    groups and of their lines number both."""
     if "size_first_ord" not in members.columns:
         order = dup_members(manifest, strategy, content, chunk_size=chunk_size, with_order=True).select(
             "stage", "group_key", "size_first_ord", "prefix_first_ord", "first_ord").distinct()
@@ -367,27 +370,27 @@ def dup_report(members: DataFrame, manifest: DataFrame, directory: str, at: str,
     hdr = tmpl.select("*", F.lit(1).alias("_one")).join(F.broadcast(totals), "_one").select(
         F.lit(0).cast("bigint").alias("group_no"), "line_no", line.alias("line"))
 
-    groups = members.groupBy("stage", "group_key", "size", "size_first_ord", "prefix_first_ord", "first_ord")\
-        .agg(F.count(F.lit(1)).alias("n_files"))\
-        .withColumn("stage_no", F.when(F.col("stage") == "filename", 0).otherwise(1))
-    numbered = sorted_positions(
-        groups, [F.col("stage_no"), F.col("size_first_ord"), F.col("prefix_first_ord"), F.col("first_ord")],
-        out="group_no")
-    title = numbered.select(
-        "group_no", F.lit(0).cast("bigint").alias("line_no"),
-        F.concat(F.lit("Group "), F.col("group_no").cast("string"), F.lit(": "),
-                 F.col("n_files").cast("string"), F.lit(" files of size "), format_size(F.col("size")))
-        .alias("line"))
-    # keeper on line 1, deletes in the reference's list order, blank line last
-    m = members.join(numbered.select("stage", "group_key", "group_no"), ["stage", "group_key"])
-    dorder = [F.col("ord")] if strategy == "first_found" else [F.col("mtime_us"), F.col("ord")]
-    # one sort numbers all deletes; a group's own numbers start at its first
-    dels = sorted_positions(m.filter(F.col("role") == "delete"), [F.col("group_no"), *dorder], out="_pos")
-    first = dels.groupBy("group_no").agg(F.min("_pos").alias("_first"))
-    dels = dels.join(first, "group_no").withColumn("k", F.col("_pos") - F.col("_first") + 1)
-    keep_line = m.filter(F.col("role") == "keep").select(
-        "group_no", F.lit(1).cast("bigint").alias("line_no"), F.concat(F.lit("  Keep: "), F.col("path")).alias("line"))
-    del_lines = dels.select("group_no", (F.col("k") + 1).cast("bigint").alias("line_no"),
-                            F.concat(F.lit("  Delete: "), F.col("path")).alias("line"))
-    blank = numbered.select("group_no", (F.col("n_files") + 1).cast("bigint").alias("line_no"), F.lit("").alias("line"))
-    return hdr.unionByName(title).unionByName(keep_line).unionByName(del_lines).unionByName(blank)
+    # title, keeper, deletes in list order, blank line: kinds 0 to 3 of a group
+    place = ["stage_no", "size_first_ord", "prefix_first_ord", "first_ord"]
+    members = members.withColumn("stage_no", F.when(F.col("stage") == "filename", 0).otherwise(1))
+    groups = members.groupBy("stage", "group_key", "size", *place).agg(F.count(F.lit(1)).alias("n_files"))
+    zero = F.lit(0).cast("bigint")
+    frame = groups.select(*place, "size", "n_files", F.explode(F.array(F.lit(0), F.lit(3))).alias("kind"),
+                          zero.alias("at"), zero.alias("then"), F.lit(None).cast("string").alias("path"))
+    kind = F.when(F.col("role") == "keep", 1).otherwise(2)
+    listed = members.join(groups.select("stage", "group_key", "n_files"), ["stage", "group_key"]).select(
+        *place, "size", "n_files", kind.alias("kind"),
+        (zero if strategy == "first_found" else F.col("mtime_us")).alias("at"), F.col("ord").alias("then"), "path")
+    title, n = F.col("kind") == 0, F.col("n_files")
+    lines = frame.unionByName(listed).withColumns({
+        "all": F.lit(0), "one": F.lit(1), "title": F.when(title, 1).otherwise(0), "lines": F.when(title, n + 2).otherwise(0)})
+    order = [*place, "kind", "at", "then"]
+    lines = running_sums(in_ranges(lines, ["all"], order), ["all"], order,
+                         {"group_no": "title", "upto": "one", "begun": "lines"})
+    line = (F.when(title, F.concat(F.lit("Group "), F.col("group_no").cast("string"), F.lit(": "), n.cast("string"),
+                                   F.lit(" files of size "), format_size(F.col("size"))))
+            .when(F.col("kind") == 1, F.concat(F.lit("  Keep: "), F.col("path")))
+            .when(F.col("kind") == 2, F.concat(F.lit("  Delete: "), F.col("path"))).otherwise(""))
+    # lines of this and earlier groups up to here, less those of the earlier groups
+    line_no = F.col("upto") - (F.col("begun") - (n + 2)) - 1
+    return hdr.unionByName(lines.select("group_no", line_no.cast("bigint").alias("line_no"), line.alias("line")))

@@ -9,8 +9,10 @@ defined.
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T_
 
 from ..functions import text as T
 
@@ -42,24 +44,28 @@ def budget_pages(pages: DataFrame, budget: int | None = None, key: str = "doc_id
     """Per document in page order: a page is taken when the tokens used so
     far plus its cost stay within the budget; otherwise it is skipped and the
     next page is tried (a later, cheaper page may still fit).  No or zero
-    budget takes every page.  Needs a ``cost`` column (see ``page_cost``)."""
+    budget takes every page.  Needs a ``cost`` column (see ``page_cost``); a page
+    without a cost is skipped.  A task streams over the sorted pages of its
+    documents, so a document of any length takes constant memory."""
     if not budget:
         return pages.select(key, pos, "cost", F.lit(True).alias("taken"))
-    b = F.lit(int(budget)).cast("bigint")
-    per_doc = pages.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(F.col(pos).alias("p"), F.col("cost").alias("c"))))
-                                     .alias("_pages"))
-    init = F.struct(F.lit(0).cast("bigint").alias("used"), F.array().cast("array<bigint>").alias("taken"))
-
-    def step(acc, x):
-        fits = acc["used"] + x["c"] <= b
-        return F.struct(F.when(fits, acc["used"] + x["c"]).otherwise(acc["used"]).alias("used"),
-                        F.when(fits, F.array_append(acc["taken"], x["p"].cast("bigint"))).otherwise(acc["taken"])
-                        .alias("taken"))
-
-    folded = per_doc.select(key, "_pages", F.aggregate("_pages", init, step)["taken"].alias("_taken"))
-    return folded.select(key, F.explode("_pages").alias("_x"), "_taken").select(
-        key, F.col("_x.p").alias(pos), F.col("_x.c").alias("cost"),
-        F.array_contains("_taken", F.col("_x.p").cast("bigint")).alias("taken"))
+    limit, rows = int(budget), pages.select(key, pos, F.col("cost").cast("bigint").alias("cost"))
+
+    def spend(batches):
+        # rows in order of document and page; only the tokens used so far are kept
+        now, used = None, 0
+        for batch in batches:
+            taken = []
+            for doc, cost in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                if doc != now:
+                    now, used = doc, 0
+                fits = cost is not None and used + cost <= limit
+                used += cost if fits else 0
+                taken.append(fits)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(taken, pa.bool_())], [*batch.schema.names, "taken"])
+
+    schema = T_.StructType([*rows.schema.fields, T_.StructField("taken", T_.BooleanType())])
+    return rows.repartition(key).sortWithinPartitions(key, pos, "cost").mapInArrow(spend, schema)
 
 
 def retry_outcome(attempts: DataFrame, pages: DataFrame | None = None, max_retries: int = 2,

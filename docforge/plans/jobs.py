@@ -100,15 +100,53 @@ def intake_job(spark: SparkSession, inbox_dir: str, output_dir: str, error_dir:
         .filter(F.col("name").endswith(".md")).select(stem(F.col("name")).alias("stem"))
     quarantine = S.scan_manifest(spark, error_dir).select(
         "path", "name", "size", "ord", F.lit(None).cast("bigint").alias("page_count"))
+    # inputs that are converted already leave the inbox
+    I.intake_done(inbox, outputs).select("path", "name", F.lit("processed/").alias("folder"), F.lit("move").alias("action"))\
+        .write.mode("overwrite").parquet(_out(out, "done"))
     plan = PL.intake_batch(inbox, outputs, quarantine)
     plan.write.mode("overwrite").parquet(_out(out, "intake"))
     return spark.read.parquet(_out(out, "intake")).count()
 
 
+def _names(spark: SparkSession, folder: str) -> DataFrame:
+    return S.walk_files(spark, folder, recursive=False).select(base_name(F.col("path")).alias("name"))
+
+
+def finish_job(spark: SparkSession, outcomes: DataFrame, error_log: str, processed_dir: str, error_dir: str,
+               out: str, epoch: int) -> dict:
+    """The end of a conversion batch: where every file of ``outcomes(ord, name,
+    file_name, ext, status)`` goes, what the error log (a text file) says about
+    the failed ones, counts by type, and the summary."""
+    log = S.read_text_corpus(spark, error_log).select(
+        F.lit(0).cast("bigint").alias("log_id"), F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    log = log.withColumn("line_no", F.col("line_no").cast("bigint"))
+    taken = _names(spark, processed_dir).withColumn("folder", F.lit("processed/")).unionByName(
+        _names(spark, error_dir).withColumn("folder", F.lit("error/")))
+    end = PL.finish_batch(outcomes, log, taken, epoch)
+    end.files.write.mode("overwrite").parquet(_out(out, "files"))
+    end.types.write.mode("overwrite").parquet(_out(out, "types"))
+    return end.summary.first().asDict()
+
+
+def validate_job(spark: SparkSession, folder: str, out: str, action: str = "move") -> dict:
+    """What happens to the outputs of a folder that are no ``.txt`` files."""
+    I.validate_output_format(_names(spark, folder), action).write.mode("overwrite").parquet(_out(out, "routes"))
+    routes = spark.read.parquet(_out(out, "routes"))
+    return {r["route"]: r["files"] for r in I.output_format_summary(routes).collect()}
+
+
+def repair_job(spark: SparkSession, folder: str, extractions: DataFrame, out: str) -> dict:
+    """Quarantined Word files against new extraction results ``(name, text)``."""
+    I.repair_quarantine(_names(spark, folder), extractions).write.mode("overwrite").parquet(_out(out, "repaired"))
+    counts = spark.read.parquet(_out(out, "repaired")).groupBy("status").count()
+    return {r["status"]: r["count"] for r in counts.collect()}
+
+
 def publish_job(spark: SparkSession, txt_dir: str, out: str, title: str, pattern: str = "*.txt",
                 description: str | None = None, created: str = "") -> dict:
     """Publish the text files of a folder; every file is read once."""
     return write_dataset(S.read_text_corpus(spark, txt_dir, pattern), out, title, description, created)
 
 
-__all__ = ["dedup_job", "clean_job", "consolidate_job", "intake_job", "publish_job"]
+__all__ = ["dedup_job", "clean_job", "consolidate_job", "intake_job", "finish_job", "validate_job", "repair_job",
+           "publish_job"]

@@ -97,6 +97,26 @@ def intake_batch(inbox: DataFrame, outputs: DataFrame, quarantine: DataFrame) ->
     return I.filter_temp_files(ordered).select("position", "name", "from_quarantine", "pages", "score", "status")
 
 
+@dataclass
+class BatchEnd:
+    files: DataFrame
+    types: DataFrame
+    summary: DataFrame
+
+
+def finish_batch(outcomes: DataFrame, log_lines: DataFrame, taken: DataFrame, epoch: int) -> BatchEnd:
+    """The end of a conversion batch: every outcome of ``outcomes(ord, name,
+    file_name, ext, status)`` with where its file goes and, if it failed, the
+    last message of the error log for ``name``.  Joined once and frozen; type
+    counts and the summary are read from that table.  Skipped files have no
+    folder.  ``taken(name[, folder])``: names in the target folders."""
+    routed = I.route_manifest(outcomes, taken, epoch, name="file_name").select("ord", "folder", "dest_name", "action")
+    failed = outcomes.where("status = 'failed'").select("ord", "name", "status")
+    told = failed.join(I.error_details(failed, I.parse_error_log(log_lines)).distinct(), "name").select("ord", "message")
+    files = reliable_checkpoint(outcomes.join(routed, "ord", "left").join(told, "ord", "left"))
+    return BatchEnd(files, I.type_counts(files), I.batch_summary(files))
+
+
 def publish_corpus(corpus: DataFrame, title: str, description: str | None = None,
                    created: str = "1970-01-01") -> tuple[DataFrame, DataFrame]:
     """The dataset with its fixed schema and its card."""

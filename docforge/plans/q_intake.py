@@ -274,3 +274,45 @@ def q_classify_api_errors(spark, sf):
 def q_api_error_counts(spark, sf):
     p = I.classify_api_errors(I.parse_error_log(Fixtures(spark, sf)["log_lines"]))
     return p.groupBy("error_class").agg(F.count(F.lit(1)).alias("errors"))
+
+
+_FINISH = "WITH " + PARSED_SQL.strip() + f""",
+last AS (SELECT file, arg_max(message, (log_id, line_no)) AS msg FROM parsed GROUP BY file),
+out_ AS (SELECT ord, name, name || '.' || ext AS file_name, ext, status FROM outcomes),
+t AS (SELECT name || '.' || ext AS name FROM outcomes WHERE name IN (SELECT name FROM taken_names)),
+files AS (
+  SELECT out_.*, CASE status WHEN 'ok' THEN 'processed/' WHEN 'failed' THEN 'error/' END AS folder,
+         CASE WHEN status = 'skipped' THEN NULL WHEN file_name IN (SELECT name FROM t)
+              THEN {stem_sql('file_name')} || '_{ROUTE_EPOCH}' || {ext_sql('file_name')} ELSE file_name END AS dest_name,
+         CASE status WHEN 'ok' THEN 'move' WHEN 'failed' THEN 'copy' END AS action,
+         CASE WHEN status = 'failed' THEN coalesce(l.msg, 'no information') END AS message
+  FROM out_ LEFT JOIN last l ON out_.name = l.file)"""
+
+
+def _finish(spark, sf):
+    from .pipelines import finish_batch
+    fx = Fixtures(spark, sf)
+    o = fx["outcomes"].select("ord", "name", F.concat_ws(".", "name", "ext").alias("file_name"), "ext", "status")
+    taken = o.join(fx["taken_names"], "name", "left_semi").select(F.col("file_name").alias("name"))
+    return finish_batch(o, fx["log_lines"], taken, ROUTE_EPOCH)
+
+
+@query("finish_batch", _FINISH + """
+SELECT ord, name, file_name, ext, status, folder, dest_name, action, message FROM files""",
+       ("outcomes", "taken_names", "log_lines"))
+def q_finish_batch(spark, sf):
+    """The end of a batch: routes and error details of every outcome."""
+    return _finish(spark, sf).files.select("ord", "name", "file_name", "ext", "status", "folder", "dest_name", "action", "message")
+
+
+@query("finish_batch_report", _FINISH + """
+SELECT 'type ' || lower(ext) AS item, CAST(count(*) AS BIGINT) AS files FROM files GROUP BY lower(ext)
+UNION ALL SELECT 'success', CAST(count(*) FILTER (WHERE status = 'ok') AS BIGINT) FROM files
+UNION ALL SELECT 'failed', CAST(count(*) FILTER (WHERE status = 'failed') AS BIGINT) FROM files""",
+       ("outcomes", "taken_names", "log_lines"))
+def q_finish_batch_report(spark, sf):
+    """Counts by type and outcome, read from the same frozen table."""
+    end = _finish(spark, sf)
+    totals = end.summary.select(F.explode(F.create_map(F.lit("success"), F.col("success_files"), F.lit("failed"), F.col("failed_files")))
+                                .alias("item", "files"))
+    return end.types.select(F.concat(F.lit("type "), F.col("ext")).alias("item"), "files").unionByName(totals)

@@ -77,3 +77,44 @@ def test_cli_runs_in_the_active_session(spark, tmpdir_fresh, capsys):
     assert main(["publish", txt, os.path.join(tmpdir_fresh, "ds"), "--title", "t"]) == 0
     out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert out["documents"] == 2 and out["total_bytes"] == 5
+
+
+def test_end_of_batch_validate_and_repair_jobs(spark, tmpdir_fresh):
+    from docforge.cli import main
+    root = tmpdir_fresh
+    spark.createDataFrame([(0, "a", "a.pdf", "pdf", "ok"), (1, "b", "b.PDF", "PDF", "failed"), (2, "c", "c.doc", "doc", "failed"),
+                           (3, "~$d", "~$d.doc", "doc", "skipped")],
+                          "ord long, name string, file_name string, ext string, status string").write.parquet(root + "/outcomes")
+    _write(root, "log.txt", b"## 10:00:00 - b\nold\n## 11:00:00 - b\nlast line\nof two\n")
+    _write(root, "processed/a.pdf", b"x")
+    _write(root, "error/x.pdf", b"x")
+    assert main(["finish", root + "/outcomes", root + "/log.txt", root + "/processed", root + "/error", root + "/end"]) == 0
+    rows = {r.ord: r for r in spark.read.parquet(root + "/end/files").collect()}
+    assert rows[0].folder == "processed/" and rows[0].dest_name.startswith("a_") and rows[0].message is None
+    assert (rows[1].folder, rows[1].dest_name, rows[1].action, rows[1].message) == ("error/", "b.PDF", "copy", "last line\nof two")
+    assert rows[2].message == "no information" and rows[3].folder is None
+    assert {tuple(r) for r in spark.read.parquet(root + "/end/types").collect()} == {("pdf", 2), ("doc", 2)}
+    _write(root, "out/a.txt", b"x")
+    _write(root, "out/b.docx", b"x")
+    assert jobs.validate_job(spark, root + "/out", root + "/v") == {"keep": 1, "move": 1}
+    texts = spark.createDataFrame([("b.docx", " text ")], "name string, text string")
+    assert jobs.repair_job(spark, root + "/out", texts, root + "/r") == {"fixed": 1}
+
+
+def test_last_decision_of_a_group_holds(spark):
+    from docforge.operators import dedup as D
+    members = spark.createDataFrame([("content", "g", 1, "/a", 0, 0, "keep"), ("content", "g", 1, "/b", 1, 0, "delete")],
+                                    "stage string, group_key string, size long, path string, ord long, mtime_us long, role string")
+    said = spark.createDataFrame([("g", "d", None, 1), ("g", "k", None, 2)], "group_key string, choice string, keep_path string, ord int")
+    assert sorted((r.path, r.action) for r in D.apply_decisions(members, said).collect()) == [("/a", "keep"), ("/b", "keep")]
+
+
+def test_budget_of_a_very_long_document(spark):
+    from pyspark.sql import functions as F
+    from docforge.operators import pages as P
+    pages = spark.range(200_000).select(F.lit(1).alias("doc_id"), F.col("id").alias("page_no"), F.lit(2).alias("cost")).unionByName(
+        spark.createDataFrame([(None, 1, 5), (None, 2, None), (2, None, 1)], "doc_id int, page_no long, cost int"))
+    got = P.budget_pages(pages, 9)
+    assert got.where("doc_id = 1 and taken").count() == 4 and got.count() == 200_003
+    assert {tuple(r) for r in got.where("doc_id is null or doc_id = 2").collect()} == {
+        (None, 1, 5, True), (None, 2, None, False), (2, None, 1, True)}
