@@ -131,6 +131,11 @@ def _numbers(spark: SparkSession, base: str) -> tuple[list[int], list[int]]:
     return sorted(committed), sorted(claimed)
 
 
+def committed_versions(spark: SparkSession, base: str) -> list[int]:
+    """The committed versions of a state, oldest first."""
+    return _numbers(spark, base)[0]
+
+
 def read_state(spark: SparkSession, base: str, schema: str) -> DataFrame:
     """The newest committed version of a state table; empty when there is none.
 

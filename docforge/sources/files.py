@@ -154,7 +154,7 @@ def scan_manifest(spark: SparkSession, root: str, recursive: bool = True, glob:
     if method is None:
         method = "walk" if _scheme(root) in ("", *ARROW_SCHEMES) and not with_content else "binaryFile"
     if method == "walk":
-        df = _glob_filter(walk_files(spark, root, recursive), glob)
+        df = glob_filter(walk_files(spark, root, recursive), glob)
     else:
         cols = [F.col("path"), F.col("length").alias("size"),
                 F.unix_micros(F.col("modificationTime")).alias("mtime_us")]
@@ -182,7 +182,7 @@ def _glob_regex(glob: str) -> str:
     return "^" + fnmatch.translate(glob).replace("\\Z", "\\z")
 
 
-def _glob_filter(df: DataFrame, glob: str | None) -> DataFrame:
+def glob_filter(df: DataFrame, glob: str | None) -> DataFrame:
     """Match base names like Python's ``glob``: ``*``/``?`` never match a
     leading dot."""
     if not glob:
@@ -247,7 +247,7 @@ def _files_with_content(spark: SparkSession, folder: str, recursive: bool, glob:
         return _listing(spark, folder, recursive, glob).select(
             "path", F.col("length").cast("bigint").alias("size"),
             F.unix_micros("modificationTime").alias("mtime_us"), "content", F.lit(None).cast("string").alias("error"))
-    listing = _glob_filter(walk_files(spark, folder, recursive), glob)
+    listing = glob_filter(walk_files(spark, folder, recursive), glob)
     # files of very different sizes: spread them, so that a task reads about as many as the next
     return read_contents(listing.repartition(spark.sparkContext.defaultParallelism * 4))
 
@@ -293,7 +293,7 @@ def list_markdown(spark: SparkSession, folder: str) -> DataFrame:
     """Direct ``*.md`` children of a folder (metadata only)."""
     folder = normal_root(folder)
     if _scheme(folder) in ("", *ARROW_SCHEMES):
-        raw = _glob_filter(walk_files(spark, folder, recursive=False), "*.md")
+        raw = glob_filter(walk_files(spark, folder, recursive=False), "*.md")
     else:
         raw = _listing(spark, folder, recursive=False, glob="*.md").select("path", F.col("length").alias("size"))
     name = base_name(F.col("path"))

@@ -15,14 +15,19 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from ..functions import text as T
+from ..functions.names import base_name, file_id
+from ..operators import clean as C
 from ..operators.quota import FOLD_SCHEMA, NO_KEY, fold_batch, fresh_carry
+from ..sinks import writers as W
+from ..sources import files as S
 
 
 # ---------------------------------------------------------------------------
 # sources
 # ---------------------------------------------------------------------------
 def markdown_stream(spark: SparkSession, folder: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """New ``*.md`` files arriving in a folder, decoded like the batch reader."""
+    """New ``*.md`` files arriving in a folder, decoded like the batch reader.
+    Spark's file streams see neither empty nor hidden files; ``clean_folder`` does."""
     r = (spark.readStream.format("binaryFile")
          .schema("path string, modificationTime timestamp, length bigint, content binary")
          .option("pathGlobFilter", "*.md"))
@@ -33,6 +38,36 @@ def markdown_stream(spark: SparkSession, folder: str, max_files_per_trigger: int
                       T.fold_newlines(T.decode_with_fallback(F.col("content"))).alias("text"))
 
 
+def clean_folder(spark: SparkSession, folder: str, out: str, state: str) -> dict:
+    """One increment over the ``*.md`` files of a folder: what is listed now
+    and not in the state (by path, time and size) is cleaned and written as
+    ``<out>/increment=N``, then the state's version N is committed.  Empty and
+    hidden files are seen, changed files are cleaned again, and files that
+    cannot be read count as failed and stay for the next increment.  An
+    increment that was cut off leaves no version, so ``read_increments`` does
+    not see it and its files come again.  Returns the counts of ``clean_job``."""
+    version = W.claim_version(spark, state)
+    listing = S.glob_filter(S.walk_files(spark, folder, recursive=False), "*.md")
+    listing = listing.withColumn("file_id", file_id(F.col("path"), F.col("mtime_us"), F.col("size")))
+    done = W.read_state(spark, state, "file_id string")
+    new = S.read_contents(listing.join(done, "file_id", "left_anti").repartition(spark.sparkContext.defaultParallelism * 4))
+    text = T.fold_newlines(T.decode_with_fallback(F.col("content")))
+    outcomes = C.clean_outcomes(new.select(F.struct("file_id", base_name(F.col("path")).alias("name")).alias("key"),
+                                           text.alias("text")), key="key")
+    path = f"{out.rstrip('/')}/increment={version}"
+    outcomes.select("key.*", "text", "status", "chars").write.mode("errorifexists").parquet(path)
+    written = spark.read.parquet(path)
+    W.write_state_version(done.unionByName(written.where("status = 'ok'").select("file_id")).distinct(), state, version)
+    return C.clean_summary(written).first().asDict()
+
+
+def read_increments(spark: SparkSession, out: str, state: str) -> DataFrame:
+    """``name, text`` of all committed increments; of a file that changed, the latest."""
+    rows = spark.read.parquet(*[f"{out.rstrip('/')}/increment={v}" for v in W.committed_versions(spark, state)])
+    rows = rows.where("status = 'ok'").withColumn("_at", F.regexp_extract(F.input_file_name(), r"increment=(\d+)", 1).cast("bigint"))
+    return rows.groupBy("name").agg(F.max_by("text", "_at").alias("text"))
+
+
 def table_stream(spark: SparkSession, folder: str, schema, glob: str | None = None,
                  max_files_per_trigger: int | None = None) -> DataFrame:
     """Parquet files arriving in ``folder`` (optionally only those matching

@@ -88,3 +88,31 @@ def test_stream_dedup_within_watermark(spark, tmpdir_fresh):
     S.run_available(S.stream_dedup(stream, watermark=("ts", "1 hour")), out, ck)
     got = spark.read.parquet(out)
     assert sorted(r.md5 for r in got.collect()) == ["h1", "h2", "h3"]
+
+
+def test_folder_increments_see_what_the_batch_job_sees(spark, tmpdir_fresh):
+    import os
+
+    from docforge.plans import jobs
+    from docforge.streaming import streams as ST
+
+    def write(name, data):
+        os.makedirs(tmpdir_fresh + "/md", exist_ok=True)
+        with open(f"{tmpdir_fresh}/md/{name}", "wb") as f:
+            f.write(data)
+
+    def step():
+        return ST.clean_folder(spark, tmpdir_fresh + "/md", tmpdir_fresh + "/inc", tmpdir_fresh + "/state")
+
+    write("a.md", b"# a")
+    write("empty.md", b"")
+    write("_hidden.md", b"**h**")
+    write("skip.txt", b"x")
+    batch = jobs.clean_job(spark, tmpdir_fresh + "/md", None, tmpdir_fresh + "/batch")
+    assert step() == batch == {"successful_files": 3, "failed_files": 0, "total_chars": 2}
+    assert step()["successful_files"] == 0
+    write("b.md", b"new")
+    write("a.md", b"# changed")
+    assert step() == {"successful_files": 2, "failed_files": 0, "total_chars": 10}
+    got = {r.name: r.text for r in ST.read_increments(spark, tmpdir_fresh + "/inc", tmpdir_fresh + "/state").collect()}
+    assert got == {"a.md": "changed", "empty.md": "", "_hidden.md": "h", "b.md": "new"}
