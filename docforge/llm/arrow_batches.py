@@ -6,6 +6,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until ``df`` has no such column (names are compared without case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def binary_offsets(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:

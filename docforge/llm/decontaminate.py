@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import reliable_checkpoint
+from .arrow_batches import free_name
 
 NOT_WORD = r"[^\p{L}\p{N}]+"
 BROADCAST_ROWS = 500_000  # most index rows (of 16 bytes) that are broadcast; beyond, the join shuffles
@@ -155,5 +156,6 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_
                       **options) -> DataFrame:
     """``docs`` without the rows whose id has a contaminated text (null ids are
     compared null-safely); see ``find_contamination``."""
-    hit = find_contamination(docs, benchmark, id_col, text_col, **options).select(F.col(id_col).alias("_hit")).distinct()
-    return docs.join(hit, F.col(id_col).eqNullSafe(F.col("_hit")), "left_anti")
+    name = free_name(docs, "_hit")
+    hit = find_contamination(docs, benchmark, id_col, text_col, **options).select(F.col(id_col).alias(name)).distinct()
+    return docs.join(hit, F.col(id_col).eqNullSafe(F.col(name)), "left_anti")

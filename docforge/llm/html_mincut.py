@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import html
 import re
-from collections import deque
+from collections import Counter, deque
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -128,6 +128,7 @@ def blocks(page: str) -> list[tuple[str, int, int, int, str]]:
     out: list[tuple[str, int, int, int, str, _Doubt | None]] = []
     root = _Frame("#", True, 0, 0)
     stack, parts, linked, links, made, mains, doubts = [root], [], 0, 0, 0, 0, []
+    opened: Counter[str] = Counter()                   # elements of the stack by name
 
     def flush():
         nonlocal parts, linked
@@ -148,6 +149,7 @@ def blocks(page: str) -> list[tuple[str, int, int, int, str]]:
 
     def close(depth):
         flush()
+        opened.subtract(f.name for f in stack[depth:])
         del stack[depth:]
 
     pos, n = 0, len(page)
@@ -186,12 +188,9 @@ def blocks(page: str) -> list[tuple[str, int, int, int, str]]:
             else:
                 continue
         if closing:
-            for key in (name, f"#{name}"):
-                depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].name == key), 0)
-                if depth:
-                    break
-            if depth:
-                close(depth)
+            key = next((k for k in (name, f"#{name}") if opened[k] > 0), None)
+            if key:                                    # what lies above it is closed with it: linear over the page
+                close(next(i for i in range(len(stack) - 1, 0, -1) if stack[i].name == key))
             elif name in ("p", "br"):
                 flush()
             continue
@@ -234,6 +233,7 @@ def blocks(page: str) -> list[tuple[str, int, int, int, str]]:
         if doubt:
             inner = _Doubt(inner, doubt, name == "form")
             doubts.append(inner)
+        opened[name] += 1
         stack.append(_Frame(name, top.shown and shown, top.score + score, made, inner))
     flush()
     for d in reversed(doubts):

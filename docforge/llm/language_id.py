@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .arrow_batches import binary_offsets, slices
+from .arrow_batches import binary_offsets, free_name, slices
 
 BUCKETS = 4096
 
@@ -220,8 +220,9 @@ def predict(docs: DataFrame, model: LanguageModel | None, text_col: str = "text"
     lettered = F.coalesce(F.col(text_col).cast("string"), F.lit("")).rlike(r"\p{L}")
     if model is None:
         return rows.withColumn(lang_out, F.lit("und")).withColumn(score_out, F.lit(0.0))
-    rows = rows.withColumn("_lettered", lettered)
-    schema = rows.drop("_lettered").withColumn(lang_out, F.lit("")).withColumn(score_out, F.lit(0.0)).schema
+    flag = free_name(rows, "_lettered")
+    rows = rows.withColumn(flag, lettered)
+    schema = rows.drop(flag).withColumn(lang_out, F.lit("")).withColumn(score_out, F.lit(0.0)).schema
     # a few vectors of BUCKETS numbers for every two languages of a family
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -232,9 +233,9 @@ def predict(docs: DataFrame, model: LanguageModel | None, text_col: str = "text"
                 names = part.schema.names
                 x = ngram_counts(*binary_offsets(part.column(names.index(text_col))))
                 lang, score = shared.value.predict(x)
-                no = ~part.column(names.index("_lettered")).to_numpy(zero_copy_only=False).astype(bool)
+                no = ~part.column(names.index(flag)).to_numpy(zero_copy_only=False).astype(bool)
                 lang[no], score[no] = "und", 0.0
-                keep = [i for i, c in enumerate(names) if c != "_lettered"]
+                keep = [i for i, c in enumerate(names) if c != flag]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(i) for i in keep] + [pa.array(lang, pa.string()), pa.array(score, pa.float64())],
                     [names[i] for i in keep] + [lang_out, score_out])

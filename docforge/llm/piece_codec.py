@@ -21,13 +21,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrow_batches import binary_offsets, slices
+from .arrow_batches import binary_offsets, free_name, slices
 
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SLICE_BYTES = 1 << 20
 _SHIFT, _SLOTS = np.uint64(48), 1 << 16  # slots of the lookup tables, by the top bits of a hash
 _P = np.uint64(0x100000001B3)
 _BASE = 0x9E3779B97F4A7C15
+_NEVER = -(1 << 40)        # the power of a node that no path reaches
 
 
 def spellings(model_bytes: bytes) -> tuple[list[bytes], list[int], int]:
@@ -157,15 +158,15 @@ def forward_filter(model: PieceModel, raw: np.ndarray, offsets: np.ndarray):
     weight = model.weight[piece] * 3.0 ** size      # the same factor on every path of a chunk
     sizes = np.diff(offsets)
     roots = offsets[:-1] + np.arange(count)
-    alpha = np.zeros(nodes)
-    alpha[roots] = 1.0
+    # the weight of a node is alpha * 2 ** power: scaling by powers of two is exact, and no text is too long for it
+    alpha, power = np.zeros(nodes), np.full(nodes, _NEVER, np.int64)
+    alpha[roots], power[roots] = 1.0, 0
     share = np.zeros(len(piece))
     # edges by their end's distance from the chunk's start, then by node
     depth = node_end - np.repeat(roots, sizes + 1)[node_end]
     depth = depth.astype(np.uint16 if len(depth) == 0 or depth.max() < 1 << 16 else np.int64)
     order = np.argsort(depth, kind="stable")
     level = np.searchsorted(depth[order], np.arange(1, (int(sizes.max()) if count else 0) + 2))
-    long_ = np.flatnonzero(sizes >= 128)
     for t in range(1, len(level)):
         e = order[level[t - 1]:level[t]]
         if not len(e):
@@ -174,22 +175,22 @@ def forward_filter(model: PieceModel, raw: np.ndarray, offsets: np.ndarray):
         new = np.ones(len(e), bool)
         new[1:] = end[1:] != end[:-1]
         heads = np.flatnonzero(new)
-        part = alpha[node_start[e]] * weight[e]
+        scale = power[node_start[e]]
+        highest, in_node = np.maximum.reduceat(scale, heads), np.diff(np.append(heads, len(e)))
+        part = np.ldexp(alpha[node_start[e]] * weight[e],
+                        np.maximum(scale - np.repeat(highest, in_node), -2000).astype(np.int32))
         # running sums edge by edge, so that a node's shares do not depend on what else is in the slice
-        total, in_node = np.zeros(len(heads)), np.diff(np.append(heads, len(e)))
+        total = np.zeros(len(heads))
         on, k = np.arange(len(heads)), 0
         while len(on):
             total[on] += part[heads[on] + k]
             part[heads[on] + k] = total[on]
             k += 1
             on = on[in_node[on] > k]
-        alpha[end[heads]] = total
+        alpha[end[heads]], shift = np.frexp(total)
+        power[end[heads]] = np.where(total > 0, highest + shift, _NEVER)
         with np.errstate(invalid="ignore", divide="ignore"):
-            share[e] = np.nan_to_num(part / np.repeat(total, in_node))
-        if t % 128 == 0:                            # keep the last nodes of long chunks in range
-            live = roots[long_[sizes[long_] >= t]]
-            back = live[:, None] + np.arange(max(0, t - model.longest), t + 1)
-            alpha[back] /= np.maximum(alpha[back].max(1), 1e-300)[:, None]
+            share[e] = np.nan_to_num(part / np.repeat(total, in_node))   # nodes that no path reaches
     return first, node_start, size, piece, share
 
 
@@ -304,9 +305,10 @@ def encode_sampled(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     pieces.  All other columns stay; one named ``out_col`` is replaced.  An
     empty table gives an empty result."""
     data = docs.sparkSession.sparkContext.broadcast(_load(model_path))
-    rows = docs.drop(out_col, *([decoded_col] if decoded_col else [])).withColumn(
-        "_row_key", F.xxhash64(F.lit(f"{seed}/"), F.coalesce(F.col(id_col).cast("string"), F.lit("null"))))
-    made = rows.drop("_row_key").withColumn(out_col, F.lit(None).cast("array<int>"))
+    rows = docs.drop(out_col, *([decoded_col] if decoded_col else []))
+    key = free_name(rows, "_row_key")
+    rows = rows.withColumn(key, F.xxhash64(F.lit(f"{seed}/"), F.coalesce(F.col(id_col).cast("string"), F.lit("null"))))
+    made = rows.drop(key).withColumn(out_col, F.lit(None).cast("array<int>"))
     schema = (made.withColumn(decoded_col, F.lit(None).cast("string")) if decoded_col else made).schema
     new = [out_col, decoded_col] if decoded_col else [out_col]
 
@@ -316,10 +318,10 @@ def encode_sampled(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         for b in slices(batches, text_col, SLICE_BYTES):
             names = b.schema.names
             raw, offsets = binary_offsets(b.column(names.index(text_col)))
-            keys = b.column(names.index("_row_key")).to_numpy(zero_copy_only=False).view(np.uint64)
+            keys = b.column(names.index(key)).to_numpy(zero_copy_only=False).view(np.uint64)
             ids, at = encode_slice(model, raw, offsets, keys)
             lists = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(ids))
-            keep = [i for i, c in enumerate(names) if c != "_row_key"]
+            keep = [i for i, c in enumerate(names) if c != key]
             made = [lists, decode_slice(spelled, ids, at)] if decoded_col else [lists]
             yield pa.RecordBatch.from_arrays([b.column(i) for i in keep] + made, [names[i] for i in keep] + new)
 

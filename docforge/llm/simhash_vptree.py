@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import reliable_checkpoint
-from .arrow_batches import Forest, slices
+from .arrow_batches import Forest, free_name, slices
 from .components import connected_components
 
 SAMPLE = 1 << 16      # most fingerprints the driver sees to place vantage points
@@ -205,8 +205,9 @@ def keep_one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     of the text.  Of repeated rows one stays."""
     groups = simhash_near_duplicates(docs, id_col, text_col, words, max_bits)
     order = F.struct(F.col(id_col).isNull().alias("last"), F.col(id_col).alias("id"), "text_hash")
+    kept_id, kept_hash, told = (free_name(docs, c) for c in ("_kept_id", "_kept_hash", "_text_hash"))
     kept = groups.groupBy("group_fp").agg(F.min(order).alias("k")).select(
-        F.col("k.id").alias("_kept_id"), F.col("k.text_hash").alias("_kept_hash"))
-    keyed = docs.withColumn("_text_hash", F.xxhash64(F.col(text_col).cast("string")))
-    return (keyed.join(kept, F.col(id_col).eqNullSafe(F.col("_kept_id")) & F.col("_text_hash").eqNullSafe(F.col("_kept_hash")),
-                       "left_semi").dropDuplicates([id_col, "_text_hash"]).drop("_text_hash"))
+        F.col("k.id").alias(kept_id), F.col("k.text_hash").alias(kept_hash))
+    keyed = docs.withColumn(told, F.xxhash64(F.col(text_col).cast("string")))
+    return (keyed.join(kept, F.col(id_col).eqNullSafe(F.col(kept_id)) & F.col(told).eqNullSafe(F.col(kept_hash)), "left_semi")
+            .dropDuplicates([id_col, told]).drop(told))
