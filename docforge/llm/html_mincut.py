@@ -149,7 +149,8 @@ def blocks(page: str) -> list[tuple[str, int, int, int, str]]:
 
     def close(depth):
         flush()
-        opened.subtract(f.name for f in stack[depth:])
+        for f in stack[depth:]:
+            opened[f.name] -= 1
         del stack[depth:]
 
     pos, n = 0, len(page)
