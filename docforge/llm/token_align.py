@@ -21,6 +21,7 @@ texts are encoded once and a lost executor costs a part of one step.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import json
 import re
@@ -358,9 +359,14 @@ def align_tokenizers(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
                 [pa.array([made[c]]) if c == "slice" else
                  pa.ListArray.from_arrays(pa.array([0, len(made[c])], pa.int32()), pa.array(made[c])
                                           if not isinstance(made[c], pa.Array) else made[c]) for c in names], names)
+        # a waiting worker keeps no tables while the executor works on the slices
+        _PAIRS.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
 
     path = checkpoint_path(spark, f"token-alignment-{uuid.uuid4().hex}", "slices")
-    rows.mapInArrow(encode, schema).write.parquet(path)
+    # a reader holds the rows of a file at once, and a slice has some 10 MB
+    rows.mapInArrow(encode, schema).write.option("maxRecordsPerFile", 2).parquet(path)
     written = spark.read.schema(schema).parquet
 
     # corpus-wide counts of every pair, given back to the slices that hold it
