@@ -1,16 +1,17 @@
 """Benchmark decontamination by SimHash over item-sized windows.
 
-Every benchmark item is compared with the windows of as many words as it has.
-A window can only reach the similarity if it holds that share of the item's
-word shingles, so windows are taken where the document has enough of them; this
-prunes without loss, because a window moved on to its next shingle of the item
-loses none.  Windows and items get SimHash fingerprints.  Blocks of fingerprint
-bits are the index: two fingerprints within the radius are equal in at least
-one of ``radius + 1`` blocks.  Candidates within the radius are verified by the
-weighted Jaccard similarity of their shingles, repeats counting.
+Documents are cut into windows of as many words as benchmark items have.  A
+window can only reach the similarity to some item of its size if it holds that
+share of shingles known from items of this size, so windows are taken where the
+document has enough of them; this prunes without loss, because a window moved
+on to its next known shingle loses none.  Which item a window resembles is left
+to the index: windows and items get SimHash fingerprints, and blocks of their
+bits are the index's keys; two fingerprints within the radius are equal in at
+least one of ``radius + 1`` blocks.  Retrieved pairs within the radius are
+verified by the weighted Jaccard similarity of their shingles, repeats counting.
 
 All steps are DataFrame operations; windows of equal words are fingerprinted
-and verified once.
+and looked up once.
 """
 
 from __future__ import annotations
@@ -59,11 +60,11 @@ def hamming_blocks(radius: int) -> str:
 
 
 def _items(benchmark: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
-    """``item_id, item, words, size, w`` of items with words; ``item`` numbers
-    their distinct word sequences."""
+    """``item_id, item, words, size, w`` of items with words; ``item`` is the
+    digest of their words."""
     out = benchmark.select(F.col(id_col).alias("item_id"), words_of(F.col(text_col)).alias("words"))
     return out.where(F.size("words") > 0).select(
-        "item_id", F.xxhash64("words").alias("item"), "words", F.size("words").alias("size"),
+        "item_id", F.md5(F.concat_ws(" ", "words")).alias("item"), "words", F.size("words").alias("size"),
         F.least(F.size("words"), F.lit(shingle)).alias("w"))
 
 
@@ -73,8 +74,8 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
     """``id_col, item_id_col, similarity, hamming, start``: the most similar
     window of every document and item at or over ``min_similarity``, by
     fingerprints at most ``radius`` bits apart; ``start`` counts words from 0
-    (of equal windows, the first that begins at a shingle of the item or ends
-    the document).
+    (of equal windows, the first that begins at a shingle of an item of this
+    size or ends the document).
 
     Words are lower-case runs of letters and digits.  Items of fewer than
     ``shingle`` words are one shingle; items and texts without words (null,
@@ -95,46 +96,46 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
     for w in widths:
         index = weights.where(F.col("w") == w).select(
             F.xxhash64(*[F.split("shingle", " ")[i] for i in range(w)]).alias("key"),
-            "item", "size").distinct()
+            "size").distinct()
         if index.count() <= BROADCAST_ROWS:
             index = F.broadcast(index)
         at = keyed.where(F.size("words") >= w).select(
             "k1", "k2", "words", F.explode(F.sequence(F.lit(0), F.size("words") - w)).alias("pos"))
         at = at.select("k1", "k2", F.size("words").alias("n_words"), "pos",
                        F.xxhash64(*[F.col("words")[F.col("pos") + i] for i in range(w)]).alias("key"))
-        part = at.join(index, "key").select("k1", "k2", "n_words", "pos", "item", "size", F.lit(w).alias("w"))
+        part = at.join(index, "key").select("k1", "k2", "n_words", "pos", "size", F.lit(w).alias("w"))
         found = part if found is None else found.unionAll(part)
     if found is None:
         empty = docs.select(F.col(id_col)).crossJoin(benchmark.select(F.col(item_id_col))).where("false")
         return empty.withColumns({"similarity": F.lit(0.0), "hamming": F.lit(0), "start": F.lit(0)})
 
-    # windows that begin at a shingle of the item and hold enough of them
-    spots = found.groupBy("k1", "k2", "n_words", "item", "size", "w").agg(
+    # windows that begin at a known shingle and hold enough of them
+    spots = found.groupBy("k1", "k2", "n_words", "size", "w").agg(
         F.sort_array(F.collect_set("pos")).alias("at"))
     need = f"cast(ceil({min_similarity!r}D * (size - w + 1)) as int)"
     begins = (f"array_distinct(transform(filter(sequence(0, size(at) - {need}), "
               f"i -> size(at) >= {need} and at[i + {need} - 1] <= at[i] + size - w), "
               f"i -> greatest(0, least(at[i], n_words - size))))")
     spots = (spots.where(F.expr(f"size(at) >= {need}")).withColumn("begins", F.expr(begins))
-             .where(F.size("begins") > 0).select("k1", "k2", "item", "size", "w", "begins"))
+             .where(F.size("begins") > 0).select("k1", "k2", "size", "w", "begins"))
     spots = reliable_checkpoint(spots)
-    source = keyed.select("id", "k1", "k2", "words").join(spots, ["k1", "k2"]).dropDuplicates(["k1", "k2", "item"])
-    windows = source.select("id", "item", "size", "w", F.explode("begins").alias("start"), "words").select(
-        "id", "item", "w", "start", F.expr("slice(words, start + 1, size)").alias("window"))
-    windows = reliable_checkpoint(windows.withColumn("win", F.xxhash64("window")))
+    source = keyed.select("id", "k1", "k2", "words").join(spots, ["k1", "k2"]).dropDuplicates(["k1", "k2", "size"])
+    windows = source.select("id", "size", "w", F.explode("begins").alias("start"), "words").select(
+        "id", "size", "w", "start", F.expr("slice(words, start + 1, size)").alias("window"))
+    windows = reliable_checkpoint(windows.withColumn("win", F.md5(F.concat_ws(" ", "window"))))
 
-    distinct = windows.groupBy("item", "win", "w").agg(F.min("window").alias("window"))
+    distinct = windows.groupBy("size", "w", "win").agg(F.min("window").alias("window"))
     prints = reliable_checkpoint(distinct.withColumn("shingles", F.expr(shingles_of("window", "w"))).withColumn(
-        "fp", F.expr(fingerprint("shingles"))))
+        "fp", F.expr(fingerprint("shingles"))).select("size", "win", "shingles", "fp"))
     blocks = F.explode(F.expr(hamming_blocks(radius))).alias("b")
-    left = prints.select("item", "fp").distinct().select("item", "fp", blocks).select("item", "fp", "b.*")
+    left = prints.select("size", "fp").distinct().select("size", "fp", blocks).select("size", "fp", "b.*")
     right = (unique.withColumn("shingles", F.expr(shingles_of("words", "w")))
-             .withColumn("fp", F.expr(fingerprint("shingles"))).select("item", "fp", blocks)
-             .select("item", F.col("fp").alias("item_fp"), "b.*"))
-    near = (left.join(right, ["item", "block", "bits"]).select("item", "fp", "item_fp").distinct()
+             .withColumn("fp", F.expr(fingerprint("shingles"))).select("item", "size", "fp", blocks)
+             .select("item", "size", F.col("fp").alias("item_fp"), "b.*"))
+    near = (left.join(right, ["size", "block", "bits"])
             .withColumn("hamming", F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))).cast("int"))
-            .where(F.col("hamming") <= radius).select("item", "fp", "hamming"))
-    close = reliable_checkpoint(prints.join(near, ["item", "fp"]).select("item", "win", "hamming", "shingles"))
+            .where(F.col("hamming") <= radius).select("size", "fp", "item", "hamming").distinct())
+    close = reliable_checkpoint(prints.join(near, ["size", "fp"]).select("item", "win", "hamming", "shingles"))
 
     counts = (close.select("item", "win", F.explode("shingles").alias("shingle"))
               .groupBy("item", "win", "shingle").agg(F.count("*").alias("m")))
@@ -145,7 +146,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
                 .select("item", "win", "hamming", (F.col("both") / total).alias("similarity"))
                 .where(F.col("similarity") >= min_similarity))
     best = F.max(F.struct("similarity", (-F.col("start")).alias("back"), (-F.col("hamming")).alias("near")))
-    hits = (windows.select("id", "item", "win", "start").join(verified, ["item", "win"])
+    hits = (windows.select("id", "win", "start").join(verified, "win")
             .groupBy("id", "item").agg(best.alias("best")))
     return hits.join(items.select("item", "item_id").distinct(), "item").select(
         F.col("id").alias(id_col), F.col("item_id").alias(item_id_col), F.col("best.similarity").alias("similarity"),
