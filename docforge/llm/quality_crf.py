@@ -9,6 +9,9 @@ labels a message is one number, the log-odds of good against bad.
 
 from __future__ import annotations
 
+import pickle
+import zlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -18,7 +21,6 @@ from .arrow_batches import binary_offsets, slices
 from .language_id import held_out
 
 OWN = 14                # features of a line; three times as many enter the field
-TRAIN_BYTES = 200_000   # longest text that is taken into the sample to learn from
 
 _UPPER, _LOWER, _DIGIT, _SPACE, _STOP, _MARK, _HIGH, _BAR = (1 << i for i in range(8))
 _CLASS = np.zeros(256, np.uint8)
@@ -172,12 +174,30 @@ def train(x: np.ndarray, counts: np.ndarray, labels: np.ndarray, rounds: int = 1
     return LineField(theta[:-2], float(theta[-2]), float(theta[-1]))
 
 
+def stretches(raw: np.ndarray, offsets: np.ndarray, most_lines: int):
+    """The texts, those of more lines cut to ``most_lines`` consecutive ones
+    from a place that a checksum of the text draws: ``(bytes, offsets)``."""
+    parts = []
+    for a, z in zip(offsets[:-1], offsets[1:], strict=True):
+        text = raw[a:z]
+        feeds = np.flatnonzero(text == 10)
+        spare = len(feeds) + 1 - most_lines
+        if spare > 0:
+            ends = np.concatenate([[-1], feeds, [len(text)]])
+            at = zlib.crc32(text) % (spare + 1)
+            text = text[ends[at] + 1:ends[at + most_lines]]
+        parts.append(text)
+    return (np.concatenate(parts) if parts else raw[:0]), np.cumsum([0] + [len(p) for p in parts])
+
+
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-        label_col: str = "quality", most_rows: int = 3000) -> LineField | None:
-    """A field from about ``most_rows`` labelled documents, half of either
-    label, chosen by a hash of the id, texts up to ``TRAIN_BYTES``.  Labels
-    other than 0 and 1 are ignored; an id with several labels counts with its
-    largest.  None unless both labels occur."""
+        label_col: str = "quality", most_rows: int = 3000, most_lines: int = 400) -> LineField | None:
+    """A field from about ``most_rows`` labelled documents of any length, half of
+    either label, chosen by a hash of the id; of a document with more than
+    ``most_lines`` lines it learns a stretch of so many.  Labels other than 0
+    and 1 are ignored; an id with several labels counts with its largest.
+    None unless both labels occur.  One task learns from the sample, and the
+    driver gets the weights only."""
     marked = labels.where(F.col(label_col).isin(0, 1)).groupBy(id_col).agg(F.max(label_col).cast("int").alias("_y"))
     counts = {r["_y"]: r["n"] for r in marked.groupBy("_y").agg(F.count("*").alias("n")).collect()}
     if len(counts) < 2:
@@ -187,24 +207,23 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     # about most_rows rows, far under any broadcast bound
     chosen = F.broadcast(marked.where(draw < rate).limit(2 * most_rows))
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    sample = (docs.select(id_col, text.alias("text")).join(chosen, id_col).where(F.octet_length("text") <= TRAIN_BYTES)
+    sample = (docs.select(id_col, text.alias("text")).join(chosen, id_col)
               .select("text", "_y").limit(2 * most_rows))
 
-    def features(batches):
+    def learn(batches):
+        xs, counts, labels = [], [], []
         for b in slices(batches, "text"):
-            x, _, n = line_features(*binary_offsets(b.column(0)))
-            cut = np.concatenate([[0], np.cumsum(n)])
-            rows = [x[cut[i]:cut[i + 1]].astype(np.float32).ravel() for i in range(len(b))]
-            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.float32())), b.column(1)], ["x", "y"])
-
-    got = sample.mapInArrow(features, "x array<float>, y int").toArrow()
-    if not len(got):
-        return None
-    lists = got.column("x").combine_chunks()
-    counts = lists.value_lengths().to_numpy() // OWN
-    x = lists.flatten().to_numpy().reshape(-1, OWN).astype(np.float64)
-    y = got.column("y").to_numpy()
-    return train(x, counts, y) if 0 < y.sum() < len(y) else None
+            x, _, n = line_features(*stretches(*binary_offsets(b.column(0)), most_lines))
+            xs.append(x)
+            counts.append(n)
+            labels.append(b.column(1).to_numpy(zero_copy_only=False))
+        y = np.concatenate(labels) if labels else np.zeros(0)
+        if 0 < y.sum() < len(y):
+            field = train(np.concatenate(xs), np.concatenate(counts), y)
+            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(field)], pa.binary())], ["field"])
+
+    got = sample.coalesce(1).mapInArrow(learn, "field binary").collect()
+    return pickle.loads(got[0]["field"]) if got else None
 
 
 def score_quality(docs: DataFrame, field: LineField | None, text_col: str = "text", out_col: str = "score",
