@@ -2,8 +2,10 @@
 
 A text's family is decided first, by linear classifiers over hashed character
 n-grams; within the family, one-versus-one linear support vector machines
-separate the languages.  Everything is fitted on a bounded sample of labelled
-rows in one task; only the machines' weights reach the driver.
+separate the languages.  Families are the known ones; languages outside them
+are grouped by the likeness of their mean n-grams.  Everything is fitted on a
+bounded sample of labelled rows in one task; only the machines' weights reach
+the driver.
 """
 
 from __future__ import annotations
@@ -19,8 +21,9 @@ from pyspark.sql import functions as F
 from .arrow_batches import binary_offsets, free_name, slices
 
 BUCKETS = 4096
+MOST_LANGUAGES = 1000  # more are refused; the machines of so many take about 160 MB
 
-# Families of ISO 639-1 codes; a language not named is a family of its own.
+# Families of ISO 639-1 codes.
 FAMILIES = {
     "germanic": "af da de en fo fy is lb nb nl nn no sv yi",
     "romance": "ca es fr gl it la oc pt ro",
@@ -38,8 +41,21 @@ FAMILIES = {
 _FAMILY = {code: family for family, codes in FAMILIES.items() for code in codes.split()}
 
 
-def family_of(lang: str) -> str:
-    return _FAMILY.get(lang.lower().split("-")[0].split("_")[0], f"of-{lang}")
+def family_of(lang: str) -> str | None:
+    """The known family of a language code, a region or script in it aside."""
+    return _FAMILY.get(lang.lower().split("-")[0].split("_")[0])
+
+
+def alike_groups(names: list[str], means: np.ndarray, most: int) -> list[list[str]]:
+    """``names`` in groups of at most ``most``: a group too large is halved
+    between the two whose unit ``means`` are least alike."""
+    if len(names) <= most:
+        return [names] if names else []
+    far = means @ means.T
+    a, b = np.unravel_index(far.argmin(), far.shape)
+    order = np.argsort(far[b] - far[a], kind="stable")
+    halves = (np.sort(order[:len(names) // 2]), np.sort(order[len(names) // 2:]))
+    return [group for half in halves for group in alike_groups([names[i] for i in half], means[half], most)]
 
 
 def _fold_table() -> np.ndarray:
@@ -126,9 +142,19 @@ class LanguageModel:
         self.langs = sorted(set(langs))
         members: dict[str, list[str]] = {}
         for lang in self.langs:
-            members.setdefault(family_of(lang), []).append(lang)
+            if family_of(lang):
+                members.setdefault(family_of(lang), []).append(lang)
+        others = [lang for lang in self.langs if not family_of(lang)]
+        means = np.zeros((len(others), BUCKETS), np.float32)
+        for i, lang in enumerate(others):
+            means[i] = x[labels == lang].mean(0)
+        means /= np.maximum(np.sqrt((means * means).sum(1, keepdims=True)), 1e-12)
+        # of this size, the machines between and within the groups are fewest together
+        for group in alike_groups(others, means, max(1, round((2 * len(others)) ** (1 / 3)))):
+            members[f"of-{group[0]}"] = group
         self.members, self.families = members, sorted(members)
-        fam = np.asarray([family_of(v) for v in langs], object)
+        belongs = {lang: f for f, group in members.items() for lang in group}
+        fam = np.asarray([belongs[v] for v in langs], object)
         self.top = _pairwise(x, fam, self.families)
         self.inner = {f: _pairwise(x[fam == f], labels[fam == f], members[f]) for f in self.families}
         # how common each n-gram is in a language, and how common those of its texts are at least
@@ -175,22 +201,27 @@ def held_out(id_col: Column, parts: int, part: int) -> Column:
 
 
 def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-        most_rows: int = 1600) -> LanguageModel | None:
-    """A model from a sample of about ``most_rows`` labelled rows, shared evenly
-    by the languages and chosen by a hash of id and text.  None without rows.
-
-    Only the ``most_rows // 8`` most frequent languages are learned; rarer ones
-    are never predicted."""
+        most_rows: int = 1600, least_rows: int = 12) -> LanguageModel | None:
+    """A model from a sample of labelled rows, chosen by a hash of id and text.
+    None without rows.
+
+    Every language is learned.  The sample is of about ``most_rows`` rows shared
+    evenly by the languages, but of ``least_rows`` a language (or all that it
+    has) where that is more.  Labels of more than ``MOST_LANGUAGES`` values
+    are refused with a ``ValueError``, for the model would outgrow a broadcast."""
     rows = labelled.where(F.col(lang_col).isNotNull() & F.coalesce(F.col(text_col), F.lit("")).rlike(r"\p{L}"))
     rows = rows.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"),
                        (F.pmod(F.xxhash64(id_col, text_col), F.lit(1 << 30)) / F.lit(float(1 << 30))).alias("_draw"))
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(
-        F.desc("n"), "lang").limit(most_rows // 8).collect()}
+    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).limit(
+        MOST_LANGUAGES + 1).collect()}
+    if len(counts) > MOST_LANGUAGES:
+        raise ValueError(f"{lang_col} has more than {MOST_LANGUAGES} values, which are no languages")
     if not counts:
         return None
-    each = most_rows / len(counts)
+    each = max(most_rows / len(counts), float(least_rows))
     rate = F.create_map(*[F.lit(v) for lang, n in counts.items() for v in (lang, min(1.0, each / n))])
-    sample = rows.where(F.col("_draw") < rate[F.col("lang")]).select("lang", "text").limit(2 * most_rows)
+    sample = rows.where(F.col("_draw") < rate[F.col("lang")]).select("lang", "text").limit(
+        int(2 * each * len(counts)))
 
     def train(batches):
         langs, parts = [], []
@@ -223,7 +254,7 @@ def predict(docs: DataFrame, model: LanguageModel | None, text_col: str = "text"
     flag = free_name(rows, "_lettered")
     rows = rows.withColumn(flag, lettered)
     schema = rows.drop(flag).withColumn(lang_out, F.lit("")).withColumn(score_out, F.lit(0.0)).schema
-    # a few vectors of BUCKETS numbers for every two languages of a family
+    # a vector of BUCKETS numbers for every two languages of a family and every two families
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
