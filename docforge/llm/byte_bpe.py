@@ -131,6 +131,10 @@ class Encoder:
             self._known[piece] = ids
         return ids
 
+    def forget(self) -> None:
+        """Empties the memory of pieces."""
+        self._known.clear()
+
     def encode(self, pieces: list[str]) -> list[bytes]:
         """The ids of every piece, as bytes."""
         known = self._known.get

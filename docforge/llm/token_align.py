@@ -28,6 +28,7 @@ import re
 import uuid
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -47,7 +48,7 @@ from .piece_codec import spellings
 
 DEFAULT_BYTE_BPE = "/opt/tokenizers/byte_bpe_50k.json"
 DEFAULT_PIECES = "/opt/tokenizers/piece_bpe_32k.model"
-SLICE_BYTES = 6 << 20
+SLICE_BYTES = 8 << 20
 BLOCK_WORDS = 1 << 15      # words that are encoded and aligned at a time
 #: A blank behind another character and before one that is not white space.
 _WORD = re.compile(r"(?<=[^ ]) (?=\S)")
@@ -114,6 +115,10 @@ class Pair:
         self.size_a, self.size_b = (pa.compute.binary_length(t).to_numpy() for t in (self.bytes_a, self.bytes_b))
         self.names_a, self.names_b = ([str(i) for i in range(len(t))] for t in (self.bytes_a, self.bytes_b))
 
+    def forget(self) -> None:
+        """Gives the memory of the pieces back."""
+        self._a.forget()
+
     def encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Ids of the words, each with one blank before it, by both tokenizers,
         and how many each word has."""
@@ -121,7 +126,7 @@ class Pair:
         b = self._b.encode(words, num_threads=1)
         n_b = np.fromiter(map(len, b), np.int64, len(b))
         return (np.frombuffer(b"".join(a), "<u4").astype(np.int64), np.fromiter(map(len, a), np.int64, len(a)) >> 2,
-                np.fromiter((i for ids in b for i in ids), np.int64, int(n_b.sum())), n_b)
+                np.fromiter(chain.from_iterable(b), np.int64, int(n_b.sum())), n_b)
 
 
 # --- diagonal run skipping ----------------------------------------------------
@@ -169,6 +174,12 @@ def align(ends_a: list[int], ends_b: list[int]) -> tuple[list[int], list[int], l
     return upto_a, upto_b, link_a, link_b
 
 
+def _sorted_once(values: np.ndarray) -> np.ndarray:
+    """The distinct values in order; a plain sort beats a hash table here."""
+    values = np.sort(values)
+    return values[np.diff(values, prepend=values[:1] - 1) != 0]
+
+
 def _sums(values: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Sums of the stretches of ``values`` that end there."""
     total = np.concatenate([[0], np.cumsum(values)])[np.concatenate([[0], ends])]
@@ -262,9 +273,9 @@ def _finish(pair: Pair, index: dict[str, int], rows: list, ids: list, number: in
     flat, doc, counts = flat[keep], doc[keep], np.where(bad, 0, counts)
     ends = np.cumsum(counts)
     # distinct words of a document, then its distinct pairs
-    once = np.unique(doc * max(1, len(index)) + flat)
+    once = _sorted_once(doc * max(1, len(index)) + flat)
     at, n = _gather(words.link_ends, once % max(1, len(index)))
-    held = np.unique(np.repeat(once // max(1, len(index)), n) * max(1, len(words.pairs)) + words.links[at])
+    held = _sorted_once(np.repeat(once // max(1, len(index)), n) * max(1, len(words.pairs)) + words.links[at])
     pair_docs = np.bincount(held % max(1, len(words.pairs)), minlength=len(words.pairs))
     texts, start = [], 0
     for end in ends.tolist():
@@ -359,8 +370,8 @@ def align_tokenizers(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
                 [pa.array([made[c]]) if c == "slice" else
                  pa.ListArray.from_arrays(pa.array([0, len(made[c])], pa.int32()), pa.array(made[c])
                                           if not isinstance(made[c], pa.Array) else made[c]) for c in names], names)
-        # a waiting worker keeps no tables while the executor works on the slices
-        _PAIRS.clear()
+        # a waiting worker remembers no pieces while the executor works on the slices
+        _pair(model.value).forget()
         gc.collect()
         pa.default_memory_pool().release_unused()
 
