@@ -297,7 +297,12 @@ def remove_repeated_strings(docs: DataFrame, length: int = 50, id_col: str = "do
     ids sort after all others and do not match each other; rows of equal id do
     not match each other either; repeated rows are returned as often as they
     come.  ``id_col`` must be of an integer type.  Other columns are ignored;
-    an empty table gives an empty result."""
+    an empty table gives an empty result.
+
+    ``length`` is from ``GRAM`` to ``GRAM + 127``, for places within a window are
+    kept in seven bits; others are refused with a ``ValueError``."""
+    if not GRAM <= length < GRAM + 128:
+        raise ValueError(f"length must be from {GRAM} to {GRAM + 127}, not {length}")
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), text.alias("text"))
     n_docs, total = rows.agg(F.count("*"), F.sum(F.octet_length("text"))).first()

@@ -228,6 +228,12 @@ def test_suffix_dedup(spark, docs, monkeypatch):
     assert suffix_dedup.remove_repeated_strings(frame(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("length", [0, 15, 144, 400])
+def test_suffix_lengths_out_of_range_are_refused(spark, docs, length):
+    with pytest.raises(ValueError, match="length must be"):
+        suffix_dedup.remove_repeated_strings(frame(spark, docs), length=length)
+
+
 def test_suffix_contexts_of_a_frequent_anchor_are_spread(spark, monkeypatch):
     rnd = random.Random(8)
     word = lambda n: "".join(rnd.choice("abcdefgh") for _ in range(n))
