@@ -9,22 +9,35 @@ import uuid
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_path
+from ..sinks import writers as W
 from ..streaming import streams as S
 from . import q_quota, q_text  # noqa: F401  (their oracles are reused below)
 from .registry import ORACLES, query
 
+# of files in one micro-batch, at least one file
+MICRO_BATCH_BYTES = 1 << 30
+
 
 def _dirs(spark, name):
     run = f"{name}-{uuid.uuid4().hex[:12]}"
     return checkpoint_path(spark, "streams", run, "out"), checkpoint_path(spark, "streams", run, "ckpt")
 
 
-def _stream(spark, sf, table, cols=None):
-    static = spark.read.parquet(f"{sf}/{table}.parquet")
-    s = S.table_stream(spark, sf, static.schema, glob=f"{table}.parquet", max_files_per_trigger=1)
+def _stream(spark, sf, table, cols=None, **bound):
+    """A driver table, one file or a folder of files, as a stream."""
+    path = f"{sf}/{table}.parquet"
+    schema = spark.read.parquet(path).schema
+    if W.is_folder(spark, path):
+        s = S.table_stream(spark, path, schema, **bound)
+    else:  # a stream's path is a folder
+        s = S.table_stream(spark, sf, schema, glob=f"{table}.parquet", **bound)
     return s.select(*cols) if cols else s
 
 
+def _documents(spark, sf):
+    return _stream(spark, sf, "documents", ["doc_id", "text"], max_bytes_per_trigger=MICRO_BATCH_BYTES)
+
+
 def _requests(stream):
     return stream.select(
         "event_id", (F.col("user_id") % 3).alias("api_key"),
@@ -36,9 +49,10 @@ def _requests(stream):
 @query("stream_clean")
 def q_stream_clean(spark, sf):
     out, ck = _dirs(spark, "clean")
-    q = S.stream_clean(_stream(spark, sf, "documents", ["doc_id", "text"]), out, ck)
+    docs = _documents(spark, sf)
+    q = S.stream_clean(docs, out, ck)
     q.awaitTermination()
-    return spark.read.parquet(out).select("doc_id", "text")
+    return spark.read.schema(docs.schema).parquet(out).select("doc_id", "text")
 
 
 ORACLES["stream_clean"] = ORACLES["clean_markdown_raw"]
@@ -48,7 +62,7 @@ ORACLES["stream_clean"] = ORACLES["clean_markdown_raw"]
 SELECT DISTINCT CAST(strlen(text) AS BIGINT) AS size, md5(text) AS md5 FROM documents""")
 def q_stream_dedup(spark, sf):
     out, ck = _dirs(spark, "dedup")
-    s = _stream(spark, sf, "documents", ["doc_id", "text"]).select(
+    s = _documents(spark, sf).select(
         F.octet_length("text").cast("bigint").alias("size"), F.md5(F.col("text").cast("binary")).alias("md5"), "doc_id")
     S.run_available(S.stream_dedup(s), out, ck)
     return spark.read.parquet(out).select("size", "md5")

@@ -116,6 +116,11 @@ def _file_system(spark: SparkSession, base: str):
     return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jvm.org.apache.hadoop.fs.Path
 
 
+def is_folder(spark: SparkSession, path: str) -> bool:
+    fs, of = _file_system(spark, path)
+    return bool(fs.exists(of(path)) and fs.getFileStatus(of(path)).isDirectory())
+
+
 def _numbers(spark: SparkSession, base: str) -> tuple[list[int], list[int]]:
     """The committed versions, and all that were claimed."""
     fs, path = _file_system(spark, base)

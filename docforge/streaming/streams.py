@@ -69,14 +69,17 @@ def read_increments(spark: SparkSession, out: str, state: str) -> DataFrame:
 
 
 def table_stream(spark: SparkSession, folder: str, schema, glob: str | None = None,
-                 max_files_per_trigger: int | None = None) -> DataFrame:
-    """Parquet files arriving in ``folder`` (optionally only those matching
-    ``glob``)."""
+                 max_files_per_trigger: int | None = None, max_bytes_per_trigger: int | None = None) -> DataFrame:
+    """Parquet files arriving in ``folder`` (optionally only those whose own
+    names match ``glob``; folders inside are not entered).  A micro-batch holds
+    all new files, or up to a number of files or of bytes."""
     r = spark.readStream.schema(schema)
     if glob:
         r = r.option("pathGlobFilter", glob)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    if max_bytes_per_trigger:
+        r = r.option("maxBytesPerTrigger", str(max_bytes_per_trigger))
     return r.parquet(folder)
 
 

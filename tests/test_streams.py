@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from docforge.functions import text as T
 from docforge.operators import quota as Q
+from docforge.plans import q_stream
 from docforge.streaming import streams as S
 
 
@@ -37,6 +38,34 @@ def test_stream_dedup_same_keys_as_batch(spark, tmpdir_fresh):
     assert got.groupBy("size", "md5").count().filter("count > 1").count() == 0
 
 
+def _document_folder(spark, folder, texts, files=3):
+    """A ``documents`` table as a folder of files, as larger tables come."""
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    df.repartition(files, "doc_id").write.parquet(f"{folder}/documents.parquet")
+
+
+def test_stream_clean_query_reads_a_folder_of_files(spark, tmpdir_fresh):
+    texts = ["# A\n**x**", "> quote\n1. one", "", None, "plain", "# A\n**x**"]
+    _document_folder(spark, tmpdir_fresh, texts)
+    got = q_stream.q_stream_clean(spark, tmpdir_fresh)
+    batch = spark.read.parquet(f"{tmpdir_fresh}/documents.parquet").withColumn("text", T.clean_markdown(F.col("text")))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, batch.collect())) and got.count() == len(texts)
+
+
+def test_stream_queries_read_a_single_file_beside_others(spark, tmpdir_fresh):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    for name, texts in (("documents", ["**a**", "b", "b"]), ("others", ["c"])):
+        pq.write_table(pa.table({"doc_id": pa.array(range(len(texts)), pa.int64()), "text": texts}),
+                       f"{tmpdir_fresh}/{name}.parquet")
+    assert sorted(r.text for r in q_stream.q_stream_clean(spark, tmpdir_fresh).collect()) == ["a", "b", "b"]
+
+
+def test_stream_clean_query_of_no_rows(spark, tmpdir_fresh):
+    _document_folder(spark, tmpdir_fresh, [])
+    assert q_stream.q_stream_clean(spark, tmpdir_fresh).collect() == []
+
+
 def test_stream_quota_exact_across_batches(spark, tmpdir_fresh):
     rows = []
     t = 0
