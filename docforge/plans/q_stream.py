@@ -65,7 +65,7 @@ def q_stream_dedup(spark, sf):
     s = _documents(spark, sf).select(
         F.octet_length("text").cast("bigint").alias("size"), F.md5(F.col("text").cast("binary")).alias("md5"), "doc_id")
     S.run_available(S.stream_dedup(s), out, ck)
-    return spark.read.parquet(out).select("size", "md5")
+    return spark.read.schema(s.schema).parquet(out).select("size", "md5")
 
 
 @query("stream_quota_windows", """

@@ -1,5 +1,6 @@
 """Streaming forms against their batch forms, and restarts."""
 
+import hashlib
 import os
 
 from pyspark.sql import functions as F
@@ -59,6 +60,7 @@ def test_stream_queries_read_a_single_file_beside_others(spark, tmpdir_fresh):
         pq.write_table(pa.table({"doc_id": pa.array(range(len(texts)), pa.int64()), "text": texts}),
                        f"{tmpdir_fresh}/{name}.parquet")
     assert sorted(r.text for r in q_stream.q_stream_clean(spark, tmpdir_fresh).collect()) == ["a", "b", "b"]
+    assert sorted(r.size for r in q_stream.q_stream_dedup(spark, tmpdir_fresh).collect()) == [1, 5]
 
 
 def test_stream_clean_query_of_no_rows(spark, tmpdir_fresh):
@@ -66,6 +68,20 @@ def test_stream_clean_query_of_no_rows(spark, tmpdir_fresh):
     assert q_stream.q_stream_clean(spark, tmpdir_fresh).collect() == []
 
 
+def test_stream_dedup_query_reads_a_folder_of_files(spark, tmpdir_fresh):
+    texts = ["a", "b", "a", None, "", None, "é", "b", "a"]
+    _document_folder(spark, tmpdir_fresh, texts)
+    got = q_stream.q_stream_dedup(spark, tmpdir_fresh).collect()
+    raw = [None if t is None else t.encode() for t in set(texts)]
+    exp = {(None, None) if t is None else (len(t), hashlib.md5(t).hexdigest()) for t in raw}
+    assert len(got) == len(exp) and set(map(tuple, got)) == exp
+
+
+def test_stream_dedup_query_of_no_rows(spark, tmpdir_fresh):
+    _document_folder(spark, tmpdir_fresh, [])
+    assert q_stream.q_stream_dedup(spark, tmpdir_fresh).collect() == []
+
+
 def test_stream_quota_exact_across_batches(spark, tmpdir_fresh):
     rows = []
     t = 0
