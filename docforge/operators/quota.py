@@ -16,11 +16,14 @@ that resets at the first request more than 60 s after the previous reset
 rule over 86,400 s.  Resets depend on all earlier resets of the key, so this is
 a fold; what a range of requests does to the pending resets and counters is a
 step function of the pending reset time it starts with, and a chain over these
-functions lets all ranges fold at the same time.
+functions lets all ranges fold at the same time.  ``quota_fold_after`` does the
+same from the counters that earlier requests left behind.
 """
 
 from __future__ import annotations
 
+import json
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -144,6 +147,7 @@ def fold_key(pdf: pd.DataFrame, anchor_us: int | None) -> pd.DataFrame:
 
 FOLD_SCHEMA = ("event_id bigint, api_key bigint, ts_us bigint, tokens_minute bigint, day_requests bigint, "
                "rpm_after bigint, minute_reset boolean, day_reset boolean")
+FOLD_COLUMNS = [c.split()[0] for c in FOLD_SCHEMA.split(", ")]
 
 
 NO_KEY = -(1 << 63)  # stands for a null key inside the fold
@@ -210,3 +214,141 @@ def quota_fold(requests: DataFrame, anchor_us: int | None = None) -> DataFrame:
     order = ["ts_us", "event_id"]
     out = fold_in_ranges(in_ranges(cols, ["api_key"], order), "api_key", order, summarize, advance, fold, FOLD_SCHEMA)
     return out.withColumn("api_key", F.nullif(F.col("api_key"), F.lit(NO_KEY)))
+
+
+# ---------------------------------------------------------------------------
+# exact counters from carried ones (micro-batches)
+# ---------------------------------------------------------------------------
+CARRY_SCHEMA = "api_key bigint, carry string"    # the counters of ``fold_batch`` as JSON, by key (null: ``NO_KEY``)
+FIRST, LAST = -(1 << 63), (1 << 63) - 1          # times before and behind those of all requests
+RANGE_ROWS = 250_000
+
+
+def _parts(rows: pd.DataFrame) -> tuple[pd.DataFrame, pd.DataFrame, pd.DataFrame]:
+    """Of a key's rows in order: what it starts with, its dated and its undated requests."""
+    ts = rows["ts_us"].to_numpy(np.int64)
+    a, b = np.searchsorted(ts, FIRST, side="right"), np.searchsorted(ts, LAST)
+    return rows.iloc[:a], rows.iloc[a:b], rows.iloc[b:]
+
+
+def _started(state: tuple | None, start: tuple | None, anchor_us: int | None) -> tuple:
+    """The counters a key goes on with, and how many undated requests it has
+    ahead.  Without an anchor the first dated request sets the reset times."""
+    if start is None and state is not None:
+        return state
+    carry, undated = start or (None, 0)
+    if carry is not None:
+        return (*json.loads(carry), undated)
+    return (*((None, 0, None, 0, [], []) if anchor_us is None else fresh_carry(anchor_us)), undated)
+
+
+def _anchored(state: tuple, first: int) -> tuple:
+    minute, tokens, day, *rest = state
+    return (first + MINUTE_US if minute is None else minute, tokens, first + DAY_US if day is None else day, *rest)
+
+
+def _in_time(recent: list, recent_n: list) -> tuple[list, list]:
+    order = np.argsort(recent, kind="stable")
+    return np.asarray(recent, np.int64)[order].tolist(), np.asarray(recent_n, np.int64)[order].tolist()
+
+
+def _fold_undated(rows: pd.DataFrame, state: tuple) -> tuple[pd.DataFrame, tuple]:
+    """Requests without a time come after all others of their key in the batch
+    and reset nothing; as a range window has it, none is in the trailing minute
+    of another (``rpm_after`` is 0 less the ones behind), and their time is
+    ``FIRST``."""
+    minute, tokens, day, requests, recent, recent_n, ahead = state
+    n = np.arange(1, len(rows) + 1)
+    total = tokens + np.cumsum(rows["tokens"].to_numpy(np.int64))
+    out = pd.DataFrame({"event_id": rows["event_id"].to_numpy(np.int64), "api_key": rows["api_key"].to_numpy(np.int64),
+                        "ts_us": FIRST, "tokens_minute": total, "day_requests": requests + n, "rpm_after": n - ahead,
+                        "minute_reset": False, "day_reset": False})
+    return out, (minute, int(total[-1]), day, requests + len(rows), recent, recent_n, ahead - len(rows))
+
+
+def quota_fold_after(requests: DataFrame, state: DataFrame | None, anchor_us: int | None = None) -> DataFrame:
+    """``quota_fold`` from the counters in ``state`` (``CARRY_SCHEMA``; None: there
+    are none yet), with the columns ``_range`` and ``carry``: of a key, the
+    last ``carry`` that is not null in the order of ``_range`` is its new state.
+
+    The same plan: requests in ranges of bounded rows.  A key's range begins
+    with a row of what the key starts with.  A key's requests are expected behind
+    its carried ones; when some are not, step functions reach over whole ranges
+    to stay exact.  Requests without a timestamp come last (``_fold_undated``)."""
+    cols = requests.select(F.coalesce(F.col("event_id").cast("bigint"), F.lit(LAST)).alias("event_id"),
+                           F.coalesce(F.col("api_key").cast("bigint"), F.lit(NO_KEY)).alias("api_key"),
+                           F.coalesce(F.col("ts_us").cast("bigint"), F.lit(LAST)).alias("ts_us"),
+                           F.coalesce(F.col("tokens").cast("bigint"), F.lit(0)).alias("tokens"))
+    keys = cols.groupBy("api_key").agg(F.min("ts_us").alias("first"), F.count_if(F.col("ts_us") == LAST).alias("undated"))
+    late = False
+    if state is None:
+        keys = keys.withColumn("carry", F.lit(None).cast("string"))
+    else:
+        keys = keys.join(state, "api_key", "left")
+        pending = F.from_json("carry", "array<string>")      # next minute reset, tokens, next day reset, ...
+        begin = F.col("first") if anchor_us is None else F.greatest("first", F.lit(int(anchor_us)))
+        late = not keys.where((F.col("first") < LAST - DAY_US) & (
+            (F.get(pending, F.lit(0)).cast("bigint") > begin + MINUTE_US)
+            | (F.get(pending, F.lit(2)).cast("bigint") > begin + DAY_US))).isEmpty()
+    starts = keys.where("carry is not null or undated > 0").select(
+        F.lit(FIRST).alias("event_id"), "api_key", F.lit(FIRST).alias("ts_us"), F.lit(0).cast("bigint").alias("tokens"),
+        "carry", "undated")
+    rows = cols.select("*", F.lit(None).cast("string").alias("carry"), F.lit(0).cast("bigint").alias("undated"))
+
+    def start_of(part):
+        return (part["carry"].iloc[0], int(part["undated"].iloc[0])) if len(part) else None
+
+    def summarize(rows):
+        start, dated, undated = _parts(rows)
+        steps = None
+        if len(dated):
+            ts, tokens = dated["ts_us"].to_numpy(np.int64), dated["tokens"].to_numpy(np.int64)
+            begin = int(ts[0]) if anchor_us is None else max(int(ts[0]), int(anchor_us))
+            steps = (int(ts[0]), _reset_steps(ts, tokens, int(ts[-1]) if late else begin + MINUTE_US, MINUTE_US),
+                     _reset_steps(ts, np.ones(len(ts), np.int64), int(ts[-1]) if late else begin + DAY_US, DAY_US),
+                     ts[np.searchsorted(ts, ts[-1] - MINUTE_US, side="right"):])
+        return start_of(start), steps, len(undated), int(undated["tokens"].sum())
+
+    def advance(state, summary):
+        start, steps, undated, tokens = summary
+        state = _started(state, start, anchor_us)
+        if steps is not None:
+            first, minute, day, tail = steps
+            state = _anchored(state, first)
+            state = (*_after_steps(minute, *state[:2]), *_after_steps(day, *state[2:4]),
+                     *_in_time(*_trailing(*state[4:6], tail)), state[6])
+        return state[0], state[1] + tokens, state[2], state[3] + undated, *state[4:6], state[6] - undated
+
+    def fold(rows, state):
+        out = []
+        for _, own in rows.groupby("api_key", sort=False):
+            start, dated, undated = _parts(own)
+            state, done = _started(state, start_of(start), anchor_us), []
+            if len(dated):
+                state = _anchored(state, int(dated["ts_us"].iloc[0]))
+                folded, carry = fold_batch(dated, state[:6])
+                done, state = [folded], (*carry[:4], *_in_time(*carry[4:]), state[6])
+            if len(undated):
+                folded, state = _fold_undated(undated, state)
+                done.append(folded)
+            for folded in done:
+                folded["carry"] = None
+            if done:
+                done[-1].loc[done[-1].index[-1], "carry"] = json.dumps(state[:6])
+            out, state = out + done, None
+        if not out:
+            return pd.DataFrame(columns=[*FOLD_COLUMNS, "_range", "carry"])
+        return pd.concat(out, ignore_index=True).assign(_range=int(rows["_range"].iloc[0]))
+
+    order = ["ts_us", "event_id"]
+    ranged = in_ranges(rows.unionByName(starts), ["api_key"], order, RANGE_ROWS)
+    out = fold_in_ranges(ranged, "api_key", order, summarize, advance, fold, f"{FOLD_SCHEMA}, _range int, carry string")
+    return out.withColumns({"event_id": F.when(F.col("event_id") == LAST, FIRST).otherwise(F.col("event_id")),
+                            "api_key": F.nullif(F.col("api_key"), F.lit(NO_KEY))})
+
+
+def carried(folded: DataFrame, state: DataFrame | None) -> DataFrame:
+    """The state after ``folded`` (rows of ``quota_fold_after``), keys without new requests included."""
+    new = folded.where("carry is not null").groupBy(F.coalesce("api_key", F.lit(NO_KEY)).alias("api_key")).agg(
+        F.max_by("carry", "_range").alias("carry"))
+    return new if state is None else new.unionByName(state.join(new, "api_key", "left_anti"))

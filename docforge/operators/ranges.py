@@ -3,8 +3,8 @@
 ``in_ranges`` deals the rows of a table to ranges of their order (key, then
 position), sampled by Spark so that every range holds about as many rows: a hot
 key spreads over many ranges and small keys share one.  The number of ranges is
-``spark.sql.shuffle.partitions``.  The ranges are frozen, so that all passes see
-the same ones.
+``spark.sql.shuffle.partitions``, or more to keep to a number of rows.  The
+ranges are frozen, so that all passes see the same ones.
 
 * ``running_sums``: inclusive running sums per key, a window inside each range
   plus the sums of the key's earlier ranges (one row per key and range).  Probe
@@ -31,10 +31,16 @@ from pyspark.sql.types import StructType
 from ..session import reliable_checkpoint
 
 
-def in_ranges(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+def in_ranges(df: DataFrame, keys: list[str], order: list[str], most_rows: int | None = None) -> DataFrame:
     """``df`` with the column ``_range``; rows of a range are neighbours in the
-    order ``keys``, ``order`` (nulls first).  Frozen in the shared folder."""
-    dealt = df.repartitionByRange(*[F.col(c) for c in [*keys, *order]])
+    order ``keys``, ``order`` (nulls first), about ``most_rows`` at most if given
+    (one pass more, to count them).  Frozen in the shared folder."""
+    by = [F.col(c) for c in [*keys, *order]]
+    if most_rows is None:
+        dealt = df.repartitionByRange(*by)
+    else:
+        ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        dealt = df.repartitionByRange(max(ranges, -(-df.count() // most_rows)), *by)
     return reliable_checkpoint(dealt.withColumn("_range", F.spark_partition_id()))
 
 

@@ -121,6 +121,20 @@ def is_folder(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(of(path)) and fs.getFileStatus(of(path)).isDirectory())
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, of = _file_system(spark, path)
+    fs.mkdirs(of(path))
+
+
+def drop_batches(spark: SparkSession, base: str, below: int | None = None) -> None:
+    """Delete the folders ``<base>/batch=N`` (of ``N < below``): micro-batches that nothing reads again."""
+    fs, path = _file_system(spark, base)
+    for st in fs.listStatus(path(base)) if fs.exists(path(base)) else []:
+        kind, _, number = st.getPath().getName().partition("=")
+        if kind == "batch" and number.isdigit() and (below is None or int(number) < below):
+            fs.delete(st.getPath(), True)
+
+
 def _numbers(spark: SparkSession, base: str) -> tuple[list[int], list[int]]:
     """The committed versions, and all that were claimed."""
     fs, path = _file_system(spark, base)

@@ -9,15 +9,15 @@ each input row is processed once.  Sinks are files (Parquet) or
 
 from __future__ import annotations
 
-import pandas as pd
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupStateTimeout
 
 from ..functions import text as T
 from ..functions.names import base_name, file_id
 from ..operators import clean as C
-from ..operators.quota import FOLD_SCHEMA, NO_KEY, fold_batch, fresh_carry
+from ..operators.quota import CARRY_SCHEMA, FOLD_COLUMNS, FOLD_SCHEMA, carried, quota_fold_after
 from ..sinks import writers as W
 from ..sources import files as S
 
@@ -118,39 +118,57 @@ def stream_quota_windows(stream: DataFrame, ts_us: str = "ts_us", key: str = "ap
             .select(key, F.unix_micros(F.col("window.start")).alias("window_start_us"), "requests", "tokens"))
 
 
-QUOTA_STATE = ("next_minute long, tokens long, next_day long, day_requests long, recent array<long>, "
-               "recent_n array<long>")
-
-
-def _quota_update(anchor_us):
-    def fn(key, batches, state):
-        pdf = pd.concat(list(batches), ignore_index=True)
-        first = int(pdf["ts_us"].min()) if anchor_us is None else int(anchor_us)
-        out, carry = fold_batch(pdf, tuple(state.get) if state.exists else fresh_carry(first))
-        state.update(carry)
-        yield out
-    return fn
-
-
-def stream_quota_exact(stream: DataFrame, anchor_us: int | None = None) -> DataFrame:
-    """The tracker's exact counters on a request stream, state per key
-    (resets, token and daily counters, and how many requests fell on each
-    timestamp of the trailing minute).  Requests of a key must arrive in time
-    order across micro-batches; the source's ``maxFilesPerTrigger`` bounds
-    what one micro-batch holds.  Null tokens count 0, and requests without a
-    key are a key of their own."""
-    cols = stream.select(F.col("event_id").cast("long"),
-                         F.coalesce(F.col("api_key").cast("long"), F.lit(NO_KEY)).alias("api_key"),
-                         F.col("ts_us").cast("long"), F.col("tokens").cast("long"))
-    out = cols.groupBy("api_key").applyInPandasWithState(
-        _quota_update(anchor_us), FOLD_SCHEMA, QUOTA_STATE, "append", GroupStateTimeout.NoTimeout)
-    return out.withColumn("api_key", F.nullif(F.col("api_key"), F.lit(NO_KEY)))
+class QuotaStream(NamedTuple):
+    """A request stream to be folded into the tracker's counters; ``run_available`` runs it."""
+    requests: DataFrame
+    anchor_us: int | None
+
+    def folded(self, checkpoint: str) -> DataFrame:
+        """Fold all requests available now and return a stream of the folded
+        rows.  A micro-batch folds on all workers from the state that the one
+        before it left, and writes its rows and the new state as its version
+        under ``checkpoint``; one that was cut off writes them again."""
+        rows, states = f"{checkpoint}/folded", f"{checkpoint}/state"
+        if W.is_folder(self.requests.sparkSession, f"{checkpoint}/offsets"):
+            raise ValueError(f"{checkpoint} is the checkpoint of another kind of stream: use a new one")
+
+        def fold(batch: DataFrame, batch_id: int):
+            spark = batch.sparkSession
+            state = spark.read.schema(CARRY_SCHEMA).parquet(f"{states}/batch={batch_id - 1}") if batch_id else None
+            here = f"{rows}/batch={batch_id}"
+            folded = quota_fold_after(batch, state, self.anchor_us)
+            folded.write.mode("overwrite").parquet(here)
+            carried(spark.read.schema(folded.schema).parquet(here), state).write.mode("overwrite").parquet(
+                f"{states}/batch={batch_id}")
+            W.drop_batches(spark, states, below=batch_id - 1)
+
+        (self.requests.writeStream.foreachBatch(fold).option("checkpointLocation", f"{checkpoint}/requests")
+         .trigger(availableNow=True).start().awaitTermination())
+        spark = self.requests.sparkSession
+        W.make_folder(spark, rows)
+        return (spark.readStream.schema(f"{FOLD_SCHEMA}, batch bigint").option("maxFileAge", "36500d").parquet(rows)
+                .select(*FOLD_COLUMNS))
+
+    def published(self, checkpoint: str) -> None:
+        """The folded rows are written: drop them here."""
+        W.drop_batches(self.requests.sparkSession, f"{checkpoint}/folded")
+
+
+def stream_quota_exact(stream: DataFrame, anchor_us: int | None = None) -> QuotaStream:
+    """The tracker's exact counters on a request stream, for ``run_available``;
+    state per key (resets, token and daily counters, and how many requests fell
+    on each timestamp of the trailing minute).  Requests of a key must arrive in
+    time order across micro-batches; a micro-batch of any size, of one key or
+    many, folds in ranges of bounded rows.  Null tokens count 0, and requests
+    without a key are a key of their own."""
+    return QuotaStream(stream.select(F.col("event_id").cast("long"), F.col("api_key").cast("long"),
+                                     F.col("ts_us").cast("long"), F.col("tokens").cast("long")), anchor_us)
 
 
 def stream_quota(stream: DataFrame, anchor_us: int | None = None, exact: bool = True,
-                 delay: str = "10 minutes") -> DataFrame:
+                 delay: str = "10 minutes") -> DataFrame | QuotaStream:
     """Usage per key on a request stream: the tracker's exact counters
-    (``exact=True``, state per key) or watermarked sliding-window counts."""
+    (``exact=True``, state per key, for ``run_available``) or watermarked sliding-window counts."""
     if exact:
         return stream_quota_exact(stream, anchor_us)
     return stream_quota_windows(stream, delay=delay)
@@ -159,9 +177,13 @@ def stream_quota(stream: DataFrame, anchor_us: int | None = None, exact: bool =
 # ---------------------------------------------------------------------------
 # running to completion (for jobs and tests)
 # ---------------------------------------------------------------------------
-def run_available(df: DataFrame, out_path: str, checkpoint: str, mode: str = "append",
+def run_available(df: DataFrame | QuotaStream, out_path: str, checkpoint: str, mode: str = "append",
                   fmt: str = "parquet"):
     """Process everything available now into files and stop."""
+    if isinstance(df, QuotaStream):
+        q = run_available(df.folded(checkpoint), out_path, f"{checkpoint}/written", mode, fmt)
+        df.published(checkpoint)
+        return q
     q = (df.writeStream.format(fmt).outputMode(mode)
          .option("path", out_path).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())

@@ -3,6 +3,8 @@
 import hashlib
 import os
 
+import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from docforge.functions import text as T
@@ -103,6 +105,106 @@ def test_stream_quota_exact_across_batches(spark, tmpdir_fresh):
     assert got == exp
 
 
+_REQUESTS = "event_id long, api_key long, ts_us long, tokens long"
+
+
+def _folded_one_by_one(batches, anchor=None):
+    """The plain fold: every key of every batch in one go."""
+    carry, exp = {}, {}
+    for rows in batches:
+        pdf = pd.DataFrame(rows, columns=["event_id", "api_key", "ts_us", "tokens"])
+        for key, own in pdf.groupby("api_key"):
+            start = carry.get(key) or Q.fresh_carry(int(own["ts_us"].min()) if anchor is None else anchor)
+            out, carry[key] = Q.fold_batch(own, start)
+            exp |= {r[0]: r[1:] for r in out.itertuples(index=False, name=None)}
+    return exp
+
+
+def _fold_batches(spark, batches, anchor=None):
+    state, got = None, {}
+    for rows in batches:
+        folded = Q.quota_fold_after(spark.createDataFrame(rows, _REQUESTS), state, anchor).localCheckpoint()
+        state = Q.carried(folded, state).localCheckpoint()
+        got |= {r.event_id: tuple(r)[1:8] for r in folded.collect()}
+    return got
+
+
+def test_quota_fold_of_a_hot_key_is_in_ranges_of_bounded_rows(spark, monkeypatch):
+    """Before, all rows of a key in a micro-batch were one pandas frame."""
+    monkeypatch.setattr(Q, "RANGE_ROWS", 100)
+    df = spark.range(3000).select(F.col("id").alias("event_id"), F.lit(1).cast("long").alias("api_key"),
+                                  (F.col("id") * 700_000).alias("ts_us"), (F.col("id") % 90).alias("tokens"))
+    folded = Q.quota_fold_after(df, None).localCheckpoint()
+    assert max(r["count"] for r in folded.groupBy("_range").count().collect()) <= 300
+    got = {r.event_id: tuple(r)[1:8] for r in folded.collect()}
+    assert got == {r.event_id: tuple(r)[1:] for r in Q.quota_fold(df).collect()}
+
+
+def test_quota_fold_goes_on_from_carried_counters(spark, monkeypatch):
+    monkeypatch.setattr(Q, "RANGE_ROWS", 40)
+    hour = 3_600_000_000
+    batches = [[(b * 1000 + i, key, b * 20 * hour + i * i * 90_001 + i % 3 * 17, (i * 31) % 50)
+                for i in range(240) for key in [(1 if i % 4 else 2 + (i * 7 + b) % 9)]] for b in range(3)]
+    for anchor in (None, 5_000_000):
+        assert _fold_batches(spark, batches, anchor) == _folded_one_by_one(batches, anchor)
+
+
+def test_quota_fold_of_requests_before_the_carried_ones(spark, monkeypatch):
+    monkeypatch.setattr(Q, "RANGE_ROWS", 20)
+    late = [[(i, 1, 500_000_000 + i * 400_000, 1) for i in range(100)],
+            [(1000 + i, 1, 100_000_000 + i * 9_000_000, 1) for i in range(100)]]
+    assert _fold_batches(spark, late) == _folded_one_by_one(late)
+
+
+def test_quota_fold_of_requests_without_a_time(spark, monkeypatch):
+    """They come last, reset nothing and change nothing for the others."""
+    monkeypatch.setattr(Q, "RANGE_ROWS", 10)
+    dated = [(i, 1, i * 8_000_000, 5) for i in range(60)]
+    undated = [(100 + i, 1, None, 2) for i in range(30)] + [(200, 2, None, 4), (201, 2, None, None)]
+    got = _fold_batches(spark, [dated + undated])
+    exp = _folded_one_by_one([dated])
+    assert {k: v for k, v in got.items() if k < 100} == exp
+    assert [got[100 + i][2:] for i in range(30)] == [
+        (exp[59][2] + 2 * (i + 1), 61 + i, i - 29, False, False) for i in range(30)]
+    assert [got[i][2:] for i in (200, 201)] == [(4, 1, -1, False, False), (4, 2, 0, False, False)]
+
+
+def test_stream_quota_exact_goes_on_after_a_cut_and_restarts(spark, tmpdir_fresh, monkeypatch):
+    rows = [(i, None if i % 5 == 0 else i % 2, i * 3_000_000, i) for i in range(300)]
+    src, out, ck = (os.path.join(tmpdir_fresh, x) for x in ("in", "out", "ck"))
+
+    def arrive(j):
+        spark.createDataFrame(rows[j * 100:(j + 1) * 100], _REQUESTS).coalesce(1).write.mode("append").parquet(src)
+
+    def run():
+        S.run_available(S.stream_quota_exact(
+            S.table_stream(spark, src, spark.read.parquet(src).schema, max_files_per_trigger=1)), out, ck)
+
+    arrive(0)
+    run()
+    arrive(1)
+    with monkeypatch.context() as m:       # the rows of the batch are written, its state is not
+        m.setattr(S, "carried", lambda *a: 1 / 0)
+        with pytest.raises(Exception, match="ZeroDivisionError|division by zero"):
+            run()
+    arrive(2)
+    run()
+    run()
+    got = sorted(map(tuple, spark.read.parquet(out).collect()))
+    assert got == sorted(map(tuple, Q.quota_fold(spark.createDataFrame(rows, _REQUESTS)).collect()))
+    assert os.listdir(os.path.join(ck, "folded")) == []
+
+
+def test_stream_quota_exact_query_reads_a_folder_in_any_order(spark, tmpdir_fresh):
+    import datetime as dt
+    base = dt.datetime(2024, 1, 1)
+    events = spark.createDataFrame([(i, base + dt.timedelta(hours=i * 37 % 200), i % 5, i / 4) for i in range(200)],
+                                   "event_id long, ts timestamp_ntz, user_id long, value double")
+    events.repartition(4, "event_id").write.parquet(f"{tmpdir_fresh}/events.parquet")
+    got = q_stream.q_stream_quota_exact(spark, tmpdir_fresh).collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, Q.quota_fold(q_stream._requests(events)).collect()))
+
+
 def test_markdown_folder_incremental_runs(spark, tmpdir_fresh):
     """Files arriving in a folder are cleaned once each across runs."""
     src = os.path.join(tmpdir_fresh, "md")
