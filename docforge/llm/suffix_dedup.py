@@ -7,7 +7,10 @@ text many times over, so suffixes are sampled by content: in every window of
 window's anchor.  Equal windows have equal anchors at equal offsets, so no
 match is lost, and the anchors are about one position in eighteen.
 
-The documents are dealt into slices of a few megabytes and stay there.
+The documents are dealt into slices of some megabytes and stay there.  Every slice
+sends a message to nearly every bucket, so slices and buckets grow with the square
+root of the corpus (``slice_count``) and the messages with the corpus alone.  Inside
+a slice or a bucket the work is done in pieces and parts of bounded size.
 
 1. Every slice sends fingerprints of its anchors to buckets.  Splitters sampled
    from the corpus range-partition the anchors by their leading bytes.
@@ -26,7 +29,7 @@ The documents are dealt into slices of a few megabytes and stay there.
 
 from __future__ import annotations
 
-import hashlib
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +40,10 @@ from pyspark.sql import functions as F
 from .arrow_batches import binary_offsets
 
 GRAM = 16
-SLICE_BYTES = 2 << 20    # text of a slice, and anchors' share of a bucket
+SLICE_BYTES = 2 << 20    # text of a slice, and anchors' share of a bucket, at least
+FEW_SLICES, MOST_TIMES = 80, 16  # slices of that size before they grow; how many times that size they get
+PIECE_BYTES = 1 << 17    # text whose anchors are looked for at once
+PART = 1 << 16           # contexts that are compared at once
 SAMPLE_DOCS = 2000       # documents whose anchors place the splitters
 MOST_CONTEXTS = 1 << 15  # of one anchor, in a bucket
 BUSY, SPREAD = 4, 4      # contexts in a slice that are counted; buckets per slice for windows of frequent anchors
@@ -45,6 +51,14 @@ NO_ID = np.iinfo(np.int64).max
 _TABLE = np.random.default_rng(20).integers(0, 1 << 64, 256, np.uint64)
 
 
+def slice_count(total: int) -> int:
+    """Slices, and as many buckets, of so many bytes of text: one per ``SLICE_BYTES``
+    up to ``FEW_SLICES``, then as many that their pairs grow with the text, until a
+    slice has ``MOST_TIMES`` times ``SLICE_BYTES``."""
+    least = max(1, -(-total // SLICE_BYTES))
+    return math.ceil(least / min(max(1.0, math.sqrt(least / FEW_SLICES)), MOST_TIMES))
+
+
 def _mix(h: np.ndarray) -> np.ndarray:
     h = h ^ (h >> np.uint64(31))
     h *= np.uint64(0xBF58476D1CE4E5B9)
@@ -97,23 +111,64 @@ def anchors(raw: np.ndarray, offsets: np.ndarray, length: int):
     view = np.lib.stride_tricks.sliding_window_view(h, width)
     out = []
     while len(begin):
-        at = np.empty(len(begin), np.int64)
-        for cut in range(0, len(begin), 1 << 14):
-            at[cut:cut + (1 << 14)] = view[begin[cut:cut + (1 << 14)]].argmin(1)
-        at += begin
+        at = begin + width - 1                      # where the smallest hash has just come in
+        look = np.flatnonzero((begin == 0) | (low[begin] >= low[begin - 1]))
+        for cut in range(0, len(look), 1 << 14):
+            some = look[cut:cut + (1 << 14)]
+            at[some] = begin[some] + view[begin[some]].argmin(1)
         out.append((at, begin, np.minimum(stop, at), doc))
         rest = stop > at                            # equal hashes further right serve the rest
         begin, stop, doc = at[rest] + 1, stop[rest], doc[rest]
     return tuple(np.concatenate(x) for x in zip(*out, strict=True)) if out else (none,) * 4
 
 
+def _pieces(offsets: np.ndarray):
+    """Runs of documents with about ``PIECE_BYTES`` of text (a longer one is alone)."""
+    start, n = 0, len(offsets) - 1
+    while start < n:
+        end = int(np.searchsorted(offsets, offsets[start] + PIECE_BYTES, side="right")) - 1
+        end = min(max(end, start + 1), n)
+        yield start, end
+        start = end
+
+
+def slice_anchors(raw: np.ndarray, offsets: np.ndarray, length: int):
+    """``anchors`` of a whole slice, piece by piece."""
+    found = [(np.zeros(0, np.int64),) * 4]
+    for i, j in _pieces(offsets):
+        base = offsets[i]
+        at, first, last, doc = anchors(raw[base:offsets[j]], offsets[i:j + 1] - base, length)
+        found.append((at + base, first + base, last + base, doc + i))
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+
+
+def _parts(key: np.ndarray):
+    """Rows in the order of a 16-bit key, in parts of about ``PART`` rows that do not
+    divide a key."""
+    order = np.argsort(key, kind="stable")
+    starts = np.append(np.flatnonzero(np.diff(key[order])) + 1, len(key))
+    done = 0
+    while done < len(key):
+        end = starts[min(np.searchsorted(starts, done + PART), len(starts) - 1)]
+        yield order[done:end]
+        done = end
+
+
 def _words(raw: np.ndarray, at: np.ndarray, count: int) -> np.ndarray:
     """``count`` big-endian words of the bytes from every position, zero-filled."""
-    padded = np.concatenate([raw, np.zeros(8 * count, np.uint8)])
-    view = np.lib.stride_tricks.sliding_window_view(padded, 8 * count)
+    if not len(at) or at.max() + 8 * count > len(raw):
+        raw = np.concatenate([raw, np.zeros(8 * count, np.uint8)])
+    view = np.lib.stride_tricks.sliding_window_view(raw, 8 * count)
     return np.ascontiguousarray(view[at]).view(">u8").astype(np.uint64)
 
 
+def _strings(padded: np.ndarray, at: np.ndarray, size: np.ndarray) -> bytes:
+    """The ``size`` bytes from every position behind each other."""
+    most = int(size.max())
+    rows = np.lib.stride_tricks.sliding_window_view(padded, most)[at]
+    return rows[np.arange(most) < size[:, None]].tobytes()
+
+
 def bucket_of(lead: np.ndarray, splitters: np.ndarray) -> np.ndarray:
     """The range of every two-word leading string among the sorted splitters."""
     first = np.searchsorted(splitters[:, 0], lead[:, 0], side="left")
@@ -132,22 +187,25 @@ def multikey_order(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     every run of equal rows.  Only runs still tied and not constant in a word
     are sorted by it."""
     n = len(words)
-    order = np.argsort(words[:, 0], kind="stable")
+    order = np.argsort(words[:, 0])
     new = np.ones(n, bool)
     new[1:] = words[order[1:], 0] != words[order[:-1], 0]
     for k in range(1, words.shape[1]):
-        run = np.cumsum(new) - 1
-        key = words[order, k]
-        differs = np.zeros(n, bool)
-        differs[1:] = (key[1:] != key[:-1]) & ~new[1:]
-        mixed = np.zeros(run[-1] + 1 if n else 0, bool)
-        mixed[run[differs]] = True
-        own = np.flatnonzero(mixed[run]) if n else np.zeros(0, np.int64)
-        if len(own):
-            sub = np.lexsort((key[own], run[own]))
-            order[own] = order[own][sub]
-            key = words[order, k]
-            new[1:] |= key[1:] != key[:-1]
+        tied = ~new
+        tied[:-1] |= ~new[1:]
+        rows = np.flatnonzero(tied)
+        key, head = words[order[rows], k], new[rows]
+        differs = np.flatnonzero((key[1:] != key[:-1]) & ~head[1:]) + 1
+        if len(differs):
+            run = np.cumsum(head) - 1
+            mixed = np.zeros(run[-1] + 1, bool)
+            mixed[run[differs]] = True
+            own = np.flatnonzero(mixed[run])
+            key, run, rows = key[own], run[own], rows[own]
+            sub = np.lexsort((key, run))
+            order[rows] = order[rows][sub]
+            key = key[sub]
+            new[rows[1:]] |= key[1:] != key[:-1]
     return order, new
 
 
@@ -174,6 +232,46 @@ def _window_minima(raw, start, windows, low, length):
     return mine, nth, least
 
 
+def _covered(raw, start, windows, back, low, length):
+    """Windows of contexts that a smaller id also has: ``(context, first window, last
+    window, smallest id)``, a row for each run of windows with the same smallest id."""
+    sizes = windows + length - 1
+    # contexts that slices have in common, with the smallest id of all
+    key = np.column_stack([_clipped(_words(raw, start, (2 * length - GRAM + 7) // 8), sizes),
+                           (sizes * 128 + back).astype(np.uint64)])
+    order, new = multikey_order(key)
+    del key
+    form = np.empty(len(order), np.int64)
+    form[order] = np.cumsum(new) - 1
+    rep = order[new]
+    form_low = np.minimum.reduceat(low[order], np.flatnonzero(new))
+    # only anchors with several contexts need their windows compared
+    gram_order, gram_new = multikey_order(_words(raw, start[rep] + back[rep], GRAM // 8))
+    gram = np.empty(len(rep), np.int64)
+    gram[gram_order] = np.cumsum(gram_new) - 1
+    shared = np.bincount(gram)[gram] > 1
+    alone, several = np.flatnonzero(~shared), np.flatnonzero(shared)
+    mine, nth, least = _window_minima(raw, start[rep[several]], windows[rep[several]], form_low[several], length)
+    # runs of windows of a context with the same smallest id
+    fresh = np.ones(len(mine), bool)
+    fresh[1:] = (mine[1:] != mine[:-1]) | (least[1:] != least[:-1])
+    heads = np.flatnonzero(fresh)
+    tails = np.append(heads[1:], len(mine)) - 1 if len(heads) else heads
+    run_form = np.concatenate([alone, several[mine[heads]]])
+    run_first = np.concatenate([np.zeros(len(alone), np.int64), nth[heads]])
+    run_last = np.concatenate([windows[rep[alone]] - 1, nth[tails]])
+    run_low = np.concatenate([form_low[alone], least[heads]])
+    # to every slice that has the context with a larger id
+    by_form = np.argsort(run_form, kind="stable")
+    held = np.searchsorted(run_form[by_form], np.arange(len(rep) + 1))
+    n_runs = (held[1:] - held[:-1])[form]
+    entry = np.repeat(np.arange(len(form)), n_runs)
+    run = by_form[np.repeat(held[form] - np.cumsum(n_runs) + n_runs, n_runs) + np.arange(len(entry))]
+    less = run_low[run] < low[entry]
+    run = run[less]
+    return entry[less], run_first[run], run_last[run], run_low[run]
+
+
 def _slice_docs(table: pa.Table):
     ids = table.column("id").combine_chunks()
     keys = ids.fill_null(NO_ID).to_numpy(zero_copy_only=False)
@@ -212,11 +310,20 @@ def _bytes_hash(words: np.ndarray) -> np.ndarray:
     return h
 
 
+def _text_hashes(raw, start, size, span, mark=None):
+    """A hash of ``size`` bytes (``span`` at most) from every position, and of a mark of each."""
+    h = np.empty(len(start), np.uint64)
+    for k in range(0, len(start), PART):
+        some = slice(k, k + PART)
+        text = _clipped(_words(raw, start[some], (span + 7) // 8), size[some])
+        h[some] = _bytes_hash(text if mark is None else np.column_stack([text, mark[some].astype(np.uint64)]))
+    return h
+
+
 def _context_counts(raw, at, first, last, group, length):
     """Distinct contexts (by a 64-bit hash) of every group of anchors."""
     size = last - first + length
-    text = _clipped(_words(raw, first, (2 * length - GRAM + 7) // 8), size)
-    h = _bytes_hash(np.column_stack([text, (size * 128 + (at - first)).astype(np.uint64)]))
+    h = _text_hashes(raw, first, size, 2 * length - GRAM, size * 128 + (at - first))
     order = np.lexsort((h, group))
     new = np.ones(len(h), bool)
     new[1:] = (h[order[1:]] != h[order[:-1]]) | (group[order[1:]] != group[order[:-1]])
@@ -238,48 +345,71 @@ def _rows(columns: dict, schema: pa.Schema) -> pa.Table:
 
 
 SENT = pa.schema([("bucket", pa.int32()), ("slice", pa.int32()), ("one", pa.binary()), ("many", pa.binary()),
-                  ("busy", pa.binary()), ("contexts", pa.list_(pa.int32()))])
+                  ("busy", pa.binary()), ("contexts", pa.binary())])
 BACK = pa.schema([("slice", pa.int32()), ("from", pa.int32()), ("grams", pa.binary()), ("hot", pa.binary())])
 CONTEXT = pa.schema([("bucket", pa.int32()), ("slice", pa.int32()), ("n", pa.int32()), ("bytes", pa.binary()),
-                     ("windows", pa.binary()), ("back", pa.binary()), ("low", pa.list_(pa.int64()))])
-COVER = pa.schema([("slice", pa.int32()), ("bucket", pa.int32()), ("entry", pa.list_(pa.int32())),
-                   ("first", pa.binary()), ("last", pa.binary()), ("low", pa.list_(pa.int64()))])
+                     ("windows", pa.binary()), ("back", pa.binary()), ("low", pa.binary())])
+COVER = pa.schema([("slice", pa.int32()), ("bucket", pa.int32()), ("entry", pa.binary()),
+                   ("first", pa.binary()), ("last", pa.binary()), ("low", pa.binary())])
 
 
-def _distinct(ids, raw, at, first, last, doc, span, length):
-    """The distinct contexts of anchors (``span``: the most bytes one can have):
-    the entry of every anchor, an anchor of every entry, its smallest id."""
+def _distinct(ids, raw, at, first, last, doc, span, length, key):
+    """The distinct contexts of anchors (``span``: the most bytes one can have; ``key``:
+    16 bits that are equal for equal contexts): the entry of every anchor, an anchor of
+    every entry, its smallest id.  Entries are in the order of their parts and bytes."""
     size = last - first + length                     # bytes of the context, from the first window on
-    text = _clipped(_words(raw, first, (span + 7) // 8), size)
-    order, new = multikey_order(np.column_stack([text, (size * 128 + (at - first)).astype(np.uint64)]))
-    entry = np.empty(len(at), np.int64)
-    entry[order] = np.cumsum(new) - 1
-    rep = order[new]
+
+    def ranked(rows):
+        text = _clipped(_words(raw, first[rows], (span + 7) // 8), size[rows])
+        order, new = multikey_order(np.column_stack([text, (size[rows] * 128 + (at - first)[rows]).astype(np.uint64)]))
+        rank = np.empty(len(rows), np.int64)
+        rank[order] = np.cumsum(new) - 1
+        return rank, rows[order[new]]
+
+    entry, n, reps = np.empty(len(at), np.int64), 0, [np.zeros(0, np.int64)]
+    for part in _parts(key):
+        # a context may fill a part and more: distinct within runs of rows, then among those
+        ranks, found = zip(*(ranked(part[k:k + 2 * PART]) for k in range(0, len(part), 2 * PART)), strict=True)
+        merged, rep = ranked(np.concatenate(found)) if len(found) > 1 else (np.arange(len(found[0])), found[0])
+        base = np.cumsum([0] + [len(x) for x in found])
+        entry[part] = n + merged[np.concatenate([x + y for x, y in zip(ranks, base[:-1], strict=True)])]
+        reps.append(rep)
+        n += len(rep)
+    rep = np.concatenate(reps)
     low = np.full(len(rep), NO_ID)
     np.minimum.at(low, entry, ids[doc])
     return entry, rep, low
 
 
+def _gram_part(gram: np.ndarray) -> np.ndarray:
+    return (gram >> np.uint64(32)).astype(np.uint16)
+
+
+def _hash_part(h: np.ndarray) -> np.ndarray:
+    return (h >> np.uint64(48)).astype(np.uint16)
+
+
 def _contexts(ids, raw, offsets, grams, hot, splitters, n_slices, length):
-    """Occurrences of the candidate anchors and their distinct contexts, in an
+    """Occurrences of the candidate anchors (sorted ``grams``) and their distinct contexts, in an
     order that depends on the slice alone.  Occurrences of ``hot`` anchors (rows
     of ``_pair_key``) are cut into their windows, each a context of its own."""
-    at, first, last, doc = anchors(raw, offsets, length)
+    at, first, last, doc = slice_anchors(raw, offsets, length)
     gram = _gram_key(raw, at)
-    keep = np.isin(gram, grams)
+    place = np.searchsorted(grams, gram)
+    keep = grams[np.minimum(place, len(grams) - 1)] == gram if len(grams) else np.zeros(len(gram), bool)
     at, first, last, doc, gram = at[keep], first[keep], last[keep], doc[keep], gram[keep]
     bucket = bucket_of(_words(raw, at, 2), splitters)
     cut = np.isin(_pair_key(bucket, gram), hot) if len(hot) else np.zeros(len(at), bool)
     windows = (last - first + 1)[cut]
     one = np.repeat(first[cut] - np.cumsum(windows) + windows, windows) + np.arange(windows.sum())
     at2, doc2 = np.repeat(at[cut], windows), np.repeat(doc[cut], windows)
-    at, first, last, doc, bucket = at[~cut], first[~cut], last[~cut], doc[~cut], bucket[~cut]
-    entry, rep, low = _distinct(ids, raw, at, first, last, doc, 2 * length - GRAM, length)
+    at, first, last, doc, bucket, gram = at[~cut], first[~cut], last[~cut], doc[~cut], bucket[~cut], gram[~cut]
+    entry, rep, low = _distinct(ids, raw, at, first, last, doc, 2 * length - GRAM, length, _gram_part(gram))
     bucket = bucket[rep]
     if len(one):
-        entry2, rep2, low2 = _distinct(ids, raw, at2, one, one, doc2, length, length)
-        text = _clipped(_words(raw, one[rep2], (length + 7) // 8), np.full(len(rep2), length))
-        spread = n_slices + (_bytes_hash(text) % np.uint64(SPREAD * n_slices)).astype(np.int64)
+        h = _text_hashes(raw, one, np.full(len(one), length), length)
+        entry2, rep2, low2 = _distinct(ids, raw, at2, one, one, doc2, length, length, _hash_part(h))
+        spread = n_slices + (h[rep2] % np.uint64(SPREAD * n_slices)).astype(np.int64)
         entry, rep = np.concatenate([entry, entry2 + len(rep)]), np.concatenate([rep, rep2 + len(at)])
         low, bucket = np.concatenate([low, low2]), np.concatenate([bucket, spread])
         at, first, last, doc = (np.concatenate(x) for x in ((at, at2), (first, one), (last, one), (doc, doc2)))
@@ -306,7 +436,7 @@ def remove_repeated_strings(docs: DataFrame, length: int = 50, id_col: str = "do
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), text.alias("text"))
     n_docs, total = rows.agg(F.count("*"), F.sum(F.octet_length("text"))).first()
-    n_slices = max(1, -(-(total or 0) // SLICE_BYTES))
+    n_slices = slice_count(total or 0)
 
     def leads(batches):
         for b in batches:
@@ -329,7 +459,7 @@ def remove_repeated_strings(docs: DataFrame, length: int = 50, id_col: str = "do
     def send(table: pa.Table) -> pa.Table:
         _, _, raw, offsets = _slice_docs(table)
         number = table.column("slice")[0].as_py()
-        at, first, last, doc = anchors(raw, offsets, length)
+        at, first, last, doc = slice_anchors(raw, offsets, length)
         if not len(at):
             return SENT.empty_table()
         gram = _gram_key(raw, at)
@@ -356,7 +486,7 @@ def remove_repeated_strings(docs: DataFrame, length: int = 50, id_col: str = "do
             out["many"].append(short[part[several[part]]].tobytes())
             busy = part[counts[part] >= BUSY]
             out["busy"].append(short[busy].tobytes())
-            out["contexts"].append(counts[busy])
+            out["contexts"].append(counts[busy].astype(np.int32).tobytes())
         return _rows(out, SENT)
 
     def back(table: pa.Table) -> pa.Table:
@@ -375,7 +505,7 @@ def remove_repeated_strings(docs: DataFrame, length: int = 50, id_col: str = "do
         hit[order] = common[np.cumsum(new) - 1]
         # contexts of every anchor: as counted, and less than BUSY in the other slices
         busy = _long(table.column("busy").to_pylist())
-        known = np.asarray(table.column("contexts").combine_chunks().flatten()).astype(np.int64)
+        known = np.frombuffer(b"".join(table.column("contexts").to_pylist()), np.int32).astype(np.int64)
         heads_gram = gram[order[heads]]
         contexts_ = (BUSY - 1) * np.diff(np.append(heads, len(gram)))
         np.add.at(contexts_, np.searchsorted(heads_gram, busy), known - (BUSY - 1))
@@ -396,23 +526,22 @@ def remove_repeated_strings(docs: DataFrame, length: int = 50, id_col: str = "do
             return CONTEXT.empty_table()
         _, keys, raw, offsets = _slice_docs(table)
         number = table.column("slice")[0].as_py()
-        wanted = np.unique(_long(grams.column("grams").to_pylist()))
+        wanted = np.sort(_long(grams.column("grams").to_pylist()))
         hot = _hot_pairs(grams.column("from").to_pylist(), grams.column("hot").to_pylist())
         at, first, last, _, _, rep, low, bucket, size = _contexts(
             keys, raw, offsets, wanted, hot, splitters, n_slices, length)
         at, first, last, size = at[rep], first[rep], last[rep], size[rep]
         pack = zstandard.ZstdCompressor(level=3)
+        padded = np.concatenate([raw, np.zeros(2 * length, np.uint8)])
         out = {f.name: [] for f in CONTEXT}
         for part in _by_bucket(bucket):
             out["bucket"].append(int(bucket[part[0]]))
             out["slice"].append(number)
             out["n"].append(len(part))
-            ends = np.cumsum(size[part])
-            index = np.arange(ends[-1]) + np.repeat(first[part] - ends + size[part], size[part])
-            out["bytes"].append(pack.compress(raw[index].tobytes()))
+            out["bytes"].append(pack.compress(_strings(padded, first[part], size[part])))
             out["windows"].append((last - first + 1)[part].astype(np.uint8).tobytes())
             out["back"].append((at - first)[part].astype(np.uint8).tobytes())
-            out["low"].append(low[part])
+            out["low"].append(low[part].tobytes())
         return _rows(out, CONTEXT)
 
     def cover(table: pa.Table) -> pa.Table:
@@ -420,42 +549,19 @@ def remove_repeated_strings(docs: DataFrame, length: int = 50, id_col: str = "do
         raw = np.frombuffer(b"".join(unpack.decompress(x) for x in table.column("bytes").to_pylist()), np.uint8)
         windows = np.frombuffer(b"".join(table.column("windows").to_pylist()), np.uint8).astype(np.int64)
         back_ = np.frombuffer(b"".join(table.column("back").to_pylist()), np.uint8).astype(np.int64)
-        low = table.column("low").combine_chunks().flatten().to_numpy()
+        low = np.frombuffer(b"".join(table.column("low").to_pylist()), np.int64)
         sizes = windows + length - 1
         start = np.cumsum(sizes) - sizes
-        # contexts that slices have in common, with the smallest id of all
-        key = np.column_stack([_clipped(_words(raw, start, (2 * length - GRAM + 7) // 8), sizes),
-                               (sizes * 128 + back_).astype(np.uint64)])
-        order, new = multikey_order(key)
-        del key
-        form = np.empty(len(order), np.int64)
-        form[order] = np.cumsum(new) - 1
-        rep = order[new]
-        form_low = np.minimum.reduceat(low[order], np.flatnonzero(new))
-        # only anchors with several contexts need their windows compared
-        gram_order, gram_new = multikey_order(_words(raw, start[rep] + back_[rep], GRAM // 8))
-        gram = np.empty(len(rep), np.int64)
-        gram[gram_order] = np.cumsum(gram_new) - 1
-        shared = np.bincount(gram)[gram] > 1
-        alone, several = np.flatnonzero(~shared), np.flatnonzero(shared)
-        mine, nth, least = _window_minima(raw, start[rep[several]], windows[rep[several]], form_low[several], length)
-        # runs of windows of a context with the same smallest id
-        fresh = np.ones(len(mine), bool)
-        fresh[1:] = (mine[1:] != mine[:-1]) | (least[1:] != least[:-1])
-        heads = np.flatnonzero(fresh)
-        tails = np.append(heads[1:], len(mine)) - 1 if len(heads) else heads
-        run_form = np.concatenate([alone, several[mine[heads]]])
-        run_first = np.concatenate([np.zeros(len(alone), np.int64), nth[heads]])
-        run_last = np.concatenate([windows[rep[alone]] - 1, nth[tails]])
-        run_low = np.concatenate([form_low[alone], least[heads]])
-        # to every slice that has the context with a larger id
-        by_form = np.argsort(run_form, kind="stable")
-        held = np.searchsorted(run_form[by_form], np.arange(len(rep) + 1))
-        n_runs = (held[1:] - held[:-1])[form]
-        entry = np.repeat(np.arange(len(form)), n_runs)
-        run = by_form[np.repeat(held[form] - np.cumsum(n_runs) + n_runs, n_runs) + np.arange(len(entry))]
-        less = run_low[run] < low[entry]
-        entry, run = entry[less], run[less]
+        # equal contexts, and those of one anchor, are in one part; windows sent one by one only have equals
+        if table.column("bucket")[0].as_py() < n_slices:
+            key = _gram_part(_gram_key(raw, start + back_))
+        else:
+            key = _hash_part(_text_hashes(raw, start, sizes, length))
+        found = []
+        for part in _parts(key):
+            entry, *runs = _covered(raw, start[part], windows[part], back_[part], low[part], length)
+            found.append((part[entry], *runs))
+        entry, run_first, run_last, run_low = (np.concatenate(x) for x in zip(*found, strict=True))
         counts = np.asarray(table.column("n").to_pylist())
         row = np.repeat(np.arange(len(counts)), counts)
         base = np.cumsum(counts) - counts
@@ -465,15 +571,15 @@ def remove_repeated_strings(docs: DataFrame, length: int = 50, id_col: str = "do
             r = row[entry[part[0]]]
             out["slice"].append(slices_[r])
             out["bucket"].append(buckets[r])
-            out["entry"].append((entry[part] - base[r]).astype(np.int32))
-            out["first"].append(run_first[run[part]].astype(np.uint8).tobytes())
-            out["last"].append(run_last[run[part]].astype(np.uint8).tobytes())
-            out["low"].append(run_low[run[part]])
+            out["entry"].append((entry[part] - base[r]).astype(np.int32).tobytes())
+            out["first"].append(run_first[part].astype(np.uint8).tobytes())
+            out["last"].append(run_last[part].astype(np.uint8).tobytes())
+            out["low"].append(run_low[part].tobytes())
         return _rows(out, COVER)
 
     def finish(table: pa.Table, grams: list, hot: np.ndarray, covers: dict) -> pa.Table:
         ids, keys, raw, offsets = _slice_docs(table)
-        wanted = np.unique(_long(grams))
+        wanted = np.sort(_long(grams))
         _, first, last, doc, entry, rep, low, bucket, _ = _contexts(
             keys, raw, offsets, wanted, hot, splitters, n_slices, length)
         edge = np.zeros(len(raw) + 1, np.int32)
@@ -492,19 +598,25 @@ def remove_repeated_strings(docs: DataFrame, length: int = 50, id_col: str = "do
             less = np.repeat(least, n) < keys[doc[occ]]
             np.add.at(edge, (first[occ] + np.repeat(a, n))[less], 1)
             np.add.at(edge, (first[occ] + np.repeat(b, n) + length)[less], -1)
-        gone = np.cumsum(edge[:-1]) > 0
-        starts = gone.copy()
-        starts[1:] &= ~gone[:-1]
-        inner = offsets[:-1][offsets[:-1] < len(raw)]
-        starts[inner] = gone[inner]                  # runs end with their document
-        removed = np.concatenate([[0], np.cumsum(gone)])
-        spans = np.concatenate([[0], np.cumsum(starts)])
-        stays = raw[~gone].tobytes()
-        kept_at = offsets - removed[offsets]
-        kept = [stays[kept_at[i]:kept_at[i + 1]] for i in range(len(keys))]
-        return pa.table({
-            "id": ids, "n_bytes": np.diff(offsets), "n_removed": np.diff(removed[offsets]),
-            "n_spans": np.diff(spans[offsets]).astype(np.int64), "kept": pa.array(kept, pa.binary())})
+        out, open_ = [], 0                           # spans that reach over the start of a piece end there
+        for i, j in _pieces(offsets):
+            text, own = raw[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i]
+            depth = np.cumsum(edge[offsets[i]:offsets[j]]) + open_
+            open_ = depth[-1] if len(depth) else open_
+            gone = depth > 0
+            starts = gone.copy()
+            starts[1:] &= ~gone[:-1]
+            inner = own[:-1][own[:-1] < len(text)]
+            starts[inner] = gone[inner]              # runs end with their document
+            removed = np.concatenate([[0], np.cumsum(gone)])
+            spans = np.concatenate([[0], np.cumsum(starts)])
+            stays = text[~gone].tobytes()
+            kept_at = own - removed[own]
+            kept = [stays[a:b] for a, b in zip(kept_at[:-1], kept_at[1:], strict=True)]
+            out.append(pa.table({
+                "id": ids.slice(i, j - i), "n_bytes": np.diff(own), "n_removed": np.diff(removed[own]),
+                "n_spans": np.diff(spans[own]).astype(np.int64), "kept": pa.array(kept, pa.binary())}))
+        return pa.concat_tables(out)
 
     def finish_slice(table: pa.Table, replies: pa.Table) -> pa.Table:
         if not len(table):
@@ -516,25 +628,25 @@ def remove_repeated_strings(docs: DataFrame, length: int = 50, id_col: str = "do
                 origin.append(r["from"])
                 hot.append(r["hot"])
             else:
-                covers[r["bucket"]] = (np.asarray(r["entry"], np.int64),
+                covers[r["bucket"]] = (np.frombuffer(r["entry"], np.int32).astype(np.int64),
                                        np.frombuffer(r["first"], np.uint8).astype(np.int64),
                                        np.frombuffer(r["last"], np.uint8).astype(np.int64),
-                                       np.asarray(r["low"], np.int64))
+                                       np.frombuffer(r["low"], np.int64))
         return finish(table, grams, _hot_pairs(origin, hot), covers)
 
     out_schema = pa.schema([("id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()),
                             ("n_spans", pa.int64()), ("kept", pa.binary())])
     sent = sliced.groupBy("slice").applyInArrow(
-        send, "bucket int, slice int, one binary, many binary, busy binary, contexts array<int>")
+        send, "bucket int, slice int, one binary, many binary, busy binary, contexts binary")
     grams = sent.groupBy("bucket").applyInArrow(back, "slice int, from int, grams binary, hot binary")
     around = sliced.groupBy("slice").cogroup(grams.groupBy("slice")).applyInArrow(
-        context, "bucket int, slice int, n int, bytes binary, windows binary, back binary, low array<bigint>")
+        context, "bucket int, slice int, n int, bytes binary, windows binary, back binary, low binary")
     covers = around.groupBy("bucket").applyInArrow(
-        cover, "slice int, bucket int, entry array<int>, first binary, last binary, low array<bigint>")
+        cover, "slice int, bucket int, entry binary, first binary, last binary, low binary")
     replies = grams.select(
-        "slice", "from", "grams", "hot", F.lit(None).cast("int").alias("bucket"), F.lit(None).cast("array<int>").alias("entry"),
+        "slice", "from", "grams", "hot", F.lit(None).cast("int").alias("bucket"), F.lit(None).cast("binary").alias("entry"),
         F.lit(None).cast("binary").alias("first"), F.lit(None).cast("binary").alias("last"),
-        F.lit(None).cast("array<bigint>").alias("low"),
+        F.lit(None).cast("binary").alias("low"),
     ).unionByName(covers.withColumns({
         "from": F.lit(None).cast("int"), "grams": F.lit(None).cast("binary"), "hot": F.lit(None).cast("binary")}))
     done = sliced.groupBy("slice").cogroup(replies.groupBy("slice")).applyInArrow(

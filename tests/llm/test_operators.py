@@ -6,6 +6,7 @@ import hashlib
 import itertools
 import math
 import random
+import re
 import zlib
 from collections import Counter
 
@@ -263,6 +264,47 @@ def test_suffix_contexts_of_a_frequent_anchor_are_spread(spark, monkeypatch):
         assert by_text.setdefault(raw[w:w + 50].tobytes(), b) == b
 
 
+def test_suffix_messages_grow_with_the_text_and_not_with_its_square(spark, monkeypatch):
+    rows = [(i, f"{i} " + "some words of a text " * 10) for i in range(600)]
+    total = sum(len(t) for _, t in rows)
+    pairs = []
+    for size in (total // 500, total // 2000):
+        monkeypatch.setattr(suffix_dedup, "SLICE_BYTES", size)
+        plan = suffix_dedup.remove_repeated_strings(frame(spark, rows))._jdf.queryExecution().analyzed().toString()
+        n_slices = {int(n) for n in re.findall(r"pmod\(xxhash64\([^()]*\), (?:cast\()?(\d+)", plan)}
+        assert len(n_slices) == 1, plan[-1500:]
+        pairs.append(n_slices.pop() ** 2)              # every slice sends to nearly every bucket
+    assert pairs[1] < 4.5 * pairs[0]
+    assert pairs[1] < 100 * 2000
+
+
+def test_suffix_slices_in_pieces_and_contexts_in_parts(monkeypatch):
+    rnd = random.Random(11)
+    line = lambda: "".join(rnd.choice("abcdefgh") for _ in range(70))
+    often, near = line(), [line() for _ in range(9)]
+    texts = ["\n".join(rnd.choice([line(), often, rnd.choice(near), ""]) for _ in range(rnd.randint(0, 30))).encode()
+             for _ in range(80)]
+    raw, offsets = np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0] + [len(t) for t in texts])
+    whole = sorted(zip(*(x.tolist() for x in suffix_dedup.anchors(raw, offsets, 50)), strict=True))
+    monkeypatch.setattr(suffix_dedup, "PIECE_BYTES", 300)
+    monkeypatch.setattr(suffix_dedup, "PART", 8)
+    at, first, last, doc = suffix_dedup.slice_anchors(raw, offsets, 50)
+    assert sorted(zip(at.tolist(), first.tolist(), last.tolist(), doc.tolist(), strict=True)) == whole
+    key = suffix_dedup._gram_part(suffix_dedup._gram_key(raw, at))
+    ids = np.arange(80)[::-1]
+    entry, rep, low = suffix_dedup._distinct(ids, raw, at, first, last, doc, 84, 50, key)
+    context = [(raw[f:e + 50].tobytes(), a - f) for a, f, e in zip(at.tolist(), first.tolist(), last.tolist(), strict=True)]
+    least = {}
+    for c, d in zip(context, doc.tolist(), strict=True):
+        least[c] = min(least.get(c, 99), int(ids[d]))
+    assert max(Counter(context).values()) > 40 and len(rep) == len(least)
+    assert [context[r] for r in rep[entry]] == context
+    assert low.tolist() == [least[context[r]] for r in rep]
+    parts = list(suffix_dedup._parts(key))
+    assert sorted(np.concatenate(parts).tolist()) == list(range(len(key)))
+    assert len(parts) > 20 and sum(len(set(key[p].tolist())) for p in parts) == len(set(key.tolist()))
+
+
 def test_multikey_order():
     rng = np.random.default_rng(2)
     words = rng.integers(0, 3, (500, 4)).astype(np.uint64)
